@@ -39,3 +39,152 @@ def q_merchant_features(spark, sf_dir):
 def q_risk_score_v1(spark, sf_dir):
     """OP-31 + OP-55: the flagship snapshot table (features + heuristic)."""
     return V.scored_features(V.live_facts(spark, sf_dir))
+
+
+# ---- buckets and snapshots -------------------------------------------------
+
+@query("time_buckets")
+def q_time_buckets(spark, sf_dir):
+    """OP-51: floor15 / ceil15 / next15 of every event time."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.functions.time import ceil15, floor15, next15
+    from merchant_signals.sources import driver
+
+    e = driver.events(V.ensure_session(spark), sf_dir)
+    return e.select("event_id", "ts", floor15("ts").alias("floor15"), ceil15("ts").alias("ceil15"),
+                    next15("ts").alias("next15"))
+
+
+@query("bucket_series")
+def q_bucket_series(spark, sf_dir):
+    """OP-43 + OP-52: every bucket between next15(min) and next15(max) event time."""
+    from merchant_signals.operators.features import backfill_buckets
+
+    return backfill_buckets(V.hist_facts(spark, sf_dir))
+
+
+@query("snapshot_backfill")
+def q_snapshot_backfill(spark, sf_dir):
+    """OP-53: bucket_count and snapshot rows of the historical backfill."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.features import backfill_buckets, snapshot_backfill
+
+    hf = V.hist_facts(spark, sf_dir)
+    b = backfill_buckets(hf).agg(F.count(F.lit(1)).alias("bucket_count"))
+    s = snapshot_backfill(hf).agg(F.count(F.lit(1)).alias("snapshot_rows_upserted"))
+    return b.crossJoin(s)
+
+
+@query("latest_features")
+def q_latest_features(spark, sf_dir):
+    """OP-44: newest snapshot per merchant."""
+    from merchant_signals.operators.features import latest_per_merchant
+
+    return latest_per_merchant(V.scored_features(V.live_facts(spark, sf_dir)))
+
+
+# ---- labels, training set, model, backtest ---------------------------------
+
+@query("label_24h")
+def q_label_24h(spark, sf_dir):
+    """OP-19 + OP-21 + OP-27 + OP-34: the historical training export."""
+    return V.training_set(spark, sf_dir)
+
+
+@query("training_window")
+def q_training_window(spark, sf_dir):
+    """OP-21: both window rules (history bounds from the facts; scheduled run at now)."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.labels import history_window, scheduled_window
+    from merchant_signals.sources import driver
+
+    s, e = scheduled_window(driver.NOW)
+    return history_window(V.hist_facts(spark, sf_dir), driver.now_lit()).select(
+        "*", F.lit(s).cast("timestamp").alias("scheduled_start_utc"),
+        F.lit(e).cast("timestamp").alias("scheduled_end_utc"))
+
+
+@query("training_export")
+def q_training_export(spark, sf_dir):
+    """OP-08: the scheduled export ([now-8d, now-24h)) of the snapshot table."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.labels import scheduled_window, training_dataset
+    from merchant_signals.sources import driver
+
+    s, e = scheduled_window(driver.NOW)
+    hf = V.hist_facts(spark, sf_dir)
+    return training_dataset(V.scored_features(hf), hf, F.lit(s).cast("timestamp"),
+                            F.lit(e).cast("timestamp"), driver.now_lit())
+
+
+@query("train_model")
+def q_train_model(spark, sf_dir):
+    """OP-36: class-mean model on the training set (one row per feature)."""
+    from merchant_signals.operators import model as M
+
+    return M.stats_long(M.train(V.training_set(spark, sf_dir)))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """OP-12: save the model as Parquet below the checkpoint dir, load, check keys."""
+    import uuid
+
+    from merchant_signals.operators import model as M
+    from merchant_signals.session import scratch_path
+
+    path = scratch_path(spark, "models", uuid.uuid4().hex)
+    M.save(M.train(V.training_set(spark, sf_dir)), path)
+    return M.stats_long(M.load(spark, path))
+
+
+@query("score_model")
+def q_score_model(spark, sf_dir):
+    """OP-56: model score and band for every training row."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators import model as M
+    from merchant_signals.operators.scoring import model_score
+
+    ts = V.training_set(spark, sf_dir)
+    s = model_score(ts, M.train(ts))
+    return s.select("merchant_id", "snapshot_time_utc",
+                    F.round("local_model_score_raw", 5).cast("decimal(6,5)").alias("local_model_score"),
+                    "local_model_band")
+
+
+@query("time_split")
+def q_time_split(spark, sf_dir):
+    """OP-58: strict time boundary at split 0.8 and the row counts on each side."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.backtest import split_boundary
+
+    ts = V.training_set(spark, sf_dir)
+    b = F.broadcast(split_boundary(ts, 0.8))
+    t = F.col("snapshot_time_utc")
+    return (ts.crossJoin(b).groupBy("boundary_snapshot_time", "n_times")
+            .agg(F.count_if(t < F.col("boundary_snapshot_time")).alias("train_rows"),
+                 F.count_if(t >= F.col("boundary_snapshot_time")).alias("test_rows")))
+
+
+@query("backtest")
+def q_backtest(spark, sf_dir):
+    """OP-37/38/59/60: local model vs heuristic on the newest 20% of times."""
+    from merchant_signals.operators.backtest import backtest
+
+    return backtest(V.training_set(spark, sf_dir), 0.8)
+
+
+@query("tolerant_features")
+def q_tolerant_features(spark, sf_dir):
+    """OP-09: payload amounts read with the tolerant float rule."""
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.functions.numeric import tolerant_float
+
+    r = V.raw(spark, sf_dir)
+    return r.select("raw_id", tolerant_float(json_text("payload", "amount_usd")).alias("amount_f"))

@@ -149,3 +149,216 @@ def _():
 def _():
     return (with_(LIVE_FACTS, features_cte("live_facts"), scored_cte("feat"))
             + f"\nSELECT {SCORED_OUT} FROM scored")
+
+
+# ---- buckets and snapshots -------------------------------------------------
+
+@oracle("time_buckets")
+def _():
+    return (f"SELECT event_id, ts, {floor15('ts')} AS floor15, {ceil15('ts')} AS ceil15, "
+            f"{next15('ts')} AS next15 FROM events")
+
+
+@oracle("bucket_series")
+def _():
+    return with_(HIST_FACTS) + f"""
+SELECT unnest(generate_series({next15('min(event_time_utc)')}, {next15('max(event_time_utc)')},
+       INTERVAL 15 MINUTE)) AS snapshot_time_utc FROM hist_facts"""
+
+
+@oracle("snapshot_backfill")
+def _():
+    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat")) + f"""
+, b AS (SELECT {next15('min(event_time_utc)')} AS lo, {next15('max(event_time_utc)')} AS hi FROM hist_facts)
+SELECT CAST(date_diff('minute', lo, hi) / 15 + 1 AS BIGINT) AS bucket_count,
+       (SELECT count(*) FROM hfeat WHERE snapshot_time_utc <= (SELECT hi FROM b)) AS snapshot_rows_upserted
+FROM b"""
+
+
+@oracle("latest_features")
+def _():
+    return (with_(LIVE_FACTS, features_cte("live_facts"), scored_cte("feat"))
+            + f"\nSELECT {SCORED_OUT} FROM scored "
+              "QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY snapshot_time_utc DESC) = 1")
+
+
+# ---- labels, training set, model, backtest ---------------------------------
+
+TRAINING_SET = with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f""",
+hbounds AS (
+  SELECT greatest({next15('min(event_time_utc)')}, {NOW} - INTERVAL 30 DAY) AS s,
+         least({next15('max(event_time_utc)')}, {NOW} - INTERVAL 24 HOUR) AS e
+  FROM hist_facts
+),
+tset AS (
+  SELECT s.merchant_id, s.snapshot_time_utc, s.computed_at_utc, s.txn_count_15m, s.gmv_usd_15m,
+         s.txn_count_1h, s.gmv_usd_1h, s.risk_score_v1, s.risk_band_v1,
+         CAST(COALESCE(MAX(COALESCE(f.label_bad_outcome, 0)), 0) AS INTEGER) AS label_bad_outcome_24h,
+         CAST(COALESCE(MAX(COALESCE(f.label_anomaly, 0)), 0) AS INTEGER) AS label_anomaly_24h,
+         CAST(COALESCE(MAX(COALESCE(f.label_dispute_lost, 0)), 0) AS INTEGER) AS label_dispute_lost_24h
+  FROM hsnap s CROSS JOIN hbounds b
+  LEFT JOIN hist_facts f
+    ON f.merchant_id = s.merchant_id
+   AND f.event_time_utc >= s.snapshot_time_utc
+   AND f.event_time_utc < s.snapshot_time_utc + INTERVAL 24 HOUR
+  WHERE s.snapshot_time_utc >= b.s AND s.snapshot_time_utc < b.e
+    AND s.snapshot_time_utc + INTERVAL 24 HOUR <= {NOW}
+  GROUP BY ALL
+)"""
+
+TSET_OUT = SCORED_OUT + ", label_bad_outcome_24h, label_anomaly_24h, label_dispute_lost_24h"
+FEATURES = ["txn_count_15m", "gmv_usd_15m", "txn_count_1h", "gmv_usd_1h", "risk_score_v1"]
+
+
+def model_cte(rows: str, name: str = "mdl") -> str:
+    """One row: n, pos, neg, p, and pm_/nm_/w_ per feature."""
+    parts = []
+    for f in FEATURES:
+        parts.append(f"COALESCE(avg(CAST({f} AS DOUBLE)) FILTER (WHERE CAST(label_bad_outcome_24h AS DOUBLE) >= 1.0), 0.0) AS pm_{f}")
+        parts.append(f"COALESCE(avg(CAST({f} AS DOUBLE)) FILTER (WHERE CAST(label_bad_outcome_24h AS DOUBLE) < 1.0), 0.0) AS nm_{f}")
+    return f"""
+{name}_a AS (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE CAST(label_bad_outcome_24h AS DOUBLE) >= 1.0) AS pos,
+         count(*) FILTER (WHERE CAST(label_bad_outcome_24h AS DOUBLE) < 1.0) AS neg,
+         {', '.join(parts)}
+  FROM {rows}
+),
+{name} AS (
+  SELECT *, COALESCE(CAST(pos AS DOUBLE) / NULLIF(CAST(n AS DOUBLE), 0.0), 0.0) AS p,
+         {', '.join(f'pm_{f} - nm_{f} AS w_{f}' for f in FEATURES)}
+  FROM {name}_a
+)"""
+
+
+def model_long(name: str = "mdl") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS feature, n AS training_rows, pos AS positive_rows, neg AS negative_rows, "
+        f"round(p, 6) AS positive_rate, round(pm_{f}, 6) AS positive_mean, round(nm_{f}, 6) AS negative_mean, "
+        f"round(w_{f}, 6) AS weight FROM {name}" for f in FEATURES)
+
+
+def model_score_expr(m: str = "m") -> str:
+    raw = " + ".join(f"(COALESCE(CAST({f} AS DOUBLE), 0.0) - ({m}.pm_{f} + {m}.nm_{f}) / 2.0) * {m}.w_{f}"
+                     for f in FEATURES)
+    scale = " + ".join(f"abs({m}.w_{f})" for f in FEATURES)
+    z = (f"(({raw}) / greatest({scale}, 1.0) + "
+         f"ln(greatest({m}.p, 1e-6) / greatest(1.0 - {m}.p, 1e-6)))")
+    return f"CASE WHEN {z} >= 0 THEN 1.0 / (1.0 + exp(-{z})) ELSE exp({z}) / (1.0 + exp({z})) END"
+
+
+def band_sql(x: str, hi: float, med: float) -> str:
+    return f"CASE WHEN {x} >= {hi} THEN 'high' WHEN {x} >= {med} THEN 'medium' ELSE 'low' END"
+
+
+@oracle("label_24h")
+def _():
+    return TRAINING_SET + f"\nSELECT {TSET_OUT} FROM tset"
+
+
+@oracle("training_window")
+def _():
+    return with_(HIST_FACTS) + f"""
+SELECT greatest({next15('min(event_time_utc)')}, {NOW} - INTERVAL 30 DAY) AS snapshot_start_utc,
+       least({next15('max(event_time_utc)')}, {NOW} - INTERVAL 24 HOUR) AS snapshot_end_utc,
+       {NOW} - INTERVAL 8 DAY AS scheduled_start_utc,
+       {NOW} - INTERVAL 24 HOUR AS scheduled_end_utc
+FROM hist_facts"""
+
+
+@oracle("training_export")
+def _():
+    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f"""
+SELECT s.merchant_id, s.snapshot_time_utc, CAST(s.txn_count_15m AS INTEGER) AS txn_count_15m,
+       CAST(s.gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, s.txn_count_1h, CAST(s.gmv_usd_1h AS DOUBLE) AS gmv_usd_1h,
+       s.computed_at_utc, CAST(s.risk_score_v1 AS DOUBLE) AS risk_score_v1, s.risk_band_v1,
+       CAST(COALESCE(MAX(COALESCE(f.label_bad_outcome, 0)), 0) AS INTEGER) AS label_bad_outcome_24h,
+       CAST(COALESCE(MAX(COALESCE(f.label_anomaly, 0)), 0) AS INTEGER) AS label_anomaly_24h,
+       CAST(COALESCE(MAX(COALESCE(f.label_dispute_lost, 0)), 0) AS INTEGER) AS label_dispute_lost_24h
+FROM hsnap s LEFT JOIN hist_facts f
+  ON f.merchant_id = s.merchant_id AND f.event_time_utc >= s.snapshot_time_utc
+ AND f.event_time_utc < s.snapshot_time_utc + INTERVAL 24 HOUR
+WHERE s.snapshot_time_utc >= {NOW} - INTERVAL 8 DAY AND s.snapshot_time_utc < {NOW} - INTERVAL 24 HOUR
+  AND s.snapshot_time_utc + INTERVAL 24 HOUR <= {NOW}
+GROUP BY ALL"""
+
+
+@oracle("train_model")
+def _():
+    return TRAINING_SET + "," + model_cte("tset").strip("\n") + "\n" + model_long()
+
+
+ORACLES["model_roundtrip"] = ORACLES["train_model"]
+
+
+@oracle("score_model")
+def _():
+    return TRAINING_SET + "," + model_cte("tset").strip("\n") + f""",
+sc AS (SELECT t.merchant_id, t.snapshot_time_utc, {model_score_expr('m')} AS s FROM tset t CROSS JOIN mdl m)
+SELECT merchant_id, snapshot_time_utc, CAST(round(s, 5) AS DOUBLE) AS local_model_score,
+       {band_sql('s', 0.8, 0.5)} AS local_model_band FROM sc"""
+
+
+SPLIT = """,
+times AS (SELECT DISTINCT snapshot_time_utc AS t FROM tset),
+nt AS (SELECT count(*) AS n FROM times),
+bnd AS (
+  SELECT x.t AS boundary_snapshot_time, nt.n AS n_times
+  FROM (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM times) x, nt
+  WHERE nt.n >= 2
+    AND x.i = least(greatest(CAST(floor(nt.n * CAST(0.8 AS DOUBLE)) AS BIGINT), 1), nt.n - 1)
+)"""
+
+
+@oracle("time_split")
+def _():
+    return TRAINING_SET + SPLIT + """
+SELECT b.boundary_snapshot_time, b.n_times,
+       count(*) FILTER (WHERE t.snapshot_time_utc < b.boundary_snapshot_time) AS train_rows,
+       count(*) FILTER (WHERE t.snapshot_time_utc >= b.boundary_snapshot_time) AS test_rows
+FROM tset t CROSS JOIN bnd b GROUP BY ALL"""
+
+
+@oracle("backtest")
+def _():
+    return TRAINING_SET + SPLIT + """,
+train AS (SELECT t.* FROM tset t, bnd b WHERE t.snapshot_time_utc < b.boundary_snapshot_time),
+test AS (SELECT t.* FROM tset t, bnd b WHERE t.snapshot_time_utc >= b.boundary_snapshot_time),""" + model_cte("train").strip("\n") + f""",
+pred AS (
+  SELECT CAST(CAST(label_bad_outcome_24h AS DOUBLE) >= 1.0 AS INTEGER) AS a,
+         CAST({model_score_expr('m')} >= 0.5 AS INTEGER) AS pl,
+         CASE WHEN lower(trim(COALESCE(risk_band_v1, ''))) <> ''
+              THEN CAST(lower(trim(risk_band_v1)) IN ('medium', 'high') AS INTEGER)
+              ELSE CAST(CAST(risk_score_v1 AS DOUBLE) >= 50.0 AS INTEGER) END AS pv
+  FROM test t CROSS JOIN mdl m
+),
+cm AS (
+  SELECT 'local_model' AS predictor,
+         count(*) FILTER (WHERE a = 1 AND pl = 1) AS tp, count(*) FILTER (WHERE a = 0 AND pl = 1) AS fp,
+         count(*) FILTER (WHERE a = 0 AND pl = 0) AS tn, count(*) FILTER (WHERE a = 1 AND pl = 0) AS fn,
+         avg(CAST(a AS DOUBLE)) AS pr
+  FROM pred
+  UNION ALL
+  SELECT 'risk_score_v1',
+         count(*) FILTER (WHERE a = 1 AND pv = 1), count(*) FILTER (WHERE a = 0 AND pv = 1),
+         count(*) FILTER (WHERE a = 0 AND pv = 0), count(*) FILTER (WHERE a = 1 AND pv = 0),
+         avg(CAST(a AS DOUBLE))
+  FROM pred
+)
+SELECT predictor, tp, fp, tn, fn,
+       round(COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0.0), 6) AS precision,
+       round(COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0.0), 6) AS recall,
+       round(COALESCE(CAST(tp + tn AS DOUBLE) / NULLIF(tp + fp + tn + fn, 0), 0.0), 6) AS accuracy,
+       round(COALESCE(pr, 0.0), 6) AS positive_rate,
+       (SELECT count(*) FROM tset) AS rows,
+       (SELECT count(*) FROM train) AS train_rows,
+       (SELECT count(*) FROM test) AS test_rows,
+       (SELECT boundary_snapshot_time FROM bnd) AS boundary_snapshot_time,
+       (SELECT max(snapshot_time_utc) FROM train) AS train_end_snapshot_time,
+       (SELECT min(snapshot_time_utc) FROM test) AS test_start_snapshot_time
+FROM cm"""
+
+
+@oracle("tolerant_features")
+def _():
+    return with_(RAW_ROWS) + "\nSELECT raw_id, COALESCE(CAST(amount_usd AS DOUBLE), 0.0) AS amount_f FROM raw_rows"

@@ -52,3 +52,16 @@ def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def hist_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot table of the historical seed: every bucket, labelled facts."""
+    return scored_features(hist_facts(spark, sf_dir))
+
+
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled training set of the historical seed (history window rule)."""
+    from merchant_signals.operators.labels import training_dataset_history
+
+    hf = hist_facts(spark, sf_dir)
+    return training_dataset_history(scored_features(hf), hf, driver.now_lit())
