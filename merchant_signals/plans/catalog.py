@@ -188,3 +188,152 @@ def q_tolerant_features(spark, sf_dir):
 
     r = V.raw(spark, sf_dir)
     return r.select("raw_id", tolerant_float(json_text("payload", "amount_usd")).alias("amount_f"))
+
+
+# ---- raw -> facts ------------------------------------------------------------
+
+def _watermark_state(spark, sf_dir):
+    """Fixture state of ``raw_ingest_watermark``: everything received before
+    the history split has been loaded.  One row per source."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.sources import driver
+
+    r = V.raw(spark, sf_dir)
+    return (r.filter(F.col("received_at") < F.lit(driver.HISTORY_SPLIT).cast("timestamp"))
+            .groupBy("source").agg(F.max("raw_id").alias("last_raw_id")))
+
+
+@query("raw_valid_split")
+def q_raw_valid_split(spark, sf_dir):
+    """OP-16: merchant presence per raw row (rejects are consumed, not loaded)."""
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.operators.facts import merchant_present
+
+    r = V.raw(spark, sf_dir)
+    return r.select("raw_id", json_text("payload", "merchant_id").alias("merchant_id"),
+                    merchant_present("payload").alias("is_valid"))
+
+
+@query("facts_from_raw")
+def q_facts_from_raw(spark, sf_dir):
+    """OP-17: typed projection of every valid raw row (before dedup)."""
+    from merchant_signals.operators.facts import facts_from_raw
+
+    return facts_from_raw(V.raw(spark, sf_dir)).drop("payload")
+
+
+@query("dedup_first_wins")
+def q_dedup_first_wins(spark, sf_dir):
+    """OP-22: first-wins fact table over all raw rows (duplicates carry new amounts)."""
+    return V.live_facts(spark, sf_dir).drop("payload")
+
+
+@query("insert_ignore")
+def q_insert_ignore(spark, sf_dir):
+    """OP-23: live facts appended to a historical table (first half of the
+    month) with insert-ignore on event_id."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.facts import insert_ignore
+    from merchant_signals.sources import driver
+
+    cols = ["event_id", "source", "raw_id", "amount_usd", "event_time_utc"]
+    existing = (V.hist_facts(spark, sf_dir)
+                .filter(F.col("event_time_utc") < F.lit(driver.HISTORY_SPLIT).cast("timestamp"))
+                .select(*cols))
+    new = V.live_facts(spark, sf_dir).select(*cols)
+    ins = insert_ignore(new, existing, "event_id")
+    return (existing.withColumn("origin", F.lit("existing"))
+            .unionByName(ins.withColumn("origin", F.lit("inserted"))))
+
+
+@query("new_merchants")
+def q_new_merchants(spark, sf_dir):
+    """OP-33: merchants discovered in raw rows, inserted into a fresh
+    dimension that holds only the seed merchant."""
+    from merchant_signals.operators.facts import new_merchants
+    from merchant_signals.sources import driver
+
+    seed = spark.createDataFrame([("m_seed_0001",)], "merchant_id string")
+    return new_merchants(V.raw(spark, sf_dir), seed, driver.now_lit())
+
+
+@query("load_stats")
+def q_load_stats(spark, sf_dir):
+    """OP-35 + OP-48: (processed, inserted, watermark) of every 20,000-row increment."""
+    from merchant_signals.operators.facts import all_increments_stats
+
+    return all_increments_stats(V.raw(spark, sf_dir), "SYNTH_LIVE", 20_000)
+
+
+@query("incremental_batch")
+def q_incremental_batch(spark, sf_dir):
+    """OP-15: the next 20,000 raw rows after the source's watermark."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.facts import incremental_batch
+
+    wm = F.broadcast(_watermark_state(spark, sf_dir))
+    r = V.raw(spark, sf_dir).join(wm, "source")
+    return (incremental_batch(r, "SYNTH_LIVE", F.col("last_raw_id"), 20_000)
+            .select("raw_id", "source", "received_at"))
+
+
+@query("watermark_advance")
+def q_watermark_advance(spark, sf_dir):
+    """OP-35 + OP-48: one increment from the watermark state: batch,
+    insert-ignore against the facts already loaded, new watermark."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.facts import (
+        BATCH_SIZE, batch_stats, dedup_first_wins, facts_from_raw, incremental_batch, load_batch)
+
+    wm = F.broadcast(_watermark_state(spark, sf_dir))
+    r = V.raw(spark, sf_dir).join(wm, "source")
+    loaded = dedup_first_wins(facts_from_raw(
+        r.filter(F.col("raw_id") <= F.col("last_raw_id")).drop("last_raw_id")))
+    batch = incremental_batch(r, "SYNTH_LIVE", F.col("last_raw_id"), BATCH_SIZE).drop("last_raw_id")
+    inserted = load_batch(batch, loaded, BATCH_SIZE)
+    stats = batch_stats(batch, inserted, 0)
+    return (wm.crossJoin(stats)
+            .select("source", F.col("last_raw_id").alias("last_raw_id_before"), "processed_rows",
+                    "inserted_fact",
+                    F.coalesce(F.when(F.col("processed_rows") > 0, F.col("updated_watermark")),
+                               F.col("last_raw_id")).alias("updated_watermark")))
+
+
+@query("ingest_lag")
+def q_ingest_lag(spark, sf_dir):
+    """OP-40: raw rows beyond the watermark, per source."""
+    from merchant_signals.operators.facts import ingest_lag
+
+    return ingest_lag(V.raw(spark, sf_dir), _watermark_state(spark, sf_dir))
+
+
+@query("dense_row_id")
+def q_dense_row_id(spark, sf_dir):
+    """OP-04: ROW_NUMBER() OVER (ORDER BY event_time_utc, event_id) without a
+    single-partition window."""
+    from merchant_signals.operators.row_ids import dense_row_id
+
+    hf = V.hist_facts(spark, sf_dir).select("event_id", "event_time_utc")
+    return dense_row_id(hf, ["event_time_utc", "event_id"], "raw_id")
+
+
+@query("historical_fact_load")
+def q_historical_fact_load(spark, sf_dir):
+    """OP-06/07: the 14-column fact CSV written and read back with COPY
+    semantics, then loaded as historical facts."""
+    import uuid
+
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.operators.facts import historical_load
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources import driver
+    from merchant_signals.sources.files import read_fact_csv14, write_csv
+
+    path = scratch_path(spark, "stage", uuid.uuid4().hex)
+    write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
+    loaded = historical_load(read_fact_csv14(spark, path))
+    return loaded.withColumn("payload_merchant_country", json_text("payload", "merchant_country")).drop("payload")

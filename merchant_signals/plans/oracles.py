@@ -43,7 +43,7 @@ raw_rows AS (
   SELECT eid + 1 AS raw_id, eid, ts, user_id, event_type, value, amt AS amount_usd, received_at FROM ev
   UNION ALL
   SELECT eid + 1 + 10000000, eid, ts, user_id, event_type, value,
-         CAST(amt + 1 AS DECIMAL(18,2)), received_at
+         CAST(amt + 1 AS DECIMAL(18,2)), received_at + INTERVAL 31 DAY
   FROM ev WHERE eid % 10 = 0
 )"""
 
@@ -52,7 +52,7 @@ LIVE_FACTS = RAW_ROWS + f""",
 live_typed AS (
   SELECT CASE WHEN eid % 101 = 0 THEN 'raw_' || CAST(raw_id AS VARCHAR)
               ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
-         event_type, ts AS event_time_utc, received_at AS ingested_at_utc,
+         event_type, ts AS event_time_utc, ts + to_minutes(CAST(eid % 90 AS BIGINT)) AS ingested_at_utc,
          {MERCHANT} AS merchant_id, 'ord_' || CAST(eid AS VARCHAR) AS order_id,
          amount_usd, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'captured' END AS status,
          raw_id, 'SYNTH_LIVE' AS source, received_at
@@ -362,3 +362,128 @@ FROM cm"""
 @oracle("tolerant_features")
 def _():
     return with_(RAW_ROWS) + "\nSELECT raw_id, COALESCE(CAST(amount_usd AS DOUBLE), 0.0) AS amount_f FROM raw_rows"
+
+
+# ---- raw -> facts ------------------------------------------------------------
+
+SPLIT_TS = "TIMESTAMP '2024-01-16 00:00:00'"
+WM = f"wm AS (SELECT 'SYNTH_LIVE' AS source, max(raw_id) AS w FROM raw_rows WHERE received_at < {SPLIT_TS})"
+
+
+@oracle("raw_valid_split")
+def _():
+    return with_(RAW_ROWS) + f"""
+SELECT raw_id, CASE WHEN eid % 97 = 0 THEN '' ELSE {MERCHANT} END AS merchant_id,
+       eid % 97 <> 0 AS is_valid FROM raw_rows"""
+
+
+FACT_OUT = """event_id, event_type, event_time_utc, ingested_at_utc, merchant_id, order_id,
+       CAST(amount_usd AS DOUBLE) AS amount_usd, status,
+       CAST(NULL AS INTEGER) AS label_bad_outcome, CAST(NULL AS INTEGER) AS label_anomaly,
+       CAST(NULL AS INTEGER) AS label_dispute_lost, raw_id, source, received_at"""
+
+
+@oracle("facts_from_raw")
+def _():
+    return with_(LIVE_FACTS) + f"\nSELECT {FACT_OUT} FROM live_typed"
+
+
+@oracle("dedup_first_wins")
+def _():
+    return with_(LIVE_FACTS) + f"\nSELECT {FACT_OUT} FROM live_facts"
+
+
+@oracle("insert_ignore")
+def _():
+    return with_(LIVE_FACTS, HIST_FACTS) + f""",
+existing AS (SELECT event_id, source, raw_id, amount_usd, event_time_utc FROM hist_facts
+             WHERE event_time_utc < {SPLIT_TS})
+SELECT event_id, source, raw_id, CAST(amount_usd AS DOUBLE) AS amount_usd, event_time_utc, 'existing' AS origin
+FROM existing
+UNION ALL
+SELECT l.event_id, l.source, l.raw_id, CAST(l.amount_usd AS DOUBLE), l.event_time_utc, 'inserted'
+FROM live_facts l WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.event_id = l.event_id)"""
+
+
+@oracle("new_merchants")
+def _():
+    return with_(RAW_ROWS) + f"""
+SELECT DISTINCT {MERCHANT} AS merchant_id, CAST(NULL AS VARCHAR) AS merchant_name, {NOW} AS created_at
+FROM raw_rows WHERE eid % 97 <> 0 AND {MERCHANT} <> 'm_seed_0001'"""
+
+
+@oracle("load_stats")
+def _():
+    return with_(LIVE_FACTS) + """,
+numbered AS (SELECT raw_id, (row_number() OVER (ORDER BY raw_id) - 1) // 20000 AS batch_no FROM raw_rows),
+firsts AS (SELECT min(raw_id) AS raw_id FROM live_typed GROUP BY event_id),
+ins AS (SELECT n.batch_no, count(*) AS c FROM firsts f JOIN numbered n USING (raw_id) GROUP BY 1),
+per AS (SELECT batch_no, count(*) AS processed_rows, max(raw_id) AS updated_watermark FROM numbered GROUP BY 1)
+SELECT p.batch_no, CAST(p.processed_rows AS INTEGER) AS processed_rows,
+       CAST(COALESCE(i.c, 0) AS INTEGER) AS inserted_fact,
+       COALESCE(lag(p.updated_watermark) OVER (ORDER BY p.batch_no), 0) AS watermark_before,
+       p.updated_watermark
+FROM per p LEFT JOIN ins i USING (batch_no)"""
+
+
+@oracle("incremental_batch")
+def _():
+    return with_(RAW_ROWS, WM) + """
+SELECT raw_id, 'SYNTH_LIVE' AS source, received_at FROM raw_rows, wm
+WHERE raw_id > wm.w ORDER BY raw_id LIMIT 20000"""
+
+
+@oracle("watermark_advance")
+def _():
+    return with_(LIVE_FACTS, WM) + """,
+batch AS (SELECT r.raw_id FROM raw_rows r, wm WHERE r.raw_id > wm.w ORDER BY r.raw_id LIMIT 20000),
+loaded AS (SELECT DISTINCT t.event_id FROM live_typed t, wm WHERE t.raw_id <= wm.w),
+batch_ids AS (SELECT DISTINCT t.event_id FROM live_typed t JOIN batch b USING (raw_id))
+SELECT wm.source, wm.w AS last_raw_id_before,
+       CAST((SELECT count(*) FROM batch) AS INTEGER) AS processed_rows,
+       CAST((SELECT count(*) FROM batch_ids x WHERE NOT EXISTS
+             (SELECT 1 FROM loaded l WHERE l.event_id = x.event_id)) AS INTEGER) AS inserted_fact,
+       COALESCE((SELECT max(raw_id) FROM batch), wm.w) AS updated_watermark
+FROM wm"""
+
+
+@oracle("ingest_lag")
+def _():
+    return with_(RAW_ROWS, WM) + """
+SELECT wm.source, wm.w AS last_raw_id, m.m AS max_raw_id, m.m - wm.w AS new_rows, m.m > wm.w AS has_new
+FROM wm, (SELECT max(raw_id) AS m FROM raw_rows) m"""
+
+
+@oracle("dense_row_id")
+def _():
+    return with_(HIST_FACTS) + """
+SELECT event_id, event_time_utc, row_number() OVER (ORDER BY event_time_utc, event_id) AS raw_id
+FROM hist_facts"""
+
+
+COUNTRY_LIST = "['US', 'CA', 'GB', 'DE', 'FR', 'AU', 'IN', 'BR', 'MX', 'JP']"
+
+
+@oracle("historical_fact_load")
+def _():
+    return f"""WITH stage AS (
+  SELECT 'evt_' || CAST(e.event_id AS VARCHAR) AS event_id, e.event_type, e.ts AS event_time_utc,
+         'm_' || lpad(CAST(e.user_id AS VARCHAR), 6, '0') AS merchant_id,
+         'ord_' || CAST(e.event_id AS VARCHAR) AS order_id,
+         CASE WHEN e.event_type = 'error' THEN 'failed' ELSE 'captured' END AS status,
+         CASE WHEN e.event_id % 53 = 0 THEN NULL
+              WHEN e.event_type = 'error' AND e.event_id % 7 = 0 THEN -CAST(e.value AS DECIMAL(18,2))
+              ELSE CAST(e.value AS DECIMAL(18,2)) END AS amount_usd,
+         {COUNTRY_LIST}[c.c_nationkey % 10 + 1] AS merchant_country,
+         CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE CAST(e.event_type = 'error' AS INTEGER) END
+           AS label_bad_outcome
+  FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+)
+SELECT event_id, event_type, event_time_utc, event_time_utc AS ingested_at_utc, merchant_id, order_id,
+       CAST(amount_usd AS DOUBLE) AS amount_usd, status,
+       CAST(COALESCE(label_bad_outcome, 0) AS INTEGER) AS label_bad_outcome,
+       0 AS label_anomaly, 0 AS label_dispute_lost,
+       row_number() OVER (ORDER BY event_time_utc, event_id) AS raw_id,
+       'SYNTHETIC_HISTORICAL' AS source, event_time_utc AS received_at,
+       merchant_country AS payload_merchant_country
+FROM stage"""

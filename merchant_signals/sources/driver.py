@@ -22,7 +22,8 @@ amounts, duplicates):
   label_anomaly         = value > 250
   label_dispute_lost    = event_type = 'error' and event_id % 3 = 0
   duplicates            = rows with event_id % 10 = 0 again, raw_id + 10,000,000,
-                          amount + 1.00 (the first copy must win)
+                          amount + 1.00, received 31 days later (a replay; the
+                          payload keeps its times; the first copy must win)
   now                   = 2024-01-31 00:00:00 UTC
 """
 
@@ -47,6 +48,7 @@ NULL_AMOUNT_MOD = 53
 NEGATIVE_AMOUNT_MOD = 7
 LAG_MINUTES_MOD = 90
 DUP_MOD = 10
+DUP_DELAY_DAYS = 31
 
 # TPC-H market segment -> merchant segment, nation -> country code.
 SEGMENT_MAP = {
@@ -57,6 +59,20 @@ SEGMENT_MAP = {
     "MACHINERY": "ENTERPRISE",
 }
 COUNTRIES = ["US", "CA", "GB", "DE", "FR", "AU", "IN", "BR", "MX", "JP"]
+# Merchant category codes and their industry names; a
+# customer's code is MCC_POOL[c_custkey % 7].
+MCC_POOL = [
+    ("5411", "Grocery Stores"),
+    ("5812", "Eating Places/Restaurants"),
+    ("5732", "Electronics Stores"),
+    ("5999", "Misc Retail"),
+    ("7011", "Lodging/Hotels"),
+    ("4111", "Transport"),
+    ("4900", "Utilities"),
+]
+HISTORY_SPLIT = _dt.datetime(2024, 1, 16, 0, 0, 0)
+HISTORY_SPLIT_SQL = "TIMESTAMP '2024-01-16 00:00:00'"
+DRIFT_DAYS = 15
 
 
 def now_lit() -> Column:
@@ -98,6 +114,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     dups = (ev.filter(eid % DUP_MOD == 0)
             .withColumn("amount_usd", F.col("amount_usd") + F.lit(1).cast("decimal(18,2)"))
             .withColumn("dup", F.lit(1)))
+    dup_received = F.col("received_at") + F.col("dup") * F.expr(f"INTERVAL {DUP_DELAY_DAYS} DAYS")
     ev = ev.withColumn("dup", F.lit(0))
     both = ev.unionByName(dups)
     payload = F.to_json(F.struct(
@@ -116,7 +133,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (eid + 1 + F.col("dup") * DUP_OFFSET).cast("long").alias("raw_id"),
         F.lit(SOURCE).alias("source"),
         payload.alias("payload"),
-        F.col("received_at"),
+        dup_received.alias("received_at"),
     )
 
 
@@ -160,6 +177,37 @@ def dim_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.coalesce(seg[F.col("c_mktsegment")], F.lit("SMB")).alias("merchant_segment"),
                 F.when(bal < 0, "HIGH").when(bal < 3000, "MEDIUM").otherwise("LOW").alias("risk_tier"),
                 F.element_at(countries, (F.col("c_nationkey") % len(COUNTRIES) + 1).cast("int")).alias("country"),
+                F.element_at(F.array(*[F.lit(m) for m, _ in MCC_POOL]),
+                             (F.col("c_custkey") % len(MCC_POOL) + 1).cast("int")).alias("mcc"),
                 F.col("c_custkey"),
                 F.col("c_nationkey"),
             ))
+
+
+def fact_stage14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 14-column historical fact file of the seed script, from the driver
+    tables: ingest time = raw receive time, label_bad_outcome NULL for every
+    11th event (the load must COALESCE it), drift flag for the last 15 days."""
+    eid = F.col("event_id")
+    ev = events(spark, sf_dir)
+    dim = dim_merchant(spark, sf_dir).select(F.col("c_custkey").alias("user_id"),
+                                             F.col("country").alias("merchant_country"),
+                                             F.col("mcc").alias("merchant_mcc"))
+    j = ev.join(dim, "user_id", "left")
+    return j.select(
+        F.concat(F.lit("evt_"), eid.cast("string")).alias("event_id"),
+        "event_type",
+        F.col("ts").alias("event_time_utc"),
+        merchant_of(F.col("user_id")).alias("merchant_id"),
+        F.concat(F.lit("ord_"), eid.cast("string")).alias("order_id"),
+        _status().alias("status"),
+        _amount().alias("amount_usd"),
+        F.sha2(F.concat(F.lit("payer|"), eid.cast("string")), 256).alias("payer_id_hash"),
+        "merchant_country", "merchant_mcc",
+        F.lit("SYNTHETIC").alias("source_system"),
+        (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), (eid % LAG_MINUTES_MOD).cast("int")))
+        .alias("ingested_at_utc"),
+        F.when(eid % 11 == 0, F.lit(None).cast("int"))
+        .otherwise((F.col("event_type") == "error").cast("int")).alias("label_bad_outcome"),
+        (F.col("ts") >= now_lit() - F.expr(f"INTERVAL {DRIFT_DAYS} DAYS")).cast("int").alias("drift_regime_id"),
+    )
