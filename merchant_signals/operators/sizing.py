@@ -1,0 +1,24 @@
+"""Size checks that gate broadcasts.
+
+A side is broadcast only after a bounded probe proves it small:
+``df.limit(n + 1).count()`` reads at most n + 1 rows, so the probe costs
+O(n) however large the input is.  Beyond the bound the caller uses a
+shuffle join instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DIM_BROADCAST_ROWS = 1_000_000
+
+
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``
+    (AQE may still convert the join at run time from real sizes)."""
+    return F.broadcast(df) if at_most(df, max_rows) else df

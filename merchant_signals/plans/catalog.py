@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from merchant_signals.operators.features import merchant_features
 from merchant_signals.plans import views as V
@@ -337,3 +338,155 @@ def q_historical_fact_load(spark, sf_dir):
     write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
     loaded = historical_load(read_fact_csv14(spark, path))
     return loaded.withColumn("payload_merchant_country", json_text("payload", "merchant_country")).drop("payload")
+
+
+# ---- enrichment ----------------------------------------------------------------
+
+def _payments(spark, sf_dir):
+    from merchant_signals.sources import driver
+
+    return driver.payment_events(V.ensure_session(spark), sf_dir)
+
+
+def _dim(spark, sf_dir):
+    from merchant_signals.sources import driver
+
+    return driver.dim_merchant(V.ensure_session(spark), sf_dir)
+
+
+def _priced(spark, sf_dir):
+    """Payment events with merchant attributes, status, USD amounts, refunds
+    and dispute fees (the inputs of the fee / settlement operators)."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators import enrich as E
+
+    p = E.enrich_with_merchant(_payments(spark, sf_dir), _dim(spark, sf_dir),
+                               ("merchant_segment", "risk_tier", "mcc", "country"))
+    p = E.fx_normalise(p.withColumn("status", E.status_of("event_type")))
+    t = F.col("event_type")
+    return (p.withColumn("refund_amount", F.when(t.isin(E.REFUND_TYPES),
+                                                 F.round(F.col("amount_usd") * F.col("refund_fraction"), 2))
+                         .otherwise(F.lit(0)).cast("decimal(18,2)"))
+            .withColumn("dispute_fee", F.when(t.isin(E.DISPUTE_TYPES), F.col("dispute_fee_pick"))
+                        .otherwise(F.lit(0)).cast("decimal(18,2)")))
+
+
+@query("event_status")
+def q_event_status(spark, sf_dir):
+    """OP-61: event type -> status."""
+    from merchant_signals.operators.enrich import status_of
+
+    return _payments(spark, sf_dir).select("event_id", "event_type", status_of("event_type").alias("status"))
+
+
+@query("event_flags")
+def q_event_flags(spark, sf_dir):
+    """OP-62: refund / dispute / denied flags and the bad-outcome label."""
+    from merchant_signals.operators.enrich import event_flags
+
+    p = _priced(spark, sf_dir)
+    return event_flags(p, "event_type", "refund_amount").select(
+        "event_id", "is_refund", "is_dispute", "is_denied", "label_bad_outcome")
+
+
+@query("conditional_ids")
+def q_conditional_ids(spark, sf_dir):
+    """OP-63: lifecycle ids only for their event types."""
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.enrich import ID_TYPES, conditional_ids
+
+    p = _payments(spark, sf_dir)
+    return conditional_ids(p, F.col("event_no").cast("string")).select("event_id", *ID_TYPES)
+
+
+@query("fx_normalise")
+def q_fx_normalise(spark, sf_dir):
+    """OP-64: FX rate by currency and USD amount."""
+    from merchant_signals.operators.enrich import fx_normalise
+
+    return fx_normalise(_payments(spark, sf_dir)).select("event_id", "currency", "amount",
+                                                         "fx_rate_to_usd", "amount_usd")
+
+
+@query("fees_net")
+def q_fees_net(spark, sf_dir):
+    """OP-65: fee rate, fee and net amount."""
+    from merchant_signals.operators.enrich import fees_net
+
+    return fees_net(_priced(spark, sf_dir)).select("event_id", "fee_rate", "fee_amount", "net_amount")
+
+
+@query("settlement_times")
+def q_settlement_times(spark, sf_dir):
+    """OP-66: settlement and payout times for completed captures."""
+    from merchant_signals.operators.enrich import settlement_times
+
+    return settlement_times(_priced(spark, sf_dir)).select(
+        "event_id", "status", "settlement_lag_hours", "payout_lag_hours", "settlement_time_utc", "payout_time_utc")
+
+
+@query("cross_border")
+def q_cross_border(spark, sf_dir):
+    """OP-67: payer country differs from merchant country."""
+    from merchant_signals.operators.enrich import cross_border
+
+    p = _priced(spark, sf_dir)
+    return p.select("event_id", "payer_country", F.col("country").alias("merchant_country"),
+                    cross_border("payer_country", "country").alias("is_cross_border"))
+
+
+@query("drift_regime")
+def q_drift_regime(spark, sf_dir):
+    """OP-68: drift flag for events of the last 15 days before now."""
+    from merchant_signals.operators.enrich import drift_regime
+    from merchant_signals.sources import driver
+
+    p = _payments(spark, sf_dir)
+    return p.select("event_id", drift_regime("event_time_utc", driver.now_lit(), driver.DRIFT_DAYS)
+                    .alias("drift_regime_id"))
+
+
+@query("hash_ids")
+def q_hash_ids(spark, sf_dir):
+    """OP-69: sha256 pseudonyms of payer, device and IP identifiers."""
+    from merchant_signals.operators.enrich import pseudonymise
+
+    p = _payments(spark, sf_dir)
+    return p.select("event_id",
+                    pseudonymise("payer|", "event_no").alias("payer_id_hash"),
+                    pseudonymise("dev|", "user_id").alias("device_id_hash"),
+                    pseudonymise("ip|", F.col("event_no") % 65536).alias("ip_hash"))
+
+
+@query("merchant_policy")
+def q_merchant_policy(spark, sf_dir):
+    """OP-70: processor fee, reserve rate, industry and US state per merchant."""
+    from merchant_signals.operators.enrich import merchant_policy
+
+    d = merchant_policy(_dim(spark, sf_dir), F.col("c_custkey"))
+    return d.select("merchant_id", "merchant_segment", "risk_tier", "mcc", "country",
+                    "processor_fee_rate", "reserve_rate", "industry_name", "state")
+
+
+@query("enrich_merchant")
+def q_enrich_merchant(spark, sf_dir):
+    """OP-30: live facts with merchant segment, risk tier, MCC and country."""
+    from merchant_signals.operators.enrich import enrich_with_merchant
+
+    f = V.live_facts(spark, sf_dir).select("event_id", "merchant_id", "event_time_utc")
+    return enrich_with_merchant(f, _dim(spark, sf_dir))
+
+
+@query("anomaly_p997")
+def q_anomaly_p997(spark, sf_dir):
+    """OP-39: amounts above the exact 99.7th percentile of the last 14 days."""
+    from merchant_signals.operators.enrich import anomaly_flag
+    from merchant_signals.sources import driver
+
+    p = _priced(spark, sf_dir).select("event_id", "event_time_utc", "amount_usd")
+    return anomaly_flag(p, "amount_usd", "event_time_utc", driver.now_lit()).select(
+        "event_id", "amount_usd", "p", "label_anomaly")
+
+

@@ -487,3 +487,183 @@ SELECT event_id, event_type, event_time_utc, event_time_utc AS ingested_at_utc,
        'SYNTHETIC_HISTORICAL' AS source, event_time_utc AS received_at,
        merchant_country AS payload_merchant_country
 FROM stage"""
+
+
+# ---- enrichment ----------------------------------------------------------------
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _sql_case(col: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {default} END"
+
+
+def _enrich_ctes() -> str:
+    from merchant_signals.operators import enrich as E
+    from merchant_signals.sources import driver as D
+
+    seg = _sql_case("c_mktsegment", {k: f"'{v}'" for k, v in D.SEGMENT_MAP.items()}, "'SMB'")
+    status = _sql_case("event_type", {k: f"'{v}'" for k, v in E.STATUS_BY_TYPE.items()}, f"'{E.UNKNOWN_STATUS}'")
+    fx = _sql_case("currency", E.FX_TO_USD, E.FX_OTHER)
+    refund_types = ", ".join(f"'{t}'" for t in E.REFUND_TYPES)
+    dispute_types = ", ".join(f"'{t}'" for t in E.DISPUTE_TYPES)
+    return f"""
+pay AS (
+  SELECT event_id AS event_no, 'evt_' || CAST(event_id AS VARCHAR) AS event_id,
+         {_sql_list(E.EVENT_TYPES)}[event_id % 9 + 1] AS event_type, ts AS event_time_utc, user_id,
+         {MERCHANT} AS merchant_id, CAST(value AS DECIMAL(18,2)) AS amount,
+         {_sql_list(E.CURRENCIES)}[event_id % 5 + 1] AS currency,
+         CAST({_sql_list(D.REFUND_FRACTIONS)}[event_id % 3 + 1] AS DECIMAL(9,4)) AS refund_fraction,
+         CAST({_sql_list(D.DISPUTE_FEES)}[event_id % 3 + 1] AS DECIMAL(18,2)) AS dispute_fee_pick,
+         CAST(event_id % 71 + 1 AS INTEGER) AS settlement_lag_hours,
+         CAST(event_id % 108 + 12 AS INTEGER) AS payout_lag_hours,
+         {_sql_list(D.COUNTRIES)}[(event_id // 7) % 10 + 1] AS payer_country
+  FROM events
+),
+dim AS (
+  SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS merchant_id, c_name AS merchant_name,
+         {seg} AS merchant_segment,
+         CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 3000 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
+         {_sql_list(D.COUNTRIES)}[c_nationkey % 10 + 1] AS country,
+         {_sql_list([m for m, _ in D.MCC_POOL])}[c_custkey % 7 + 1] AS mcc, c_custkey
+  FROM customer
+),
+fx1 AS (
+  SELECT p.*, d.merchant_segment, d.risk_tier, d.mcc, d.country, {status} AS status,
+         CAST({fx} AS DECIMAL(9,4)) AS fx_rate_to_usd
+  FROM pay p LEFT JOIN dim d USING (merchant_id)
+),
+fx2 AS (SELECT *, CAST(round(amount * fx_rate_to_usd, 2) AS DECIMAL(18,2)) AS amount_usd FROM fx1),
+priced AS (
+  SELECT *,
+         CAST(CASE WHEN event_type IN ({refund_types}) THEN round(amount_usd * refund_fraction, 2) ELSE 0 END
+              AS DECIMAL(18,2)) AS refund_amount,
+         CAST(CASE WHEN event_type IN ({dispute_types}) THEN dispute_fee_pick ELSE 0 END AS DECIMAL(18,2))
+           AS dispute_fee
+  FROM fx2
+)"""
+
+
+ENRICH = _enrich_ctes()
+
+
+@oracle("event_status")
+def _():
+    return with_(ENRICH) + "\nSELECT event_id, event_type, status FROM fx1"
+
+
+@oracle("event_flags")
+def _():
+    return with_(ENRICH) + """
+SELECT event_id, event_type = 'PAYMENT.CAPTURE.REFUNDED' AS is_refund,
+       event_type IN ('CUSTOMER.DISPUTE.CREATED', 'CUSTOMER.DISPUTE.RESOLVED') AS is_dispute,
+       event_type = 'PAYMENT.CAPTURE.DENIED' AS is_denied,
+       CAST(event_type = 'PAYMENT.CAPTURE.DENIED'
+            OR event_type IN ('CUSTOMER.DISPUTE.CREATED', 'CUSTOMER.DISPUTE.RESOLVED')
+            OR COALESCE(refund_amount > 0, false) AS INTEGER) AS label_bad_outcome
+FROM priced"""
+
+
+@oracle("conditional_ids")
+def _():
+    from merchant_signals.operators.enrich import ID_TYPES
+
+    cols = ", ".join(
+        f"CASE WHEN event_type IN ({', '.join(repr(t) for t in types)}) "
+        f"THEN '{prefix}' || CAST(event_no AS VARCHAR) END AS {name}"
+        for name, (prefix, types) in ID_TYPES.items())
+    return with_(ENRICH) + f"\nSELECT event_id, {cols} FROM pay"
+
+
+@oracle("fx_normalise")
+def _():
+    return with_(ENRICH) + """
+SELECT event_id, currency, CAST(amount AS DOUBLE) AS amount, CAST(fx_rate_to_usd AS DOUBLE) AS fx_rate_to_usd,
+       CAST(amount_usd AS DOUBLE) AS amount_usd FROM fx2"""
+
+
+@oracle("fees_net")
+def _():
+    return with_(ENRICH) + """,
+rates AS (
+  SELECT *, CAST(least(greatest(
+           CAST(CASE merchant_segment WHEN 'ENTERPRISE' THEN 0.022 WHEN 'MID_MARKET' THEN 0.025 ELSE 0.029 END
+                AS DECIMAL(9,4))
+         + CAST(CASE risk_tier WHEN 'HIGH' THEN 0.006 WHEN 'MEDIUM' THEN 0.002 ELSE 0.0 END AS DECIMAL(9,4)),
+           CAST(0.015 AS DECIMAL(9,4))), CAST(0.07 AS DECIMAL(9,4))) AS DECIMAL(9,4)) AS fee_rate,
+         CAST(CASE WHEN currency = 'USD' THEN 0.30 ELSE 0.35 END AS DECIMAL(18,2)) AS fixed
+  FROM priced
+),
+fees AS (SELECT *, CAST(round(amount_usd * fee_rate + fixed, 2) AS DECIMAL(18,2)) AS fee_amount FROM rates)
+SELECT event_id, CAST(fee_rate AS DOUBLE) AS fee_rate, CAST(fee_amount AS DOUBLE) AS fee_amount,
+       CAST(CAST(round(amount_usd - fee_amount - refund_amount - CAST(0.2 AS DECIMAL(9,4)) * dispute_fee, 2)
+                 AS DECIMAL(18,2)) AS DOUBLE) AS net_amount
+FROM fees"""
+
+
+@oracle("settlement_times")
+def _():
+    return with_(ENRICH) + """
+SELECT event_id, status,
+       CASE WHEN status = 'COMPLETED' THEN CAST(settlement_lag_hours AS DOUBLE) END AS settlement_lag_hours,
+       CASE WHEN status = 'COMPLETED' THEN CAST(payout_lag_hours AS DOUBLE) END AS payout_lag_hours,
+       CASE WHEN status = 'COMPLETED' THEN event_time_utc + to_hours(settlement_lag_hours) END AS settlement_time_utc,
+       CASE WHEN status = 'COMPLETED' THEN event_time_utc + to_hours(payout_lag_hours) END AS payout_time_utc
+FROM priced"""
+
+
+@oracle("cross_border")
+def _():
+    return with_(ENRICH) + """
+SELECT event_id, payer_country, country AS merchant_country, payer_country <> country AS is_cross_border
+FROM priced"""
+
+
+@oracle("drift_regime")
+def _():
+    return with_(ENRICH) + f"""
+SELECT event_id, CAST(event_time_utc >= {NOW} - INTERVAL 15 DAY AS INTEGER) AS drift_regime_id FROM pay"""
+
+
+@oracle("hash_ids")
+def _():
+    return with_(ENRICH) + """
+SELECT event_id, sha256('payer|' || CAST(event_no AS VARCHAR)) AS payer_id_hash,
+       sha256('dev|' || CAST(user_id AS VARCHAR)) AS device_id_hash,
+       sha256('ip|' || CAST(event_no % 65536 AS VARCHAR)) AS ip_hash
+FROM pay"""
+
+
+@oracle("merchant_policy")
+def _():
+    from merchant_signals.operators.enrich import MCC_INDUSTRY, US_STATES
+
+    ind = _sql_case("mcc", {k: f"'{v}'" for k, v in MCC_INDUSTRY.items()}, "NULL")
+    return with_(ENRICH) + f"""
+SELECT merchant_id, merchant_segment, risk_tier, mcc, country,
+       CAST(CASE merchant_segment WHEN 'ENTERPRISE' THEN 0.022 WHEN 'MID_MARKET' THEN 0.025 ELSE 0.029 END
+            AS DOUBLE) AS processor_fee_rate,
+       CAST(CASE risk_tier WHEN 'HIGH' THEN 0.07 WHEN 'MEDIUM' THEN 0.03 ELSE 0.0 END AS DOUBLE) AS reserve_rate,
+       {ind} AS industry_name,
+       CASE WHEN country = 'US' THEN {_sql_list(US_STATES)}[c_custkey % 15 + 1] END AS state
+FROM dim"""
+
+
+@oracle("enrich_merchant")
+def _():
+    return with_(LIVE_FACTS, ENRICH) + """
+SELECT f.event_id, f.merchant_id, f.event_time_utc, d.merchant_segment, d.risk_tier, d.mcc, d.country
+FROM live_facts f LEFT JOIN dim d USING (merchant_id)"""
+
+
+@oracle("anomaly_p997")
+def _():
+    return with_(ENRICH) + f""",
+q AS (SELECT quantile_cont(CAST(amount_usd AS DOUBLE), 0.997) AS p FROM priced
+      WHERE event_time_utc >= {NOW} - INTERVAL 14 DAY)
+SELECT event_id, CAST(amount_usd AS DOUBLE) AS amount_usd, round(q.p, 6) AS p,
+       CAST(event_time_utc >= {NOW} - INTERVAL 14 DAY AND CAST(amount_usd AS DOUBLE) > q.p AS INTEGER)
+         AS label_anomaly
+FROM priced, q"""

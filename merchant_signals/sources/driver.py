@@ -211,3 +211,41 @@ def fact_stage14(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise((F.col("event_type") == "error").cast("int")).alias("label_bad_outcome"),
         (F.col("ts") >= now_lit() - F.expr(f"INTERVAL {DRIFT_DAYS} DAYS")).cast("int").alias("drift_regime_id"),
     )
+
+
+# Fixed values of the payment-event view used by the enrichment operators:
+#   payment event type = EVENT_TYPES[event_id % 9]     (operators.enrich.EVENT_TYPES)
+#   currency           = ['USD','CAD','GBP','EUR','AUD'][event_id % 5]
+#   refund fraction    = [0.25, 0.5, 1.0][event_id % 3]  (refund events only)
+#   dispute fee        = [15, 25, 35][event_id % 3]      (dispute events only)
+#   settlement lag     = 1 + event_id % 71 hours;  payout lag = 12 + event_id % 108 hours
+#   payer country      = COUNTRIES[(event_id div 7) % 10]
+REFUND_FRACTIONS = ["0.25", "0.5", "1.0"]
+DISPUTE_FEES = ["15", "25", "35"]
+
+
+def payment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver events as payment events (types, currencies, lags, payer)."""
+    from merchant_signals.operators.enrich import CURRENCIES, EVENT_TYPES
+
+    eid = F.col("event_id")
+
+    def pick(values: list[str], idx: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+    ev = events(spark, sf_dir)
+    return ev.select(
+        eid.alias("event_no"),
+        F.concat(F.lit("evt_"), eid.cast("string")).alias("event_id"),
+        pick(EVENT_TYPES, eid % len(EVENT_TYPES)).alias("event_type"),
+        F.col("ts").alias("event_time_utc"),
+        F.col("user_id"),
+        merchant_of(F.col("user_id")).alias("merchant_id"),
+        F.col("value").cast("decimal(18,2)").alias("amount"),
+        pick(CURRENCIES, eid % len(CURRENCIES)).alias("currency"),
+        pick(REFUND_FRACTIONS, eid % 3).cast("decimal(9,4)").alias("refund_fraction"),
+        pick(DISPUTE_FEES, eid % 3).cast("decimal(18,2)").alias("dispute_fee_pick"),
+        (eid % 71 + 1).cast("int").alias("settlement_lag_hours"),
+        (eid % 108 + 12).cast("int").alias("payout_lag_hours"),
+        pick(COUNTRIES, F.floor(eid / 7) % len(COUNTRIES)).alias("payer_country"),
+    )
