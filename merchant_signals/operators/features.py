@@ -127,7 +127,11 @@ def features_at_times(facts: DataFrame, times: DataFrame, time_col: str = "snaps
     unbounded list is keyed by hour instead: a fact at ``e`` can only serve
     times in (e, e+1h], i.e. hours floor(e) and floor(e)+1, so both sides
     are equi-joined on (hour) and the exact range is checked after."""
+    from merchant_signals.operators.sizing import at_most
+
     t = times.select(F.col(time_col).cast("timestamp").alias("_T")).distinct()
+    if times_bound is None and at_most(t, BROADCAST_TIMES_MAX):
+        times_bound = BROADCAST_TIMES_MAX
     f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd")
     cond = ((F.col("event_time_utc") >= F.col("_T") - HOUR) & (F.col("event_time_utc") < F.col("_T"))
             & (F.col("ingested_at_utc") < F.col("_T")))

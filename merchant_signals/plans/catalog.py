@@ -490,3 +490,292 @@ def q_anomaly_p997(spark, sf_dir):
         "event_id", "amount_usd", "p", "label_anomaly")
 
 
+
+
+# ---- snapshot table mutation, scoring write-back ------------------------------
+
+def _score_bounds():
+    from merchant_signals.operators.features import horizon_bounds
+    from merchant_signals.sources import driver
+
+    return horizon_bounds(driver.NOW)
+
+
+@query("score_window")
+def q_score_window(spark, sf_dir):
+    """OP-20: snapshots in [ceil15(end) - 75m, ceil15(end)] (6 buckets, both ends in)."""
+    lo, hi = _score_bounds()
+    s = V.snapshot_table(V.hist_facts(spark, sf_dir))
+    t = F.col("snapshot_time_utc")
+    return s.filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp"))).drop(
+        "local_model_score", "local_model_band", "local_model_version", "local_model_scored_at_utc")
+
+
+def _written_back(spark, sf_dir):
+    from merchant_signals.operators import model as M
+    from merchant_signals.operators.mutate import update_columns
+    from merchant_signals.operators.scoring import persist_scores
+    from merchant_signals.schemas import MODEL_COLUMNS, SNAPSHOT_KEY
+    from merchant_signals.sources import driver
+
+    lo, hi = _score_bounds()
+    snaps = V.snapshot_table(V.hist_facts(spark, sf_dir))
+    t = F.col("snapshot_time_utc")
+    window = snaps.filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
+    model = M.train(V.training_set(spark, sf_dir))
+    scores = persist_scores(window, model, driver.now_lit())
+    return update_columns(snaps, scores, SNAPSHOT_KEY, MODEL_COLUMNS)
+
+
+@query("score_writeback")
+def q_score_writeback(spark, sf_dir):
+    """OP-26 + OP-57: model scores of the scoring window written onto the snapshot table."""
+    return _written_back(spark, sf_dir)
+
+
+@query("snapshot_upsert")
+def q_snapshot_upsert(spark, sf_dir):
+    """OP-25: the last 6 buckets recomputed from live facts and upserted; the
+    model columns of existing rows are carried over."""
+    from merchant_signals.operators.features import recompute_horizon
+    from merchant_signals.operators.mutate import upsert_snapshots
+    from merchant_signals.operators.scoring import risk_score_v1
+    from merchant_signals.sources import driver
+
+    src = (risk_score_v1(recompute_horizon(V.live_facts(spark, sf_dir), driver.NOW))
+           .withColumn("computed_at_utc", driver.now_lit() + F.expr("INTERVAL 15 MINUTES")))
+    return upsert_snapshots(_written_back(spark, sf_dir), src)
+
+
+@query("schema_upgrade")
+def q_schema_upgrade(spark, sf_dir):
+    """OP-13: an old fact table (no label columns, event time missing on
+    'view' rows) upgraded to the current schema with the backfill."""
+    from merchant_signals.operators.mutate import upgrade_schema
+    from merchant_signals.schemas import FACT
+
+    old = (V.live_facts(spark, sf_dir).drop("label_bad_outcome", "label_anomaly", "label_dispute_lost")
+           .withColumn("event_time_utc", F.when(F.col("event_type") != "view", F.col("event_time_utc"))))
+    up = upgrade_schema(old, FACT, backfill={"event_time_utc": F.col("ingested_at_utc")})
+    return up.select("event_id", "event_type", "event_time_utc", "ingested_at_utc",
+                     "label_bad_outcome", "label_anomaly", "label_dispute_lost")
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, sf_dir):
+    """OP-03: the seed merchant added to the dimension only when absent."""
+    from merchant_signals.operators.mutate import insert_if_absent
+
+    dim = _dim(spark, sf_dir).select("merchant_id", "merchant_name")
+    seed = spark.createDataFrame([("m_seed_0001", "Seed Merchant")], "merchant_id string, merchant_name string")
+    return insert_if_absent(dim, seed, key=["merchant_id"])
+
+
+def _review(spark, sf_dir):
+    """Merchants with a negative amount (a reversal) in their history."""
+    return (V.hist_facts(spark, sf_dir).filter(F.col("amount_usd") < 0)
+            .select("merchant_id").distinct())
+
+
+@query("dim_upsert")
+def q_dim_upsert(spark, sf_dir):
+    """OP-24: reviewed merchants replace their dimension rows (all columns)."""
+    from merchant_signals.operators.mutate import upsert_last_state
+
+    dim = _dim(spark, sf_dir).select("merchant_id", "merchant_name", "merchant_segment", "risk_tier",
+                                     "country", "mcc")
+    src = (dim.join(_review(spark, sf_dir), "merchant_id", "left_semi")
+           .withColumn("risk_tier", F.lit("HIGH"))
+           .withColumn("merchant_name", F.concat("merchant_name", F.lit(" (reviewed)"))))
+    return upsert_last_state(dim, src, ["merchant_id"])
+
+
+def _dim22(spark, sf_dir):
+    """The 22-column merchant file built from the dimension rules."""
+    from merchant_signals.operators.enrich import merchant_policy
+    from merchant_signals.schemas import DIM_CSV22
+    from merchant_signals.sources import driver
+
+    d = merchant_policy(_dim(spark, sf_dir), F.col("c_custkey"))
+    d = (d.withColumn("onboarding_date", F.date_add(F.lit("2020-01-01").cast("date"),
+                                                     (F.col("c_custkey") % 1000).cast("int")))
+         .withColumn("account_status", F.lit("ACTIVE"))
+         .withColumn("fixed_fee", F.lit("0.30").cast("decimal(18,2)"))
+         .withColumn("created_at_utc", driver.now_lit()))
+    return d.select(*[(F.col(f.name) if f.name in d.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in DIM_CSV22.fields])
+
+
+@query("dim_csv_upsert")
+def q_dim_csv_upsert(spark, sf_dir):
+    """OP-05 + OP-24: 22-column merchant CSV (header skipped positionally)
+    upserted into a dimension holding the seed merchant."""
+    import uuid
+
+    from merchant_signals.operators.mutate import upsert_last_state
+    from merchant_signals.schemas import DIM_CSV22
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.files import read_dim_csv22, write_csv
+
+    path = scratch_path(spark, "dim_csv", uuid.uuid4().hex)
+    write_csv(_dim22(spark, sf_dir), path)
+    staged = read_dim_csv22(spark, path)
+    seed = spark.createDataFrame([("m_seed_0001", "Seed Merchant")], "merchant_id string, merchant_name string")
+    target = seed.select(*[(F.col(f.name) if f.name in seed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in DIM_CSV22.fields])
+    return upsert_last_state(target, staged, ["merchant_id"])
+
+
+# ---- monitoring ------------------------------------------------------------------
+
+@query("bucket_coverage")
+def q_bucket_coverage(spark, sf_dir):
+    """OP-41: snapshot rows per bucket of a run's horizon, 0 for empty buckets."""
+    import datetime as dt
+
+    from merchant_signals.operators.features import horizon_bounds
+    from merchant_signals.sources import driver
+
+    lo, hi = horizon_bounds(driver.NOW + dt.timedelta(hours=1))
+    buckets = spark.range(6).select(
+        (F.lit(lo).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") * 15).cast("int")))
+        .alias("snapshot_time_utc"))
+    snaps = V.scored_features(V.live_facts(spark, sf_dir)).select("merchant_id", "snapshot_time_utc")
+    return (buckets.join(snaps, "snapshot_time_utc", "left").groupBy("snapshot_time_utc")
+            .agg(F.count("merchant_id").alias("snapshot_rows")))
+
+
+@query("recent_buckets")
+def q_recent_buckets(spark, sf_dir):
+    """OP-41: rows of the five newest buckets (top-k is the feature)."""
+    snaps = V.scored_features(V.live_facts(spark, sf_dir))
+    return (snaps.groupBy("snapshot_time_utc").agg(F.count(F.lit(1)).alias("snapshot_rows"))
+            .orderBy(F.col("snapshot_time_utc").desc()).limit(5))
+
+
+@query("coverage_counts")
+def q_coverage_counts(spark, sf_dir):
+    """OP-42: fact rows, snapshot rows and exportable rows (last 30 days to now-24h)."""
+    from merchant_signals.operators.labels import training_dataset
+    from merchant_signals.sources import driver
+
+    hf = V.hist_facts(spark, sf_dir)
+    snaps = V.scored_features(hf)
+    now = driver.now_lit()
+    exp = training_dataset(snaps, hf, now - F.expr("INTERVAL 30 DAYS"), now - F.expr("INTERVAL 24 HOURS"), now)
+    def cnt(df, name):
+        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
+    return cnt(hf, "fact_rows").unionByName(cnt(snaps, "snapshot_rows")).unionByName(cnt(exp, "exported_rows"))
+
+
+@query("merchant_lookup")
+def q_merchant_lookup(spark, sf_dir):
+    """OP-45: merchant profiles for the merchants in the scoring window (semi join)."""
+    lo, hi = _score_bounds()
+    t = F.col("snapshot_time_utc")
+    keys = (V.scored_features(V.hist_facts(spark, sf_dir))
+            .filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp"))).select("merchant_id"))
+    return (_dim(spark, sf_dir).join(keys, "merchant_id", "left_semi")
+            .select("merchant_id", "merchant_name", "merchant_segment", "risk_tier", "country", "mcc"))
+
+
+@query("newest_raw")
+def q_newest_raw(spark, sf_dir):
+    """OP-46: newest raw row per source that can serve as a clone template."""
+    from merchant_signals.functions.json import has_key, json_text
+
+    r = V.raw(spark, sf_dir)
+    ok = has_key("payload", "event_id") & has_key("payload", "event_type") & has_key("payload", "merchant_id")
+    return (r.filter(ok).groupBy("source")
+            .agg(F.max_by(F.struct("raw_id", "payload"), "raw_id").alias("_r"))
+            .select("source", F.col("_r.raw_id").alias("raw_id"),
+                    json_text("_r.payload", "event_id").alias("event_id")))
+
+
+# ---- late data, horizons, arbitrary times, reruns ------------------------------------
+
+@query("late_events_excluded")
+def q_late_events_excluded(spark, sf_dir):
+    """OP-49: facts kept out of a bucket by the ingest-time guard."""
+    from merchant_signals.operators.features import late_excluded
+
+    return late_excluded(V.live_facts(spark, sf_dir))
+
+
+@query("recompute_horizon")
+def q_recompute_horizon(spark, sf_dir):
+    """OP-49 + OP-52: the 6 buckets a manual run ending at now + 7 minutes recomputes."""
+    import datetime as dt
+
+    from merchant_signals.operators.features import recompute_horizon
+    from merchant_signals.sources import driver
+
+    return recompute_horizon(V.live_facts(spark, sf_dir), driver.NOW + dt.timedelta(minutes=7))
+
+
+@query("snapshot_at_times")
+def q_snapshot_at_times(spark, sf_dir):
+    """OP-28: features at unaligned times (a manual run ending at the last event)."""
+    from merchant_signals.operators.features import features_at_times
+
+    lf = V.live_facts(spark, sf_dir)
+    end = lf.agg(F.max("event_time_utc").alias("e"))
+    times = end.select(F.explode(F.sequence(F.col("e") - F.expr("INTERVAL 75 MINUTES"), F.col("e"),
+                                            F.expr("INTERVAL 15 MINUTES"))).alias("snapshot_time_utc"))
+    return features_at_times(lf, times)
+
+
+@query("rerun_noop")
+def q_rerun_noop(spark, sf_dir):
+    """OP-54: loading the same raw rows a second time changes nothing."""
+    from merchant_signals.operators.facts import dedup_first_wins, facts_from_raw, insert_ignore
+
+    once = V.live_facts(spark, sf_dir)
+    again = insert_ignore(dedup_first_wins(facts_from_raw(V.raw(spark, sf_dir))), once, "event_id")
+    return merchant_features(once.unionByName(again))
+
+
+@query("realtime_tail")
+def q_realtime_tail(spark, sf_dir):
+    """OP-11: the last 60 minutes of events, in event-time order."""
+    from merchant_signals.sources.files import realtime_tail
+
+    lf = V.live_facts(spark, sf_dir)
+    ref = lf.agg(F.max("event_time_utc").alias("_ref"))
+    tail = realtime_tail(lf.crossJoin(F.broadcast(ref)), F.col("_ref"))
+    return tail.select("event_id", "event_time_utc", "merchant_id", "amount_usd")
+
+
+@query("table_export")
+def q_table_export(spark, sf_dir):
+    """OP-10: the dimension exported as CSV partitioned by country, read back."""
+    import uuid
+
+    from merchant_signals.schemas import DIM_CSV22
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.files import export_table, read_csv
+
+    path = scratch_path(spark, "export", uuid.uuid4().hex)
+    export_table(_dim22(spark, sf_dir), path, "csv", ["country"])
+    schema = DIM_CSV22.__class__([f for f in DIM_CSV22.fields if f.name != "country"])
+    back = read_csv(spark, path, schema)
+    return back.select("merchant_id", "merchant_name", "country", "state", "processor_fee_rate",
+                       "reserve_rate", "onboarding_date", "created_at_utc")
+
+
+@query("json_merge")
+def q_json_merge(spark, sf_dir):
+    """OP-71: clone a payload with a new event id and event time (right side wins)."""
+    from merchant_signals.functions.json import json_merge, json_text
+    from merchant_signals.functions.time import iso_utc
+
+    r = V.raw(spark, sf_dir)
+    over = F.create_map(
+        F.lit("event_id"), F.concat(F.lit("evt_clone_"), F.col("raw_id").cast("string")),
+        F.lit("event_time_utc"), iso_utc(F.col("received_at") + F.expr("INTERVAL 1 DAY")))
+    m = r.select("raw_id", json_merge("payload", over).alias("p"))
+    return m.select("raw_id", json_text("p", "event_id").alias("event_id"),
+                    json_text("p", "event_time_utc").alias("event_time_utc"),
+                    json_text("p", "merchant_id").alias("merchant_id"),
+                    json_text("p", "amount_usd").cast("double").alias("amount_usd"),
+                    F.size(F.json_object_keys("p")).alias("n_keys"))

@@ -109,11 +109,11 @@ V1_SCORE = """least(100.0,
     + 40.0 * least(1.0, COALESCE(CAST(txn_count_15m AS DOUBLE) / NULLIF(CAST(txn_count_1h AS DOUBLE), 0.0), 0.0)))"""
 
 
-def scored_cte(feat: str, name: str = "scored") -> str:
+def scored_cte(feat: str, name: str = "scored", computed_at: str = NOW) -> str:
     return f"""
 {name}_raw AS (SELECT *, CAST({V1_SCORE} AS DOUBLE) AS _s FROM {feat}),
 {name} AS (
-  SELECT merchant_id, snapshot_time_utc, {NOW} AS computed_at_utc,
+  SELECT merchant_id, snapshot_time_utc, {computed_at} AS computed_at_utc,
          txn_count_15m, gmv_usd_15m, txn_count_1h, gmv_usd_1h,
          CAST(round(_s, 2) AS DECIMAL(5,2)) AS risk_score_v1,
          CASE WHEN _s >= 80 THEN 'high' WHEN _s >= 50 THEN 'medium' ELSE 'low' END AS risk_band_v1
@@ -667,3 +667,220 @@ SELECT event_id, CAST(amount_usd AS DOUBLE) AS amount_usd, round(q.p, 6) AS p,
        CAST(event_time_utc >= {NOW} - INTERVAL 14 DAY AND CAST(amount_usd AS DOUBLE) > q.p AS INTEGER)
          AS label_anomaly
 FROM priced, q"""
+
+
+# ---- snapshot table mutation, scoring write-back ------------------------------
+
+SCORE_LO = "TIMESTAMP '2024-01-30 22:45:00'"
+SCORE_HI = "TIMESTAMP '2024-01-31 00:00:00'"
+MODEL_OUT = """CAST(local_model_score AS DOUBLE) AS local_model_score, local_model_band, local_model_version,
+       local_model_scored_at_utc"""
+
+
+@oracle("score_window")
+def _():
+    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f"""
+SELECT {SCORED_OUT} FROM hsnap WHERE snapshot_time_utc BETWEEN {SCORE_LO} AND {SCORE_HI}"""
+
+
+WRITEBACK = TRAINING_SET + "," + model_cte("tset").strip("\n") + f""",
+win AS (
+  SELECT s.merchant_id, s.snapshot_time_utc, {model_score_expr('m')} AS sc
+  FROM hsnap s CROSS JOIN mdl m WHERE s.snapshot_time_utc BETWEEN {SCORE_LO} AND {SCORE_HI}
+),
+wb AS (
+  SELECT s.*, CAST(round(w.sc, 5) AS DECIMAL(6,5)) AS local_model_score,
+         CASE WHEN w.sc IS NOT NULL THEN {band_sql('w.sc', 0.8, 0.5)} END AS local_model_band,
+         CASE WHEN w.sc IS NOT NULL THEN 'risk_model_latest.pkl' END AS local_model_version,
+         CASE WHEN w.sc IS NOT NULL THEN {NOW} END AS local_model_scored_at_utc
+  FROM hsnap s LEFT JOIN win w USING (merchant_id, snapshot_time_utc)
+)"""
+
+
+@oracle("score_writeback")
+def _():
+    return WRITEBACK + f"\nSELECT {SCORED_OUT}, {MODEL_OUT} FROM wb"
+
+
+@oracle("snapshot_upsert")
+def _():
+    lf = LIVE_FACTS.replace("\nev AS", "\nev AS", 1)
+    return (WRITEBACK + "," + lf.strip("\n") + ","
+            + features_cte("live_facts", "lfeat", where_t=f"T BETWEEN {SCORE_LO} AND {SCORE_HI}").strip("\n") + ","
+            + scored_cte("lfeat", "lsnap", f"{NOW} + INTERVAL 15 MINUTE").strip("\n") + f"""
+SELECT {SCORED_OUT}, {MODEL_OUT} FROM wb
+WHERE NOT EXISTS (SELECT 1 FROM lsnap l WHERE l.merchant_id = wb.merchant_id
+                  AND l.snapshot_time_utc = wb.snapshot_time_utc)
+UNION ALL
+SELECT l.merchant_id, l.snapshot_time_utc, l.txn_count_15m, CAST(l.gmv_usd_15m AS DOUBLE), l.txn_count_1h,
+       CAST(l.gmv_usd_1h AS DOUBLE), l.computed_at_utc, CAST(l.risk_score_v1 AS DOUBLE), l.risk_band_v1,
+       CAST(w.local_model_score AS DOUBLE), w.local_model_band, w.local_model_version, w.local_model_scored_at_utc
+FROM lsnap l LEFT JOIN wb w USING (merchant_id, snapshot_time_utc)""")
+
+
+@oracle("schema_upgrade")
+def _():
+    return with_(LIVE_FACTS) + """
+SELECT event_id, event_type,
+       CASE WHEN event_type <> 'view' THEN event_time_utc ELSE ingested_at_utc END AS event_time_utc,
+       ingested_at_utc, CAST(NULL AS INTEGER) AS label_bad_outcome, CAST(NULL AS INTEGER) AS label_anomaly,
+       CAST(NULL AS INTEGER) AS label_dispute_lost
+FROM live_facts"""
+
+
+@oracle("insert_if_absent")
+def _():
+    return """
+SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS merchant_id, c_name AS merchant_name FROM customer
+UNION ALL
+SELECT 'm_seed_0001', 'Seed Merchant'
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') = 'm_seed_0001')"""
+
+
+@oracle("dim_upsert")
+def _():
+    return with_(ENRICH, HIST_FACTS) + """,
+rev AS (SELECT DISTINCT merchant_id FROM hist_facts WHERE amount_usd < 0)
+SELECT d.merchant_id,
+       CASE WHEN r.merchant_id IS NOT NULL THEN d.merchant_name || ' (reviewed)' ELSE d.merchant_name END
+         AS merchant_name,
+       d.merchant_segment,
+       CASE WHEN r.merchant_id IS NOT NULL THEN 'HIGH' ELSE d.risk_tier END AS risk_tier,
+       d.country, d.mcc
+FROM dim d LEFT JOIN rev r USING (merchant_id)"""
+
+
+def _dim22_sql() -> str:
+    from merchant_signals.operators.enrich import MCC_INDUSTRY, US_STATES
+
+    ind = _sql_case("mcc", {k: f"'{v}'" for k, v in MCC_INDUSTRY.items()}, "NULL")
+    return f"""
+d22 AS (
+  SELECT merchant_id, merchant_name, CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS VARCHAR)
+           AS onboarding_date,
+         merchant_segment, mcc, {ind} AS industry_name, risk_tier, CAST(NULL AS VARCHAR) AS kyc_status,
+         'ACTIVE' AS account_status, country,
+         CASE WHEN country = 'US' THEN {_sql_list(US_STATES)}[c_custkey % 15 + 1] END AS state,
+         CAST(NULL AS VARCHAR) AS timezone, CAST(NULL AS VARCHAR) AS fee_plan_id,
+         CAST(CASE merchant_segment WHEN 'ENTERPRISE' THEN 0.022 WHEN 'MID_MARKET' THEN 0.025 ELSE 0.029 END
+              AS DOUBLE) AS processor_fee_rate,
+         CAST(0.30 AS DOUBLE) AS fixed_fee, CAST(NULL AS VARCHAR) AS settlement_schedule,
+         CAST(NULL AS VARCHAR) AS payout_frequency, CAST(NULL AS VARCHAR) AS payout_method,
+         CAST(CASE risk_tier WHEN 'HIGH' THEN 0.07 WHEN 'MEDIUM' THEN 0.03 ELSE 0.0 END AS DOUBLE) AS reserve_rate,
+         CAST(NULL AS DOUBLE) AS avg_order_value_usd_est, CAST(NULL AS INTEGER) AS avg_daily_txn_est,
+         {NOW} AS created_at_utc
+  FROM dim
+)"""
+
+
+@oracle("dim_csv_upsert")
+def _():
+    return with_(ENRICH, _dim22_sql()) + """
+SELECT * FROM d22
+UNION ALL
+SELECT 'm_seed_0001', 'Seed Merchant', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+WHERE NOT EXISTS (SELECT 1 FROM d22 WHERE merchant_id = 'm_seed_0001')"""
+
+
+# ---- monitoring ------------------------------------------------------------------
+
+@oracle("bucket_coverage")
+def _():
+    return with_(LIVE_FACTS, features_cte("live_facts")) + """,
+b AS (SELECT TIMESTAMP '2024-01-30 23:45:00' + to_minutes(15 * i) AS snapshot_time_utc FROM range(0, 6) r(i))
+SELECT b.snapshot_time_utc, count(f.merchant_id) AS snapshot_rows
+FROM b LEFT JOIN feat f USING (snapshot_time_utc) GROUP BY 1"""
+
+
+@oracle("recent_buckets")
+def _():
+    return with_(LIVE_FACTS, features_cte("live_facts")) + """
+SELECT snapshot_time_utc, count(*) AS snapshot_rows FROM feat GROUP BY 1 ORDER BY 1 DESC LIMIT 5"""
+
+
+@oracle("coverage_counts")
+def _():
+    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat")) + f"""
+SELECT 'fact_rows' AS metric, count(*) AS value FROM hist_facts
+UNION ALL SELECT 'snapshot_rows', count(*) FROM hfeat
+UNION ALL SELECT 'exported_rows', count(*) FROM hfeat
+  WHERE snapshot_time_utc >= {NOW} - INTERVAL 30 DAY AND snapshot_time_utc < {NOW} - INTERVAL 24 HOUR
+    AND snapshot_time_utc + INTERVAL 24 HOUR <= {NOW}"""
+
+
+@oracle("merchant_lookup")
+def _():
+    return with_(ENRICH, HIST_FACTS, features_cte("hist_facts", "hfeat")) + f"""
+SELECT merchant_id, merchant_name, merchant_segment, risk_tier, country, mcc FROM dim
+WHERE merchant_id IN (SELECT merchant_id FROM hfeat WHERE snapshot_time_utc BETWEEN {SCORE_LO} AND {SCORE_HI})"""
+
+
+@oracle("newest_raw")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT 'SYNTH_LIVE' AS source, raw_id,
+       CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id
+FROM raw_rows ORDER BY raw_id DESC LIMIT 1"""
+
+
+# ---- late data, horizons, arbitrary times, reruns ------------------------------------
+
+@oracle("late_events_excluded")
+def _():
+    return with_(LIVE_FACTS) + f""",
+x AS (SELECT merchant_id, event_time_utc, ingested_at_utc,
+             {floor15('event_time_utc')} + to_minutes(15 * k) AS T FROM live_facts, range(1, 5) r(k))
+SELECT merchant_id, T AS snapshot_time_utc, CAST(count(*) AS INTEGER) AS late_events_1h,
+       CAST(count(*) FILTER (WHERE event_time_utc >= T - INTERVAL 15 MINUTE) AS INTEGER) AS late_events_15m
+FROM x WHERE ingested_at_utc >= T GROUP BY 1, 2"""
+
+
+@oracle("recompute_horizon")
+def _():
+    return with_(LIVE_FACTS, features_cte(
+        "live_facts", where_t="T BETWEEN TIMESTAMP '2024-01-30 23:00:00' AND TIMESTAMP '2024-01-31 00:15:00'")) + \
+        f"\nSELECT {SNAP_OUT} FROM feat"
+
+
+@oracle("snapshot_at_times")
+def _():
+    return with_(LIVE_FACTS) + """,
+tm AS (SELECT unnest(generate_series(max(event_time_utc) - INTERVAL 75 MINUTE, max(event_time_utc),
+                                      INTERVAL 15 MINUTE)) AS T FROM live_facts)
+SELECT f.merchant_id, tm.T AS snapshot_time_utc,
+  CAST(count(*) FILTER (WHERE f.event_time_utc >= tm.T - INTERVAL 15 MINUTE) AS INTEGER) AS txn_count_15m,
+  CAST(COALESCE(sum(f.amount_usd) FILTER (WHERE f.event_time_utc >= tm.T - INTERVAL 15 MINUTE), 0) AS DOUBLE)
+    AS gmv_usd_15m,
+  CAST(count(*) AS INTEGER) AS txn_count_1h, CAST(COALESCE(sum(f.amount_usd), 0) AS DOUBLE) AS gmv_usd_1h
+FROM tm JOIN live_facts f ON f.event_time_utc >= tm.T - INTERVAL 1 HOUR AND f.event_time_utc < tm.T
+ AND f.ingested_at_utc < tm.T
+GROUP BY 1, 2"""
+
+
+ORACLES["rerun_noop"] = ORACLES["merchant_features"]
+
+
+@oracle("realtime_tail")
+def _():
+    return with_(LIVE_FACTS) + """
+SELECT event_id, event_time_utc, merchant_id, CAST(amount_usd AS DOUBLE) AS amount_usd FROM live_facts
+WHERE event_time_utc >= (SELECT max(event_time_utc) FROM live_facts) - INTERVAL 60 MINUTE"""
+
+
+@oracle("table_export")
+def _():
+    return with_(ENRICH, _dim22_sql()) + """
+SELECT merchant_id, merchant_name, country, state, processor_fee_rate, reserve_rate, onboarding_date,
+       created_at_utc FROM d22"""
+
+
+@oracle("json_merge")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT raw_id, 'evt_clone_' || CAST(raw_id AS VARCHAR) AS event_id,
+       strftime(received_at + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time_utc,
+       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS merchant_id,
+       CAST(amount_usd AS DOUBLE) AS amount_usd,
+       CASE WHEN amount_usd IS NULL THEN 7 ELSE 8 END AS n_keys
+FROM raw_rows"""

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, TimestampType
+from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampType
 
 from merchant_signals.operators import facts as facts_op
 from merchant_signals.operators.features import merchant_features
@@ -50,6 +50,8 @@ def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
             c = F.round(c.cast("double"), digits)
         elif isinstance(f.dataType, TimestampType):
             c = c.cast("timestamp_ntz")
+        elif isinstance(f.dataType, DateType):
+            c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -65,3 +67,15 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     hf = hist_facts(spark, sf_dir)
     return training_dataset_history(scored_features(hf), hf, driver.now_lit())
+
+
+def snapshot_table(facts: DataFrame, computed_at=None) -> DataFrame:
+    """Snapshot rows with the (empty) model columns, in table column order."""
+    from merchant_signals.schemas import MODEL_COLUMNS, SNAPSHOT_COLUMNS
+
+    t = scored_features(facts, computed_at)
+    types = {"local_model_score": "decimal(6,5)", "local_model_band": "string",
+             "local_model_version": "string", "local_model_scored_at_utc": "timestamp"}
+    for c in MODEL_COLUMNS:
+        t = t.withColumn(c, F.lit(None).cast(types[c]))
+    return t.select(*SNAPSHOT_COLUMNS)
