@@ -779,3 +779,104 @@ def q_json_merge(spark, sf_dir):
                     json_text("p", "merchant_id").alias("merchant_id"),
                     json_text("p", "amount_usd").cast("double").alias("amount_usd"),
                     F.size(F.json_object_keys("p")).alias("n_keys"))
+
+
+# ---- increments and streams ---------------------------------------------------------
+
+def _arrival_chunks(raw, n: int = 4):
+    """Raw rows split by receive time into ``n`` arrival waves (left to right)."""
+    from merchant_signals.sources import driver
+
+    edges = [driver.NOW.replace(day=1 + 8 * i) for i in range(1, n)]
+    t = F.col("received_at")
+    out, lo = [], None
+    for e in edges + [None]:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= F.lit(lo).cast("timestamp"))
+        if e is not None:
+            cond = cond & (t < F.lit(e).cast("timestamp"))
+        out.append(raw.filter(cond))
+        lo = e
+    return out
+
+
+@query("increment_run")
+def q_increment_run(spark, sf_dir):
+    """OP-47: scheduled increments at now until no raw row is pending; the
+    snapshot table then holds the 6 recomputed buckets."""
+    import uuid
+
+    from merchant_signals.plans.increment import catch_up
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources import driver
+    from merchant_signals.sources.store import TableStore
+
+    store = TableStore(spark, scratch_path(spark, "store", uuid.uuid4().hex))
+    store.append("raw", V.raw(spark, sf_dir))
+    catch_up(spark, store, driver.NOW)
+    return store.read("snapshots").drop("computed_at_utc", "local_model_score", "local_model_band",
+                                        "local_model_version", "local_model_scored_at_utc")
+
+
+@query("stream_features")
+def q_stream_features(spark, sf_dir):
+    """OP-50: raw rows landing in four arrival waves, each picked up by an
+    available-now stream run; the final snapshot table equals the batch one."""
+    import uuid
+
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.store import TableStore
+    from merchant_signals.streaming.stream import start_feature_stream
+
+    base = scratch_path(spark, "stream", uuid.uuid4().hex)
+    store = TableStore(spark, base + "/store")
+    raw = V.raw(spark, sf_dir).select("source", "payload", "received_at")
+    for chunk in _arrival_chunks(raw):
+        store.append_raw(chunk)
+        q = start_feature_stream(spark, store, base + "/ckpt")
+        q.awaitTermination()
+    return store.read("snapshots").drop("computed_at_utc", "local_model_score", "local_model_band",
+                                        "local_model_version", "local_model_scored_at_utc")
+
+
+@query("raw_append")
+def q_raw_append(spark, sf_dir):
+    """OP-01: {source, payload} objects streamed into the raw table; a missing
+    source becomes 'HTTP'."""
+    import uuid
+
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.store import TableStore
+    from merchant_signals.streaming.stream import start_raw_landing
+
+    base = scratch_path(spark, "landing", uuid.uuid4().hex)
+    r = V.raw(spark, sf_dir)
+    objs = r.select(F.when(F.col("raw_id") % 2 == 1, F.lit("API")).alias("source"),
+                    F.from_json("payload", "map<string,string>").alias("payload"))
+    objs.write.json(base + "/in")
+    store = TableStore(spark, base + "/store")
+    start_raw_landing(spark, store, base + "/in", base + "/ckpt").awaitTermination()
+    out = store.read("raw")
+    return out.select("source", json_text("payload", "event_id").alias("event_id"),
+                      json_text("payload", "merchant_id").alias("merchant_id"),
+                      json_text("payload", "amount_usd").cast("double").alias("amount_usd"))
+
+
+@query("jsonl_replay")
+def q_jsonl_replay(spark, sf_dir):
+    """OP-02: a JSONL file of payloads (blank lines skipped) replayed as raw rows."""
+    import uuid
+
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.files import replay_lines
+
+    path = scratch_path(spark, "replay", uuid.uuid4().hex)
+    r = V.raw(spark, sf_dir)
+    blank = F.get_json_object("payload", "$.merchant_id") == ""
+    r.select(F.when(blank, F.lit("   ")).otherwise(F.col("payload")).alias("value")).write.text(path)
+    rows = replay_lines(spark.read.text(path))
+    return rows.select("source", json_text("payload", "event_id").alias("event_id"),
+                       json_text("payload", "merchant_id").alias("merchant_id"))

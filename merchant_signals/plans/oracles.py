@@ -884,3 +884,41 @@ SELECT raw_id, 'evt_clone_' || CAST(raw_id AS VARCHAR) AS event_id,
        CAST(amount_usd AS DOUBLE) AS amount_usd,
        CASE WHEN amount_usd IS NULL THEN 7 ELSE 8 END AS n_keys
 FROM raw_rows"""
+
+
+# ---- increments and streams ---------------------------------------------------------
+
+@oracle("increment_run")
+def _():
+    return with_(LIVE_FACTS, features_cte(
+        "live_facts", where_t=f"T BETWEEN {SCORE_LO} AND {SCORE_HI}"), scored_cte("feat")) + """
+SELECT merchant_id, snapshot_time_utc, txn_count_15m, CAST(gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, txn_count_1h,
+       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1
+FROM scored"""
+
+
+@oracle("stream_features")
+def _():
+    return with_(LIVE_FACTS, features_cte("live_facts"), scored_cte("feat")) + """
+SELECT merchant_id, snapshot_time_utc, txn_count_15m, CAST(gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, txn_count_1h,
+       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1
+FROM scored"""
+
+
+@oracle("raw_append")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT CASE WHEN raw_id % 2 = 1 THEN 'API' ELSE 'HTTP' END AS source,
+       CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
+       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS merchant_id,
+       CAST(amount_usd AS DOUBLE) AS amount_usd
+FROM raw_rows"""
+
+
+@oracle("jsonl_replay")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT 'SYNTH_STREAM' AS source,
+       CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
+       'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id
+FROM raw_rows WHERE eid % 97 <> 0"""
