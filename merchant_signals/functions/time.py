@@ -12,7 +12,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BUCKET_MICROS = 15 * 60 * 1_000_000
-BUCKET = F.expr("INTERVAL 15 MINUTES")
+
+
+def BUCKET() -> Column:  # noqa: N802 - reads like the constant it stands for
+    """The 15-minute bucket width as an interval column."""
+    return F.expr("INTERVAL 15 MINUTES")
+
+
+def interval(text: str) -> Column:
+    """An interval literal column, e.g. ``interval('1 HOUR')``."""
+    return F.expr(f"INTERVAL {text}")
 
 
 def _c(c: Column | str) -> Column:

@@ -23,17 +23,15 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.time import BUCKET, ceil15, next15
+from merchant_signals.functions.time import BUCKET, ceil15, interval, next15
 
-MIN15 = F.expr("INTERVAL 15 MINUTES")
-HOUR = F.expr("INTERVAL 1 HOUR")
 # An arbitrary-times evaluation broadcasts the time list up to this size.
 BROADCAST_TIMES_MAX = 10_000
 HORIZON_BUCKETS = 6
 
 
 def _aggs(t: Column) -> list[Column]:
-    in15 = F.col("event_time_utc") >= t - MIN15
+    in15 = F.col("event_time_utc") >= t - interval("15 MINUTES")
     return [
         F.count_if(in15).cast("int").alias("txn_count_15m"),
         F.coalesce(F.sum(F.when(in15, F.col("amount_usd"))), F.lit(0))
@@ -52,7 +50,7 @@ def merchant_features(facts: DataFrame, t_min=None, t_max=None,
     txn_count_1h, gmv_usd_1h."""
     f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd")
     if t_min is not None:
-        f = f.filter(F.col("event_time_utc") >= F.lit(t_min).cast("timestamp") - HOUR)
+        f = f.filter(F.col("event_time_utc") >= F.lit(t_min).cast("timestamp") - interval("1 HOUR"))
     if t_max is not None:
         f = f.filter(F.col("event_time_utc") < F.lit(t_max).cast("timestamp"))
     w = f.withColumn("_w", F.window("event_time_utc", "1 hour", "15 minutes"))
@@ -75,7 +73,7 @@ def late_excluded(facts: DataFrame) -> DataFrame:
          .filter(F.col("ingested_at_utc") >= F.col("snapshot_time_utc")))
     return w.groupBy("merchant_id", "snapshot_time_utc").agg(
         F.count(F.lit(1)).cast("int").alias("late_events_1h"),
-        F.count_if(F.col("event_time_utc") >= F.col("snapshot_time_utc") - MIN15)
+        F.count_if(F.col("event_time_utc") >= F.col("snapshot_time_utc") - interval("15 MINUTES"))
         .cast("int").alias("late_events_15m"))
 
 
@@ -98,7 +96,7 @@ def recompute_horizon(facts: DataFrame, interval_end: _dt.datetime,
 
 def bucket_series(lo: Column, hi: Column) -> Column:
     """OP-52: ``generate_series(lo, hi, 15 min)`` as an array to explode."""
-    return F.sequence(lo, hi, BUCKET)
+    return F.sequence(lo, hi, BUCKET())
 
 
 def backfill_buckets(facts: DataFrame) -> DataFrame:
@@ -133,13 +131,13 @@ def features_at_times(facts: DataFrame, times: DataFrame, time_col: str = "snaps
     if times_bound is None and at_most(t, BROADCAST_TIMES_MAX):
         times_bound = BROADCAST_TIMES_MAX
     f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd")
-    cond = ((F.col("event_time_utc") >= F.col("_T") - HOUR) & (F.col("event_time_utc") < F.col("_T"))
+    cond = ((F.col("event_time_utc") >= F.col("_T") - interval("1 HOUR")) & (F.col("event_time_utc") < F.col("_T"))
             & (F.col("ingested_at_utc") < F.col("_T")))
     if times_bound is not None and times_bound <= BROADCAST_TIMES_MAX:
         j = f.join(F.broadcast(t), cond)
     else:
         hour = F.date_trunc("hour", F.col("event_time_utc"))
-        fk = f.withColumn("_h", F.explode(F.array(hour, hour + HOUR)))
+        fk = f.withColumn("_h", F.explode(F.array(hour, hour + interval("1 HOUR"))))
         tk = t.withColumn("_h", F.date_trunc("hour", F.col("_T") - F.expr("INTERVAL 1 MICROSECOND")))
         j = fk.join(tk, "_h").filter(cond)
     return (j.groupBy("merchant_id", F.col("_T").alias("snapshot_time_utc"))

@@ -22,12 +22,10 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.time import floor15, next15
+from merchant_signals.functions.time import floor15, interval, next15
 from merchant_signals.schemas import SNAPSHOT_KEY, TRAINING_COLUMNS
 
 LABELS = ["label_bad_outcome", "label_anomaly", "label_dispute_lost"]
-DAY = F.expr("INTERVAL 1 DAY")
-H24 = F.expr("INTERVAL 24 HOURS")
 
 
 def label_bins(facts: DataFrame) -> DataFrame:
@@ -42,11 +40,11 @@ def next_24h_labels(snapshots: DataFrame, facts: DataFrame) -> DataFrame:
     """OP-27 + OP-34: ``snapshots`` with label_*_24h (0 when no fact)."""
     keys = snapshots.select(*SNAPSHOT_KEY).distinct()
     d0 = F.date_trunc("day", F.col("snapshot_time_utc"))
-    k = keys.withColumn("_day", F.explode(F.array(d0, d0 + DAY)))
+    k = keys.withColumn("_day", F.explode(F.array(d0, d0 + interval("1 DAY"))))
     bins = label_bins(facts)
     hit = (k.join(bins, ["merchant_id", "_day"])
            .filter((F.col("_bin") >= F.col("snapshot_time_utc"))
-                   & (F.col("_bin") < F.col("snapshot_time_utc") + H24))
+                   & (F.col("_bin") < F.col("snapshot_time_utc") + interval("24 HOURS")))
            .groupBy(*SNAPSHOT_KEY).agg(*[F.max(l).alias(f"{l}_24h") for l in LABELS]))
     out = snapshots.join(hit, SNAPSHOT_KEY, "left")
     for l in LABELS:
@@ -57,7 +55,7 @@ def next_24h_labels(snapshots: DataFrame, facts: DataFrame) -> DataFrame:
 def mature_snapshots(snapshots: DataFrame, start: Column, end: Column, now: Column) -> DataFrame:
     """OP-19: start <= T < end and T + 24h <= now (all literals, prunable)."""
     t = F.col("snapshot_time_utc")
-    return snapshots.filter((t >= start) & (t < end) & (t + H24 <= now))
+    return snapshots.filter((t >= start) & (t < end) & (t + interval("24 HOURS") <= now))
 
 
 def training_dataset(snapshots: DataFrame, facts: DataFrame, start: Column, end: Column,
@@ -78,7 +76,7 @@ def history_window(facts: DataFrame, now: Column) -> DataFrame:
     [max(next15(min event), now - 30d), min(next15(max event), now - 24h))."""
     b = facts.agg(next15(F.min("event_time_utc")).alias("_lo"), next15(F.max("event_time_utc")).alias("_hi"))
     return b.select(F.greatest(F.col("_lo"), now - F.expr("INTERVAL 30 DAYS")).alias("snapshot_start_utc"),
-                    F.least(F.col("_hi"), now - H24).alias("snapshot_end_utc"))
+                    F.least(F.col("_hi"), now - interval("24 HOURS")).alias("snapshot_end_utc"))
 
 
 def training_dataset_history(snapshots: DataFrame, facts: DataFrame, now: Column) -> DataFrame:
@@ -86,6 +84,6 @@ def training_dataset_history(snapshots: DataFrame, facts: DataFrame, now: Column
     w = F.broadcast(history_window(facts, now))
     t = F.col("snapshot_time_utc")
     base = (snapshots.join(w, (t >= F.col("snapshot_start_utc")) & (t < F.col("snapshot_end_utc"))
-                           & (t + H24 <= now))
+                           & (t + interval("24 HOURS") <= now))
             .select(*TRAINING_COLUMNS[:9]))
     return next_24h_labels(base, facts).select(*TRAINING_COLUMNS)
