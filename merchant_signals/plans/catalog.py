@@ -90,8 +90,9 @@ def q_latest_features(spark, sf_dir):
 
 @query("label_24h")
 def q_label_24h(spark, sf_dir):
-    """OP-19 + OP-21 + OP-27 + OP-34: the historical training export."""
-    return V.training_set(spark, sf_dir)
+    """OP-19 + OP-21 + OP-27 + OP-34: the historical training export, built
+    from the snapshot table and the facts."""
+    return V.build_training_set(spark, sf_dir)
 
 
 @query("training_window")
@@ -118,7 +119,7 @@ def q_training_export(spark, sf_dir):
 
     s, e = scheduled_window(driver.NOW)
     hf = V.hist_facts(spark, sf_dir)
-    return training_dataset(V.scored_features(hf), hf, F.lit(s).cast("timestamp"),
+    return training_dataset(V.hist_snapshots(spark, sf_dir), hf, F.lit(s).cast("timestamp"),
                             F.lit(e).cast("timestamp"), driver.now_lit())
 
 
@@ -227,7 +228,7 @@ def q_facts_from_raw(spark, sf_dir):
 @query("dedup_first_wins")
 def q_dedup_first_wins(spark, sf_dir):
     """OP-22: first-wins fact table over all raw rows (duplicates carry new amounts)."""
-    return V.live_facts(spark, sf_dir).drop("payload")
+    return V.build_live_facts(spark, sf_dir).drop("payload")
 
 
 @query("insert_ignore")
@@ -505,10 +506,9 @@ def _score_bounds():
 def q_score_window(spark, sf_dir):
     """OP-20: snapshots in [ceil15(end) - 75m, ceil15(end)] (6 buckets, both ends in)."""
     lo, hi = _score_bounds()
-    s = V.snapshot_table(V.hist_facts(spark, sf_dir))
+    s = V.hist_snapshots(spark, sf_dir)
     t = F.col("snapshot_time_utc")
-    return s.filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp"))).drop(
-        "local_model_score", "local_model_band", "local_model_version", "local_model_scored_at_utc")
+    return s.filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
 
 
 def _written_back(spark, sf_dir):
@@ -519,7 +519,7 @@ def _written_back(spark, sf_dir):
     from merchant_signals.sources import driver
 
     lo, hi = _score_bounds()
-    snaps = V.snapshot_table(V.hist_facts(spark, sf_dir))
+    snaps = V.with_model_columns(V.hist_snapshots(spark, sf_dir))
     t = F.col("snapshot_time_utc")
     window = snaps.filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
     model = M.train(V.training_set(spark, sf_dir))
@@ -660,7 +660,7 @@ def q_coverage_counts(spark, sf_dir):
     from merchant_signals.sources import driver
 
     hf = V.hist_facts(spark, sf_dir)
-    snaps = V.scored_features(hf)
+    snaps = V.hist_snapshots(spark, sf_dir)
     now = driver.now_lit()
     exp = training_dataset(snaps, hf, now - F.expr("INTERVAL 30 DAYS"), now - F.expr("INTERVAL 24 HOURS"), now)
     def cnt(df, name):
@@ -673,7 +673,7 @@ def q_merchant_lookup(spark, sf_dir):
     """OP-45: merchant profiles for the merchants in the scoring window (semi join)."""
     lo, hi = _score_bounds()
     t = F.col("snapshot_time_utc")
-    keys = (V.scored_features(V.hist_facts(spark, sf_dir))
+    keys = (V.hist_snapshots(spark, sf_dir)
             .filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp"))).select("merchant_id"))
     return (_dim(spark, sf_dir).join(keys, "merchant_id", "left_semi")
             .select("merchant_id", "merchant_name", "merchant_segment", "risk_tier", "country", "mcc"))

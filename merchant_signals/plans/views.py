@@ -15,18 +15,64 @@ from merchant_signals.session import ensure_session
 from merchant_signals.sources import driver
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+_STORED: dict[tuple, str] = {}
+
+
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    import os
+
+    p = f"{sf_dir.rstrip('/')}/events.parquet"
+    try:
+        st = os.stat(p)
+        stamp = (st.st_size, int(st.st_mtime))
+    except OSError:  # remote storage: the path names the data
+        stamp = ()
+    return (spark.sparkContext.applicationId, sf_dir, *stamp)
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int | None = None) -> DataFrame:
+    """A derived table of the data product, written once per application as
+    Parquet below the shared checkpoint folder and read back by every later
+    query (as the reference keeps raw events, facts, snapshots and the
+    training export as stored tables).  Writing it also cuts the lineage."""
+    import hashlib
+
+    from merchant_signals.session import scratch_path
+
     ensure_session(spark)
-    return driver.raw_events(spark, sf_dir)
+    key = (*_input_key(spark, sf_dir), name)
+    path = _STORED.get(key)
+    if path is None:
+        path = scratch_path(spark, "tables", name, hashlib.sha1(repr(key).encode()).hexdigest()[:16])
+        df = build()
+        if partitions:
+            df = df.repartition(partitions)
+        df.write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
 
 
-def live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw landing table (``raw_realtime_events``) for the driver tables."""
+    from merchant_signals.functions.time import to_utc
+
+    t = stored(spark, sf_dir, "raw", lambda: driver.raw_events(spark, sf_dir),
+               partitions=spark.sparkContext.defaultParallelism)
+    return t.withColumn("received_at", to_utc("received_at"))
+
+
+def build_live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw rows loaded as one batch: validity filter, JSON projection,
     first-wins dedup (same result as the reference's 20,000-row increments,
     because first-wins is by raw_id either way)."""
     return facts_op.dedup_first_wins(facts_op.facts_from_raw(raw(spark, sf_dir)))
 
 
+def live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact table built from the raw landing table."""
+    return stored(spark, sf_dir, "live_facts", lambda: build_live_facts(spark, sf_dir))
+
+
 def hist_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_session(spark)
     return driver.historical_facts(spark, sf_dir)
@@ -57,23 +103,31 @@ def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def hist_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot table of the historical seed: every bucket, labelled facts."""
-    return scored_features(hist_facts(spark, sf_dir))
+    """Stored snapshot table of the historical seed (every bucket)."""
+    return stored(spark, sf_dir, "hist_snapshots", lambda: scored_features(hist_facts(spark, sf_dir)))
 
 
-def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled training set of the historical seed (history window rule)."""
+def build_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled training set of the historical seed (history window rule),
+    from the stored snapshot table."""
     from merchant_signals.operators.labels import training_dataset_history
 
-    hf = hist_facts(spark, sf_dir)
-    return training_dataset_history(scored_features(hf), hf, driver.now_lit())
+    return training_dataset_history(hist_snapshots(spark, sf_dir), hist_facts(spark, sf_dir), driver.now_lit())
+
+
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored training export (what the trainer, scorer and backtest read)."""
+    return stored(spark, sf_dir, "training_set", lambda: build_training_set(spark, sf_dir))
 
 
 def snapshot_table(facts: DataFrame, computed_at=None) -> DataFrame:
     """Snapshot rows with the (empty) model columns, in table column order."""
+    return with_model_columns(scored_features(facts, computed_at))
+
+
+def with_model_columns(t: DataFrame) -> DataFrame:
     from merchant_signals.schemas import MODEL_COLUMNS, SNAPSHOT_COLUMNS
 
-    t = scored_features(facts, computed_at)
     types = {"local_model_score": "decimal(6,5)", "local_model_band": "string",
              "local_model_version": "string", "local_model_scored_at_utc": "timestamp"}
     for c in MODEL_COLUMNS:
