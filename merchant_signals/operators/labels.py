@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchant_signals.functions.time import floor15, interval, next15
-from merchant_signals.schemas import SNAPSHOT_KEY, TRAINING_COLUMNS
+from merchant_signals.schemas import TRAINING_COLUMNS
 
 LABELS = ["label_bad_outcome", "label_anomaly", "label_dispute_lost"]
 
@@ -37,19 +37,25 @@ def label_bins(facts: DataFrame) -> DataFrame:
 
 
 def next_24h_labels(snapshots: DataFrame, facts: DataFrame) -> DataFrame:
-    """OP-27 + OP-34: ``snapshots`` with label_*_24h (0 when no fact)."""
-    keys = snapshots.select(*SNAPSHOT_KEY).distinct()
+    """OP-27 + OP-34: ``snapshots`` (unique on merchant_id, snapshot_time_utc)
+    with label_*_24h (0 when no fact).
+
+    Each snapshot row is emitted for its two day keys and left-joined with the
+    label bins of that (merchant, day) under the exact range condition; one
+    aggregation on the snapshot key folds the two halves back together."""
+    cols = snapshots.columns
     d0 = F.date_trunc("day", F.col("snapshot_time_utc"))
-    k = keys.withColumn("_day", F.explode(F.array(d0, d0 + interval("1 DAY"))))
-    bins = label_bins(facts)
-    hit = (k.join(bins, ["merchant_id", "_day"])
-           .filter((F.col("_bin") >= F.col("snapshot_time_utc"))
-                   & (F.col("_bin") < F.col("snapshot_time_utc") + interval("24 HOURS")))
-           .groupBy(*SNAPSHOT_KEY).agg(*[F.max(l).alias(f"{l}_24h") for l in LABELS]))
-    out = snapshots.join(hit, SNAPSHOT_KEY, "left")
-    for l in LABELS:
-        out = out.withColumn(f"{l}_24h", F.coalesce(F.col(f"{l}_24h"), F.lit(0)).cast("int"))
-    return out
+    s = snapshots.withColumn("_day", F.explode(F.array(d0, d0 + interval("1 DAY"))))
+    b = label_bins(facts).withColumnRenamed("merchant_id", "_m").withColumnRenamed("_day", "_bday")
+    cond = ((F.col("merchant_id") == F.col("_m")) & (F.col("_day") == F.col("_bday"))
+            & (F.col("_bin") >= F.col("snapshot_time_utc"))
+            & (F.col("_bin") < F.col("snapshot_time_utc") + interval("24 HOURS")))
+    j = s.join(b, cond, "left")
+    # Grouping on every snapshot column (the others depend on the key) keeps
+    # the aggregation buffers fixed-width, so it stays a hash aggregate.
+    out = j.groupBy(*cols).agg(
+        *[F.coalesce(F.max(l), F.lit(0)).cast("int").alias(f"{l}_24h") for l in LABELS])
+    return out.select(*cols, *[f"{l}_24h" for l in LABELS])
 
 
 def mature_snapshots(snapshots: DataFrame, start: Column, end: Column, now: Column) -> DataFrame:
