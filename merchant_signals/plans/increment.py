@@ -94,8 +94,8 @@ def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.date
         touched = store.read_dates("snapshots", lo.date(), hi.date())
         window = touched.filter(F.col("snapshot_time_utc").between(_ts(lo), _ts(hi)))
         scores = persist_scores(window, model, _ts(now), MODEL_VERSION)
+        out["scored_rows"] = window.count()  # before the partitions it reads are replaced
         store.replace_partitions("snapshots", update_columns(touched, scores, SNAPSHOT_KEY, MODEL_COLUMNS))
-        out["scored_rows"] = window.count()
     return out
 
 

@@ -18,17 +18,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from merchant_signals import schemas as S
 from merchant_signals.session import scratch_path
 
-SNAPSHOT_SCHEMA = StructType.fromDDL(
-    "merchant_id string, snapshot_time_utc timestamp, computed_at_utc timestamp, txn_count_15m int, "
-    "gmv_usd_15m decimal(18,2), txn_count_1h int, gmv_usd_1h decimal(18,2), risk_score_v1 decimal(5,2), "
-    "risk_band_v1 string, local_model_score decimal(6,5), local_model_band string, "
-    "local_model_version string, local_model_scored_at_utc timestamp")
-DIM_SCHEMA = StructType.fromDDL("merchant_id string, merchant_name string, created_at timestamp")
+def _schema(fields: list[tuple[str, object]]) -> StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+SNAPSHOT_SCHEMA = _schema([
+    ("merchant_id", T.StringType()), ("snapshot_time_utc", T.TimestampType()),
+    ("computed_at_utc", T.TimestampType()), ("txn_count_15m", T.IntegerType()),
+    ("gmv_usd_15m", T.DecimalType(18, 2)), ("txn_count_1h", T.IntegerType()),
+    ("gmv_usd_1h", T.DecimalType(18, 2)), ("risk_score_v1", T.DecimalType(5, 2)),
+    ("risk_band_v1", T.StringType()), ("local_model_score", T.DecimalType(6, 5)),
+    ("local_model_band", T.StringType()), ("local_model_version", T.StringType()),
+    ("local_model_scored_at_utc", T.TimestampType())])
+DIM_SCHEMA = _schema([("merchant_id", T.StringType()), ("merchant_name", T.StringType()),
+                      ("created_at", T.TimestampType())])
 
 SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA,
            "watermark": S.WATERMARK, "dim_merchant": DIM_SCHEMA}
