@@ -58,7 +58,7 @@ def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BA
 
 def recompute_buckets(store: TableStore, lo: _dt.datetime, hi: _dt.datetime, computed_at) -> int:
     """OP-28/31/49 + OP-25: features for buckets lo..hi, upserted."""
-    facts = store.read("facts")
+    facts = store.read_dates("facts", (lo - _dt.timedelta(hours=1)).date(), hi.date())
     src = risk_score_v1(merchant_features(facts, lo, hi)).withColumn("computed_at_utc", computed_at)
     current = store.read_dates("snapshots", lo.date(), hi.date())
     store.replace_partitions("snapshots", upsert_snapshots(current, src))
