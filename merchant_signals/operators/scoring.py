@@ -65,24 +65,28 @@ def model_score(rows: DataFrame, model: DataFrame,
     score = sigmoid(norm + logit(clamp(positive_rate)))
 
     Feature values go through the tolerant reader (NULL -> 0.0)."""
-    m = model.select("positive_rate", "feature_stats")
+    # Flatten the one-row model into plain columns first, so the per-row work
+    # is arithmetic on broadcast constants (no map lookups per row).
+    flat = []
+    for i, f in enumerate(feature_columns):
+        st = F.col("feature_stats").getItem(f)
+        flat += [F.coalesce(st.getField("positive_mean"), F.lit(0.0)).alias(f"_pm{i}"),
+                 F.coalesce(st.getField("negative_mean"), F.lit(0.0)).alias(f"_nm{i}"),
+                 F.coalesce(st.getField("weight"), F.lit(0.0)).alias(f"_w{i}")]
+    m = model.select("positive_rate", *flat)
     j = rows.crossJoin(F.broadcast(m))
     raw = F.lit(0.0)
     scale = F.lit(0.0)
-    for f in feature_columns:
-        st = F.col("feature_stats").getItem(f)
-        pm = F.coalesce(st.getField("positive_mean"), F.lit(0.0))
-        nm = F.coalesce(st.getField("negative_mean"), F.lit(0.0))
-        w = F.coalesce(st.getField("weight"), F.lit(0.0))
+    for i, f in enumerate(feature_columns):
         x = F.coalesce(F.col(f).cast("double"), F.lit(0.0))
-        raw = raw + (x - (pm + nm) / F.lit(2.0)) * w
-        scale = scale + F.abs(w)
+        raw = raw + (x - (F.col(f"_pm{i}") + F.col(f"_nm{i}")) / F.lit(2.0)) * F.col(f"_w{i}")
+        scale = scale + F.abs(F.col(f"_w{i}"))
     p = F.col("positive_rate").cast("double")
     prior = F.ln(F.greatest(p, F.lit(PRIOR_CLAMP)) / F.greatest(F.lit(1.0) - p, F.lit(PRIOR_CLAMP)))
     score = sigmoid(raw / F.greatest(scale, F.lit(1.0)) + prior)
     return (j.withColumn("local_model_score_raw", score)
             .withColumn("local_model_band", band(F.col("local_model_score_raw"), MODEL_HIGH, MODEL_MEDIUM))
-            .drop("positive_rate", "feature_stats"))
+            .drop("positive_rate", *[c for c in m.columns if c.startswith("_")]))
 
 
 def persist_scores(rows: DataFrame, model: DataFrame, scored_at: Column,
