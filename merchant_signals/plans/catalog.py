@@ -880,3 +880,15 @@ def q_jsonl_replay(spark, sf_dir):
     rows = replay_lines(spark.read.text(path))
     return rows.select("source", json_text("payload", "event_id").alias("event_id"),
                        json_text("payload", "merchant_id").alias("merchant_id"))
+
+
+@query("raw_events_view")
+def q_raw_events_view(spark, sf_dir):
+    """OP-14: the raw table registered as ``raw_realtime_events`` with the
+    ``raw_events`` alias view; per-source counts through SQL on the alias."""
+    V.raw(spark, sf_dir).createOrReplaceTempView("raw_realtime_events")
+    spark.sql("CREATE OR REPLACE TEMP VIEW raw_events AS SELECT * FROM raw_realtime_events")
+    return spark.sql("""
+        SELECT source, count(*) AS raw_rows, min(raw_id) AS min_raw_id, max(raw_id) AS max_raw_id,
+               count_if(get_json_object(payload, '$.merchant_id') <> '') AS with_merchant
+        FROM raw_events GROUP BY source""")

@@ -922,3 +922,11 @@ SELECT 'SYNTH_STREAM' AS source,
        CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
        'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id
 FROM raw_rows WHERE eid % 97 <> 0"""
+
+
+@oracle("raw_events_view")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT 'SYNTH_LIVE' AS source, count(*) AS raw_rows, min(raw_id) AS min_raw_id, max(raw_id) AS max_raw_id,
+       count(*) FILTER (WHERE eid % 97 <> 0) AS with_merchant
+FROM raw_rows"""

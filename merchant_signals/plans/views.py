@@ -4,6 +4,8 @@ snapshot table and the labelled training set."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampType
@@ -16,6 +18,7 @@ from merchant_signals.sources import driver
 
 
 _STORED: dict[tuple, str] = {}
+_STORED_LOCK = threading.RLock()
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
@@ -41,14 +44,15 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int |
 
     ensure_session(spark)
     key = (*_input_key(spark, sf_dir), name)
-    path = _STORED.get(key)
-    if path is None:
-        path = scratch_path(spark, "tables", name, hashlib.sha1(repr(key).encode()).hexdigest()[:16])
-        df = build()
-        if partitions:
-            df = df.repartition(partitions)
-        df.write.mode("overwrite").parquet(path)
-        _STORED[key] = path
+    with _STORED_LOCK:  # one build per table, even with concurrent callers
+        path = _STORED.get(key)
+        if path is None:
+            path = scratch_path(spark, "tables", name, hashlib.sha1(repr(key).encode()).hexdigest()[:16])
+            df = build()
+            if partitions:
+                df = df.repartition(partitions)
+            df.write.mode("overwrite").parquet(path)
+            _STORED[key] = path
     return spark.read.parquet(path)
 
 
