@@ -112,24 +112,27 @@ def conditional_ids(df: DataFrame, base_id: Column, event_type: str = "event_typ
 
 def fx_normalise(df: DataFrame, amount: str = "amount", currency: str = "currency") -> DataFrame:
     """OP-64: fx_rate_to_usd by currency (other currencies 0.66) and
-    amount_usd = round(amount * fx, 2)."""
+    amount_usd = round(amount * fx, 2); ``amount_usd_exact`` keeps the
+    unrounded product, which fees, refunds and net amounts are computed from."""
     fx = _lookup(FX_TO_USD, F.col(currency), FX_OTHER, "decimal(9,4)")
+    exact = F.col(amount).cast("decimal(18,2)") * F.col("fx_rate_to_usd")
     return (df.withColumn("fx_rate_to_usd", fx)
-            .withColumn("amount_usd", F.round(F.col(amount).cast("decimal(18,2)") * F.col("fx_rate_to_usd"), 2)
-                        .cast("decimal(18,2)")))
+            .withColumn("amount_usd_exact", exact)
+            .withColumn("amount_usd", F.round(F.col("amount_usd_exact"), 2).cast("decimal(18,2)")))
 
 
 def fees_net(df: DataFrame, noise: Column | None = None) -> DataFrame:
     """OP-65: fee rate = base(segment) + risk(tier) [+ noise], clipped to
     [0.015, 0.07]; fee = round(usd * rate + fixed, 2) with fixed 0.30 for USD
-    else 0.35; net = round(usd - fee - refund - 0.2 * dispute_fee, 2)."""
+    else 0.35; net = round(usd - fee - refund - 0.2 * dispute_fee, 2), with
+    ``usd`` the unrounded USD amount when present."""
     rate = (_lookup(FEE_BASE, F.col("merchant_segment"), FEE_BASE_OTHER, "decimal(9,4)")
             + _lookup(FEE_RISK, F.col("risk_tier"), FEE_RISK_OTHER, "decimal(9,4)"))
     if noise is not None:
         rate = rate + noise.cast("decimal(9,4)")
     rate = F.least(F.greatest(rate, F.lit(FEE_RATE_MIN).cast("decimal(9,4)")), F.lit(FEE_RATE_MAX).cast("decimal(9,4)"))
     fixed = F.when(F.col("currency") == "USD", F.lit(FIXED_FEE_USD)).otherwise(F.lit(FIXED_FEE_OTHER)).cast("decimal(18,2)")
-    usd = F.col("amount_usd").cast("decimal(18,2)")
+    usd = (F.col("amount_usd_exact") if "amount_usd_exact" in df.columns else F.col("amount_usd")).cast("decimal(24,6)")
     out = df.withColumn("fee_rate", rate.cast("decimal(9,4)"))
     out = out.withColumn("fee_amount", F.round(usd * F.col("fee_rate") + fixed, 2).cast("decimal(18,2)"))
     net = (usd - F.col("fee_amount") - F.col("refund_amount").cast("decimal(18,2)")

@@ -367,7 +367,7 @@ def _priced(spark, sf_dir):
     p = E.fx_normalise(p.withColumn("status", E.status_of("event_type")))
     t = F.col("event_type")
     return (p.withColumn("refund_amount", F.when(t.isin(E.REFUND_TYPES),
-                                                 F.round(F.col("amount_usd") * F.col("refund_fraction"), 2))
+                                                 F.round(F.col("amount_usd_exact") * F.col("refund_fraction"), 2))
                          .otherwise(F.lit(0)).cast("decimal(18,2)"))
             .withColumn("dispute_fee", F.when(t.isin(E.DISPUTE_TYPES), F.col("dispute_fee_pick"))
                         .otherwise(F.lit(0)).cast("decimal(18,2)")))

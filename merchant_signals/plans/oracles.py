@@ -535,10 +535,11 @@ fx1 AS (
          CAST({fx} AS DECIMAL(9,4)) AS fx_rate_to_usd
   FROM pay p LEFT JOIN dim d USING (merchant_id)
 ),
-fx2 AS (SELECT *, CAST(round(amount * fx_rate_to_usd, 2) AS DECIMAL(18,2)) AS amount_usd FROM fx1),
+fx2 AS (SELECT *, amount * fx_rate_to_usd AS amount_usd_exact,
+               CAST(round(amount * fx_rate_to_usd, 2) AS DECIMAL(18,2)) AS amount_usd FROM fx1),
 priced AS (
   SELECT *,
-         CAST(CASE WHEN event_type IN ({refund_types}) THEN round(amount_usd * refund_fraction, 2) ELSE 0 END
+         CAST(CASE WHEN event_type IN ({refund_types}) THEN round(amount_usd_exact * refund_fraction, 2) ELSE 0 END
               AS DECIMAL(18,2)) AS refund_amount,
          CAST(CASE WHEN event_type IN ({dispute_types}) THEN dispute_fee_pick ELSE 0 END AS DECIMAL(18,2))
            AS dispute_fee
@@ -596,9 +597,9 @@ rates AS (
          CAST(CASE WHEN currency = 'USD' THEN 0.30 ELSE 0.35 END AS DECIMAL(18,2)) AS fixed
   FROM priced
 ),
-fees AS (SELECT *, CAST(round(amount_usd * fee_rate + fixed, 2) AS DECIMAL(18,2)) AS fee_amount FROM rates)
+fees AS (SELECT *, CAST(round(amount_usd_exact * fee_rate + fixed, 2) AS DECIMAL(18,2)) AS fee_amount FROM rates)
 SELECT event_id, CAST(fee_rate AS DOUBLE) AS fee_rate, CAST(fee_amount AS DOUBLE) AS fee_amount,
-       CAST(CAST(round(amount_usd - fee_amount - refund_amount - CAST(0.2 AS DECIMAL(9,4)) * dispute_fee, 2)
+       CAST(CAST(round(amount_usd_exact - fee_amount - refund_amount - CAST(0.2 AS DECIMAL(9,4)) * dispute_fee, 2)
                  AS DECIMAL(18,2)) AS DOUBLE) AS net_amount
 FROM fees"""
 

@@ -111,3 +111,37 @@ def replay_lines(lines: DataFrame, source: str = REPLAY_SOURCE, limit: int | Non
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Raw landing table (Parquet, partitioned by source)."""
     return spark.read.schema(RAW).parquet(path).withColumn("received_at", to_utc("received_at"))
+
+
+def load_dim_csv(spark: SparkSession, path: str, target: DataFrame) -> tuple[DataFrame, int]:
+    """OP-05 + OP-24: stage the 22-column file and upsert it (last state wins,
+    a key repeated inside the file aborts).  An empty file is an error.
+    Returns (new dimension state, staged row count)."""
+    from merchant_signals.operators.mutate import upsert_last_state
+
+    staged = read_dim_csv22(spark, path)
+    n = staged.count()
+    if n == 0:
+        raise ValueError("CSV body is empty")
+    return upsert_last_state(target, staged, ["merchant_id"]), n
+
+
+def load_fact_csv(spark: SparkSession, path: str, existing: DataFrame) -> tuple[DataFrame, int]:
+    """OP-06: stage the 14-column file, insert-ignore on event_id.  An empty
+    file or a row without event_type fails the whole load (one aggregate).
+    Returns (rows to append, staged row count)."""
+    from merchant_signals.operators.facts import insert_ignore
+
+    staged = read_fact_csv14(spark, path)
+    chk = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type").isNull()).alias("bad")).first()
+    if chk["n"] == 0:
+        raise ValueError("CSV object is empty")
+    if chk["bad"]:
+        raise ValueError(f"{chk['bad']} staged rows have no event_type")
+    new = staged.select(
+        "event_id", "event_type", "event_time_utc", "ingested_at_utc", "merchant_id", "order_id",
+        "amount_usd", "status", "label_bad_outcome",
+        F.lit(None).cast("int").alias("label_anomaly"), F.lit(None).cast("int").alias("label_dispute_lost"),
+        F.lit(None).cast("long").alias("raw_id"), F.col("source_system").alias("source"),
+        F.col("ingested_at_utc").alias("received_at"), F.lit(None).cast("string").alias("payload"))
+    return insert_ignore(new, existing, "event_id"), int(chk["n"])

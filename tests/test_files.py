@@ -22,3 +22,32 @@ def test_replay_skips_blank_lines(spark, tmp_dir):
     assert [r.payload for r in rows] == ['{"event_id": "a"}', '{"event_id": "b"}']
     assert {r.source for r in rows} == {"SYNTH_STREAM"}
     assert len(replay_lines(spark.read.text(p), limit=1).collect()) == 1
+
+
+def test_fact_and_dim_csv_loads_are_all_or_nothing(spark, tmp_dir):
+    import pytest
+
+    from merchant_signals.sources.files import load_dim_csv, load_fact_csv
+
+    ok = tmp_dir + "/ok.csv"
+    with open(ok, "w") as fh:
+        fh.write("h\n")
+        fh.write("e1,payment,2024-01-01T00:00:00.000000Z,m1,o1,captured,1.00,,,,,2024-01-01T00:00:00.000000Z,0,0\n")
+        fh.write("e2,payment,2024-01-01T00:00:00.000000Z,m1,o2,captured,2.00,,,,,2024-01-01T00:00:00.000000Z,1,0\n")
+    existing = spark.createDataFrame([("e1",)], "event_id string")
+    new, n = load_fact_csv(spark, ok, existing)
+    assert n == 2 and [r.event_id for r in new.collect()] == ["e2"]
+    bad = tmp_dir + "/bad.csv"
+    with open(bad, "w") as fh:
+        fh.write("h\n")
+        fh.write("e3,,2024-01-01T00:00:00.000000Z,m1,o3,captured,1.00,,,,,2024-01-01T00:00:00.000000Z,0,0\n")
+    with pytest.raises(ValueError):
+        load_fact_csv(spark, bad, existing)
+    empty = tmp_dir + "/empty.csv"
+    with open(empty, "w") as fh:
+        fh.write("h\n")
+    with pytest.raises(ValueError):
+        load_fact_csv(spark, empty, existing)
+    target = spark.createDataFrame([], "merchant_id string")
+    with pytest.raises(ValueError):
+        load_dim_csv(spark, empty, target)
