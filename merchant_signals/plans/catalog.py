@@ -892,3 +892,25 @@ def q_raw_events_view(spark, sf_dir):
         SELECT source, count(*) AS raw_rows, min(raw_id) AS min_raw_id, max(raw_id) AS max_raw_id,
                count_if(get_json_object(payload, '$.merchant_id') <> '') AS with_merchant
         FROM raw_events GROUP BY source""")
+
+
+@query("clone_events")
+def q_clone_events(spark, sf_dir):
+    """OP-71 + OP-22/23: every raw row cloned with md5-derived ids and a new
+    time, then sent again through base64; per merchant the clones and the
+    facts they load (a duplicate must add nothing)."""
+    from merchant_signals.operators.clone import clone_payloads, via_base64
+    from merchant_signals.operators.facts import dedup_first_wins, facts_from_raw
+
+    r = V.raw(spark, sf_dir)
+    at = F.col("received_at") + F.expr("INTERVAL 1 DAY")
+    clones = clone_payloads(r, at)
+    dup = clones.select("template_raw_id", "source", via_base64(F.col("payload")).alias("payload"), "received_at")
+    rows = (clones.withColumn("raw_id", F.col("template_raw_id") * 2)
+            .unionByName(dup.withColumn("raw_id", F.col("template_raw_id") * 2 + 1))
+            .drop("template_raw_id"))
+    facts = dedup_first_wins(facts_from_raw(rows))
+    per_clone = facts.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("facts"))
+    sent = (clones.select(F.get_json_object("payload", "$.merchant_id").alias("merchant_id"))
+            .filter(F.col("merchant_id") != "").groupBy("merchant_id").agg(F.count(F.lit(1)).alias("clones")))
+    return sent.join(per_clone, "merchant_id", "left")

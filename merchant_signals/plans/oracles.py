@@ -931,3 +931,10 @@ def _():
 SELECT 'SYNTH_LIVE' AS source, count(*) AS raw_rows, min(raw_id) AS min_raw_id, max(raw_id) AS max_raw_id,
        count(*) FILTER (WHERE eid % 97 <> 0) AS with_merchant
 FROM raw_rows"""
+
+
+@oracle("clone_events")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id, count(*) AS clones, count(*) AS facts
+FROM raw_rows WHERE eid % 97 <> 0 GROUP BY 1"""

@@ -129,3 +129,19 @@ def test_snapshot_upsert_keeps_model_columns(spark):
                                                   ["local_model_score"]).collect()}
     assert set(u) == {"m1", "m2"} and u["m2"].local_model_score == Decimal("0.9")
     assert u["m1"].local_model_score == Decimal("0.5")
+
+
+def test_clone_ids_and_base64_transport(spark):
+    import hashlib
+
+    from merchant_signals.operators.clone import clone_payloads, via_base64
+
+    raw = _raw(spark, [(7, "SYNTH_LIVE", P)])
+    at = F.lit(dt.datetime(2024, 2, 1, 12, 0, 0)).cast("timestamp")
+    c = clone_payloads(raw, at).first()
+    p = json.loads(c.payload)
+    assert p["event_id"] == "evt_" + hashlib.md5(b"evt_7").hexdigest()[:32]
+    assert p["order_id"] == "ord_" + hashlib.md5(b"ord_7").hexdigest()[:32]
+    assert p["event_time_utc"] == "2024-02-01T12:00:00.000Z" and p["merchant_id"] == "m1"
+    back = clone_payloads(raw, at).select(via_base64(F.col("payload")).alias("b"), "payload").first()
+    assert back.b == back.payload
