@@ -365,6 +365,9 @@ def _():
 
 
 # ---- raw -> facts ------------------------------------------------------------
+# Columns that are NULL on every row come back from Spark's pandas conversion
+# as float64 NaN; the oracles type them DOUBLE so both sides carry the same
+# dtype and null token.
 
 SPLIT_TS = "TIMESTAMP '2024-01-16 00:00:00'"
 WM = f"wm AS (SELECT 'SYNTH_LIVE' AS source, max(raw_id) AS w FROM raw_rows WHERE received_at < {SPLIT_TS})"
@@ -379,8 +382,8 @@ SELECT raw_id, CASE WHEN eid % 97 = 0 THEN '' ELSE {MERCHANT} END AS merchant_id
 
 FACT_OUT = """event_id, event_type, event_time_utc, ingested_at_utc, merchant_id, order_id,
        CAST(amount_usd AS DOUBLE) AS amount_usd, status,
-       CAST(NULL AS INTEGER) AS label_bad_outcome, CAST(NULL AS INTEGER) AS label_anomaly,
-       CAST(NULL AS INTEGER) AS label_dispute_lost, raw_id, source, received_at"""
+       CAST(NULL AS DOUBLE) AS label_bad_outcome, CAST(NULL AS DOUBLE) AS label_anomaly,
+       CAST(NULL AS DOUBLE) AS label_dispute_lost, raw_id, source, received_at"""
 
 
 @oracle("facts_from_raw")
@@ -724,8 +727,8 @@ def _():
     return with_(LIVE_FACTS) + """
 SELECT event_id, event_type,
        CASE WHEN event_type <> 'view' THEN event_time_utc ELSE ingested_at_utc END AS event_time_utc,
-       ingested_at_utc, CAST(NULL AS INTEGER) AS label_bad_outcome, CAST(NULL AS INTEGER) AS label_anomaly,
-       CAST(NULL AS INTEGER) AS label_dispute_lost
+       ingested_at_utc, CAST(NULL AS DOUBLE) AS label_bad_outcome, CAST(NULL AS DOUBLE) AS label_anomaly,
+       CAST(NULL AS DOUBLE) AS label_dispute_lost
 FROM live_facts"""
 
 
@@ -768,7 +771,7 @@ d22 AS (
          CAST(0.30 AS DOUBLE) AS fixed_fee, CAST(NULL AS VARCHAR) AS settlement_schedule,
          CAST(NULL AS VARCHAR) AS payout_frequency, CAST(NULL AS VARCHAR) AS payout_method,
          CAST(CASE risk_tier WHEN 'HIGH' THEN 0.07 WHEN 'MEDIUM' THEN 0.03 ELSE 0.0 END AS DOUBLE) AS reserve_rate,
-         CAST(NULL AS DOUBLE) AS avg_order_value_usd_est, CAST(NULL AS INTEGER) AS avg_daily_txn_est,
+         CAST(NULL AS DOUBLE) AS avg_order_value_usd_est, CAST(NULL AS DOUBLE) AS avg_daily_txn_est,
          {NOW} AS created_at_utc
   FROM dim
 )"""
