@@ -914,3 +914,23 @@ def q_clone_events(spark, sf_dir):
     sent = (clones.select(F.get_json_object("payload", "$.merchant_id").alias("merchant_id"))
             .filter(F.col("merchant_id") != "").groupBy("merchant_id").agg(F.count(F.lit(1)).alias("clones")))
     return sent.join(per_clone, "merchant_id", "left")
+
+
+@query("stream_window_features")
+def q_stream_window_features(spark, sf_dir):
+    """OP-50, native form: the stored fact table read as a stream, event-time
+    watermark + sliding window aggregation in update mode, upserted per
+    micro-batch; the final snapshot table equals the batch features."""
+    import uuid
+
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.store import TableStore
+    from merchant_signals.streaming.stream import start_windowed_feature_stream
+
+    base = scratch_path(spark, "window_stream", uuid.uuid4().hex)
+    facts = V.live_facts(spark, sf_dir)
+    stream = spark.readStream.schema(facts.schema).parquet(V.stored_path(spark, sf_dir, "live_facts"))
+    store = TableStore(spark, base + "/store")
+    start_windowed_feature_stream(spark, stream, store, base + "/ckpt").awaitTermination()
+    return store.read("snapshots").select("merchant_id", "snapshot_time_utc", "txn_count_15m", "gmv_usd_15m",
+                                          "txn_count_1h", "gmv_usd_1h")

@@ -941,3 +941,6 @@ def _():
     return with_(RAW_ROWS) + """
 SELECT 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id, count(*) AS clones, count(*) AS facts
 FROM raw_rows WHERE eid % 97 <> 0 GROUP BY 1"""
+
+
+ORACLES["stream_window_features"] = ORACLES["merchant_features"]

@@ -56,6 +56,13 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int |
     return spark.read.parquet(path)
 
 
+def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a stored table (built on first use)."""
+    live = {"raw": raw, "live_facts": live_facts, "hist_snapshots": hist_snapshots, "training_set": training_set}
+    live[name](spark, sf_dir)
+    return _STORED[(*_input_key(spark, sf_dir), name)]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw landing table (``raw_realtime_events``) for the driver tables."""
     from merchant_signals.functions.time import to_utc
