@@ -197,11 +197,12 @@ def exact_percentile(values: DataFrame, col: str, q: float) -> DataFrame:
     """Exact, interpolating quantile (``percentile_cont``) without gathering the
     values in one task: sort distributed, number rows densely (OP-04), pick
     the two neighbours of position q*(n-1).  One-row result (``p``)."""
-    v = values.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # The tiebreaker (a hash of the whole row: deterministic under recompute)
+    # keeps a value shared by many rows from landing in one range partition;
+    # equal values are interchangeable for the result.
+    v = (values.select(F.col(col).cast("double").alias("_v"), F.xxhash64(*values.columns).alias("_tb"))
+         .filter(F.col("_v").isNotNull()))
     n = v.agg(F.count(F.lit(1)).alias("_n"))
-    # the tiebreaker keeps a value shared by many rows from landing in one
-    # range partition; equal values are interchangeable for the result
-    v = v.withColumn("_tb", F.monotonically_increasing_id())
     numbered = dense_row_id(v, ["_v", "_tb"], "_rn", start=0)
     pos = F.lit(q) * (F.col("_n") - 1)
     lo, hi = F.floor(pos), F.ceil(pos)
