@@ -934,3 +934,23 @@ def q_stream_window_features(spark, sf_dir):
     start_windowed_feature_stream(spark, stream, store, base + "/ckpt").awaitTermination()
     return store.read("snapshots").select("merchant_id", "snapshot_time_utc", "txn_count_15m", "gmv_usd_15m",
                                           "txn_count_1h", "gmv_usd_1h")
+
+
+@query("fact_csv_load")
+def q_fact_csv_load(spark, sf_dir):
+    """OP-06: the 14-column fact file loaded into the live fact table with
+    insert-ignore on event_id (all-or-nothing checks first)."""
+    import uuid
+
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources import driver
+    from merchant_signals.sources.files import load_fact_csv, write_csv
+
+    path = scratch_path(spark, "fact_csv", uuid.uuid4().hex)
+    write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
+    new, staged = load_fact_csv(spark, path, V.live_facts(spark, sf_dir))
+    # label_bad_outcome is NULL on some staged rows; a nullable integer column
+    # converts to float in pandas, so it is compared as double on both sides.
+    return new.select("event_id", "event_type", "event_time_utc", "merchant_id", "amount_usd",
+                      F.col("label_bad_outcome").cast("double").alias("label_bad_outcome"), "source",
+                      F.lit(staged).cast("long").alias("staged_rows"))

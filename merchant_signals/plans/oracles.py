@@ -944,3 +944,21 @@ FROM raw_rows WHERE eid % 97 <> 0 GROUP BY 1"""
 
 
 ORACLES["stream_window_features"] = ORACLES["merchant_features"]
+
+
+@oracle("fact_csv_load")
+def _():
+    return with_(LIVE_FACTS) + """,
+stage AS (
+  SELECT 'evt_' || CAST(event_id AS VARCHAR) AS event_id, event_type, ts AS event_time_utc,
+         'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id,
+         CASE WHEN event_id % 53 = 0 THEN NULL
+              WHEN event_type = 'error' AND event_id % 7 = 0 THEN -CAST(value AS DECIMAL(18,2))
+              ELSE CAST(value AS DECIMAL(18,2)) END AS amount_usd,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(event_type = 'error' AS INTEGER) END AS label_bad_outcome
+  FROM events
+)
+SELECT s.event_id, s.event_type, s.event_time_utc, s.merchant_id, CAST(s.amount_usd AS DOUBLE) AS amount_usd,
+       CAST(s.label_bad_outcome AS DOUBLE) AS label_bad_outcome, 'SYNTHETIC' AS source,
+       (SELECT count(*) FROM stage) AS staged_rows
+FROM stage s WHERE NOT EXISTS (SELECT 1 FROM live_facts l WHERE l.event_id = s.event_id)"""
