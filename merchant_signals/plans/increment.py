@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals.operators import facts as facts_op
@@ -83,9 +83,11 @@ def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.date
     model_path = model_path or f"{store.root}/_models/{MODEL_VERSION}"
     start, end = scheduled_window(interval_end)
     tset = training_dataset(store.read("snapshots"), store.read("facts"), _ts(start), _ts(end), _ts(now))
-    export_training_csv(tset, export_path)
+    # The exported row count is observed while the file is written (no second pass).
+    obs = Observation("training_export")
+    export_training_csv(tset.observe(obs, F.count(F.lit(1)).alias("rows")), export_path)
+    out["exported_rows"] = int(obs.get["rows"])
     exported = read_csv(spark, export_path, tset.schema)
-    out["exported_rows"] = exported.count()
     if out["exported_rows"] > 0:
         model_op.save(model_op.train(exported), model_path)
         out["trained"] = True
