@@ -64,11 +64,20 @@ class TableStore:
     def _exists(self, name: str) -> bool:
         return path_exists(self.spark, self.path(name))
 
+    def _full_schema(self, name: str) -> StructType:
+        """Data columns plus the partition column (typed), for schema-explicit reads
+        that also work on a folder holding no data file yet."""
+        schema = SCHEMAS[name]
+        part = PARTITIONS.get(name, [])
+        extra = [T.StructField(p, T.StringType() if p == "source" else T.DateType()) for p in part
+                 if p not in schema.fieldNames()]
+        return T.StructType([f for f in schema.fields if f.name not in part] + extra)
+
     def read(self, name: str) -> DataFrame:
         schema = SCHEMAS[name]
         if not self._exists(name):
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.parquet(self.path(name))
+        df = self.spark.read.schema(self._full_schema(name)).parquet(self.path(name))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def read_dates(self, name: str, lo, hi) -> DataFrame:
@@ -77,7 +86,7 @@ class TableStore:
         if not self._exists(name):
             return self.spark.createDataFrame([], schema)
         part = PARTITIONS[name][0]
-        df = self.spark.read.parquet(self.path(name)).filter(
+        df = self.spark.read.schema(self._full_schema(name)).parquet(self.path(name)).filter(
             F.col(part).between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
@@ -97,7 +106,7 @@ class TableStore:
     def _stage(self, df: DataFrame) -> DataFrame:
         p = scratch_path(self.spark, "staging", uuid.uuid4().hex)
         df.write.mode("overwrite").parquet(p)
-        return self.spark.read.parquet(p)
+        return self.spark.read.schema(df.schema).parquet(p)
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Replace a small table whole (via a staged copy)."""
@@ -111,6 +120,8 @@ class TableStore:
         out = self._with_partition_cols(name, new_state.select(*[F.col(f.name).cast(f.dataType)
                                                                  for f in schema.fields]))
         staged = self._stage(out)
+        if staged.isEmpty():  # no partition to replace
+            return
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
