@@ -11,7 +11,6 @@ it is unset (tests and local runs); on a cluster it must name a shared folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,12 +74,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "merchant_signals", *parts])
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests only)."""
-    if uri.startswith("file:"):
-        uri = uri[5:]
-        while uri.startswith("//"):
-            uri = uri[1:]
-    return os.path.abspath(uri)
