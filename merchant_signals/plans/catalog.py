@@ -954,3 +954,27 @@ def q_fact_csv_load(spark, sf_dir):
     return new.select("event_id", "event_type", "event_time_utc", "merchant_id", "amount_usd",
                       F.col("label_bad_outcome").cast("double").alias("label_bad_outcome"), "source",
                       F.lit(staged).cast("long").alias("staged_rows"))
+
+
+FEATURES_SQL = """
+SELECT merchant_id,
+       w.end AS snapshot_time_utc,
+       CAST(count_if(event_time_utc >= w.end - INTERVAL 15 MINUTES) AS INT) AS txn_count_15m,
+       CAST(coalesce(sum(amount_usd) FILTER (WHERE event_time_utc >= w.end - INTERVAL 15 MINUTES), 0)
+            AS DECIMAL(18,2)) AS gmv_usd_15m,
+       CAST(count(*) AS INT) AS txn_count_1h,
+       CAST(coalesce(sum(amount_usd), 0) AS DECIMAL(18,2)) AS gmv_usd_1h
+FROM (SELECT merchant_id, event_time_utc, ingested_at_utc, amount_usd,
+             window(event_time_utc, '1 hour', '15 minutes') AS w
+      FROM fact_payment_events) f
+WHERE ingested_at_utc < w.end
+GROUP BY merchant_id, w.end
+"""
+
+
+@query("merchant_features_sql")
+def q_merchant_features_sql(spark, sf_dir):
+    """OP-31 + OP-32 + OP-49 in Spark SQL over the fact table view (same plan
+    shape as the DataFrame form: Expand, guard filter, one hash aggregate)."""
+    V.live_facts(spark, sf_dir).createOrReplaceTempView("fact_payment_events")
+    return spark.sql(FEATURES_SQL)

@@ -962,3 +962,6 @@ SELECT s.event_id, s.event_type, s.event_time_utc, s.merchant_id, CAST(s.amount_
        CAST(s.label_bad_outcome AS DOUBLE) AS label_bad_outcome, 'SYNTHETIC' AS source,
        (SELECT count(*) FROM stage) AS staged_rows
 FROM stage s WHERE NOT EXISTS (SELECT 1 FROM live_facts l WHERE l.event_id = s.event_id)"""
+
+
+ORACLES["merchant_features_sql"] = ORACLES["merchant_features"]
