@@ -69,7 +69,11 @@ def training_dataset(snapshots: DataFrame, facts: DataFrame, start: Column, end:
     """``export_risk_training_dataset(start, end)``: 12 columns, unordered
     (sinks order by (snapshot_time_utc, merchant_id))."""
     base = mature_snapshots(snapshots, start, end, now).select(*TRAINING_COLUMNS[:9])
-    return next_24h_labels(base, facts).select(*TRAINING_COLUMNS)
+    # Every label window [T, T+24h) lies inside [start, end + 24h): only those
+    # facts are binned (literal bounds, pushed to the scan).
+    t = F.col("event_time_utc")
+    near = facts.filter((t >= start) & (t < end + interval("24 HOURS")))
+    return next_24h_labels(base, near).select(*TRAINING_COLUMNS)
 
 
 def scheduled_window(interval_end: _dt.datetime) -> tuple[_dt.datetime, _dt.datetime]:
@@ -92,4 +96,7 @@ def training_dataset_history(snapshots: DataFrame, facts: DataFrame, now: Column
     base = (snapshots.join(w, (t >= F.col("snapshot_start_utc")) & (t < F.col("snapshot_end_utc"))
                            & (t + interval("24 HOURS") <= now))
             .select(*TRAINING_COLUMNS[:9]))
-    return next_24h_labels(base, facts).select(*TRAINING_COLUMNS)
+    e = F.col("event_time_utc")
+    near = (facts.join(w, (e >= F.col("snapshot_start_utc")) & (e < F.col("snapshot_end_utc") + interval("24 HOURS")))
+            .drop("snapshot_start_utc", "snapshot_end_utc"))
+    return next_24h_labels(base, near).select(*TRAINING_COLUMNS)

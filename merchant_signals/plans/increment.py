@@ -82,7 +82,9 @@ def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.date
     export_path = export_path or f"{store.root}/_exports/risk_training_dataset_latest"
     model_path = model_path or f"{store.root}/_models/{MODEL_VERSION}"
     start, end = scheduled_window(interval_end)
-    tset = training_dataset(store.read("snapshots"), store.read("facts"), _ts(start), _ts(end), _ts(now))
+    snaps = store.read_dates("snapshots", start.date(), end.date())
+    facts = store.read_dates("facts", start.date(), (end + _dt.timedelta(hours=24)).date())
+    tset = training_dataset(snaps, facts, _ts(start), _ts(end), _ts(now))
     # The exported row count is observed while the file is written (no second pass).
     obs = Observation("training_export")
     export_training_csv(tset.observe(obs, F.count(F.lit(1)).alias("rows")), export_path)
