@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from merchant_signals.operators import model as M
 from merchant_signals.operators.scoring import model_score
