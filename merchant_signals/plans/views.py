@@ -44,8 +44,12 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int |
 
     ensure_session(spark)
     key = (*_input_key(spark, sf_dir), name)
+    from merchant_signals.sources.store import path_exists
+
     with _STORED_LOCK:  # one build per table, even with concurrent callers
         path = _STORED.get(key)
+        if path is not None and not path_exists(spark, path):
+            path = None  # folder removed since: build again
         if path is None:
             path = scratch_path(spark, "tables", name, hashlib.sha1(repr(key).encode()).hexdigest()[:16])
             df = build()
