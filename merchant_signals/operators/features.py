@@ -25,8 +25,12 @@ from pyspark.sql import functions as F
 
 from merchant_signals.functions.time import BUCKET, ceil15, interval, next15
 
-# An arbitrary-times evaluation broadcasts the time list up to this size.
-BROADCAST_TIMES_MAX = 10_000
+# Arbitrary-time evaluation: up to this many times are matched by a broadcast
+# nested-loop range join (cost: facts x times comparisons, so only for short
+# lists such as a run's bucket list); longer lists use the hour-keyed join,
+# whose time side is broadcast when a probe shows at most KEYED_TIMES_BROADCAST.
+NESTED_LOOP_TIMES_MAX = 64
+KEYED_TIMES_BROADCAST = 1_000_000
 HORIZON_BUCKETS = 6
 
 
@@ -120,25 +124,28 @@ def features_at_times(facts: DataFrame, times: DataFrame, time_col: str = "snaps
                       times_bound: int | None = None) -> DataFrame:
     """OP-28: features at arbitrary (possibly unaligned) times.
 
-    A bounded time list (a run's bucket list) is broadcast and matched with a
-    range condition: one scan of the facts, no shuffle of the fact side.  An
-    unbounded list is keyed by hour instead: a fact at ``e`` can only serve
-    times in (e, e+1h], i.e. hours floor(e) and floor(e)+1, so both sides
-    are equi-joined on (hour) and the exact range is checked after."""
+    A short time list (a run's bucket list, probed <= 64) is broadcast and
+    matched with a range condition: one scan of the facts, no shuffle.  A
+    longer list is keyed by hour: a fact at ``e`` only serves times in
+    (e, e+1h], i.e. hours floor(e) and floor(e)+1, so both sides are
+    equi-joined on the hour and the exact range is checked after -- each fact
+    meets only the times of two hours, never the whole list."""
     from merchant_signals.operators.sizing import at_most
 
     t = times.select(F.col(time_col).cast("timestamp").alias("_T")).distinct()
-    if times_bound is None and at_most(t, BROADCAST_TIMES_MAX):
-        times_bound = BROADCAST_TIMES_MAX
+    if times_bound is None and at_most(t, NESTED_LOOP_TIMES_MAX):
+        times_bound = NESTED_LOOP_TIMES_MAX
     f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd")
     cond = ((F.col("event_time_utc") >= F.col("_T") - interval("1 HOUR")) & (F.col("event_time_utc") < F.col("_T"))
             & (F.col("ingested_at_utc") < F.col("_T")))
-    if times_bound is not None and times_bound <= BROADCAST_TIMES_MAX:
+    if times_bound is not None and times_bound <= NESTED_LOOP_TIMES_MAX:
         j = f.join(F.broadcast(t), cond)
     else:
         hour = F.date_trunc("hour", F.col("event_time_utc"))
         fk = f.withColumn("_h", F.explode(F.array(hour, hour + interval("1 HOUR"))))
         tk = t.withColumn("_h", F.date_trunc("hour", F.col("_T") - F.expr("INTERVAL 1 MICROSECOND")))
+        if at_most(tk, KEYED_TIMES_BROADCAST):
+            tk = F.broadcast(tk)
         j = fk.join(tk, "_h").filter(cond)
     return (j.groupBy("merchant_id", F.col("_T").alias("snapshot_time_utc"))
             .agg(*_aggs(F.col("_T"))))
