@@ -39,8 +39,10 @@ SNAPSHOT_SCHEMA = _schema([
 DIM_SCHEMA = _schema([("merchant_id", T.StringType()), ("merchant_name", T.StringType()),
                       ("created_at", T.TimestampType())])
 
+SEQUENCE_SCHEMA = _schema([("last_raw_id", T.LongType())])
+
 SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA,
-           "watermark": S.WATERMARK, "dim_merchant": DIM_SCHEMA}
+           "watermark": S.WATERMARK, "dim_merchant": DIM_SCHEMA, "raw_sequence": SEQUENCE_SCHEMA}
 PARTITIONS = {"raw": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
 DATE_OF = {"facts": "event_time_utc", "snapshots": "snapshot_time_utc"}
 
@@ -131,12 +133,22 @@ class TableStore:
 
     # ---- raw landing (OP-01 / OP-02 / OP-04) ----------------------------------------
     def append_raw(self, rows: DataFrame, order_by: list[str] | None = None) -> int:
-        """Assign dense raw ids after the current maximum, in ``order_by`` order
-        (default: received_at, payload), and append.  Returns the new max id."""
+        """Assign dense raw ids after the last assigned one, in ``order_by``
+        order (default: received_at, payload), and append.  The last id lives
+        in a one-row ``raw_sequence`` table (single writer, like a serial), so
+        landing never scans the raw table; it is initialised from the raw ids
+        once.  Returns the new last id."""
         from merchant_signals.operators.row_ids import dense_row_id
 
-        start = self.read("raw").agg(F.coalesce(F.max("raw_id"), F.lit(0))).first()[0]
+        seq = self.read("raw_sequence").first() if self._exists("raw_sequence") else None
+        if seq is None:
+            seq = self.read("raw").agg(F.coalesce(F.max("raw_id"), F.lit(0)).alias("last_raw_id")).first()
+        start = int(seq["last_raw_id"])
         numbered = dense_row_id(rows.select("source", "payload", "received_at"),
-                                order_by or ["received_at", "payload"], "raw_id", start=int(start) + 1)
-        self.append("raw", numbered)
-        return int(self.read("raw").agg(F.max("raw_id")).first()[0] or 0)
+                                order_by or ["received_at", "payload"], "raw_id", start=start + 1).persist()
+        n = numbered.count()
+        if n:
+            self.append("raw", numbered)
+            self.replace("raw_sequence", self.spark.createDataFrame([(start + n,)], SEQUENCE_SCHEMA))
+        numbered.unpersist()
+        return start + n

@@ -51,3 +51,21 @@ def test_fact_and_dim_csv_loads_are_all_or_nothing(spark, tmp_dir):
     target = spark.createDataFrame([], "merchant_id string")
     with pytest.raises(ValueError):
         load_dim_csv(spark, empty, target)
+
+
+def test_raw_landing_ids_are_dense_and_continue(spark, tmp_dir):
+    import datetime as dt
+
+    from merchant_signals.sources.store import TableStore
+
+    store = TableStore(spark, tmp_dir + "/store")
+    t = dt.datetime(2024, 1, 1)
+    first = spark.createDataFrame([("S", f'{{"n": {i}}}', t + dt.timedelta(seconds=i)) for i in range(5)],
+                                  "source string, payload string, received_at timestamp")
+    assert store.append_raw(first) == 5
+    second = spark.createDataFrame([("S", f'{{"n": {i}}}', t + dt.timedelta(seconds=i)) for i in range(5, 8)],
+                                   "source string, payload string, received_at timestamp")
+    assert store.append_raw(second) == 8
+    got = sorted((r.raw_id, r.payload) for r in store.read("raw").collect())
+    assert got == [(i + 1, f'{{"n": {i}}}') for i in range(8)]
+    assert store.read("raw_sequence").first().last_raw_id == 8
