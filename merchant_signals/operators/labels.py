@@ -90,13 +90,13 @@ def history_window(facts: DataFrame, now: Column) -> DataFrame:
 
 
 def training_dataset_history(snapshots: DataFrame, facts: DataFrame, now: Column) -> DataFrame:
-    """The seed script's export: bounds from the facts, joined as one row."""
-    w = F.broadcast(history_window(facts, now))
-    t = F.col("snapshot_time_utc")
-    base = (snapshots.join(w, (t >= F.col("snapshot_start_utc")) & (t < F.col("snapshot_end_utc"))
-                           & (t + interval("24 HOURS") <= now))
-            .select(*TRAINING_COLUMNS[:9]))
-    e = F.col("event_time_utc")
-    near = (facts.join(w, (e >= F.col("snapshot_start_utc")) & (e < F.col("snapshot_end_utc") + interval("24 HOURS")))
-            .drop("snapshot_start_utc", "snapshot_end_utc"))
-    return next_24h_labels(base, near).select(*TRAINING_COLUMNS)
+    """The seed script's export.  Its bounds are a one-row control value read
+    first, so the export itself runs on literal bounds: the snapshot filter and
+    the fact range [start, end + 24h) reach the scans, with no extra join."""
+    b = history_window(facts, now).first()
+    if b is None or b["snapshot_start_utc"] is None:  # no facts: nothing to export
+        return snapshots.limit(0).select(*TRAINING_COLUMNS[:9]).select(
+            "*", *[F.lit(0).alias(f"{l}_24h") for l in LABELS]).select(*TRAINING_COLUMNS)
+    start = F.lit(b["snapshot_start_utc"]).cast("timestamp")
+    end = F.lit(b["snapshot_end_utc"]).cast("timestamp")
+    return training_dataset(snapshots, facts, start, end, now)
