@@ -50,3 +50,18 @@ def test_no_python_udfs_anywhere(spark):
     for name in ["risk_score_v1", "label_24h", "score_model", "fees_net", "anomaly_p997", "load_stats"]:
         p = _plan(E.queries()[name](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_long_time_lists_use_the_keyed_join(spark):
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.features import features_at_times
+
+    facts = V.live_facts(spark, SF)
+    times = facts.select((F.col("event_time_utc") + F.expr("INTERVAL 7 MINUTES")).alias("snapshot_time_utc"))
+    p = _plan(features_at_times(facts, times))
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    short = times.orderBy("snapshot_time_utc").limit(5)
+    a = {tuple(r) for r in features_at_times(facts, short).collect()}
+    b = {tuple(r) for r in features_at_times(facts, short, times_bound=10 ** 9).collect()}
+    assert a == b and a
