@@ -59,10 +59,14 @@ def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BA
 def recompute_buckets(store: TableStore, lo: _dt.datetime, hi: _dt.datetime, computed_at) -> int:
     """OP-28/31/49 + OP-25: features for buckets lo..hi, upserted."""
     facts = store.read_dates("facts", (lo - _dt.timedelta(hours=1)).date(), hi.date())
-    src = risk_score_v1(merchant_features(facts, lo, hi)).withColumn("computed_at_utc", computed_at)
+    obs = Observation("recomputed")
+    src = (risk_score_v1(merchant_features(facts, lo, hi)).withColumn("computed_at_utc", computed_at)
+           .observe(obs, F.count(F.lit(1)).alias("rows")))
     current = store.read_dates("snapshots", lo.date(), hi.date())
+    # the staged write inside replace_partitions always runs the plan, so the
+    # observed count is ready afterwards (no second feature job)
     store.replace_partitions("snapshots", upsert_snapshots(current, src))
-    return src.count()
+    return int(obs.get["rows"])
 
 
 def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.datetime,
