@@ -8,9 +8,9 @@ iw AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, regexp_extract_all(tra
 win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
         FROM (SELECT item, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM iw WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
-at AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+spot AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)),
-hit AS (SELECT doc_id, item, at.n, i FROM at JOIN win ON at.s = win.s AND at.n = win.n),
+hit AS (SELECT doc_id, item, spot.n, i FROM spot JOIN win ON spot.s = win.s AND spot.n = win.n),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
