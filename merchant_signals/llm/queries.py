@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import decontaminate, langid, packing, url_filter
+from merchant_signals.llm import decontaminate, langid, packing, quality, url_filter
 from merchant_signals.llm.common import table
 from merchant_signals.llm.tokens import word_bpe_path
 
@@ -18,6 +18,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe_path())
 
@@ -35,4 +39,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op8_best_fit_packing, op9_url_filter, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_quality_rules, op8_best_fit_packing, op9_url_filter, op10_language_id)}
