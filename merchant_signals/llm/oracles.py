@@ -28,4 +28,14 @@ fit AS (SELECT page_id, h || q AS rule, v, row_number() OVER (PARTITION BY page_
 SELECT s.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN fit ON fit.page_id = s.page_id AND k = 1
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op9_url_filter": OP9}
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS x, max(page_id) OVER (PARTITION BY body) AS top FROM p),
+d AS (SELECT *, array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        (((('0x' || substr(x, ((j // 8) * 10 + 1)::BIGINT, 10))::BIGINT >> (35 - 5 * (j % 8))) & 31) + 1)::BIGINT, 1)), '') AS payload_digest FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+ORACLES = {"op1_decontaminate": OP1, "op6_warc_archive": OP6, "op9_url_filter": OP9}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import decontaminate, langid, packing, quality, url_filter
-from merchant_signals.llm.common import table
+from merchant_signals.llm import decontaminate, langid, packing, pii, quality, token_rollup, url_filter, warc
+from merchant_signals.llm.common import fresh_path, table
 from merchant_signals.llm.tokens import word_bpe_path
 
 #: Host, path, verdict.
@@ -18,10 +18,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, pii.key_of(spark))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = fresh_path(spark, "warc")
+    warc.write_archive(pages, path)
+    return warc.read_archive(spark, path)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch for each of two tokenizer versions; the first is delivered twice, which changes nothing."""
+    docs = table(spark, sf_dir, "documents")
+    rollup = token_rollup.TokenRollup(spark, fresh_path(spark, "token-rollup"))
+    words = token_rollup.counted(docs, "words", token_rollup.word_counter)
+    rollup.apply("words", words)
+    rollup.apply("word_bpe_49k", token_rollup.counted(docs, "word_bpe_49k", token_rollup.bpe_counter(word_bpe_path())))
+    rollup.apply("words", words)
+    return rollup.totals()
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_bpe_path())
 
@@ -39,4 +62,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op5_quality_rules, op8_best_fit_packing, op9_url_filter, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
+                                  op8_best_fit_packing, op9_url_filter, op10_language_id)}
