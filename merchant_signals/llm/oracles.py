@@ -28,6 +28,17 @@ fit AS (SELECT page_id, h || q AS rule, v, row_number() OVER (PARTITION BY page_
 SELECT s.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN fit ON fit.page_id = s.page_id AND k = 1
 """
 
+OP3 = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+firsts AS (SELECT s, min(doc_id) AS f FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN firsts USING (s) WHERE f < doc_id),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP6 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 h AS (SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS x, max(page_id) OVER (PARTITION BY body) AS top FROM p),
@@ -38,4 +49,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 FROM d
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op6_warc_archive": OP6, "op9_url_filter": OP9}
+ORACLES = {"op1_decontaminate": OP1, "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9}
