@@ -28,6 +28,19 @@ fit AS (SELECT page_id, h || q AS rule, v, row_number() OVER (PARTITION BY page_
 SELECT s.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM s LEFT JOIN fit ON fit.page_id = s.page_id AND k = 1
 """
 
+OP2 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_A}', lower('{_A}')), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+sym AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS x, b AS y FROM sym UNION SELECT x, b FROM reach JOIN sym ON y = a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS m FROM reach GROUP BY x) r ON r.x = d.doc_id
+"""
+
 OP3 = r"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
@@ -49,4 +62,5 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 FROM d
 """
 
-ORACLES = {"op1_decontaminate": OP1, "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9}
+ORACLES = {"op1_decontaminate": OP1, "op2_ngram_jaccard_join": OP2,
+           "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import decontaminate, langid, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
+from merchant_signals.llm import decontaminate, langid, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
 from merchant_signals.llm.common import fresh_path, table
 from merchant_signals.llm.tokens import word_bpe_path
 
@@ -18,6 +18,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(hits)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -67,5 +71,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_substring_dedup, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_jaccard_join, op3_substring_dedup, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
                                   op8_best_fit_packing, op9_url_filter, op10_language_id)}

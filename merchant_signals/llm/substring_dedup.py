@@ -6,7 +6,7 @@ document with a smaller id is removed; windows are judged on the input.
 1. Each task counts its windows' hashes in two rows of cells, saturating at 2, and sends the cells it met, sorted and
    delta-coded, by block of cells.  The blocks are merged into one bit a cell: met twice or more.  Counts are only
    ever too high, so that no repeated window is lost.  The rows have about four cells for each word of the corpus, at
-   most ``MAX_CELLS``: the merged bits, which are broadcast, never exceed 2 x ``MAX_CELLS`` / 8 bytes.  Beyond that
+   most ``repeats.MAX_CELLS``: the merged bits, which are broadcast, never exceed 2 x ``MAX_CELLS`` / 8 bytes.  Beyond that
    size more windows pass the filter; the result stays the same.
 2. Only windows whose cells in both rows were met twice are grouped exactly, by 64-bit hash.  Inside a batch all but
    the smallest id of a window are settled at once, so that a passage of any number of documents sends one row a batch.
@@ -28,107 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchant_signals.llm.common import arrow_map
+from merchant_signals.llm.repeats import cells_for, repeated, sketch
 from merchant_signals.llm.words import mix, texts_of, windows, words_of
 
 #: Words of a window.
 WINDOW = 13
-#: Bounds of the cells of a row, and blocks that a row is merged in.
-MIN_CELLS, MAX_CELLS, BLOCKS = 1 << 20, 1 << 28, 128
-ROWS = 2
-#: Windows that a task keeps before it sends their cells.
-FLUSH = 3_000_000
 _LAST = (1 << 63) - 1
 
 
-def cells_for(docs: DataFrame, text_col: str) -> int:
-    """Cells of a row: a power of two, about four for each word."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long")).alias("n")).first()["n"] or 0
-    return min(MAX_CELLS, max(MIN_CELLS, 1 << int(size * 4 // 6).bit_length()))
-
-
-def _cell(h: np.ndarray, row: int, cells: int) -> np.ndarray:
-    return (mix(h, 100 + row) & np.uint64(cells - 1)).astype(np.uint32)
-
-
-def _pack(sorted_cells: np.ndarray) -> bytes:
-    step = np.diff(sorted_cells, prepend=np.uint32(0)).astype(np.uint32)
-    kind = 0 if step.max(initial=0) < 1 << 8 else 1 if step.max(initial=0) < 1 << 16 else 2
-    return bytes([kind]) + zstandard.ZstdCompressor(1).compress(step.astype((np.uint8, np.uint16, np.uint32)[kind]).tobytes())
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    kind = (np.uint8, np.uint16, np.uint32)[data[0]]
-    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), kind), dtype=np.int64)
-
-
-def sketch(docs: DataFrame, cells: int, k: int = WINDOW, text_col: str = "text") -> list[np.ndarray]:
-    """Of each row, the packed bits of the cells that were met twice or more."""
-    blocks = min(BLOCKS, cells // 8)
-    span = cells // blocks
-
-    def send(kept: list[np.ndarray]) -> pa.RecordBatch:
-        h = np.concatenate(kept)
-        part, many, data = [], [], []
-        for row in range(ROWS):
-            cell, n = np.unique(_cell(h, row, cells), return_counts=True)
-            for twice in (False, True):
-                own = cell[(n > 1) == twice]
-                edge = np.searchsorted(own, np.arange(blocks + 1, dtype=np.int64) * span)
-                for x in np.flatnonzero(np.diff(edge)):
-                    part.append(row * blocks + int(x)), many.append(twice)
-                    data.append(_pack(own[edge[x]:edge[x + 1]] - np.uint32(x * span)))
-        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(many), pa.array(data, pa.binary())],
-                                          names=["part", "many", "data"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, n = [], 0
-        for b in batches:
-            for w in words_of(b.column(0)):
-                kept.append(windows(w, k)[0])
-                n += len(kept[-1])
-                if n >= FLUSH:
-                    yield send(kept)
-                    kept, n = [], 0
-        if n:
-            yield send(kept)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, met = None, np.zeros(span, np.uint8)
-
-        def done() -> pa.RecordBatch:
-            bits = zstandard.ZstdCompressor(1).compress(np.packbits(met >= 2, bitorder="little").tobytes())
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([bits], pa.binary())], names=["part", "bits"])
-
-        for b in batches:
-            for part, many, data in zip(*(c.to_pylist() for c in b.columns)):
-                if part != at:
-                    if at is not None:
-                        yield done()
-                    at, met = part, np.zeros(span, np.uint8)
-                cell = _unpack(data)
-                met[cell] = 2 if many else np.minimum(met[cell] + 1, 2)
-        if at is not None:
-            yield done()
-
-    merged = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(count, "part int, many boolean, data binary")
-              .repartition("part").sortWithinPartitions("part").mapInArrow(merge, "part int, bits binary"))
-    found = [np.zeros(cells // 8, np.uint8) for _ in range(ROWS)]
-    for r in merged.toLocalIterator():  # ROWS * blocks rows of span / 8 bytes
-        row, x = divmod(r["part"], blocks)
-        bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r["bits"])), np.uint8)
-        found[row][x * span // 8:(x + 1) * span // 8] = bits
-    return found
-
-
-def repeated(h: np.ndarray, bits: list[np.ndarray]) -> np.ndarray:
-    """Which of the hashes were met twice by the sketch's estimate."""
-    out = np.ones(len(h), bool)
-    for row, own in enumerate(bits):
-        cell = _cell(h, row, len(own) * 8)
-        out &= (own[cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1) == 1
-    return out
-
-
 def _pairs(b: pa.RecordBatch, bits: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch (id, text): hash and id of its estimated repeats, sorted, each pair once; which are a hash's first."""
     doc = b.column(0).to_numpy(zero_copy_only=False)
@@ -153,7 +60,8 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("doc_id"),
                       F.col(text_col).cast("string").alias("text"))
-    shared = spark.sparkContext.broadcast(sketch(own, cells_for(own, "text"), k))
+    shared = spark.sparkContext.broadcast(sketch(
+        own.select("text"), lambda b: (windows(w, k)[0] for w in words_of(b.column(0))), cells_for(own, "text", 4.0)))
 
     def smallest(b: pa.RecordBatch) -> pa.RecordBatch:
         h, d, first = _pairs(b, shared.value, k)
