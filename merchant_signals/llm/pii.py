@@ -32,7 +32,7 @@ KEY_SETTING, TEST_KEY = "spark.merchant_signals.pii.key", "test-key"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
-SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))[=:](?=\S*[0-9])\S{6,}"
+SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))[=:](?=\S*[0-9])\S{5,}[^\s.,;:!?)\]}\"'>]"
 IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"
