@@ -31,3 +31,10 @@ def json_merge(payload: Column | str, overrides: Column) -> Column:
     ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by the session helper)."""
     base = F.from_json(_c(payload), "map<string,string>")
     return F.to_json(F.map_concat(base, overrides))
+
+
+def checked_json(c: Column | str) -> Column:
+    """The text itself; a text that isn't JSON fails the job (a JSONB column cannot hold it)."""
+    text = _c(c)
+    broken = text.isNotNull() & F.try_parse_json(text).isNull()
+    return F.when(broken, F.raise_error(F.concat(F.lit("not JSON: "), F.substring(text, 1, 200)))).otherwise(text)

@@ -11,9 +11,9 @@ def _c(c: Column | str) -> Column:
 
 
 def tolerant_float(c: Column | str) -> Column:
-    """OP-09: NULL, '' and 'null' read as 0.0; anything else must parse
-    (ANSI cast raises on junk, as Python's float() does)."""
-    s = F.trim(_c(c).cast("string"))
+    """OP-09: NULL, '' and 'null' exactly read as 0.0; anything else must parse
+    (the ANSI cast raises on junk and on blanks, and ignores space around a number)."""
+    s = _c(c).cast("string")
     return (F.when(s.isNull() | s.isin("", "null"), F.lit(0.0))
             .otherwise(s.cast("double")))
 

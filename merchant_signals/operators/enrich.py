@@ -7,11 +7,10 @@ exact (half away from zero), as NUMERIC is in the reference.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import math
 
-from merchant_signals.operators.row_ids import dense_row_id
-from merchant_signals.operators.sizing import maybe_broadcast
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 # ---- fixed values ----------------------------------------------------------
 EVENT_TYPES = [
@@ -187,37 +186,53 @@ def merchant_policy(dim: DataFrame, state_pick: Column | None = None) -> DataFra
 
 def enrich_with_merchant(facts: DataFrame, dim: DataFrame,
                          columns: tuple[str, ...] = ("merchant_segment", "risk_tier", "mcc", "country")) -> DataFrame:
-    """OP-30: attribute lookup by merchant.  The dimension is broadcast only
-    after a bounded probe shows it small; otherwise a shuffle join."""
-    d = dim.select("merchant_id", *columns)
-    return facts.join(maybe_broadcast(d), "merchant_id", "left")
-
-
-def exact_percentile(values: DataFrame, col: str, q: float) -> DataFrame:
-    """Exact, interpolating quantile (``percentile_cont``) without gathering the
-    values in one task: sort distributed, number rows densely (OP-04), pick
-    the two neighbours of position q*(n-1).  One-row result (``p``)."""
-    # The tiebreaker (a hash of the whole row: deterministic under recompute)
-    # keeps a value shared by many rows from landing in one range partition;
-    # equal values are interchangeable for the result.
-    v = (values.select(F.col(col).cast("double").alias("_v"), F.xxhash64(*values.columns).alias("_tb"))
-         .filter(F.col("_v").isNotNull()))
-    n = v.agg(F.count(F.lit(1)).alias("_n"))
-    numbered = dense_row_id(v, ["_v", "_tb"], "_rn", start=0)
-    pos = F.lit(q) * (F.col("_n") - 1)
-    lo, hi = F.floor(pos), F.ceil(pos)
-    picked = (numbered.crossJoin(F.broadcast(n))
-              .filter((F.col("_rn") == lo) | (F.col("_rn") == hi))
-              .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.first(pos - lo).alias("_f")))
-    return picked.select((F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias("p"))
+    """OP-30: attribute lookup by merchant.  Whether the dimension is broadcast is
+    decided from its real size (``spark.sql.autoBroadcastJoinThreshold``, adaptive
+    execution)."""
+    return facts.join(dim.select("merchant_id", *columns), "merchant_id", "left")
+
+
+#: Values that a percentile's last step may sort, and the accuracy of the sketch that narrows the range to them.
+SORT_AT_MOST, SKETCH_ACCURACY = 100_000, 10_000
+
+
+def exact_percentile(values: DataFrame, col: str, q: float) -> float | None:
+    """Exact, interpolating quantile (``percentile_cont``), a one-number control value.
+
+    A quantile sketch brackets the two neighbouring ranks; rows below the bracket
+    are counted and the bracket is narrowed again (its bounds reach the scan)
+    until few distinct values are left.  Those are counted, not sorted row by row,
+    so a value that a third of all rows share is one row."""
+    v = values.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    n = v.count()
+    if not n:
+        return None
+    pos = q * (n - 1)
+    ranks = (math.floor(pos), math.ceil(pos))
+    part, below, size = v, 0, n
+    while size > SORT_AT_MOST:
+        margin = 3 / SKETCH_ACCURACY
+        ps = [max(0.0, (ranks[0] - below) / size - margin), min(1.0, (ranks[1] - below) / size + margin)]
+        lo, hi = part.agg(F.percentile_approx("v", ps, SKETCH_ACCURACY).alias("p")).first()["p"]
+        inner = part.filter((F.col("v") >= lo) & (F.col("v") <= hi))
+        c = part.agg(F.count_if(F.col("v") < lo).alias("under"),
+                     F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inside")).first()
+        if not below + c["under"] <= ranks[0] or not ranks[1] < below + c["under"] + c["inside"] or c["inside"] == size:
+            break
+        part, below, size = inner, below + c["under"], c["inside"]
+    # distinct values of the bracket, with the rank behind each
+    counted = part.groupBy("v").count()
+    run = counted.select("v", (F.sum("count").over(Window.orderBy("v")) + F.lit(below)).alias("upto"))
+    low, high = (run.filter(F.col("upto") > F.lit(r)).agg(F.min("v").alias("v")).first()["v"] for r in ranks)
+    return low + (high - low) * (pos - ranks[0])
 
 
 def anomaly_flag(df: DataFrame, amount: str, event_time: str, ref: Column,
                  q: float = ANOMALY_QUANTILE, recent_days: int = ANOMALY_RECENT_DAYS) -> DataFrame:
     """OP-39: label_anomaly = 1 for events of the last ``recent_days`` before
-    ``ref`` whose amount exceeds that period's q-quantile; 0 otherwise."""
+    ``ref`` whose amount exceeds that period's q-quantile ``p``; 0 otherwise."""
     recent = F.col(event_time) >= ref - F.make_dt_interval(F.lit(recent_days))
     p = exact_percentile(df.filter(recent), amount, q)
-    out = df.crossJoin(F.broadcast(p))
-    return out.withColumn("label_anomaly",
-                          (recent & (F.col(amount).cast("double") > F.col("p"))).cast("int"))
+    over = F.lit(False) if p is None else F.coalesce(F.col(amount).cast("double") > F.lit(p), F.lit(False))
+    return (df.withColumn("p", F.lit(p).cast("double"))
+            .withColumn("label_anomaly", (recent & over).cast("int")))

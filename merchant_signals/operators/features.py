@@ -23,14 +23,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.time import BUCKET, ceil15, interval, next15
-
-# Arbitrary-time evaluation: up to this many times are matched by a broadcast
-# nested-loop range join (cost: facts x times comparisons, so only for short
-# lists such as a run's bucket list); longer lists use the hour-keyed join,
-# whose time side is broadcast when a probe shows at most KEYED_TIMES_BROADCAST.
-NESTED_LOOP_TIMES_MAX = 64
-KEYED_TIMES_BROADCAST = 1_000_000
+from merchant_signals.functions.time import BUCKET, ceil15, floor15, interval, next15
+
 HORIZON_BUCKETS = 6
 
 
@@ -114,54 +108,59 @@ def backfill_buckets(facts: DataFrame) -> DataFrame:
 def snapshot_backfill(facts: DataFrame) -> DataFrame:
     """OP-53: snapshots for every bucket in next15(min) .. next15(max).  Trailing
     buckets after next15(max) are not computed (as in the reference)."""
-    hi = facts.agg(next15(F.max("event_time_utc")).alias("_hi"))
-    feats = merchant_features(facts)
-    return (feats.join(F.broadcast(hi), F.col("snapshot_time_utc") <= F.col("_hi"))
-            .drop("_hi"))
+    hi = facts.agg(next15(F.max("event_time_utc")).alias("hi")).first()["hi"]  # one-row control value
+    return merchant_features(facts, t_max=hi)
 
 
-def features_at_times(facts: DataFrame, times: DataFrame, time_col: str = "snapshot_time_utc",
-                      times_bound: int | None = None) -> DataFrame:
+def features_at_times(facts: DataFrame, times: DataFrame, time_col: str = "snapshot_time_utc") -> DataFrame:
     """OP-28: features at arbitrary (possibly unaligned) times.
 
-    A short time list (a run's bucket list, probed <= 64) is broadcast and
-    matched with a range condition: one scan of the facts, no shuffle.  A
-    longer list is keyed by hour: a fact at ``e`` only serves times in
-    (e, e+1h], i.e. hours floor(e) and floor(e)+1, so both sides are
-    equi-joined on the hour and the exact range is checked after -- each fact
-    meets only the times of two hours, never the whole list."""
-    from merchant_signals.operators.sizing import at_most
-
+    A fact lies in one 15-minute slot; the hour before a time ``T`` touches at
+    most five.  Facts and times are equi-joined on the slot and the exact range is
+    checked after, so a fact meets only the times of its slot.  The first and last
+    time (a one-row control value) bound the fact scan."""
     t = times.select(F.col(time_col).cast("timestamp").alias("_T")).distinct()
-    if times_bound is None and at_most(t, NESTED_LOOP_TIMES_MAX):
-        times_bound = NESTED_LOOP_TIMES_MAX
-    f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd")
-    cond = ((F.col("event_time_utc") >= F.col("_T") - interval("1 HOUR")) & (F.col("event_time_utc") < F.col("_T"))
-            & (F.col("ingested_at_utc") < F.col("_T")))
-    if times_bound is not None and times_bound <= NESTED_LOOP_TIMES_MAX:
-        j = f.join(F.broadcast(t), cond)
-    else:
-        hour = F.date_trunc("hour", F.col("event_time_utc"))
-        fk = f.withColumn("_h", F.explode(F.array(hour, hour + interval("1 HOUR"))))
-        tk = t.withColumn("_h", F.date_trunc("hour", F.col("_T") - F.expr("INTERVAL 1 MICROSECOND")))
-        if at_most(tk, KEYED_TIMES_BROADCAST):
-            tk = F.broadcast(tk)
-        j = fk.join(tk, "_h").filter(cond)
+    span = t.agg(F.min("_T").alias("lo"), F.max("_T").alias("hi")).first()
+    lo, hi = (F.lit(span[k]).cast("timestamp") for k in ("lo", "hi"))
+    e = F.col("event_time_utc")
+    f = (facts.filter((e >= lo - interval("1 HOUR")) & (e < hi))
+         .select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd", floor15(e).alias("_slot")))
+    first = floor15(F.col("_T") - interval("1 HOUR"))
+    last = floor15(F.col("_T") - interval("1 MICROSECOND"))
+    slots = t.select("_T", F.explode(F.sequence(first, last, BUCKET())).alias("_slot"))
+    j = f.join(slots, "_slot").filter((e >= F.col("_T") - interval("1 HOUR")) & (e < F.col("_T"))
+                                      & (F.col("ingested_at_utc") < F.col("_T")))
     return (j.groupBy("merchant_id", F.col("_T").alias("snapshot_time_utc"))
             .agg(*_aggs(F.col("_T"))))
 
 
 def latest_per_merchant(snapshots: DataFrame, order_col: str = "snapshot_time_utc") -> DataFrame:
-    """OP-44: each merchant's newest snapshot.  ``max_by`` is combinable
-    (map-side partial aggregation), so there is no sort and no per-merchant
-    group materialised."""
-    cols = [c for c in snapshots.columns if c != "merchant_id"]
-    kept = snapshots.groupBy("merchant_id").agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-    return kept.select("merchant_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
+    """OP-44: each merchant's newest snapshot (times are unique per merchant):
+    a fixed-width max per merchant, then the rows with those times."""
+    newest = snapshots.groupBy("merchant_id").agg(F.max(order_col).alias(order_col))
+    return snapshots.join(newest, ["merchant_id", order_col], "left_semi")
+
+
+def newest_buckets(snapshots: DataFrame, n: int = 5, time_col: str = "snapshot_time_utc") -> DataFrame:
+    """OP-41: rows per bucket for the ``n`` newest buckets that have any.  Looks at
+    the last day first and doubles the span until it holds ``n`` buckets or all
+    of the history (bounds are literals, so older files aren't read)."""
+    ends = snapshots.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    counts = snapshots.groupBy(time_col).agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    if ends["hi"] is not None:
+        days = 1
+        while True:
+            since = ends["hi"] - _dt.timedelta(days=days)
+            recent = snapshots.filter(F.col(time_col) > F.lit(since).cast("timestamp"))
+            if since < ends["lo"] or recent.select(time_col).distinct().limit(n).count() == n:
+                break
+            days *= 2
+        counts = recent.groupBy(time_col).agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    return counts.orderBy(F.col(time_col).desc()).limit(n)
 
 
 __all__ = [
     "merchant_features", "late_excluded", "horizon_bounds", "recompute_horizon",
     "bucket_series", "backfill_buckets", "snapshot_backfill", "features_at_times",
-    "latest_per_merchant", "ceil15",
+    "latest_per_merchant", "newest_buckets", "ceil15",
 ]

@@ -1,29 +1,28 @@
 """Outcome labels over the next 24 hours and the training set (OP-19, 21, 27, 34, 08).
 
 The reference left-joins every snapshot with every fact of the same merchant
-in [T, T+24h) and takes ``COALESCE(MAX(COALESCE(label, 0)), 0)``.  Joining raw
-facts on merchant alone would pair a hot merchant's snapshots with all its
-facts.  Instead:
+in [T, T+24h) and takes ``COALESCE(MAX(COALESCE(label, 0)), 0)``.  Here no
+snapshot meets a fact:
 
 1. facts are pre-aggregated to (merchant, 15-minute bin) label maxima -- a
    combinable aggregate, at most 96 rows per merchant and day;
-2. snapshot times are 15-minute aligned, so [T, T+24h) covers whole bins
-   exactly: bin b qualifies iff T <= b < T+24h;
-3. that window touches two calendar days, so each snapshot is keyed on
-   (merchant, day(T)) and (merchant, day(T)+1) and equi-joined with the bins
-   of that day.  A key holds at most 96 snapshots x 96 bins, whatever the
-   volume of the merchant.
+2. snapshot times are 15-minute aligned, so [T, T+24h) covers whole bins: the
+   rest of T's day from T on, and the next day before T+24h;
+3. a running maximum over the bins of a (merchant, day), backwards and forwards,
+   gives both parts; snapshot times stand between the bins as further rows (at
+   most 288 rows a key, whatever the volume of the merchant);
+4. the two parts fold on the snapshot key and join the snapshots by it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_signals.functions.time import floor15, interval, next15
-from merchant_signals.schemas import TRAINING_COLUMNS
+from merchant_signals.schemas import SNAPSHOT_KEY, TRAINING_COLUMNS
 
 LABELS = ["label_bad_outcome", "label_anomaly", "label_dispute_lost"]
 
@@ -38,24 +37,28 @@ def label_bins(facts: DataFrame) -> DataFrame:
 
 def next_24h_labels(snapshots: DataFrame, facts: DataFrame) -> DataFrame:
     """OP-27 + OP-34: ``snapshots`` (unique on merchant_id, snapshot_time_utc)
-    with label_*_24h (0 when no fact).
-
-    Each snapshot row is emitted for its two day keys and left-joined with the
-    label bins of that (merchant, day) under the exact range condition; one
-    aggregation on the snapshot key folds the two halves back together."""
-    cols = snapshots.columns
-    d0 = F.date_trunc("day", F.col("snapshot_time_utc"))
-    s = snapshots.withColumn("_day", F.explode(F.array(d0, d0 + interval("1 DAY"))))
-    b = label_bins(facts).withColumnRenamed("merchant_id", "_m").withColumnRenamed("_day", "_bday")
-    cond = ((F.col("merchant_id") == F.col("_m")) & (F.col("_day") == F.col("_bday"))
-            & (F.col("_bin") >= F.col("snapshot_time_utc"))
-            & (F.col("_bin") < F.col("snapshot_time_utc") + interval("24 HOURS")))
-    j = s.join(b, cond, "left")
-    # Grouping on every snapshot column (the others depend on the key) keeps
-    # the aggregation buffers fixed-width, so it stays a hash aggregate.
-    out = j.groupBy(*cols).agg(
-        *[F.coalesce(F.max(l), F.lit(0)).cast("int").alias(f"{l}_24h") for l in LABELS])
-    return out.select(*cols, *[f"{l}_24h" for l in LABELS])
+    with label_*_24h (0 when no fact)."""
+    t = F.col("snapshot_time_utc")
+    day = F.date_trunc("day", t)
+    none = [F.lit(None).cast("int").alias(l) for l in LABELS]
+    # each snapshot twice: at T in its own day, and at T + 24h in the next one
+    marks = snapshots.select("merchant_id", F.explode(F.array(
+        F.struct(day.alias("_day"), t.alias("_at"), F.lit(0).alias("_next")),
+        F.struct((day + interval("1 DAY")).alias("_day"), (t + interval("24 HOURS")).alias("_at"), F.lit(1).alias("_next")),
+    )).alias("_x")).select("merchant_id", "_x.*", *none)
+    bins = label_bins(facts).select("merchant_id", "_day", F.col("_bin").alias("_at"), F.lit(None).cast("int").alias("_next"),
+                                    *[F.col(l).cast("int").alias(l) for l in LABELS])
+    rows = bins.unionByName(marks).withColumn("_us", F.unix_micros("_at"))
+    key = Window.partitionBy("merchant_id", "_day")
+    later = key.orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = key.orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    seen = rows.select("merchant_id", "_at", "_next", *[
+        F.when(F.col("_next") == 0, F.max(l).over(later)).otherwise(F.max(l).over(before)).alias(l) for l in LABELS])
+    own = F.when(F.col("_next") == 0, F.col("_at")).otherwise(F.col("_at") - interval("24 HOURS"))
+    found = (seen.filter(F.col("_next").isNotNull()).groupBy("merchant_id", own.alias("snapshot_time_utc"))
+             .agg(*[F.coalesce(F.max(l), F.lit(0)).cast("int").alias(f"{l}_24h") for l in LABELS]))
+    return snapshots.join(found, SNAPSHOT_KEY, "left").select(
+        *snapshots.columns, *[F.coalesce(f"{l}_24h", F.lit(0)).alias(f"{l}_24h") for l in LABELS])
 
 
 def mature_snapshots(snapshots: DataFrame, start: Column, end: Column, now: Column) -> DataFrame:

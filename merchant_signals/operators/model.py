@@ -55,7 +55,7 @@ def require_rows(model: DataFrame) -> DataFrame:
     """The reference refuses an empty training set; one-row control check."""
     n = model.select("training_rows").first()
     if n is None or n[0] == 0:
-        raise ValueError("Training dataset is empty")
+        raise ValueError("no rows to train on")
     return model
 
 
@@ -80,5 +80,5 @@ def load(spark, path: str) -> DataFrame:
     m = spark.read.parquet(path)
     missing = sorted(set(REQUIRED_KEYS) - set(m.columns))
     if missing:
-        raise ValueError(f"Model artifact missing required keys: {missing}")
+        raise ValueError(f"the stored model lacks {', '.join(missing)}")
     return m

@@ -30,20 +30,26 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, exists: Column | None =
 
 
 def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
-    """OP-24 precondition: a key repeated within one input aborts the load
-    (one aggregate, returns the input unchanged)."""
-    dup = df.groupBy(*key).count().filter(F.col("count") > 1).limit(1).collect()
+    """OP-24 precondition: a key that is repeated within one input or has a NULL
+    aborts the load (one aggregate, returns the input unchanged)."""
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(k).isNull()
+    dup = df.groupBy(*key).count().filter((F.col("count") > 1) | missing).limit(1).collect()
     if dup:
-        raise ValueError(f"key {key} repeated in input: {dup[0].asDict()}")
+        raise ValueError(f"key {key} repeated or missing in input: {dup[0].asDict()}")
     return df
 
 
 def upsert_last_state(target: DataFrame, src: DataFrame, key: list[str]) -> DataFrame:
-    """OP-24: every column of a matched row is replaced (``DO UPDATE SET`` all),
-    new keys are inserted, untouched rows stay."""
+    """OP-24: every column of ``src`` replaces that of a matched row (``DO UPDATE
+    SET`` all), columns that only the target has stay; new keys are inserted,
+    untouched rows stay."""
     assert_unique(src, key)
     kept = target.join(src.select(*key), key, "left_anti")
-    return kept.unionByName(src.select(*target.columns), allowMissingColumns=True)
+    own = [c for c in target.columns if c not in src.columns]
+    new = src.join(target.select(*key, *own), key, "left") if own else src
+    return kept.unionByName(new.select(*target.columns))
 
 
 def upsert_snapshots(target: DataFrame, src: DataFrame,

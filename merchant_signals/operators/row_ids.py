@@ -13,34 +13,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from merchant_signals.session import temp_table
+
 _LOW_BITS = 33
 
 
-def dense_row_id(df: DataFrame, order_by: list[str], id_col: str = "row_id",
-                 start: int = 1, num_partitions: int | None = None) -> DataFrame:
+def dense_row_id(df: DataFrame, order_by: list[str], id_col: str = "row_id", start: int = 1) -> DataFrame:
     """Add ``id_col`` = 1-based position of each row in ``order_by`` order.
 
     ``order_by`` must be unique per row for a deterministic answer (the
-    reference orders by (event_time_utc, event_id))."""
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ordered = (df.repartitionByRange(n, *order_by)
+    reference orders by (event_time_utc, event_id)).  The sorted rows are
+    written once (``session.temp_table``): the counts and the ids then read the
+    same partitions, whatever adaptive execution made of the shuffle."""
+    ordered = (df.repartitionByRange(*[F.col(c) for c in order_by])
                .sortWithinPartitions(*order_by)
                .withColumn("_mid", F.monotonically_increasing_id()))
-    ordered = ordered.select(
+    ordered = temp_table(ordered.select(
         "*",
         F.shiftright("_mid", _LOW_BITS).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1)).alias("_pos"),
-    ).drop("_mid")
-    # The sorted frame is used twice (counts, then ids); persisting avoids a
-    # second range-partition pass.  A lost block is recomputed identically
-    # (the range bounds and in-partition order are deterministic).
-    ordered = ordered.persist()
+    ).drop("_mid"), "row-ids")
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"),
     ).fillna({"_off": 0})
+    # one row per shuffle partition
     return (ordered.join(F.broadcast(offsets), "_pid")
             .withColumn(id_col, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
             .drop("_pid", "_pos", "_off"))

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.numeric import safe_ratio, sigmoid
-from merchant_signals.schemas import FEATURE_COLUMNS
+from merchant_signals.functions.numeric import safe_ratio, sigmoid, tolerant_float
 
 # Fixed values of the heuristic (weights and band cut-offs).
 W_COUNT_15M = 12.0
@@ -25,7 +24,7 @@ V1_MEDIUM = 50.0
 MODEL_HIGH = 0.80
 MODEL_MEDIUM = 0.50
 PRIOR_CLAMP = 1e-6
-MODEL_VERSION = "risk_model_latest.pkl"
+MODEL_VERSION = "risk_model_latest"
 
 
 def v1_raw_score(c15: Column, g15: Column, c1h: Column, g1h: Column) -> Column:
@@ -56,15 +55,17 @@ def risk_score_v1(features: DataFrame) -> DataFrame:
             .drop("_s"))
 
 
-def model_score(rows: DataFrame, model: DataFrame,
-                feature_columns: list[str] = FEATURE_COLUMNS) -> DataFrame:
+def model_score(rows: DataFrame, model: DataFrame) -> DataFrame:
     """OP-56: add ``local_model_score_raw`` (unrounded, double) and
     ``local_model_band``.
 
     raw = sum_f (x_f - (pm_f + nm_f)/2) * w_f ; norm = raw / max(sum |w_f|, 1)
     score = sigmoid(norm + logit(clamp(positive_rate)))
 
-    Feature values go through the tolerant reader (NULL -> 0.0)."""
+    Features are those that the model lists (a one-row control value); a feature
+    without statistics counts 0, a missing column reads as 0.0.  Values go through
+    the tolerant reader (NULL, '' and 'null' -> 0.0)."""
+    feature_columns = list(model.select("feature_columns").first()[0])
     # Flatten the one-row model into plain columns first, so the per-row work
     # is arithmetic on broadcast constants (no map lookups per row).
     flat = []
@@ -78,7 +79,7 @@ def model_score(rows: DataFrame, model: DataFrame,
     raw = F.lit(0.0)
     scale = F.lit(0.0)
     for i, f in enumerate(feature_columns):
-        x = F.coalesce(F.col(f).cast("double"), F.lit(0.0))
+        x = tolerant_float(f) if f in rows.columns else F.lit(0.0)
         raw = raw + (x - (F.col(f"_pm{i}") + F.col(f"_nm{i}")) / F.lit(2.0)) * F.col(f"_w{i}")
         scale = scale + F.abs(F.col(f"_w{i}"))
     p = F.col("positive_rate").cast("double")
@@ -93,7 +94,7 @@ def persist_scores(rows: DataFrame, model: DataFrame, scored_at: Column,
                    version: str = MODEL_VERSION) -> DataFrame:
     """OP-57: keyed score rows ready to write back: score rounded to 5 places
     as decimal(6,5), band, version (artifact name), scored-at time."""
-    s = model_score(rows.select("merchant_id", "snapshot_time_utc", *FEATURE_COLUMNS), model)
+    s = model_score(rows, model)
     return s.select(
         "merchant_id", "snapshot_time_utc",
         F.round(F.col("local_model_score_raw"), 5).cast("decimal(6,5)").alias("local_model_score"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from merchant_signals.operators.features import merchant_features
 from merchant_signals.plans import views as V
+from merchant_signals.schemas import FACT_FILE_COLUMNS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -78,12 +79,18 @@ def q_snapshot_backfill(spark, sf_dir):
     return b.crossJoin(s)
 
 
+@query("backfill_rows")
+def q_backfill_rows(spark, sf_dir):
+    """OP-53: the stored snapshot rows of the historical backfill."""
+    return V.hist_snapshots(spark, sf_dir)
+
+
 @query("latest_features")
 def q_latest_features(spark, sf_dir):
     """OP-44: newest snapshot per merchant."""
     from merchant_signals.operators.features import latest_per_merchant
 
-    return latest_per_merchant(V.scored_features(V.live_facts(spark, sf_dir)))
+    return latest_per_merchant(V.live_snapshots(spark, sf_dir))
 
 
 # ---- labels, training set, model, backtest ---------------------------------
@@ -111,16 +118,24 @@ def q_training_window(spark, sf_dir):
 
 @query("training_export")
 def q_training_export(spark, sf_dir):
-    """OP-08: the scheduled export ([now-8d, now-24h)) of the snapshot table."""
+    """OP-08: the scheduled export ([now-8d, now-24h)) of the snapshot table, written
+    as the ordered training CSV and read back."""
+    import uuid
+
     from pyspark.sql import functions as F
 
     from merchant_signals.operators.labels import scheduled_window, training_dataset
+    from merchant_signals.session import scratch_path
     from merchant_signals.sources import driver
+    from merchant_signals.sources.files import export_training_csv, read_csv
 
     s, e = scheduled_window(driver.NOW)
     hf = V.hist_facts(spark, sf_dir)
-    return training_dataset(V.hist_snapshots(spark, sf_dir), hf, F.lit(s).cast("timestamp"),
+    rows = training_dataset(V.hist_snapshots(spark, sf_dir), hf, F.lit(s).cast("timestamp"),
                             F.lit(e).cast("timestamp"), driver.now_lit())
+    path = scratch_path(spark, "training_csv", uuid.uuid4().hex)
+    export_training_csv(rows, path)
+    return read_csv(spark, path, rows.schema)
 
 
 @query("train_model")
@@ -194,6 +209,10 @@ def q_tolerant_features(spark, sf_dir):
 
 # ---- raw -> facts ------------------------------------------------------------
 
+# Batch size of the registered increments: several batches even on the small tables.
+QUERY_BATCH = 2_000
+
+
 def _watermark_state(spark, sf_dir):
     """Fixture state of ``raw_ingest_watermark``: everything received before
     the history split has been loaded.  One row per source."""
@@ -206,6 +225,12 @@ def _watermark_state(spark, sf_dir):
             .groupBy("source").agg(F.max("raw_id").alias("last_raw_id")))
 
 
+def _watermark_value(spark, sf_dir, source="SYNTH_LIVE"):
+    """The source's watermark, a one-row control value."""
+    row = _watermark_state(spark, sf_dir).filter(F.col("source") == source).first()
+    return int(row["last_raw_id"]) if row else 0
+
+
 @query("raw_valid_split")
 def q_raw_valid_split(spark, sf_dir):
     """OP-16: merchant presence per raw row (rejects are consumed, not loaded)."""
@@ -222,13 +247,13 @@ def q_facts_from_raw(spark, sf_dir):
     """OP-17: typed projection of every valid raw row (before dedup)."""
     from merchant_signals.operators.facts import facts_from_raw
 
-    return facts_from_raw(V.raw(spark, sf_dir)).drop("payload")
+    return facts_from_raw(V.raw(spark, sf_dir)).drop("payload", *FACT_FILE_COLUMNS)
 
 
 @query("dedup_first_wins")
 def q_dedup_first_wins(spark, sf_dir):
     """OP-22: first-wins fact table over all raw rows (duplicates carry new amounts)."""
-    return V.build_live_facts(spark, sf_dir).drop("payload")
+    return V.build_live_facts(spark, sf_dir).drop("payload", *FACT_FILE_COLUMNS)
 
 
 @query("insert_ignore")
@@ -263,22 +288,19 @@ def q_new_merchants(spark, sf_dir):
 
 @query("load_stats")
 def q_load_stats(spark, sf_dir):
-    """OP-35 + OP-48: (processed, inserted, watermark) of every 20,000-row increment."""
+    """OP-35 + OP-48: (processed, inserted, watermark) of every increment."""
     from merchant_signals.operators.facts import all_increments_stats
 
-    return all_increments_stats(V.raw(spark, sf_dir), "SYNTH_LIVE", 20_000)
+    return all_increments_stats(V.raw(spark, sf_dir), "SYNTH_LIVE", QUERY_BATCH)
 
 
 @query("incremental_batch")
 def q_incremental_batch(spark, sf_dir):
-    """OP-15: the next 20,000 raw rows after the source's watermark."""
-    from pyspark.sql import functions as F
-
+    """OP-15: the next raw rows after the source's watermark."""
     from merchant_signals.operators.facts import incremental_batch
 
-    wm = F.broadcast(_watermark_state(spark, sf_dir))
-    r = V.raw(spark, sf_dir).join(wm, "source")
-    return (incremental_batch(r, "SYNTH_LIVE", F.col("last_raw_id"), 20_000)
+    wm = _watermark_value(spark, sf_dir)
+    return (incremental_batch(V.raw(spark, sf_dir), "SYNTH_LIVE", wm, QUERY_BATCH)
             .select("raw_id", "source", "received_at"))
 
 
@@ -289,20 +311,15 @@ def q_watermark_advance(spark, sf_dir):
     from pyspark.sql import functions as F
 
     from merchant_signals.operators.facts import (
-        BATCH_SIZE, batch_stats, dedup_first_wins, facts_from_raw, incremental_batch, load_batch)
-
-    wm = F.broadcast(_watermark_state(spark, sf_dir))
-    r = V.raw(spark, sf_dir).join(wm, "source")
-    loaded = dedup_first_wins(facts_from_raw(
-        r.filter(F.col("raw_id") <= F.col("last_raw_id")).drop("last_raw_id")))
-    batch = incremental_batch(r, "SYNTH_LIVE", F.col("last_raw_id"), BATCH_SIZE).drop("last_raw_id")
-    inserted = load_batch(batch, loaded, BATCH_SIZE)
-    stats = batch_stats(batch, inserted, 0)
-    return (wm.crossJoin(stats)
-            .select("source", F.col("last_raw_id").alias("last_raw_id_before"), "processed_rows",
-                    "inserted_fact",
-                    F.coalesce(F.when(F.col("processed_rows") > 0, F.col("updated_watermark")),
-                               F.col("last_raw_id")).alias("updated_watermark")))
+        batch_stats, dedup_first_wins, facts_from_raw, incremental_batch, load_batch)
+
+    wm = _watermark_value(spark, sf_dir)
+    r = V.raw(spark, sf_dir)
+    loaded = dedup_first_wins(facts_from_raw(r.filter(F.col("raw_id") <= F.lit(wm))))
+    batch = incremental_batch(r, "SYNTH_LIVE", wm, QUERY_BATCH)
+    stats = batch_stats(batch, load_batch(batch, loaded), wm)
+    return stats.select(F.lit("SYNTH_LIVE").alias("source"), F.lit(wm).cast("long").alias("last_raw_id_before"),
+                        "processed_rows", "inserted_fact", "updated_watermark")
 
 
 @query("ingest_lag")
@@ -338,7 +355,8 @@ def q_historical_fact_load(spark, sf_dir):
     path = scratch_path(spark, "stage", uuid.uuid4().hex)
     write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
     loaded = historical_load(read_fact_csv14(spark, path))
-    return loaded.withColumn("payload_merchant_country", json_text("payload", "merchant_country")).drop("payload")
+    return (loaded.withColumn("payload_merchant_country", json_text("payload", "merchant_country"))
+            .drop("payload", *FACT_FILE_COLUMNS))
 
 
 # ---- enrichment ----------------------------------------------------------------
@@ -609,21 +627,22 @@ def _dim22(spark, sf_dir):
 @query("dim_csv_upsert")
 def q_dim_csv_upsert(spark, sf_dir):
     """OP-05 + OP-24: 22-column merchant CSV (header skipped positionally)
-    upserted into a dimension holding the seed merchant."""
+    upserted into the stored dimension, which holds the seed merchant."""
     import uuid
 
-    from merchant_signals.operators.mutate import upsert_last_state
-    from merchant_signals.schemas import DIM_CSV22
+    from merchant_signals.schemas import DIM_COLUMNS
     from merchant_signals.session import scratch_path
-    from merchant_signals.sources.files import read_dim_csv22, write_csv
+    from merchant_signals.sources.files import load_dim_csv, write_csv
+    from merchant_signals.sources.store import TableStore
 
-    path = scratch_path(spark, "dim_csv", uuid.uuid4().hex)
-    write_csv(_dim22(spark, sf_dir), path)
-    staged = read_dim_csv22(spark, path)
-    seed = spark.createDataFrame([("m_seed_0001", "Seed Merchant")], "merchant_id string, merchant_name string")
-    target = seed.select(*[(F.col(f.name) if f.name in seed.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                           for f in DIM_CSV22.fields])
-    return upsert_last_state(target, staged, ["merchant_id"])
+    base = scratch_path(spark, "dim_csv", uuid.uuid4().hex)
+    write_csv(_dim22(spark, sf_dir), base + "/in")
+    store = TableStore(spark, base + "/store")
+    store.append("dim_merchant", spark.createDataFrame([("m_seed_0001", "Seed Merchant")],
+                                                       "merchant_id string, merchant_name string"))
+    state, _staged = load_dim_csv(spark, base + "/in", store.read("dim_merchant"))
+    store.replace("dim_merchant", state)
+    return store.read("dim_merchant").select(*DIM_COLUMNS)
 
 
 # ---- monitoring ------------------------------------------------------------------
@@ -640,7 +659,9 @@ def q_bucket_coverage(spark, sf_dir):
     buckets = spark.range(6).select(
         (F.lit(lo).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") * 15).cast("int")))
         .alias("snapshot_time_utc"))
-    snaps = V.scored_features(V.live_facts(spark, sf_dir)).select("merchant_id", "snapshot_time_utc")
+    t = F.col("snapshot_time_utc")
+    snaps = (V.live_snapshots(spark, sf_dir).filter(t.between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
+             .select("merchant_id", "snapshot_time_utc"))
     return (buckets.join(snaps, "snapshot_time_utc", "left").groupBy("snapshot_time_utc")
             .agg(F.count("merchant_id").alias("snapshot_rows")))
 
@@ -648,9 +669,9 @@ def q_bucket_coverage(spark, sf_dir):
 @query("recent_buckets")
 def q_recent_buckets(spark, sf_dir):
     """OP-41: rows of the five newest buckets (top-k is the feature)."""
-    snaps = V.scored_features(V.live_facts(spark, sf_dir))
-    return (snaps.groupBy("snapshot_time_utc").agg(F.count(F.lit(1)).alias("snapshot_rows"))
-            .orderBy(F.col("snapshot_time_utc").desc()).limit(5))
+    from merchant_signals.operators.features import newest_buckets
+
+    return newest_buckets(V.live_snapshots(spark, sf_dir), 5)
 
 
 @query("coverage_counts")
@@ -719,9 +740,9 @@ def q_snapshot_at_times(spark, sf_dir):
     from merchant_signals.operators.features import features_at_times
 
     lf = V.live_facts(spark, sf_dir)
-    end = lf.agg(F.max("event_time_utc").alias("e"))
-    times = end.select(F.explode(F.sequence(F.col("e") - F.expr("INTERVAL 75 MINUTES"), F.col("e"),
-                                            F.expr("INTERVAL 15 MINUTES"))).alias("snapshot_time_utc"))
+    end = F.lit(lf.agg(F.max("event_time_utc").alias("e")).first()["e"]).cast("timestamp")
+    times = spark.range(1).select(F.explode(F.sequence(end - F.expr("INTERVAL 75 MINUTES"), end,
+                                                       F.expr("INTERVAL 15 MINUTES"))).alias("snapshot_time_utc"))
     return features_at_times(lf, times)
 
 
@@ -737,13 +758,19 @@ def q_rerun_noop(spark, sf_dir):
 
 @query("realtime_tail")
 def q_realtime_tail(spark, sf_dir):
-    """OP-11: the last 60 minutes of events, in event-time order."""
-    from merchant_signals.sources.files import realtime_tail
+    """OP-11: the last 60 minutes of events, in event-time order, written as JSON
+    lines and read back."""
+    import uuid
+
+    from merchant_signals.session import scratch_path
+    from merchant_signals.sources.files import realtime_tail, write_jsonl
 
     lf = V.live_facts(spark, sf_dir)
-    ref = lf.agg(F.max("event_time_utc").alias("_ref"))
-    tail = realtime_tail(lf.crossJoin(F.broadcast(ref)), F.col("_ref"))
-    return tail.select("event_id", "event_time_utc", "merchant_id", "amount_usd")
+    ref = F.lit(lf.agg(F.max("event_time_utc").alias("e")).first()["e"]).cast("timestamp")
+    tail = realtime_tail(lf, ref).select("event_id", "event_time_utc", "merchant_id", "amount_usd")
+    path = scratch_path(spark, "tail", uuid.uuid4().hex)
+    write_jsonl(tail, path)
+    return spark.read.schema(tail.schema).json(path)
 
 
 @query("table_export")
@@ -803,20 +830,26 @@ def _arrival_chunks(raw, n: int = 4):
 
 @query("increment_run")
 def q_increment_run(spark, sf_dir):
-    """OP-47: scheduled increments at now until no raw row is pending; the
-    snapshot table then holds the 6 recomputed buckets."""
+    """OP-47: the originals are loaded in several batches and the buckets of the
+    scheduled training window are computed; then the copies arrive, and one more
+    catch-up at now recomputes its 6 buckets, exports, trains and scores them."""
     import uuid
 
-    from merchant_signals.plans.increment import catch_up
+    from merchant_signals.operators.labels import scheduled_window
+    from merchant_signals.plans.increment import catch_up, recompute_buckets
     from merchant_signals.session import scratch_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.store import TableStore
 
     store = TableStore(spark, scratch_path(spark, "store", uuid.uuid4().hex))
-    store.append("raw", V.raw(spark, sf_dir))
-    catch_up(spark, store, driver.NOW)
-    return store.read("snapshots").drop("computed_at_utc", "local_model_score", "local_model_band",
-                                        "local_model_version", "local_model_scored_at_utc")
+    raw = V.raw(spark, sf_dir)
+    copies = 1 + driver.events(spark, sf_dir).agg(F.max("event_id").alias("m")).first()["m"]
+    store.append("raw", raw.filter(F.col("raw_id") <= F.lit(copies)))
+    catch_up(spark, store, driver.NOW, batch_size=QUERY_BATCH)
+    recompute_buckets(store, *scheduled_window(driver.NOW), driver.now_lit())
+    store.append("raw", raw.filter(F.col("raw_id") > F.lit(copies)))
+    catch_up(spark, store, driver.NOW, batch_size=QUERY_BATCH)
+    return store.read("snapshots").drop("computed_at_utc", "local_model_version")
 
 
 @query("stream_features")
@@ -836,8 +869,9 @@ def q_stream_features(spark, sf_dir):
         store.append_raw(chunk)
         q = start_feature_stream(spark, store, base + "/ckpt")
         q.awaitTermination()
-    return store.read("snapshots").drop("computed_at_utc", "local_model_score", "local_model_band",
-                                        "local_model_version", "local_model_scored_at_utc")
+    # no model in this run: the score column stays empty
+    return store.read("snapshots").drop("computed_at_utc", "local_model_band", "local_model_version",
+                                        "local_model_scored_at_utc")
 
 
 @query("raw_append")
@@ -871,13 +905,13 @@ def q_jsonl_replay(spark, sf_dir):
 
     from merchant_signals.functions.json import json_text
     from merchant_signals.session import scratch_path
-    from merchant_signals.sources.files import replay_lines
+    from merchant_signals.sources.files import replay_file
 
     path = scratch_path(spark, "replay", uuid.uuid4().hex)
     r = V.raw(spark, sf_dir)
     blank = F.get_json_object("payload", "$.merchant_id") == ""
     r.select(F.when(blank, F.lit("   ")).otherwise(F.col("payload")).alias("value")).write.text(path)
-    rows = replay_lines(spark.read.text(path))
+    rows = replay_file(spark, path)
     return rows.select("source", json_text("payload", "event_id").alias("event_id"),
                        json_text("payload", "merchant_id").alias("merchant_id"))
 
@@ -918,28 +952,37 @@ def q_clone_events(spark, sf_dir):
 
 @query("stream_window_features")
 def q_stream_window_features(spark, sf_dir):
-    """OP-50, native form: the stored fact table read as a stream, event-time
-    watermark + sliding window aggregation in update mode, upserted per
-    micro-batch; the final snapshot table equals the batch features."""
+    """OP-50 from typed facts, out of order: the newest week's facts arrive before
+    the older ones, one file a micro-batch; each batch recomputes the (merchant,
+    bucket) keys that it touches, and the final table equals the batch features."""
+    import datetime as dt
     import uuid
 
     from merchant_signals.session import scratch_path
+    from merchant_signals.sources import driver
     from merchant_signals.sources.store import TableStore
-    from merchant_signals.streaming.stream import start_windowed_feature_stream
+    from merchant_signals.streaming.stream import start_fact_stream
 
     base = scratch_path(spark, "window_stream", uuid.uuid4().hex)
     facts = V.live_facts(spark, sf_dir)
-    stream = spark.readStream.schema(facts.schema).parquet(V.stored_path(spark, sf_dir, "live_facts"))
     store = TableStore(spark, base + "/store")
-    start_windowed_feature_stream(spark, stream, store, base + "/ckpt").awaitTermination()
+    t, hi = F.col("event_time_utc"), None
+    for k in range(4):
+        lo = None if k == 3 else F.lit(driver.NOW - dt.timedelta(days=8 * (k + 1))).cast("timestamp")
+        wave = facts.filter((F.lit(True) if hi is None else t < hi) & (F.lit(True) if lo is None else t >= lo))
+        wave.write.mode("append").parquet(base + "/in")
+        stream = spark.readStream.schema(facts.schema).parquet(base + "/in")
+        start_fact_stream(stream, store, base + "/ckpt").awaitTermination()
+        hi = lo
     return store.read("snapshots").select("merchant_id", "snapshot_time_utc", "txn_count_15m", "gmv_usd_15m",
                                           "txn_count_1h", "gmv_usd_1h")
 
 
 @query("fact_csv_load")
 def q_fact_csv_load(spark, sf_dir):
-    """OP-06: the 14-column fact file loaded into the live fact table with
-    insert-ignore on event_id (all-or-nothing checks first)."""
+    """OP-06 + OP-22: the 14-column fact file, with every 7th event a second time
+    under a later time, loaded into the live fact table with insert-ignore on
+    event_id (all-or-nothing checks first)."""
     import uuid
 
     from merchant_signals.session import scratch_path
@@ -947,13 +990,27 @@ def q_fact_csv_load(spark, sf_dir):
     from merchant_signals.sources.files import load_fact_csv, write_csv
 
     path = scratch_path(spark, "fact_csv", uuid.uuid4().hex)
-    write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
-    new, staged = load_fact_csv(spark, path, V.live_facts(spark, sf_dir))
+    stage = driver.fact_stage14(V.ensure_session(spark), sf_dir)
+    again = stage.filter(F.substring("event_id", 5, 20).cast("long") % 7 == 0).withColumn(
+        "event_time_utc", F.col("event_time_utc") + F.expr("INTERVAL 1 DAY"))
+    write_csv(stage.unionByName(again), path)
+    new, counts = load_fact_csv(spark, path, V.live_facts(spark, sf_dir))
     # label_bad_outcome is NULL on some staged rows; a nullable integer column
     # converts to float in pandas, so it is compared as double on both sides.
     return new.select("event_id", "event_type", "event_time_utc", "merchant_id", "amount_usd",
                       F.col("label_bad_outcome").cast("double").alias("label_bad_outcome"), "source",
-                      F.lit(staged).cast("long").alias("staged_rows"))
+                      "payer_id_hash", "merchant_country", "merchant_mcc", "drift_regime_id",
+                      *[F.lit(v).cast("long").alias(k) for k, v in counts.items()])
+
+
+@query("source_allow_list")
+def q_source_allow_list(spark, sf_dir):
+    """OP-18: raw rows of the sources that increments load, by the allow-list."""
+    from merchant_signals.operators.facts import KNOWN_SOURCES, resolve_source
+
+    known = [resolve_source(x) for x in (None, *KNOWN_SOURCES)]
+    return (V.raw(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("raw_rows"))
+            .withColumn("loaded", F.col("source").isin(known)))
 
 
 FEATURES_SQL = """

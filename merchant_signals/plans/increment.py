@@ -8,6 +8,12 @@
 The reference leaves (a) and (b) unordered; here (a) runs first, so (b)
 uses the model trained in the same run.  Nothing runs when no raw row is
 pending.  Only one-row control values reach the driver.
+
+Two raw-id positions per source make a run restartable: ``load_position`` moves
+when a batch's facts are in, ``watermark`` when everything after it is done.
+A run that finds the first ahead of the second finishes that work, with or
+without new raw rows; loading a batch again adds nothing (insert-ignore), and
+recomputed, exported and scored rows are the same again.
 """
 
 from __future__ import annotations
@@ -24,35 +30,45 @@ from merchant_signals.operators.labels import scheduled_window, training_dataset
 from merchant_signals.operators.mutate import update_columns, upsert_snapshots
 from merchant_signals.operators.scoring import MODEL_VERSION, persist_scores, risk_score_v1
 from merchant_signals.schemas import MODEL_COLUMNS, SNAPSHOT_KEY
+from merchant_signals.session import observed, path_exists
 from merchant_signals.sources.files import export_training_csv, read_csv
-from merchant_signals.sources.store import TableStore, path_exists
+from merchant_signals.sources.store import TableStore
 
 
 def _ts(x: _dt.datetime):
     return F.lit(x).cast("timestamp")
 
 
+def position(store: TableStore, name: str, source: str) -> int:
+    """Raw id up to which ``name`` (watermark or load_position) has come."""
+    row = store.read(name).filter(F.col("source") == source).select("last_raw_id").first()
+    return int(row[0]) if row else 0
+
+
+def set_position(store: TableStore, name: str, source: str, raw_id: int) -> None:
+    new = store.spark.createDataFrame([(int(raw_id),)], "updated_watermark long")
+    store.replace(name, facts_op.advance_watermark(store.read(name), new, source))
+
+
+def loaded_to(store: TableStore, source: str) -> int:
+    return max(position(store, "load_position", source), position(store, "watermark", source))
+
+
 def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BATCH_SIZE) -> dict:
-    """OP-15..17, 22, 23, 33, 35, 48: one ``process_raw_events`` call."""
-    raw = store.read("raw")
-    wm = store.read("watermark")
-    last_row = wm.filter(F.col("source") == source).select("last_raw_id").first()
-    last = int(last_row[0]) if last_row else 0
-    batch = facts_op.incremental_batch(raw, source, last, batch_size)
-    batch = batch.persist()
-    existing = store.read("facts")
-    inserted = facts_op.load_batch(batch, existing, batch_size).persist()
+    """OP-15..17, 22, 23, 33, 35: one ``process_raw_events`` call."""
+    last = loaded_to(store, source)
+    batch = facts_op.incremental_batch(store.read("raw"), source, last, batch_size)
+    # written, so that its size is known: the keys of a small batch are broadcast against the fact table
+    typed = store.stage(facts_op.dedup_first_wins(facts_op.facts_from_raw(batch)))
+    inserted = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id").select(*facts_op.FACT_COLUMNS))
     stats = facts_op.batch_stats(batch, inserted, last).first().asDict()
     if stats["inserted_fact"]:
         store.append("facts", inserted)
-    dim = store.read("dim_merchant")
-    new_dim = facts_op.new_merchants(batch, dim, F.current_timestamp())
+    new_dim = facts_op.new_merchants(batch, store.read("dim_merchant"), F.current_timestamp())
     if new_dim.limit(1).count():
         store.append("dim_merchant", new_dim)
-    store.replace("watermark", facts_op.advance_watermark(
-        wm, batch.sparkSession.createDataFrame([(stats["updated_watermark"],)], "updated_watermark long"), source))
-    batch.unpersist()
-    inserted.unpersist()
+    store.unstage(typed, inserted)
+    set_position(store, "load_position", source, stats["updated_watermark"])
     return stats
 
 
@@ -66,29 +82,12 @@ def recompute_buckets(store: TableStore, lo: _dt.datetime, hi: _dt.datetime, com
     # the staged write inside replace_partitions always runs the plan, so the
     # observed count is ready afterwards (no second feature job)
     store.replace_partitions("snapshots", upsert_snapshots(current, src))
-    return int(obs.get["rows"])
+    return observed(obs)
 
 
-def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.datetime,
-                  source: str | None = None, now: _dt.datetime | None = None,
-                  batch_size: int = facts_op.BATCH_SIZE, export_path: str | None = None,
-                  model_path: str | None = None) -> dict:
-    src = facts_op.resolve_source(source)
-    now = now or interval_end
-    # Gate (OP-40): any raw row beyond the watermark?  The watermark is a
-    # literal, so the source partition's row groups below it are skipped by
-    # their statistics and only new data is read.
-    wm_row = store.read("watermark").filter(F.col("source") == src).select("last_raw_id").first()
-    last = int(wm_row[0]) if wm_row else 0
-    pending = store.read("raw").filter((F.col("source") == src) & (F.col("raw_id") > last))
-    if pending.limit(1).count() == 0:
-        return {"ran": False}
-    out = {"ran": True, **load_raw_batch(store, src, batch_size)}
-    lo, hi = horizon_bounds(interval_end)
-    out["rows_upserted"] = recompute_buckets(store, lo, hi, _ts(now))
-
-    export_path = export_path or f"{store.root}/_exports/risk_training_dataset_latest"
-    model_path = model_path or f"{store.root}/_models/{MODEL_VERSION}"
+def export_and_train(spark: SparkSession, store: TableStore, interval_end: _dt.datetime, now: _dt.datetime,
+                     export_path: str, model_path: str) -> dict:
+    """OP-08, 36, 12: the scheduled training export, and a model if it has rows."""
     start, end = scheduled_window(interval_end)
     snaps = store.read_dates("snapshots", start.date(), end.date())
     facts = store.read_dates("facts", start.date(), (end + _dt.timedelta(hours=24)).date())
@@ -96,27 +95,76 @@ def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.date
     # The exported row count is observed while the file is written (no second pass).
     obs = Observation("training_export")
     export_training_csv(tset.observe(obs, F.count(F.lit(1)).alias("rows")), export_path)
-    out["exported_rows"] = int(obs.get["rows"])
-    exported = read_csv(spark, export_path, tset.schema)
+    out = {"exported_rows": observed(obs)}
     if out["exported_rows"] > 0:
-        model_op.save(model_op.train(exported), model_path)
+        model_op.save(model_op.train(read_csv(spark, export_path, tset.schema)), model_path)
         out["trained"] = True
+    return out
+
+
+def score_horizon(spark: SparkSession, store: TableStore, lo: _dt.datetime, hi: _dt.datetime, now: _dt.datetime,
+                  model_path: str) -> int:
+    """OP-20, 26, 56, 57: model columns of the buckets lo..hi."""
+    model = model_op.load(spark, model_path)
+    touched = store.read_dates("snapshots", lo.date(), hi.date())
+    window = touched.filter(F.col("snapshot_time_utc").between(_ts(lo), _ts(hi)))
+    scores = persist_scores(window, model, _ts(now), MODEL_VERSION)
+    n = window.count()  # before the partitions it reads are replaced
+    store.replace_partitions("snapshots", update_columns(touched, scores, SNAPSHOT_KEY, MODEL_COLUMNS))
+    return n
+
+
+def finish_increment(spark: SparkSession, store: TableStore, interval_end: _dt.datetime, source: str,
+                     now: _dt.datetime, export_path: str | None = None, model_path: str | None = None) -> dict:
+    """Everything after the load; the watermark moves last."""
+    lo, hi = horizon_bounds(interval_end)
+    out = {"rows_upserted": recompute_buckets(store, lo, hi, _ts(now))}
+    model_path = model_path or f"{store.root}/_models/{MODEL_VERSION}"
+    export_path = export_path or f"{store.root}/_exports/risk_training_dataset_latest"
+    out |= export_and_train(spark, store, interval_end, now, export_path, model_path)
     if path_exists(spark, model_path):
-        model = model_op.load(spark, model_path)
-        touched = store.read_dates("snapshots", lo.date(), hi.date())
-        window = touched.filter(F.col("snapshot_time_utc").between(_ts(lo), _ts(hi)))
-        scores = persist_scores(window, model, _ts(now), MODEL_VERSION)
-        out["scored_rows"] = window.count()  # before the partitions it reads are replaced
-        store.replace_partitions("snapshots", update_columns(touched, scores, SNAPSHOT_KEY, MODEL_COLUMNS))
+        out["scored_rows"] = score_horizon(spark, store, lo, hi, now, model_path)
+    set_position(store, "watermark", source, loaded_to(store, source))
     return out
 
 
-def catch_up(spark: SparkSession, store: TableStore, interval_end: _dt.datetime, **kw) -> list[dict]:
-    """Repeat increments at one schedule point until no raw row is pending
-    (what consecutive scheduled runs do after an outage)."""
-    runs = []
-    while True:
-        r = run_increment(spark, store, interval_end, **kw)
-        if not r["ran"]:
-            return runs
-        runs.append(r)
+def _pending(store: TableStore, source: str) -> bool:
+    """OP-40: any raw row beyond the load position (a literal, so row groups below it are skipped)."""
+    last = loaded_to(store, source)
+    rows = store.read("raw").filter((F.col("source") == source) & (F.col("raw_id") > F.lit(last)))
+    return rows.limit(1).count() > 0
+
+
+def _unfinished(store: TableStore, source: str) -> bool:
+    return position(store, "load_position", source) > position(store, "watermark", source)
+
+
+def run_increment(spark: SparkSession, store: TableStore, interval_end: _dt.datetime,
+                  source: str | None = None, now: _dt.datetime | None = None,
+                  batch_size: int = facts_op.BATCH_SIZE, export_path: str | None = None,
+                  model_path: str | None = None) -> dict:
+    src = facts_op.resolve_source(source)
+    store.recover()
+    if _pending(store, src):
+        out = {"ran": True, **load_raw_batch(store, src, batch_size)}
+    elif _unfinished(store, src):
+        out = {"ran": True, "processed_rows": 0, "inserted_fact": 0, "updated_watermark": loaded_to(store, src)}
+    else:
+        return {"ran": False}
+    return out | finish_increment(spark, store, interval_end, src, now or interval_end, export_path, model_path)
+
+
+def catch_up(spark: SparkSession, store: TableStore, interval_end: _dt.datetime, source: str | None = None,
+             now: _dt.datetime | None = None, batch_size: int = facts_op.BATCH_SIZE,
+             export_path: str | None = None, model_path: str | None = None) -> dict:
+    """After an outage: load every pending batch first, then recompute, export,
+    train and score once."""
+    src = facts_op.resolve_source(source)
+    store.recover()
+    batches = []
+    while _pending(store, src):
+        batches.append(load_raw_batch(store, src, batch_size))
+    if not batches and not _unfinished(store, src):
+        return {"ran": False, "batches": []}
+    done = finish_increment(spark, store, interval_end, src, now or interval_end, export_path, model_path)
+    return {"ran": True, "batches": batches, **done}

@@ -30,7 +30,7 @@ AMOUNT = """CASE WHEN event_id % 53 = 0 THEN NULL
               WHEN event_type = 'error' AND event_id % 7 = 0 THEN -CAST(value AS DECIMAL(18,2))
               ELSE CAST(value AS DECIMAL(18,2)) END"""
 STATUS = "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'captured' END"
-MERCHANT = "'m_' || lpad(CAST(user_id AS VARCHAR), 6, '0')"
+MERCHANT = "'m_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0')"
 
 # Raw rows, before the JSON encoding: originals plus the duplicate copies.
 RAW_ROWS = f"""
@@ -42,7 +42,7 @@ ev AS (
 raw_rows AS (
   SELECT eid + 1 AS raw_id, eid, ts, user_id, event_type, value, amt AS amount_usd, received_at FROM ev
   UNION ALL
-  SELECT eid + 1 + 10000000, eid, ts, user_id, event_type, value,
+  SELECT eid + 1 + (SELECT max(event_id) + 1 FROM events), eid, ts, user_id, event_type, value,
          CAST(amt + 1 AS DECIMAL(18,2)), received_at + INTERVAL 31 DAY
   FROM ev WHERE eid % 10 = 0
 )"""
@@ -182,9 +182,20 @@ def _():
               "QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY snapshot_time_utc DESC) = 1")
 
 
+# The stored snapshots of the historical seed: buckets up to next15(max) only (OP-53).
+HIST_SNAPS = features_cte("hist_facts", "hfall") + f""",
+hfeat AS (SELECT * FROM hfall WHERE snapshot_time_utc <= (SELECT {next15('max(event_time_utc)')} FROM hist_facts))""" + (
+    "," + scored_cte("hfeat", "hsnap").strip("\n"))
+
+
+@oracle("backfill_rows")
+def _():
+    return with_(HIST_FACTS, HIST_SNAPS) + f"\nSELECT {SCORED_OUT} FROM hsnap"
+
+
 # ---- labels, training set, model, backtest ---------------------------------
 
-TRAINING_SET = with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f""",
+TRAINING_SET = with_(HIST_FACTS, HIST_SNAPS) + f""",
 hbounds AS (
   SELECT greatest({next15('min(event_time_utc)')}, {NOW} - INTERVAL 30 DAY) AS s,
          least({next15('max(event_time_utc)')}, {NOW} - INTERVAL 24 HOUR) AS e
@@ -268,7 +279,7 @@ FROM hist_facts"""
 
 @oracle("training_export")
 def _():
-    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f"""
+    return with_(HIST_FACTS, HIST_SNAPS) + f"""
 SELECT s.merchant_id, s.snapshot_time_utc, CAST(s.txn_count_15m AS INTEGER) AS txn_count_15m,
        CAST(s.gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, s.txn_count_1h, CAST(s.gmv_usd_1h AS DOUBLE) AS gmv_usd_1h,
        s.computed_at_utc, CAST(s.risk_score_v1 AS DOUBLE) AS risk_score_v1, s.risk_band_v1,
@@ -418,7 +429,7 @@ FROM raw_rows WHERE eid % 97 <> 0 AND {MERCHANT} <> 'm_seed_0001'"""
 @oracle("load_stats")
 def _():
     return with_(LIVE_FACTS) + """,
-numbered AS (SELECT raw_id, (row_number() OVER (ORDER BY raw_id) - 1) // 20000 AS batch_no FROM raw_rows),
+numbered AS (SELECT raw_id, (row_number() OVER (ORDER BY raw_id) - 1) // 2000 AS batch_no FROM raw_rows),
 firsts AS (SELECT min(raw_id) AS raw_id FROM live_typed GROUP BY event_id),
 ins AS (SELECT n.batch_no, count(*) AS c FROM firsts f JOIN numbered n USING (raw_id) GROUP BY 1),
 per AS (SELECT batch_no, count(*) AS processed_rows, max(raw_id) AS updated_watermark FROM numbered GROUP BY 1)
@@ -433,13 +444,13 @@ FROM per p LEFT JOIN ins i USING (batch_no)"""
 def _():
     return with_(RAW_ROWS, WM) + """
 SELECT raw_id, 'SYNTH_LIVE' AS source, received_at FROM raw_rows, wm
-WHERE raw_id > wm.w ORDER BY raw_id LIMIT 20000"""
+WHERE raw_id > wm.w ORDER BY raw_id LIMIT 2000"""
 
 
 @oracle("watermark_advance")
 def _():
     return with_(LIVE_FACTS, WM) + """,
-batch AS (SELECT r.raw_id FROM raw_rows r, wm WHERE r.raw_id > wm.w ORDER BY r.raw_id LIMIT 20000),
+batch AS (SELECT r.raw_id FROM raw_rows r, wm WHERE r.raw_id > wm.w ORDER BY r.raw_id LIMIT 2000),
 loaded AS (SELECT DISTINCT t.event_id FROM live_typed t, wm WHERE t.raw_id <= wm.w),
 batch_ids AS (SELECT DISTINCT t.event_id FROM live_typed t JOIN batch b USING (raw_id))
 SELECT wm.source, wm.w AS last_raw_id_before,
@@ -471,7 +482,7 @@ COUNTRY_LIST = "['US', 'CA', 'GB', 'DE', 'FR', 'AU', 'IN', 'BR', 'MX', 'JP']"
 def _():
     return f"""WITH stage AS (
   SELECT 'evt_' || CAST(e.event_id AS VARCHAR) AS event_id, e.event_type, e.ts AS event_time_utc,
-         'm_' || lpad(CAST(e.user_id AS VARCHAR), 6, '0') AS merchant_id,
+         'm_' || lpad(CAST(e.user_id AS VARCHAR), greatest(6, length(CAST(e.user_id AS VARCHAR)))::INTEGER, '0') AS merchant_id,
          'ord_' || CAST(e.event_id AS VARCHAR) AS order_id,
          CASE WHEN e.event_type = 'error' THEN 'failed' ELSE 'captured' END AS status,
          CASE WHEN e.event_id % 53 = 0 THEN NULL
@@ -498,6 +509,12 @@ def _sql_list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
+def _mcc_pool() -> list[str]:
+    from merchant_signals.sources import driver as D
+
+    return D.MCC_POOL
+
+
 def _sql_case(col: str, mapping: dict, default: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
     return f"CASE {col} {whens} ELSE {default} END"
@@ -526,11 +543,11 @@ pay AS (
   FROM events
 ),
 dim AS (
-  SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS merchant_id, c_name AS merchant_name,
+  SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS merchant_id, c_name AS merchant_name,
          {seg} AS merchant_segment,
          CASE WHEN c_acctbal < 0 THEN 'HIGH' WHEN c_acctbal < 3000 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
          {_sql_list(D.COUNTRIES)}[c_nationkey % 10 + 1] AS country,
-         {_sql_list([m for m, _ in D.MCC_POOL])}[c_custkey % 7 + 1] AS mcc, c_custkey
+         {_sql_list(D.MCC_POOL)}[c_custkey % 7 + 1] AS mcc, c_custkey
   FROM customer
 ),
 fx1 AS (
@@ -683,7 +700,7 @@ MODEL_OUT = """CAST(local_model_score AS DOUBLE) AS local_model_score, local_mod
 
 @oracle("score_window")
 def _():
-    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat"), scored_cte("hfeat", "hsnap")) + f"""
+    return with_(HIST_FACTS, HIST_SNAPS) + f"""
 SELECT {SCORED_OUT} FROM hsnap WHERE snapshot_time_utc BETWEEN {SCORE_LO} AND {SCORE_HI}"""
 
 
@@ -695,7 +712,7 @@ win AS (
 wb AS (
   SELECT s.*, CAST(round(w.sc, 5) AS DECIMAL(6,5)) AS local_model_score,
          CASE WHEN w.sc IS NOT NULL THEN {band_sql('w.sc', 0.8, 0.5)} END AS local_model_band,
-         CASE WHEN w.sc IS NOT NULL THEN 'risk_model_latest.pkl' END AS local_model_version,
+         CASE WHEN w.sc IS NOT NULL THEN 'risk_model_latest' END AS local_model_version,
          CASE WHEN w.sc IS NOT NULL THEN {NOW} END AS local_model_scored_at_utc
   FROM hsnap s LEFT JOIN win w USING (merchant_id, snapshot_time_utc)
 )"""
@@ -735,10 +752,10 @@ FROM live_facts"""
 @oracle("insert_if_absent")
 def _():
     return """
-SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS merchant_id, c_name AS merchant_name FROM customer
+SELECT 'm_' || lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS merchant_id, c_name AS merchant_name FROM customer
 UNION ALL
 SELECT 'm_seed_0001', 'Seed Merchant'
-WHERE NOT EXISTS (SELECT 1 FROM customer WHERE 'm_' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') = 'm_seed_0001')"""
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE 'm_' || lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') = 'm_seed_0001')"""
 
 
 @oracle("dim_upsert")
@@ -805,7 +822,7 @@ SELECT snapshot_time_utc, count(*) AS snapshot_rows FROM feat GROUP BY 1 ORDER B
 
 @oracle("coverage_counts")
 def _():
-    return with_(HIST_FACTS, features_cte("hist_facts", "hfeat")) + f"""
+    return with_(HIST_FACTS, HIST_SNAPS) + f"""
 SELECT 'fact_rows' AS metric, count(*) AS value FROM hist_facts
 UNION ALL SELECT 'snapshot_rows', count(*) FROM hfeat
 UNION ALL SELECT 'exported_rows', count(*) FROM hfeat
@@ -884,7 +901,7 @@ def _():
     return with_(RAW_ROWS) + """
 SELECT raw_id, 'evt_clone_' || CAST(raw_id AS VARCHAR) AS event_id,
        strftime(received_at + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time_utc,
-       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS merchant_id,
+       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') END AS merchant_id,
        CAST(amount_usd AS DOUBLE) AS amount_usd,
        CASE WHEN amount_usd IS NULL THEN 7 ELSE 8 END AS n_keys
 FROM raw_rows"""
@@ -894,27 +911,47 @@ FROM raw_rows"""
 
 @oracle("increment_run")
 def _():
-    return with_(LIVE_FACTS, features_cte(
-        "live_facts", where_t=f"T BETWEEN {SCORE_LO} AND {SCORE_HI}"), scored_cte("feat")) + """
+    # the training window is computed while only the originals are loaded
+    window = f"T BETWEEN {NOW} - INTERVAL 8 DAY AND {NOW} - INTERVAL 24 HOUR"
+    return with_(LIVE_FACTS, """originals AS (SELECT * FROM live_facts WHERE raw_id <= (SELECT max(event_id) + 1 FROM events))""",
+                 features_cte("originals", "ofeat", where_t=window), scored_cte("ofeat", "osnap"),
+                 features_cte("live_facts", where_t=f"T BETWEEN {SCORE_LO} AND {SCORE_HI}"), scored_cte("feat"), f"""
+trainset AS (SELECT *, 0 AS label_bad_outcome_24h FROM osnap
+             WHERE snapshot_time_utc < {NOW} - INTERVAL 24 HOUR AND snapshot_time_utc + INTERVAL 24 HOUR <= {NOW})""",
+                 model_cte("trainset")) + f""",
+sc AS (SELECT f.*, {model_score_expr('m')} AS s FROM scored f CROSS JOIN mdl m)
 SELECT merchant_id, snapshot_time_utc, txn_count_15m, CAST(gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, txn_count_1h,
-       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1
-FROM scored"""
+       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1,
+       CAST(round(s, 5) AS DOUBLE) AS local_model_score, {band_sql('s', 0.8, 0.5)} AS local_model_band,
+       {NOW} AS local_model_scored_at_utc
+FROM sc
+UNION ALL
+SELECT merchant_id, snapshot_time_utc, txn_count_15m, CAST(gmv_usd_15m AS DOUBLE), txn_count_1h,
+       CAST(gmv_usd_1h AS DOUBLE), CAST(risk_score_v1 AS DOUBLE), risk_band_v1, NULL, NULL, NULL
+FROM osnap"""
 
 
 @oracle("stream_features")
 def _():
     return with_(LIVE_FACTS, features_cte("live_facts"), scored_cte("feat")) + """
 SELECT merchant_id, snapshot_time_utc, txn_count_15m, CAST(gmv_usd_15m AS DOUBLE) AS gmv_usd_15m, txn_count_1h,
-       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1
+       CAST(gmv_usd_1h AS DOUBLE) AS gmv_usd_1h, CAST(risk_score_v1 AS DOUBLE) AS risk_score_v1, risk_band_v1,
+       CAST(NULL AS DOUBLE) AS local_model_score
 FROM scored"""
 
 
+@oracle("source_allow_list")
+def _():
+    return with_(RAW_ROWS) + """
+SELECT 'SYNTH_LIVE' AS source, count(*) AS raw_rows, true AS loaded FROM raw_rows"""
+
+
 @oracle("raw_append")
 def _():
     return with_(RAW_ROWS) + """
 SELECT CASE WHEN raw_id % 2 = 1 THEN 'API' ELSE 'HTTP' END AS source,
        CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
-       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS merchant_id,
+       CASE WHEN eid % 97 = 0 THEN '' ELSE 'm_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') END AS merchant_id,
        CAST(amount_usd AS DOUBLE) AS amount_usd
 FROM raw_rows"""
 
@@ -924,7 +961,7 @@ def _():
     return with_(RAW_ROWS) + """
 SELECT 'SYNTH_STREAM' AS source,
        CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END AS event_id,
-       'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id
+       'm_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS merchant_id
 FROM raw_rows WHERE eid % 97 <> 0"""
 
 
@@ -939,7 +976,7 @@ FROM raw_rows"""
 @oracle("clone_events")
 def _():
     return with_(RAW_ROWS) + """
-SELECT 'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id, count(*) AS clones, count(*) AS facts
+SELECT 'm_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS merchant_id, count(*) AS clones, count(*) AS facts
 FROM raw_rows WHERE eid % 97 <> 0 GROUP BY 1"""
 
 
@@ -948,20 +985,24 @@ ORACLES["stream_window_features"] = ORACLES["merchant_features"]
 
 @oracle("fact_csv_load")
 def _():
-    return with_(LIVE_FACTS) + """,
+    return with_(LIVE_FACTS) + f""",
 stage AS (
-  SELECT 'evt_' || CAST(event_id AS VARCHAR) AS event_id, event_type, ts AS event_time_utc,
-         'm_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS merchant_id,
-         CASE WHEN event_id % 53 = 0 THEN NULL
-              WHEN event_type = 'error' AND event_id % 7 = 0 THEN -CAST(value AS DECIMAL(18,2))
-              ELSE CAST(value AS DECIMAL(18,2)) END AS amount_usd,
-         CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(event_type = 'error' AS INTEGER) END AS label_bad_outcome
-  FROM events
-)
+  SELECT 'evt_' || CAST(e.event_id AS VARCHAR) AS event_id, e.event_id AS eid, e.event_type, e.ts AS event_time_utc,
+         {MERCHANT} AS merchant_id, {AMOUNT.replace('event_id', 'e.event_id')} AS amount_usd,
+         CASE WHEN e.event_id % 11 = 0 THEN NULL ELSE CAST(e.event_type = 'error' AS INTEGER) END AS label_bad_outcome,
+         sha256('payer|' || CAST(e.event_id AS VARCHAR)) AS payer_id_hash,
+         {COUNTRY_LIST}[c.c_nationkey % 10 + 1] AS merchant_country,
+         {_sql_list(_mcc_pool())}[c.c_custkey % 7 + 1] AS merchant_mcc,
+         CAST(e.ts >= {NOW} - INTERVAL 15 DAY AS INTEGER) AS drift_regime_id
+  FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id
+),
+fresh AS (SELECT * FROM stage s WHERE NOT EXISTS (SELECT 1 FROM live_facts l WHERE l.event_id = s.event_id))
 SELECT s.event_id, s.event_type, s.event_time_utc, s.merchant_id, CAST(s.amount_usd AS DOUBLE) AS amount_usd,
        CAST(s.label_bad_outcome AS DOUBLE) AS label_bad_outcome, 'SYNTHETIC' AS source,
-       (SELECT count(*) FROM stage) AS staged_rows
-FROM stage s WHERE NOT EXISTS (SELECT 1 FROM live_facts l WHERE l.event_id = s.event_id)"""
+       payer_id_hash, merchant_country, merchant_mcc, drift_regime_id,
+       (SELECT count(*) + count(*) FILTER (WHERE eid % 7 = 0) FROM stage) AS staged_rows,
+       (SELECT count(*) FROM live_facts) + (SELECT count(*) FROM fresh) AS fact_total_rows
+FROM fresh s"""
 
 
 ORACLES["merchant_features_sql"] = ORACLES["merchant_features"]

@@ -4,6 +4,7 @@ snapshot table and the labelled training set."""
 
 from __future__ import annotations
 
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampType
 
 from merchant_signals.operators import facts as facts_op
-from merchant_signals.operators.features import merchant_features
+from merchant_signals.operators.features import merchant_features, snapshot_backfill
 from merchant_signals.operators.scoring import risk_score_v1
-from merchant_signals.session import ensure_session
+from merchant_signals.session import ensure_session, fingerprint, path_exists, scratch_path
 from merchant_signals.sources import driver
 
 
@@ -21,31 +22,24 @@ _STORED: dict[tuple, str] = {}
 _STORED_LOCK = threading.RLock()
 
 
-def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
-    import os
+#: The driver tables that the stored tables are made from.
+INPUTS = ("events", "customer", "nation")
+
 
-    p = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        st = os.stat(p)
-        stamp = (st.st_size, int(st.st_mtime))
-    except OSError:  # remote storage: the path names the data
-        stamp = ()
-    return (spark.sparkContext.applicationId, sf_dir, *stamp)
+def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    files = fingerprint(spark, *[f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUTS])
+    return (spark.sparkContext.applicationId, sf_dir, files)
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int | None = None) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, build, day_of: str | None = None) -> DataFrame:
     """A derived table of the data product, written once per application as
     Parquet below the shared checkpoint folder and read back by every later
     query (as the reference keeps raw events, facts, snapshots and the
-    training export as stored tables).  Writing it also cuts the lineage."""
-    import hashlib
-
-    from merchant_signals.session import scratch_path
-
+    training export as stored tables).  Writing it also cuts the lineage.
+    day_of: a time column whose rows are kept sorted, so that row groups outside
+    a time range are skipped."""
     ensure_session(spark)
     key = (*_input_key(spark, sf_dir), name)
-    from merchant_signals.sources.store import path_exists
-
     with _STORED_LOCK:  # one build per table, even with concurrent callers
         path = _STORED.get(key)
         if path is not None and not path_exists(spark, path):
@@ -53,8 +47,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int |
         if path is None:
             path = scratch_path(spark, "tables", name, hashlib.sha1(repr(key).encode()).hexdigest()[:16])
             df = build()
-            if partitions:
-                df = df.repartition(partitions)
+            if day_of:
+                df = df.repartitionByRange(F.col(day_of)).sortWithinPartitions(day_of)
             df.write.mode("overwrite").parquet(path)
             _STORED[key] = path
     return spark.read.parquet(path)
@@ -62,7 +56,8 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, partitions: int |
 
 def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored table (built on first use)."""
-    live = {"raw": raw, "live_facts": live_facts, "hist_snapshots": hist_snapshots, "training_set": training_set}
+    live = {"raw": raw, "live_facts": live_facts, "live_snapshots": live_snapshots, "hist_snapshots": hist_snapshots,
+            "training_set": training_set}
     live[name](spark, sf_dir)
     return _STORED[(*_input_key(spark, sf_dir), name)]
 
@@ -71,8 +66,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw landing table (``raw_realtime_events``) for the driver tables."""
     from merchant_signals.functions.time import to_utc
 
-    t = stored(spark, sf_dir, "raw", lambda: driver.raw_events(spark, sf_dir),
-               partitions=spark.sparkContext.defaultParallelism)
+    t = stored(spark, sf_dir, "raw", lambda: driver.raw_events(spark, sf_dir))
     return t.withColumn("received_at", to_utc("received_at"))
 
 
@@ -85,7 +79,12 @@ def build_live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored fact table built from the raw landing table."""
-    return stored(spark, sf_dir, "live_facts", lambda: build_live_facts(spark, sf_dir))
+    return stored(spark, sf_dir, "live_facts", lambda: build_live_facts(spark, sf_dir), "event_time_utc")
+
+
+def live_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored snapshot table of the live facts, which the monitors read."""
+    return stored(spark, sf_dir, "live_snapshots", lambda: scored_features(live_facts(spark, sf_dir)), "snapshot_time_utc")
 
 
 def hist_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +94,12 @@ def hist_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_features(facts: DataFrame, computed_at=None) -> DataFrame:
     """Snapshot rows: features + heuristic + computed_at (a parameter, not now())."""
+    return scored(merchant_features(facts), computed_at)
+
+
+def scored(features: DataFrame, computed_at=None) -> DataFrame:
     at = computed_at if computed_at is not None else driver.now_lit()
-    return risk_score_v1(merchant_features(facts)).withColumn("computed_at_utc", at)
+    return risk_score_v1(features).withColumn("computed_at_utc", at)
 
 
 def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -118,8 +121,9 @@ def for_compare(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def hist_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored snapshot table of the historical seed (every bucket)."""
-    return stored(spark, sf_dir, "hist_snapshots", lambda: scored_features(hist_facts(spark, sf_dir)))
+    """Stored snapshot table of the historical seed: the backfill's buckets (OP-53)."""
+    return stored(spark, sf_dir, "hist_snapshots", lambda: scored(snapshot_backfill(hist_facts(spark, sf_dir))),
+                  "snapshot_time_utc")
 
 
 def build_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,9 +36,16 @@ FACT = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("received_at", T.TimestampType()),
     T.StructField("payload", T.StringType()),
+    # further columns of the fact file; NULL for facts from raw events
+    T.StructField("payer_id_hash", T.StringType()),
+    T.StructField("merchant_country", T.StringType()),
+    T.StructField("merchant_mcc", T.StringType()),
+    T.StructField("drift_regime_id", T.IntegerType()),
 ])
 FACT_COLUMNS = [f.name for f in FACT.fields]
+FACT_FILE_COLUMNS = ["payer_id_hash", "merchant_country", "merchant_mcc", "drift_regime_id"]
 
+# The contract's column names and order.
 # 14 positional columns of the fact CSV (historical / object-store loads).
 FACT_CSV14 = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -83,6 +90,8 @@ DIM_CSV22 = T.StructType([
     T.StructField("created_at_utc", T.TimestampType()),
 ])
 DIM_COLUMNS = [f.name for f in DIM_CSV22.fields]
+# The dimension table: the file's 22 columns and the time of the first insert.
+DIM = T.StructType([*DIM_CSV22.fields, T.StructField("created_at", T.TimestampType())])
 
 FEATURE_COLUMNS = ["txn_count_15m", "gmv_usd_15m", "txn_count_1h", "gmv_usd_1h", "risk_score_v1"]
 TARGET_COLUMN = "label_bad_outcome_24h"

@@ -6,14 +6,18 @@
 * AQE on (coalesced shuffle partitions, skew-join splitting).
 
 ``spark.checkpoint.dir`` is read from the session.  We only set our own when
-it is unset (tests and local runs); on a cluster it must name a shared folder.
+it is unset and the master is local; on a cluster it must name a shared folder.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 _SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,7 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Order: SparkContext's dir, then ``spark.checkpoint.dir``; only if both
-    are unset (local tests) a private temp folder is created and registered.
+    are unset and all of Spark runs in this process, a private temp folder is
+    created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ms-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -74,3 +81,65 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "merchant_signals", *parts])
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Hadoop FileSystem check (works for local, HDFS and object stores)."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it doesn't exist."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+_TEMP: list[str] = []
+
+
+def temp_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read back: computed
+    once, lineage cut, nothing persisted.  ``release_temp`` removes the files."""
+    path = scratch_path(df.sparkSession, "temp", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _TEMP.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_temp(spark: SparkSession) -> None:
+    """Delete the files of all temp tables; results that still read them must be written first."""
+    while _TEMP:
+        delete_path(spark, _TEMP.pop())
+
+
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the files below the paths (names, sizes, times of change), in any store that Spark reads."""
+    seen = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            files = fs.listFiles(p, True)
+            while files.hasNext():
+                f = files.next()
+                seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(seen)).encode()).hexdigest()
+
+
+def observed(obs: Observation, name: str = "rows") -> int:
+    """An observed count of a plan that has run; 0 if the optimiser saw that the
+    plan is empty and left the observation out."""
+    try:
+        return int(obs.get[name] or 0)
+    except Py4JJavaError:
+        return 0

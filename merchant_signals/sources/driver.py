@@ -10,8 +10,9 @@ Fixed values of the mapping (chosen for these fixtures; they exercise the
 reference's edge cases: rejects, fallback ids, late data, NULL and negative
 amounts, duplicates):
   raw_id                = event_id + 1
+                          (copies: past the largest id of the originals, see duplicates)
   source                = 'SYNTH_LIVE'
-  merchant_id           = 'm_' || lpad(user_id, 6, '0');  '' when event_id % 97 = 0 (raw only)
+  merchant_id           = 'm_' || user_id padded to at least 6 digits;  '' when event_id % 97 = 0 (raw only)
   event_id (text)       = 'evt_' || event_id;             '' when event_id % 101 = 0 (raw only)
   order_id              = 'ord_' || event_id
   status                = 'failed' for event_type 'error', else 'captured'
@@ -21,7 +22,7 @@ amounts, duplicates):
   label_bad_outcome     = event_type = 'error'
   label_anomaly         = value > 250
   label_dispute_lost    = event_type = 'error' and event_id % 3 = 0
-  duplicates            = rows with event_id % 10 = 0 again, raw_id + 10,000,000,
+  duplicates            = rows with event_id % 10 = 0 again, raw_id + max(event_id) + 1,
                           amount + 1.00, received 31 days later (a replay; the
                           payload keeps its times; the first copy must win)
   now                   = 2024-01-31 00:00:00 UTC
@@ -35,11 +36,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals.functions.time import iso_utc, to_utc
+from merchant_signals.operators.enrich import MCC_INDUSTRY
 
 # Fixed values (see module doc).
 SOURCE = "SYNTH_LIVE"
 HISTORICAL_SOURCE = "SYNTHETIC_HISTORICAL"
-DUP_OFFSET = 10_000_000
 NOW = _dt.datetime(2024, 1, 31, 0, 0, 0)
 NOW_SQL = "TIMESTAMP '2024-01-31 00:00:00'"
 REJECT_MERCHANT_MOD = 97
@@ -59,17 +60,8 @@ SEGMENT_MAP = {
     "MACHINERY": "ENTERPRISE",
 }
 COUNTRIES = ["US", "CA", "GB", "DE", "FR", "AU", "IN", "BR", "MX", "JP"]
-# Merchant category codes and their industry names; a
-# customer's code is MCC_POOL[c_custkey % 7].
-MCC_POOL = [
-    ("5411", "Grocery Stores"),
-    ("5812", "Eating Places/Restaurants"),
-    ("5732", "Electronics Stores"),
-    ("5999", "Misc Retail"),
-    ("7011", "Lodging/Hotels"),
-    ("4111", "Transport"),
-    ("4900", "Utilities"),
-]
+# A customer's merchant category code is MCC_POOL[c_custkey % 7].
+MCC_POOL = list(MCC_INDUSTRY)
 HISTORY_SPLIT = _dt.datetime(2024, 1, 16, 0, 0, 0)
 HISTORY_SPLIT_SQL = "TIMESTAMP '2024-01-16 00:00:00'"
 DRIFT_DAYS = 15
@@ -89,7 +81,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchant_of(user_id: Column) -> Column:
-    return F.concat(F.lit("m_"), F.lpad(user_id.cast("string"), 6, "0"))
+    """Padded to at least 6 digits; longer ids stay whole."""
+    digits = user_id.cast("string")
+    return F.concat(F.lit("m_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0")))
 
 
 def _amount(e: str = "") -> Column:
@@ -107,6 +101,8 @@ def _status() -> Column:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_realtime_events`` rows (raw_id, source, payload, received_at)."""
     eid = F.col("event_id")
+    top = events(spark, sf_dir).agg(F.max("event_id").alias("m")).first()["m"]  # one-row control value
+    copies_from = 1 + (top if top is not None else 0)
     ev = (events(spark, sf_dir)
           .withColumn("received_at", F.col("ts") + F.make_dt_interval(
               F.lit(0), F.lit(0), (eid % LAG_MINUTES_MOD).cast("int")))
@@ -130,7 +126,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_utc("received_at").alias("ingested_at_utc"),
     ))
     return both.select(
-        (eid + 1 + F.col("dup") * DUP_OFFSET).cast("long").alias("raw_id"),
+        (eid + 1 + F.col("dup") * F.lit(copies_from)).cast("long").alias("raw_id"),
         F.lit(SOURCE).alias("source"),
         payload.alias("payload"),
         dup_received.alias("received_at"),
@@ -177,7 +173,7 @@ def dim_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.coalesce(seg[F.col("c_mktsegment")], F.lit("SMB")).alias("merchant_segment"),
                 F.when(bal < 0, "HIGH").when(bal < 3000, "MEDIUM").otherwise("LOW").alias("risk_tier"),
                 F.element_at(countries, (F.col("c_nationkey") % len(COUNTRIES) + 1).cast("int")).alias("country"),
-                F.element_at(F.array(*[F.lit(m) for m, _ in MCC_POOL]),
+                F.element_at(F.array(*[F.lit(m) for m in MCC_POOL]),
                              (F.col("c_custkey") % len(MCC_POOL) + 1).cast("int")).alias("mcc"),
                 F.col("c_custkey"),
                 F.col("c_nationkey"),

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.time import to_utc
-from merchant_signals.schemas import DIM_CSV22, FACT_CSV14, RAW, TRAINING_COLUMNS
+from merchant_signals.functions.json import checked_json
+from merchant_signals.schemas import DIM_CSV22, FACT, FACT_COLUMNS, FACT_CSV14, TRAINING_COLUMNS
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 DEFAULT_RAW_SOURCE = "HTTP"
@@ -95,53 +95,63 @@ def raw_rows(payloads: DataFrame, received_at: Column | None = None,
                            .alias("received_at"))
 
 
-def replay_lines(lines: DataFrame, source: str = REPLAY_SOURCE, limit: int | None = None,
+def replay_lines(lines: DataFrame, source: str = REPLAY_SOURCE,
                  received_at: Column | None = None) -> DataFrame:
     """OP-02: each non-blank line of a JSONL file is one payload tagged with
-    ``source``.  ``limit`` keeps the first N lines in file order (batch only;
-    a stream throttles with ``maxFilesPerTrigger`` instead)."""
-    ln = lines.filter(F.trim(F.col("value")) != "")
+    ``source``; a line that isn't JSON fails the replay.  Works on a batch and
+    on a stream (which throttles with ``maxFilesPerTrigger``)."""
+    text = F.trim(F.col("value"))
+    return lines.filter(text != "").select(
+        F.lit(source).alias("source"), checked_json(text).alias("payload"),
+        (received_at if received_at is not None else F.current_timestamp()).alias("received_at"))
+
+
+def replay_file(spark: SparkSession, path: str, source: str = REPLAY_SOURCE, limit: int | None = None,
+                received_at: Column | None = None) -> DataFrame:
+    """OP-02 from files; ``limit`` takes the first N non-blank lines, by file name and place in the file."""
+    lines = spark.read.text(path)
     if limit is not None:
-        ln = ln.limit(int(limit))
-    return ln.select(F.lit(source).alias("source"), F.trim(F.col("value")).alias("payload"),
-                     (received_at if received_at is not None else F.current_timestamp())
-                     .alias("received_at"))
-
-
-def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Raw landing table (Parquet, partitioned by source)."""
-    return spark.read.schema(RAW).parquet(path).withColumn("received_at", to_utc("received_at"))
+        lines = (lines.filter(F.trim("value") != "")
+                 .select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                         F.monotonically_increasing_id().alias("_i"))
+                 .orderBy("_f", "_b", "_i").limit(int(limit)).select("value"))
+    return replay_lines(lines, source, received_at)
 
 
 def load_dim_csv(spark: SparkSession, path: str, target: DataFrame) -> tuple[DataFrame, int]:
-    """OP-05 + OP-24: stage the 22-column file and upsert it (last state wins,
-    a key repeated inside the file aborts).  An empty file is an error.
+    """OP-05 + OP-24: stage the 22-column file and upsert it (last state wins, a
+    key missing or repeated inside the file aborts).  An empty file is an error.
     Returns (new dimension state, staged row count)."""
     from merchant_signals.operators.mutate import upsert_last_state
 
     staged = read_dim_csv22(spark, path)
     n = staged.count()
     if n == 0:
-        raise ValueError("CSV body is empty")
+        raise ValueError("the merchant file has no rows")
     return upsert_last_state(target, staged, ["merchant_id"]), n
 
 
-def load_fact_csv(spark: SparkSession, path: str, existing: DataFrame) -> tuple[DataFrame, int]:
-    """OP-06: stage the 14-column file, insert-ignore on event_id.  An empty
-    file or a row without event_type fails the whole load (one aggregate).
-    Returns (rows to append, staged row count)."""
+def load_fact_csv(spark: SparkSession, path: str, existing: DataFrame) -> tuple[DataFrame, dict]:
+    """OP-06 + OP-22: stage the 14-column file, keep one row per event_id, insert-
+    ignore on event_id.  An empty file, or a row without event_id or event_type,
+    fails the whole load (one aggregate).  Of repeated ids the reference keeps the
+    first in file order, which Spark does not preserve: here the smallest
+    (event time, then the other columns in order) stays, NULLs first.
+    Returns (rows to append, {"staged_rows", "fact_total_rows"})."""
     from merchant_signals.operators.facts import insert_ignore
 
     staged = read_fact_csv14(spark, path)
-    chk = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type").isNull()).alias("bad")).first()
+    chk = staged.agg(F.count(F.lit(1)).alias("n"),
+                     F.count_if(F.col("event_id").isNull() | F.col("event_type").isNull()).alias("bad")).first()
     if chk["n"] == 0:
-        raise ValueError("CSV object is empty")
+        raise ValueError("the fact file has no rows")
     if chk["bad"]:
-        raise ValueError(f"{chk['bad']} staged rows have no event_type")
-    new = staged.select(
-        "event_id", "event_type", "event_time_utc", "ingested_at_utc", "merchant_id", "order_id",
-        "amount_usd", "status", "label_bad_outcome",
-        F.lit(None).cast("int").alias("label_anomaly"), F.lit(None).cast("int").alias("label_dispute_lost"),
-        F.lit(None).cast("long").alias("raw_id"), F.col("source_system").alias("source"),
-        F.col("ingested_at_utc").alias("received_at"), F.lit(None).cast("string").alias("payload"))
-    return insert_ignore(new, existing, "event_id"), int(chk["n"])
+        raise ValueError(f"{chk['bad']} rows of the fact file have no event_id or no event_type")
+    rest = ["event_time_utc", *[f.name for f in FACT_CSV14.fields if f.name not in ("event_id", "event_time_utc")]]
+    one = staged.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_r")).select("event_id", "_r.*")
+    new = one.select(*[
+        F.col("source_system").alias("source") if c == "source" else F.col("ingested_at_utc").alias(c) if c == "received_at"
+        else F.col(c) if c in one.columns else F.lit(None).cast(FACT[c].dataType).alias(c) for c in FACT_COLUMNS])
+    rows = insert_ignore(new, existing, "event_id")
+    total = existing.count() + rows.count()
+    return rows, {"staged_rows": int(chk["n"]), "fact_total_rows": int(total)}

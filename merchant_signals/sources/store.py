@@ -4,12 +4,16 @@
 * ``facts``      append-only (insert-ignore upstream), partitioned by ``event_date``
 * ``snapshots``  partitioned by ``snapshot_date``; an upsert rewrites only the
                  dates it touches
-* ``watermark``, ``dim_merchant``  small tables, replaced whole
+* ``dim_merchant``  append-only (new merchants) or replaced whole (file load)
+* ``watermark``, ``load_position``, ``raw_sequence``, ``pending``  small state
 
-A table is never read and overwritten by the same plan: the new state of
-the touched partitions is first written to a staging folder under the
-session's shared checkpoint dir (which also cuts the lineage), then that
-staged copy replaces the partitions (dynamic partition overwrite).
+Tables that are replaced whole are versioned: a new state goes to the next
+``v=<n>`` folder, readers take the newest complete one, older ones are removed
+afterwards, so that a crash at any point leaves the old or the new state.
+
+Partitions are replaced from a staged copy.  Its place is noted in ``pending``
+first; if the job dies while the partitions are being swapped, ``recover``
+does the same swap again from the copy.
 """
 
 from __future__ import annotations
@@ -22,7 +26,8 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from merchant_signals import schemas as S
-from merchant_signals.session import scratch_path
+from merchant_signals.session import delete_path, list_names, path_exists
+
 
 def _schema(fields: list[tuple[str, object]]) -> StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields])
@@ -36,35 +41,38 @@ SNAPSHOT_SCHEMA = _schema([
     ("risk_band_v1", T.StringType()), ("local_model_score", T.DecimalType(6, 5)),
     ("local_model_band", T.StringType()), ("local_model_version", T.StringType()),
     ("local_model_scored_at_utc", T.TimestampType())])
-DIM_SCHEMA = _schema([("merchant_id", T.StringType()), ("merchant_name", T.StringType()),
-                      ("created_at", T.TimestampType())])
-
 SEQUENCE_SCHEMA = _schema([("last_raw_id", T.LongType())])
+PENDING_SCHEMA = _schema([("table", T.StringType()), ("staged", T.StringType())])
 
-SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA,
-           "watermark": S.WATERMARK, "dim_merchant": DIM_SCHEMA, "raw_sequence": SEQUENCE_SCHEMA}
+SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA, "dim_merchant": S.DIM,
+           "watermark": S.WATERMARK, "load_position": S.WATERMARK, "raw_sequence": SEQUENCE_SCHEMA,
+           "pending": PENDING_SCHEMA}
+VERSIONED = {"dim_merchant", "watermark", "load_position", "raw_sequence", "pending"}
 PARTITIONS = {"raw": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
 DATE_OF = {"facts": "event_time_utc", "snapshots": "snapshot_time_utc"}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Hadoop FileSystem check (works for local, HDFS and object stores)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._staged: dict[int, str] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _exists(self, name: str) -> bool:
-        return path_exists(self.spark, self.path(name))
+    def _versions(self, name: str) -> list[int]:
+        """Complete versions of a replaced table, oldest first."""
+        root = self.path(name)
+        found = [n for n in list_names(self.spark, root) if n.startswith("v=")]
+        return sorted(int(n[2:]) for n in found if path_exists(self.spark, f"{root}/{n}/_SUCCESS"))
+
+    def _data_path(self, name: str) -> str | None:
+        """Where the table's current files are; None before the first write."""
+        if name in VERSIONED:
+            done = self._versions(name)
+            return f"{self.path(name)}/v={done[-1]}" if done else None
+        return self.path(name) if path_exists(self.spark, self.path(name)) else None
 
     def _full_schema(self, name: str) -> StructType:
         """Data columns plus the partition column (typed), for schema-explicit reads
@@ -77,19 +85,26 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         schema = SCHEMAS[name]
-        if not self._exists(name):
+        path = self._data_path(name)
+        if path is None:
             return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(self._full_schema(name)).parquet(self.path(name))
+        df = self.spark.read.schema(self._full_schema(name)).parquet(path)
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def read_dates(self, name: str, lo, hi) -> DataFrame:
         """Rows of the date partitions lo..hi only (partition pruning)."""
+        return self._read_where(name, lambda d: d.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+
+    def read_days(self, name: str, days) -> DataFrame:
+        """Rows of the given date partitions only (partition pruning)."""
+        return self._read_where(name, lambda d: d.isin([F.lit(x).cast("date") for x in sorted(days)]))
+
+    def _read_where(self, name: str, keep) -> DataFrame:
         schema = SCHEMAS[name]
-        if not self._exists(name):
+        path = self._data_path(name)
+        if path is None:
             return self.spark.createDataFrame([], schema)
-        part = PARTITIONS[name][0]
-        df = self.spark.read.schema(self._full_schema(name)).parquet(self.path(name)).filter(
-            F.col(part).between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+        df = self.spark.read.schema(self._full_schema(name)).parquet(path).filter(keep(F.col(PARTITIONS[name][0])))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def _with_partition_cols(self, name: str, df: DataFrame) -> DataFrame:
@@ -97,39 +112,70 @@ class TableStore:
             df = df.withColumn(PARTITIONS[name][0], F.to_date(DATE_OF[name]))
         return df
 
+    def _clustered(self, name: str, df: DataFrame) -> DataFrame:
+        """Rows of a partition together, so that a small date is one file; adaptive
+        execution splits large dates and merges small ones."""
+        return df.hint("rebalance", *PARTITIONS[name]) if name in PARTITIONS else df
+
     def append(self, name: str, df: DataFrame) -> None:
         schema = SCHEMAS[name]
-        out = self._with_partition_cols(name, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-        w = out.write.mode("append")
-        if name in PARTITIONS:
-            w = w.partitionBy(*PARTITIONS[name])
-        w.parquet(self.path(name))
-
-    def _stage(self, df: DataFrame) -> DataFrame:
-        p = scratch_path(self.spark, "staging", uuid.uuid4().hex)
-        df.write.mode("overwrite").parquet(p)
-        return self.spark.read.schema(df.schema).parquet(p)
+        rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in schema.fields])
+        if name in VERSIONED:  # further files of the present version
+            rows.write.mode("append").parquet(self._data_path(name) or f"{self.path(name)}/v=1")
+            return
+        out = self._clustered(name, self._with_partition_cols(name, rows))
+        out.write.mode("append").partitionBy(*PARTITIONS[name]).parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Replace a small table whole (via a staged copy)."""
+        """The next version of a small table; the plan may read the present one."""
         schema = SCHEMAS[name]
-        staged = self._stage(df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
-        staged.write.mode("overwrite").parquet(self.path(name))
+        done = self._versions(name)
+        version = done[-1] + 1 if done else 1
+        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(
+            f"{self.path(name)}/v={version}")
+        for old in done[:-1]:  # the version before stays for readers that have just opened it
+            delete_path(self.spark, f"{self.path(name)}/v={old}")
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """``df`` written below the store and read back; ``unstage`` removes it."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._staged[id(out)] = path
+        return out
+
+    def unstage(self, *frames: DataFrame) -> None:
+        for df in frames:
+            delete_path(self.spark, self._staged.pop(id(df)))
 
     def replace_partitions(self, name: str, new_state: DataFrame) -> None:
-        """Overwrite exactly the partitions present in ``new_state``."""
+        """Overwrite exactly the partitions present in ``new_state``, which may be
+        computed from them."""
         schema = SCHEMAS[name]
+        if self.read("pending").limit(1).count():
+            raise RuntimeError("a partition swap broke off: call recover() before reading and replacing partitions")
         out = self._with_partition_cols(name, new_state.select(*[F.col(f.name).cast(f.dataType)
                                                                  for f in schema.fields]))
-        staged = self._stage(out)
-        if staged.isEmpty():  # no partition to replace
-            return
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            staged.write.mode("overwrite").partitionBy(*PARTITIONS[name]).parquet(self.path(name))
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        self._clustered(name, out).write.parquet(path)
+        self.replace("pending", self.spark.createDataFrame([(name, path)], PENDING_SCHEMA))
+        self.recover()
+
+    def recover(self) -> None:
+        """Finish a partition swap that is noted as pending."""
+        for r in self.read("pending").collect():  # one row at most
+            if path_exists(self.spark, f"{r['staged']}/_SUCCESS"):
+                self._swap(r["table"], r["staged"])
+                self.replace("pending", self.spark.createDataFrame([], PENDING_SCHEMA))
+                delete_path(self.spark, r["staged"])
+
+    def _swap(self, name: str, path: str) -> None:
+        part = PARTITIONS[name]
+        staged = self.spark.read.schema(self._full_schema(name)).parquet(path)
+        if not staged.isEmpty():  # else no partition to replace
+            (self._clustered(name, staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*part).parquet(self.path(name)))
 
     # ---- raw landing (OP-01 / OP-02 / OP-04) ----------------------------------------
     def append_raw(self, rows: DataFrame, order_by: list[str] | None = None) -> int:
@@ -138,17 +184,18 @@ class TableStore:
         in a one-row ``raw_sequence`` table (single writer, like a serial), so
         landing never scans the raw table; it is initialised from the raw ids
         once.  Returns the new last id."""
+        from merchant_signals.functions.json import checked_json
         from merchant_signals.operators.row_ids import dense_row_id
 
-        seq = self.read("raw_sequence").first() if self._exists("raw_sequence") else None
+        seq = self.read("raw_sequence").first()
         if seq is None:
             seq = self.read("raw").agg(F.coalesce(F.max("raw_id"), F.lit(0)).alias("last_raw_id")).first()
         start = int(seq["last_raw_id"])
-        numbered = dense_row_id(rows.select("source", "payload", "received_at"),
-                                order_by or ["received_at", "payload"], "raw_id", start=start + 1).persist()
-        n = numbered.count()
-        if n:
+        checked = rows.select("source", checked_json("payload").alias("payload"), "received_at")
+        numbered = dense_row_id(checked, order_by or ["received_at", "payload"], "raw_id", start=start + 1)
+        last = numbered.agg(F.max("raw_id").alias("m")).first()["m"]
+        if last is not None:
+            # the ids are taken first: a crash in between leaves a gap, never a second use
+            self.replace("raw_sequence", self.spark.createDataFrame([(int(last),)], SEQUENCE_SCHEMA))
             self.append("raw", numbered)
-            self.replace("raw_sequence", self.spark.createDataFrame([(start + n,)], SEQUENCE_SCHEMA))
-        numbered.unpersist()
-        return start + n
+        return start if last is None else int(last)

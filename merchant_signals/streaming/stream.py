@@ -4,14 +4,16 @@ The raw landing table is the stream source.  Each micro-batch runs the
 reference's increment on exactly its new rows inside ``foreachBatch``:
 
   facts     <- insert-ignore(first-wins(typed(valid(batch))))      (OP-16/17/22/23)
-  snapshots <- recompute every bucket the new facts can touch      (OP-31/25)
-  watermark <- max raw id of the batch                             (OP-48)
+  snapshots <- recompute the (merchant, bucket) keys that the batch's facts
+               touch, from the fact table                          (OP-31/25)
+  watermark <- max raw id of the batch, last                       (OP-48)
 
-Every step is idempotent (anti join on the fact key, recompute-and-replace
-of snapshot partitions, monotone watermark), so a micro-batch replayed after
-an executor or driver loss leaves the same tables.  Dedup state is the fact
-table itself, not a streaming state store: ``dropDuplicates`` would grow
-forever and the watermark variant would drop the reference's "forever" key.
+Every step is idempotent, and the keys to recompute come from the batch itself,
+not from what it happened to insert: a micro-batch replayed after a loss at any
+point leaves the same tables.  Rows may arrive in any order and however late;
+no state store is kept, so nothing is dropped behind an event-time watermark.
+Dedup state is the fact table itself: ``dropDuplicates`` would grow forever and
+the watermark variant would drop the reference's "forever" key.
 
 Run it as ``trigger(availableNow=True)`` on the scheduler's 15-minute
 cadence, or with ``processingTime`` for continuous upkeep.
@@ -19,14 +21,17 @@ cadence, or with ``processingTime`` for continuous upkeep.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals import schemas as S
-from merchant_signals.functions.time import floor15, next15
 from merchant_signals.operators import facts as facts_op
-from merchant_signals.operators.sizing import at_most
-from merchant_signals.plans.increment import recompute_buckets
+from merchant_signals.operators.features import merchant_features
+from merchant_signals.operators.mutate import upsert_snapshots
+from merchant_signals.operators.scoring import risk_score_v1
+from merchant_signals.session import observed
 from merchant_signals.sources.files import raw_rows
 from merchant_signals.sources.store import TableStore
 
@@ -40,28 +45,46 @@ def raw_table_stream(spark: SparkSession, store: TableStore, max_files_per_trigg
     return r.parquet(store.path("raw"))
 
 
+def touched_keys(facts: DataFrame) -> DataFrame:
+    """(merchant_id, snapshot_time_utc) of the four buckets whose hour each fact lies in."""
+    return (facts.select("merchant_id", F.window("event_time_utc", "1 hour", "15 minutes").alias("_w"))
+            .select("merchant_id", F.col("_w.end").alias("snapshot_time_utc")).distinct())
+
+
+def process_facts(store: TableStore, typed: DataFrame) -> dict:
+    """Insert a batch of typed facts and refresh the buckets they touch.  Only the
+    days that hold touched buckets are read and rewritten."""
+    store.recover()
+    typed = store.stage(typed.select(*S.FACT_COLUMNS))
+    inserted = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id"))
+    n = inserted.count()
+    if n:
+        store.append("facts", inserted)
+    keys = store.stage(touched_keys(typed))
+    # one value per day of the batch's time span
+    days = {r["d"] for r in keys.select(F.to_date("snapshot_time_utc").alias("d")).distinct().collect()}
+    out = {"inserted_fact": n, "rows_upserted": 0}
+    if days:
+        near = store.read_days("facts", days | {d - _dt.timedelta(days=1) for d in days})
+        near = near.join(keys.select("merchant_id").distinct(), "merchant_id", "left_semi")
+        obs = Observation("touched")
+        src = (risk_score_v1(merchant_features(near).join(keys, ["merchant_id", "snapshot_time_utc"], "left_semi"))
+               .withColumn("computed_at_utc", F.current_timestamp()).observe(obs, F.count(F.lit(1)).alias("rows")))
+        store.replace_partitions("snapshots", upsert_snapshots(store.read_days("snapshots", days), src))
+        out["rows_upserted"] = observed(obs)
+    store.unstage(typed, inserted, keys)
+    return out
+
+
 def process_batch(store: TableStore, batch: DataFrame, source: str | None = None) -> dict:
-    """Load one micro-batch of raw rows and refresh the touched buckets."""
+    """Load one micro-batch of raw rows, refresh the touched buckets, move the watermark."""
     b = batch.select(*[f.name for f in S.RAW.fields])
     if source:
         b = b.filter(F.col("source") == source)
-    typed = facts_op.dedup_first_wins(facts_op.facts_from_raw(b)).persist()
-    bound = facts_op.BROADCAST_KEYS_MAX if at_most(typed, facts_op.BROADCAST_KEYS_MAX) else None
-    inserted = facts_op.insert_ignore(typed, store.read("facts"), "event_id", bound) \
-        .select(*S.FACT_COLUMNS).persist()
-    span = inserted.agg(next15(F.min("event_time_utc")).alias("lo"),
-                        (floor15(F.max("event_time_utc")) + F.expr("INTERVAL 60 MINUTES")).alias("hi"),
-                        F.count(F.lit(1)).alias("n")).first()
-    out = {"inserted_fact": int(span["n"])}
-    if span["n"]:
-        store.append("facts", inserted)
-        out["rows_upserted"] = recompute_buckets(store, span["lo"], span["hi"], F.current_timestamp())
+    out = process_facts(store, facts_op.dedup_first_wins(facts_op.facts_from_raw(b)))
     hi_ids = b.groupBy("source").agg(F.max("raw_id").alias("last_raw_id"))
-    wm = store.read("watermark")
-    merged = (wm.unionByName(hi_ids).groupBy("source").agg(F.max("last_raw_id").alias("last_raw_id")))
-    store.replace("watermark", merged)
-    typed.unpersist()
-    inserted.unpersist()
+    store.replace("watermark", store.read("watermark").unionByName(hi_ids)
+                  .groupBy("source").agg(F.max("last_raw_id").alias("last_raw_id")))
     return out
 
 
@@ -80,7 +103,8 @@ def start_raw_landing(spark: SparkSession, store: TableStore, json_dir: str, che
                       available_now: bool = True):
     """OP-01: ``{source, payload}`` JSON objects from a folder appended to the
     raw table (default source 'HTTP', received_at = arrival time, dense ids)."""
-    stream = spark.readStream.schema(RAW_JSON_SCHEMA).json(json_dir)
+    # a line that isn't JSON stops the stream; it isn't landed as NULLs
+    stream = spark.readStream.schema(RAW_JSON_SCHEMA).option("mode", "FAILFAST").json(json_dir)
 
     def land(df: DataFrame, _batch_id: int) -> None:
         store.append_raw(raw_rows(df))
@@ -90,50 +114,12 @@ def start_raw_landing(spark: SparkSession, store: TableStore, json_dir: str, che
     return q.start()
 
 
-def windowed_features(facts_stream: DataFrame, watermark: str = "75 minutes",
-                      dedup: bool = True) -> DataFrame:
-    """OP-50, native form: event-time watermark + sliding ``window`` aggregation.
-
-    The ingest guard stays a row filter (``ingested_at < window end``), so
-    each window's row equals the batch definition once all of its facts have
-    arrived.  The watermark (the 75-minute recompute horizon) bounds the
-    state: a window is finalised and dropped once the watermark passes its
-    end.  Duplicate events are dropped within the watermark only -- weaker
-    than the fact table's forever key, which is why ``start_feature_stream``
-    (exact, foreachBatch) is the default job."""
-    from merchant_signals.functions.time import interval
-
-    s = facts_stream.withWatermark("event_time_utc", watermark)
-    if dedup:
-        s = s.dropDuplicatesWithinWatermark(["event_id"])
-    w = (s.withColumn("_w", F.window("event_time_utc", "1 hour", "15 minutes"))
-         .filter(F.col("ingested_at_utc") < F.col("_w.end")))
-    in15 = F.col("event_time_utc") >= F.col("_w.end") - interval("15 MINUTES")
-    return (w.groupBy("merchant_id", "_w").agg(
-        F.count_if(in15).cast("int").alias("txn_count_15m"),
-        F.coalesce(F.sum(F.when(in15, F.col("amount_usd"))), F.lit(0)).cast("decimal(18,2)").alias("gmv_usd_15m"),
-        F.count(F.lit(1)).cast("int").alias("txn_count_1h"),
-        F.coalesce(F.sum("amount_usd"), F.lit(0)).cast("decimal(18,2)").alias("gmv_usd_1h"))
-        .select("merchant_id", F.col("_w.end").alias("snapshot_time_utc"), "txn_count_15m", "gmv_usd_15m",
-                "txn_count_1h", "gmv_usd_1h"))
-
-
-def start_windowed_feature_stream(spark: SparkSession, facts_stream: DataFrame, store: TableStore,
-                                  checkpoint_location: str, available_now: bool = True, **kw):
-    """Run ``windowed_features`` in update mode; every micro-batch upserts the
-    changed (merchant, bucket) rows, scored, into the snapshot table."""
-    from merchant_signals.operators.mutate import upsert_snapshots
-    from merchant_signals.operators.scoring import risk_score_v1
-
-    def upsert(df: DataFrame, _batch_id: int) -> None:
-        src = risk_score_v1(df).withColumn("computed_at_utc", F.current_timestamp()).persist()
-        span = src.agg(F.min("snapshot_time_utc").alias("lo"), F.max("snapshot_time_utc").alias("hi")).first()
-        if span["lo"] is not None:
-            current = store.read_dates("snapshots", span["lo"].date(), span["hi"].date())
-            store.replace_partitions("snapshots", upsert_snapshots(current, src))
-        src.unpersist()
-
-    q = (windowed_features(facts_stream, **kw).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint_location).foreachBatch(upsert))
+def start_fact_stream(facts_stream: DataFrame, store: TableStore, checkpoint_location: str,
+                      available_now: bool = True):
+    """OP-50 from typed facts: each micro-batch is inserted and its touched
+    (merchant, bucket) keys are recomputed from the fact table, so files may come
+    in any order."""
+    q = (facts_stream.writeStream.option("checkpointLocation", checkpoint_location)
+         .foreachBatch(lambda df, _batch_id: process_facts(store, facts_op.dedup_first_wins(df))))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="15 minutes")
     return q.start()

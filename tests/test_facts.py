@@ -51,7 +51,6 @@ def test_dedup_first_wins_and_insert_ignore(spark):
     assert {r.event_id: r.raw_id for r in f.collect()} == {"e1": 1, "e2": 3}
     existing = f.filter(F.col("event_id") == "e1")
     assert [r.event_id for r in FO.insert_ignore(f, existing, "event_id").collect()] == ["e2"]
-    assert [r.event_id for r in FO.insert_ignore(f, existing, "event_id", new_rows_bound=10).collect()] == ["e2"]
 
 
 def test_batches_watermark_and_rejects(spark):
@@ -63,11 +62,11 @@ def test_batches_watermark_and_rejects(spark):
     # one increment by hand: an all-rejected batch still advances the watermark
     rejected = _raw(spark, [(20, "SYNTH_LIVE", {**P, "merchant_id": ""})])
     batch = FO.incremental_batch(rejected, "SYNTH_LIVE", 10)
-    ins = FO.load_batch(batch, FO.facts_from_raw(raw), 20000)
+    ins = FO.load_batch(batch, FO.facts_from_raw(raw))
     s = FO.batch_stats(batch, ins, 10).first()
     assert (s.processed_rows, s.inserted_fact, s.updated_watermark) == (1, 0, 20)
     empty = FO.incremental_batch(rejected, "SYNTH_LIVE", 20)
-    s = FO.batch_stats(empty, FO.load_batch(empty, FO.facts_from_raw(raw), 20000), 20).first()
+    s = FO.batch_stats(empty, FO.load_batch(empty, FO.facts_from_raw(raw)), 20).first()
     assert (s.processed_rows, s.inserted_fact, s.updated_watermark) == (0, 0, 20)
 
 
@@ -90,7 +89,7 @@ def test_dense_row_id_matches_row_number(spark):
     random.seed(3)
     data = [(random.randint(0, 50), f"k{i}") for i in range(2000)]
     df = spark.createDataFrame(data, "a int, b string").repartition(7)
-    got = {r.b: r.rid for r in dense_row_id(df, ["a", "b"], "rid", num_partitions=5).collect()}
+    got = {r.b: r.rid for r in dense_row_id(df, ["a", "b"], "rid").collect()}
     exp = {b: i + 1 for i, (a, b) in enumerate(sorted(data))}
     assert got == exp
 
@@ -145,3 +144,36 @@ def test_clone_ids_and_base64_transport(spark):
     assert p["event_time_utc"] == "2024-02-01T12:00:00.000Z" and p["merchant_id"] == "m1"
     back = clone_payloads(raw, at).select(via_base64(F.col("payload")).alias("b"), "payload").first()
     assert back.b == back.payload
+
+
+def test_broken_json_fails_the_load(spark):
+    raw = spark.createDataFrame([(1, "SYNTH_LIVE", '{"event_id": "a", "merch', dt.datetime(2024, 1, 1))], RAW)
+    with pytest.raises(Exception, match="(?i)malformed|json"):
+        FO.facts_from_raw(raw).collect()
+
+
+def test_historical_load_refuses_repeated_and_missing_ids(spark):
+    from merchant_signals.schemas import FACT_CSV14
+
+    t = dt.datetime(2024, 1, 1)
+    row = ("e1", "payment", t, "m1", "o1", "captured", None, "h", "US", "5411", "S", t, None, 1)
+    ok = FO.historical_load(spark.createDataFrame([row], FACT_CSV14)).first()
+    assert (ok.merchant_mcc, ok.drift_regime_id, ok.label_bad_outcome) == ("5411", 1, 0)
+    for rows in ([row, row], [(None, *row[1:])]):
+        with pytest.raises(ValueError):
+            FO.historical_load(spark.createDataFrame(rows, FACT_CSV14))
+
+
+def test_large_ids_stay_apart(spark, tmp_dir):
+    """User ids beyond six digits are whole; originals and copies never share a raw id."""
+    from merchant_signals.plans import views as V
+    from merchant_signals.sources import driver
+
+    rows = [(i, dt.datetime(2024, 1, 1), u, "view", 1.0, "{}") for i, u in
+            [(0, 7), (9_999_999, 100_000), (10_000_000, 1_000_000), (20_000_000, 1_000_009)]]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(tmp_dir + "/events.parquet")
+    raw = driver.raw_events(spark, tmp_dir)
+    assert raw.select("raw_id").distinct().count() == raw.count() == 7
+    merchants = {r.merchant_id for r in V.hist_facts(spark, tmp_dir).collect()}
+    assert merchants == {"m_000007", "m_100000", "m_1000000", "m_1000009"}

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 from merchant_signals.schemas import FACT_CSV14
-from merchant_signals.sources.files import read_csv, replay_lines
+from merchant_signals.sources.files import read_csv, replay_file, replay_lines
 
 
 def test_copy_null_vs_empty(spark, tmp_dir):
@@ -21,7 +21,18 @@ def test_replay_skips_blank_lines(spark, tmp_dir):
     rows = replay_lines(spark.read.text(p)).collect()
     assert [r.payload for r in rows] == ['{"event_id": "a"}', '{"event_id": "b"}']
     assert {r.source for r in rows} == {"SYNTH_STREAM"}
-    assert len(replay_lines(spark.read.text(p), limit=1).collect()) == 1
+    assert [r.payload for r in replay_file(spark, p, limit=1).collect()] == ['{"event_id": "a"}']
+    assert len(replay_file(spark, p).collect()) == 2
+
+
+def test_replay_refuses_a_line_that_is_not_json(spark, tmp_dir):
+    import pytest
+
+    p = tmp_dir + "/b.jsonl"
+    with open(p, "w") as fh:
+        fh.write('{"event_id": "a"}\n{"event_id": \n')
+    with pytest.raises(Exception, match="not JSON"):
+        replay_file(spark, p).collect()
 
 
 def test_fact_and_dim_csv_loads_are_all_or_nothing(spark, tmp_dir):
@@ -36,7 +47,7 @@ def test_fact_and_dim_csv_loads_are_all_or_nothing(spark, tmp_dir):
         fh.write("e2,payment,2024-01-01T00:00:00.000000Z,m1,o2,captured,2.00,,,,,2024-01-01T00:00:00.000000Z,1,0\n")
     existing = spark.createDataFrame([("e1",)], "event_id string")
     new, n = load_fact_csv(spark, ok, existing)
-    assert n == 2 and [r.event_id for r in new.collect()] == ["e2"]
+    assert n == {"staged_rows": 2, "fact_total_rows": 2} and [r.event_id for r in new.collect()] == ["e2"]
     bad = tmp_dir + "/bad.csv"
     with open(bad, "w") as fh:
         fh.write("h\n")
@@ -69,3 +80,44 @@ def test_raw_landing_ids_are_dense_and_continue(spark, tmp_dir):
     got = sorted((r.raw_id, r.payload) for r in store.read("raw").collect())
     assert got == [(i + 1, f'{{"n": {i}}}') for i in range(8)]
     assert store.read("raw_sequence").first().last_raw_id == 8
+
+
+def test_fact_csv_keeps_one_row_per_id_and_all_columns(spark, tmp_dir):
+    import pytest
+
+    from merchant_signals.sources.files import load_fact_csv
+    from merchant_signals.sources.store import TableStore
+
+    p = tmp_dir + "/dup.csv"
+    line = "{e},payment,2024-01-0{d}T00:00:00.000000Z,m1,o{d},captured,1.00,hash,US,5411,S,2024-01-09T00:00:00.000000Z,1,7\n"
+    with open(p, "w") as fh:
+        fh.write("h\n" + line.format(e="e1", d=3) + line.format(e="e1", d=2) + line.format(e="e2", d=1))
+    store = TableStore(spark, tmp_dir + "/store")
+    new, n = load_fact_csv(spark, p, store.read("facts"))
+    assert n == {"staged_rows": 3, "fact_total_rows": 2}
+    store.append("facts", new)
+    got = {r.event_id: r for r in store.read("facts").collect()}
+    assert got["e1"].order_id == "o2" and set(got) == {"e1", "e2"}
+    assert (got["e1"].payer_id_hash, got["e1"].merchant_country, got["e1"].merchant_mcc, got["e1"].drift_regime_id) == ("hash", "US", "5411", 7)
+    with open(p, "w") as fh:
+        fh.write("h\n" + line.format(e="", d=3))
+    with pytest.raises(ValueError):
+        load_fact_csv(spark, p, store.read("facts"))
+
+
+def test_dimension_keeps_all_file_columns(spark, tmp_dir):
+    from merchant_signals.schemas import DIM_COLUMNS
+    from merchant_signals.sources.files import load_dim_csv
+    from merchant_signals.sources.store import TableStore
+
+    p = tmp_dir + "/dim.csv"
+    with open(p, "w") as fh:
+        fh.write(",".join("c" * 22) + "\n" + "m1,Shop,2024-01-01,SMB,5411,Grocery,LOW,OK,ACTIVE,US,NY,UTC,f1,0.0290,0.30,T+2,DAILY,ACH,0.0000,10.00,5,"
+                 "2024-01-01T00:00:00.000000Z\n")
+    store = TableStore(spark, tmp_dir + "/store")
+    store.append("dim_merchant", spark.createDataFrame([("m1", "old"), ("m2", "kept")], "merchant_id string, merchant_name string"))
+    state, n = load_dim_csv(spark, p, store.read("dim_merchant"))
+    store.replace("dim_merchant", state)
+    got = {r.merchant_id: r for r in store.read("dim_merchant").collect()}
+    assert n == 1 and got["m1"].merchant_name == "Shop" and got["m1"].state == "NY" and got["m2"].merchant_name == "kept"
+    assert set(DIM_COLUMNS) < set(store.read("dim_merchant").columns)

@@ -31,3 +31,28 @@ def test_band_uses_unrounded_score(spark):
     raw = 3 + 5 * math.log(1 + float(g))
     assert 79.995 <= raw < 80
     assert r.risk_score_v1 == Decimal("80.00") and r.risk_band_v1 == "medium"
+
+
+def test_model_scores_on_its_own_feature_list(spark):
+    from merchant_signals.operators import model as M
+    from merchant_signals.operators.scoring import model_score
+
+    rows = spark.createDataFrame([("m1", 1, 9.0, 1), ("m1", 3, 9.0, 0)], "merchant_id string, txn_count_15m int, gmv_usd_15m double, label_bad_outcome_24h int")
+    model = M.train(rows, ["txn_count_15m"])
+    a = model_score(rows, model).orderBy("txn_count_15m").collect()
+    b = model_score(rows.withColumn("gmv_usd_15m", F.lit(-1e6)), model).orderBy("txn_count_15m").collect()
+    assert [r.local_model_score_raw for r in a] == [r.local_model_score_raw for r in b]
+    text = rows.withColumn("txn_count_15m", F.lit("null"))
+    assert model_score(text, model).first().local_model_score_raw is not None
+
+
+def test_tolerant_numbers_are_not_trimmed(spark):
+    import pytest
+
+    from merchant_signals.functions.numeric import tolerant_float
+
+    ok = spark.createDataFrame([("",), ("null",), (None,), (" 1.5",)], "x string")
+    assert [r[0] for r in ok.select(tolerant_float("x")).collect()] == [0.0, 0.0, 0.0, 1.5]
+    for bad in ("  ", " null ", "x"):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(bad,)], "x string").select(tolerant_float("x")).collect()
