@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from merchant_signals.session import ensure_session, scratch_path
 
 
+#: Bound of an Arrow batch: what a Python worker holds at once, whatever the texts' lengths (a longer text is alone).
+BATCH_BYTES = "12m"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     ensure_session(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -30,13 +35,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``f`` on each Arrow batch of each partition."""
+def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
+              done: Callable[[], None] | None = None) -> DataFrame:
+    """``f`` on each Arrow batch of each partition, ``done`` after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = f(b)
             if out is not None and out.num_rows:
                 yield out
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)

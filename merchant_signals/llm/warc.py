@@ -105,19 +105,29 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str =
     arrow_map(own, run, "digest string, kind string, header binary").write.parquet(f"{path}/headers")
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """digest, kind and record: the original bytes of every record."""
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """digest, kind, header, and for responses gz."""
     headers, payloads = (spark.read.parquet(f"{path}/{t}") for t in ("headers", "payloads"))
     full = headers.where(F.col("kind") == "response").join(payloads.select("digest", "gz"), "digest")
+    bare = headers.where(F.col("kind") == "revisit").withColumn("gz", F.lit(None).cast("binary"))
+    cols = ["digest", "kind", "header", "gz"]
+    return full.select(cols).unionByName(bare.select(cols))
+
+
+def rebuild(header: bytes, gz: bytes | None) -> bytes:
+    """The original bytes of a record."""
+    return header + (b"" if gz is None else gzip.decompress(gz)) + END
+
 
-    def rebuild(b: pa.RecordBatch) -> pa.RecordBatch:
-        whole = [h + gzip.decompress(z) + END for h, z in zip(b.column("header").to_pylist(), b.column("gz").to_pylist())]
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """digest, kind and record: the original bytes of every record."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        whole = [rebuild(h.as_py(), z.as_py()) for h, z in zip(b.column("header"), b.column("gz"))]
         return pa.RecordBatch.from_arrays([b.column("digest"), b.column("kind"), pa.array(whole, pa.binary())],
                                           names=["digest", "kind", "record"])
 
-    bare = headers.where(F.col("kind") == "revisit").select(
-        "digest", "kind", F.concat("header", F.lit(END)).alias("record"))
-    return arrow_map(full.select("digest", "kind", "header", "gz"), rebuild, "digest string, kind string, record binary").unionByName(bare)
+    return arrow_map(_stored(spark, path), run, "digest string, kind string, record binary")
 
 
 def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
@@ -144,8 +154,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         out: dict[str, list] = {k: [] for k in ("digest", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")}
-        for address, record in zip(b.column("digest").to_pylist(), b.column("record").to_pylist()):
-            fields, payload = parse_record(record)
+        for address, header, gz in zip(b.column("digest").to_pylist(), b.column("header"), b.column("gz")):
+            fields, payload = parse_record(rebuild(header.as_py(), gz.as_py()))  # one record at a time
             sha1 = fields["warc-payload-digest"].removeprefix("sha1:")
             full = fields["warc-type"] == "response"
             if full and (sha1_base32(payload) != sha1 or hashlib.sha256(payload).hexdigest() != address):
@@ -158,7 +168,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()], names=[*out])
 
     schema = "digest string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
-    read = staged(arrow_map(records(spark, path), run, schema), "warc-read")
+    read = staged(arrow_map(_stored(spark, path), run, schema), "warc-read")
     # a revisit's full payload is that of the response it refers to, which the read has verified
     sizes = read.where(F.col("record_type") == "response").groupBy(F.col("digest").alias("d")).agg(
         F.max("payload_bytes").alias("full_bytes"))
