@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_signals.llm.common import arrow_map, staged
-from merchant_signals.llm.tokens import encoder
+from merchant_signals.llm.tokens import encoder, forget
 from merchant_signals.llm.words import texts_of
 
 #: Bins of the length axis and documents of a pattern.
@@ -60,7 +60,8 @@ def pieces_of(docs: DataFrame, vocabulary: str, max_len: int, end_id: int, id_co
         return pa.RecordBatch.from_arrays(cols, names=names)
 
     return arrow_map(docs.select(F.col(id_col), F.col(text_col).cast("string")), cut,
-                     f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids)
+                     f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids,
+                     forget)
 
 
 def patterns(bins: int, docs: int) -> np.ndarray:

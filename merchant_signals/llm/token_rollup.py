@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals.llm.common import arrow_map
-from merchant_signals.llm.tokens import encoder
+from merchant_signals.llm.tokens import encoder, forget
 from merchant_signals.llm.words import texts_of, words_of
 
 LEDGER = "doc_id bigint, tokenizer_version string, source string, lang string, n_tokens bigint, sign int"
@@ -53,7 +53,7 @@ def counted(docs: DataFrame, version: str, counter: Callable[[pa.Array], np.ndar
 
     own = docs.select(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.col(lang_col).cast("string"),
                       F.col(text_col).cast("string"))
-    return (arrow_map(own, run, "doc_id bigint, source string, lang string, n_tokens bigint")
+    return (arrow_map(own, run, "doc_id bigint, source string, lang string, n_tokens bigint", forget)
             .withColumn("tokenizer_version", F.lit(version)))
 
 

@@ -7,10 +7,14 @@ not exist: no composition takes a space.
 
 from __future__ import annotations
 
-import numpy as np
+import sys
+from array import array
+
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are written as little-endian 32-bit integers")
 
 #: Entries of a worker's cache; a full cache becomes the older half, whose entries come back when asked for.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 600_000
 
 _encoders: dict[str, "PieceEncoder"] = {}
 
@@ -34,21 +38,27 @@ class _Pieces(dict):
         if (ids := self.older.get(piece)) is not None:
             self[piece] = ids
             return ids
-        text = piece.decode()
-        low = text.lower()
-        if piece[-1:] in b".," and len(piece) > 1 and low[:-1].isalpha() and low[-2] < "\u0100":
-            ids = self[piece[:-1]] + self[piece[-1:]]
-        elif low.isalpha() and max(text) < "\u0100":
-            # one run of letters, composed already: the model alone decides
-            own = low.encode()
-            ids = np.array([t.id for t in self.model.tokenize("".join([self.letters[b] for b in own]))], "<u4").tobytes() \
-                if own == piece else self[own]
+        body = piece[:-1] if piece[-1] in b".," else piece
+        if body.isalpha():  # ASCII letters: one run, the model alone decides
+            ids = array("I", [t.id for t in self.model.tokenize(body.decode().lower())]).tobytes()
+            if body is not piece:
+                ids += self[piece[-1:]]
         else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self._other(piece)
         if len(piece) <= 64:
             self[piece] = ids
         return ids
 
+    def _other(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        low = text.lower()
+        if low.isalpha() and max(text) < "\u0100":  # composed already
+            own = "".join([self.letters[b] for b in low.encode()])
+            return array("I", [t.id for t in self.model.tokenize(own)]).tobytes()
+        if low[:-1].isalpha() and low[-1] in ".," and max(text) < "\u0100":
+            return self[piece[:-1]] + self[piece[-1:]]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
 
 class PieceEncoder:
     def __init__(self, path: str) -> None:
@@ -63,6 +73,11 @@ class PieceEncoder:
             self.pieces.clear()
         return b"".join(map(self.pieces.__getitem__, text.split()))
 
+    def forget(self) -> None:
+        """Give the cache's memory back: workers outlive their tasks."""
+        self.pieces.clear()
+        self.pieces.older = {}
+
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's own encoder of a vocabulary file."""
@@ -74,6 +89,12 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Empty the caches of this worker's encoders."""
+    for e in _encoders.values():
+        e.forget()
+
+
 def word_bpe_path() -> str:
     import public_tokenizers
 
