@@ -23,15 +23,18 @@ MIN_COVERAGE = 0.2
 NEAR = near_dups.Rule(k=5, num=80, den=100)
 
 
+#: The columns that operators read.
+OWN = ("doc_id", "text", "lang")
+
+
 def _plain(docs: DataFrame) -> DataFrame:
-    """The columns under names that no operator uses, but for id, text, language and source."""
-    own = {"doc_id", "text", "lang", "source"}
-    return docs.select(*[F.col(f"`{c}`").alias(c if c in own else f"__{i}") for i, c in enumerate(docs.columns)])
+    """All other columns under names that no operator uses."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in OWN else f"__{i}") for i, c in enumerate(docs.columns)])
 
 
 def _named(df: DataFrame, docs: DataFrame) -> DataFrame:
     """Back to the columns of ``docs``."""
-    return df.select(*[F.col(c if c in df.columns else f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return df.select(*[F.col(c if c in OWN else f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
