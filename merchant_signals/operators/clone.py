@@ -48,3 +48,13 @@ def via_base64(payload: Column) -> Column:
     """The transport the duplicate check uses: encode, strip line breaks, decode."""
     b64 = F.regexp_replace(F.base64(F.encode(payload, "UTF-8")), r"[\n\r]+", "")
     return F.decode(F.unbase64(b64), "UTF-8")
+
+
+def recent_second(now: Column, seconds: int = 30) -> Column:
+    """The event time that manual clones get: some seconds ago, in whole seconds."""
+    return F.date_trunc("second", now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds)))
+
+
+def clone_line(event_id: Column, merchant_id: Column) -> Column:
+    """What the check scripts print for a clone; NULL parts are left out."""
+    return F.concat_ws(" ", event_id, merchant_id)

@@ -950,6 +950,17 @@ def q_clone_events(spark, sf_dir):
     return sent.join(per_clone, "merchant_id", "left")
 
 
+@query("clone_lines")
+def q_clone_lines(spark, sf_dir):
+    """OP-71: the printed line and the event time of a manual clone of every raw row."""
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.operators.clone import clone_line, recent_second
+
+    r = V.raw(spark, sf_dir)
+    return r.select("raw_id", clone_line(json_text("payload", "event_id"), F.nullif(json_text("payload", "merchant_id"), F.lit("")))
+                    .alias("line"), recent_second(F.col("received_at")).alias("event_time_utc"))
+
+
 @query("stream_window_features")
 def q_stream_window_features(spark, sf_dir):
     """OP-50 from typed facts, out of order: the newest week's facts arrive before

@@ -980,6 +980,15 @@ SELECT 'm_' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS
 FROM raw_rows WHERE eid % 97 <> 0 GROUP BY 1"""
 
 
+@oracle("clone_lines")
+def _():
+    return with_(RAW_ROWS) + f"""
+SELECT raw_id, concat_ws(' ', CASE WHEN eid % 101 = 0 THEN '' ELSE 'evt_' || CAST(eid AS VARCHAR) END,
+                         CASE WHEN eid % 97 <> 0 THEN {MERCHANT} END) AS line,
+       date_trunc('second', received_at - INTERVAL 30 SECOND) AS event_time_utc
+FROM raw_rows"""
+
+
 ORACLES["stream_window_features"] = ORACLES["merchant_features"]
 
 
