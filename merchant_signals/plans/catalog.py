@@ -120,12 +120,10 @@ def q_training_window(spark, sf_dir):
 def q_training_export(spark, sf_dir):
     """OP-08: the scheduled export ([now-8d, now-24h)) of the snapshot table, written
     as the ordered training CSV and read back."""
-    import uuid
-
     from pyspark.sql import functions as F
 
     from merchant_signals.operators.labels import scheduled_window, training_dataset
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.files import export_training_csv, read_csv
 
@@ -133,7 +131,7 @@ def q_training_export(spark, sf_dir):
     hf = V.hist_facts(spark, sf_dir)
     rows = training_dataset(V.hist_snapshots(spark, sf_dir), hf, F.lit(s).cast("timestamp"),
                             F.lit(e).cast("timestamp"), driver.now_lit())
-    path = scratch_path(spark, "training_csv", uuid.uuid4().hex)
+    path = temp_path(spark, "training_csv")
     export_training_csv(rows, path)
     return read_csv(spark, path, rows.schema)
 
@@ -149,12 +147,10 @@ def q_train_model(spark, sf_dir):
 @query("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """OP-12: save the model as Parquet below the checkpoint dir, load, check keys."""
-    import uuid
-
     from merchant_signals.operators import model as M
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
 
-    path = scratch_path(spark, "models", uuid.uuid4().hex)
+    path = temp_path(spark, "models")
     M.save(M.train(V.training_set(spark, sf_dir)), path)
     return M.stats_long(M.load(spark, path))
 
@@ -344,15 +340,13 @@ def q_dense_row_id(spark, sf_dir):
 def q_historical_fact_load(spark, sf_dir):
     """OP-06/07: the 14-column fact CSV written and read back with COPY
     semantics, then loaded as historical facts."""
-    import uuid
-
     from merchant_signals.functions.json import json_text
     from merchant_signals.operators.facts import historical_load
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.files import read_fact_csv14, write_csv
 
-    path = scratch_path(spark, "stage", uuid.uuid4().hex)
+    path = temp_path(spark, "stage")
     write_csv(driver.fact_stage14(V.ensure_session(spark), sf_dir), path)
     loaded = historical_load(read_fact_csv14(spark, path))
     return (loaded.withColumn("payload_merchant_country", json_text("payload", "merchant_country"))
@@ -628,14 +622,12 @@ def _dim22(spark, sf_dir):
 def q_dim_csv_upsert(spark, sf_dir):
     """OP-05 + OP-24: 22-column merchant CSV (header skipped positionally)
     upserted into the stored dimension, which holds the seed merchant."""
-    import uuid
-
     from merchant_signals.schemas import DIM_COLUMNS
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.files import load_dim_csv, write_csv
     from merchant_signals.sources.store import TableStore
 
-    base = scratch_path(spark, "dim_csv", uuid.uuid4().hex)
+    base = temp_path(spark, "dim_csv")
     write_csv(_dim22(spark, sf_dir), base + "/in")
     store = TableStore(spark, base + "/store")
     store.append("dim_merchant", spark.createDataFrame([("m_seed_0001", "Seed Merchant")],
@@ -760,15 +752,13 @@ def q_rerun_noop(spark, sf_dir):
 def q_realtime_tail(spark, sf_dir):
     """OP-11: the last 60 minutes of events, in event-time order, written as JSON
     lines and read back."""
-    import uuid
-
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.files import realtime_tail, write_jsonl
 
     lf = V.live_facts(spark, sf_dir)
     ref = F.lit(lf.agg(F.max("event_time_utc").alias("e")).first()["e"]).cast("timestamp")
     tail = realtime_tail(lf, ref).select("event_id", "event_time_utc", "merchant_id", "amount_usd")
-    path = scratch_path(spark, "tail", uuid.uuid4().hex)
+    path = temp_path(spark, "tail")
     write_jsonl(tail, path)
     return spark.read.schema(tail.schema).json(path)
 
@@ -776,13 +766,11 @@ def q_realtime_tail(spark, sf_dir):
 @query("table_export")
 def q_table_export(spark, sf_dir):
     """OP-10: the dimension exported as CSV partitioned by country, read back."""
-    import uuid
-
     from merchant_signals.schemas import DIM_CSV22
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.files import export_table, read_csv
 
-    path = scratch_path(spark, "export", uuid.uuid4().hex)
+    path = temp_path(spark, "export")
     export_table(_dim22(spark, sf_dir), path, "csv", ["country"])
     schema = DIM_CSV22.__class__([f for f in DIM_CSV22.fields if f.name != "country"])
     back = read_csv(spark, path, schema)
@@ -833,15 +821,13 @@ def q_increment_run(spark, sf_dir):
     """OP-47: the originals are loaded in several batches and the buckets of the
     scheduled training window are computed; then the copies arrive, and one more
     catch-up at now recomputes its 6 buckets, exports, trains and scores them."""
-    import uuid
-
     from merchant_signals.operators.labels import scheduled_window
     from merchant_signals.plans.increment import catch_up, recompute_buckets
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.store import TableStore
 
-    store = TableStore(spark, scratch_path(spark, "store", uuid.uuid4().hex))
+    store = TableStore(spark, temp_path(spark, "store"))
     raw = V.raw(spark, sf_dir)
     copies = 1 + driver.events(spark, sf_dir).agg(F.max("event_id").alias("m")).first()["m"]
     store.append("raw", raw.filter(F.col("raw_id") <= F.lit(copies)))
@@ -856,13 +842,11 @@ def q_increment_run(spark, sf_dir):
 def q_stream_features(spark, sf_dir):
     """OP-50: raw rows landing in four arrival waves, each picked up by an
     available-now stream run; the final snapshot table equals the batch one."""
-    import uuid
-
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.store import TableStore
     from merchant_signals.streaming.stream import start_feature_stream
 
-    base = scratch_path(spark, "stream", uuid.uuid4().hex)
+    base = temp_path(spark, "stream")
     store = TableStore(spark, base + "/store")
     raw = V.raw(spark, sf_dir).select("source", "payload", "received_at")
     for chunk in _arrival_chunks(raw):
@@ -878,14 +862,12 @@ def q_stream_features(spark, sf_dir):
 def q_raw_append(spark, sf_dir):
     """OP-01: {source, payload} objects streamed into the raw table; a missing
     source becomes 'HTTP'."""
-    import uuid
-
     from merchant_signals.functions.json import json_text
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.store import TableStore
     from merchant_signals.streaming.stream import start_raw_landing
 
-    base = scratch_path(spark, "landing", uuid.uuid4().hex)
+    base = temp_path(spark, "landing")
     r = V.raw(spark, sf_dir)
     objs = r.select(F.when(F.col("raw_id") % 2 == 1, F.lit("API")).alias("source"),
                     F.from_json("payload", "map<string,string>").alias("payload"))
@@ -901,13 +883,11 @@ def q_raw_append(spark, sf_dir):
 @query("jsonl_replay")
 def q_jsonl_replay(spark, sf_dir):
     """OP-02: a JSONL file of payloads (blank lines skipped) replayed as raw rows."""
-    import uuid
-
     from merchant_signals.functions.json import json_text
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources.files import replay_file
 
-    path = scratch_path(spark, "replay", uuid.uuid4().hex)
+    path = temp_path(spark, "replay")
     r = V.raw(spark, sf_dir)
     blank = F.get_json_object("payload", "$.merchant_id") == ""
     r.select(F.when(blank, F.lit("   ")).otherwise(F.col("payload")).alias("value")).write.text(path)
@@ -967,14 +947,12 @@ def q_stream_window_features(spark, sf_dir):
     the older ones, one file a micro-batch; each batch recomputes the (merchant,
     bucket) keys that it touches, and the final table equals the batch features."""
     import datetime as dt
-    import uuid
-
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.store import TableStore
     from merchant_signals.streaming.stream import start_fact_stream
 
-    base = scratch_path(spark, "window_stream", uuid.uuid4().hex)
+    base = temp_path(spark, "window_stream")
     facts = V.live_facts(spark, sf_dir)
     store = TableStore(spark, base + "/store")
     t, hi = F.col("event_time_utc"), None
@@ -994,13 +972,11 @@ def q_fact_csv_load(spark, sf_dir):
     """OP-06 + OP-22: the 14-column fact file, with every 7th event a second time
     under a later time, loaded into the live fact table with insert-ignore on
     event_id (all-or-nothing checks first)."""
-    import uuid
-
-    from merchant_signals.session import scratch_path
+    from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.files import load_fact_csv, write_csv
 
-    path = scratch_path(spark, "fact_csv", uuid.uuid4().hex)
+    path = temp_path(spark, "fact_csv")
     stage = driver.fact_stage14(V.ensure_session(spark), sf_dir)
     again = stage.filter(F.substring("event_id", 5, 20).cast("long") % 7 == 0).withColumn(
         "event_time_utc", F.col("event_time_utc") + F.expr("INTERVAL 1 DAY"))

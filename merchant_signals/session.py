@@ -108,17 +108,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
 _TEMP: list[str] = []
 
 
+def temp_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder, removed by ``release_temp``."""
+    _TEMP.append(scratch_path(spark, "temp", f"{name}-{uuid.uuid4().hex}"))
+    return _TEMP[-1]
+
+
 def temp_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read back: computed
     once, lineage cut, nothing persisted.  ``release_temp`` removes the files."""
-    path = scratch_path(df.sparkSession, "temp", f"{name}-{uuid.uuid4().hex}")
+    path = temp_path(df.sparkSession, name)
     df.write.parquet(path)
-    _TEMP.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_temp(spark: SparkSession) -> None:
-    """Delete the files of all temp tables; results that still read them must be written first."""
+    """Delete all temp folders; results that still read them must be written first."""
     while _TEMP:
         delete_path(spark, _TEMP.pop())
 
