@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import staged
+from merchant_signals.llm.common import release, staged
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -34,4 +34,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         twice = 0 if chained else e.groupBy("hi").count().where(F.col("count") > 1).limit(1).count()
         if not chained and not twice:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-        e = staged(_small_star(_large_star(e)), "links")
+        before, e = e, staged(_small_star(_large_star(e)), "links")
+        release(before)

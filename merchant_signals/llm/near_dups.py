@@ -12,10 +12,11 @@ its size allows.  A set with at most ``spare`` empty blocks leaves those out: on
 block's bits are kept as the XOR of a 64-bit code of each of them.
 
 *Join.* A count-min sketch drops the blocks that no other text has (``repeats``).  The smallest id of a block is its
-hub, found by a partial aggregation, and every other text of the block is paired with the hub only.  A 2,048-bit
-parity sketch of both texts then drops pairs whose Hamming distance exceeds what their sizes allow, and the sets
-decide the rest.  Where the verified links leave a block's texts in several components, the pairs of that block
-between different components are checked as well: no link between components is lost, and none inside is spent on.
+hub, found by a partial aggregation, and every other text of the block is paired with the hub only.  A sketch of
+``PARITY_BITS`` bits of both texts then drops pairs whose Hamming distance exceeds what their sizes allow, and the
+sets decide the rest.  Where the verified links leave a block's texts in several components, the pairs of that block
+between different components are checked as well, inside a join whose condition is the Hamming distance: no link
+between components is lost, and none inside is spent on.
 Texts with equal sets are linked by a grouping of the sets' 128-bit digests and appear once a batch in the join.
 
 Cases: null and empty texts have no set, link with nothing and are their own component; rows with a null id get no
@@ -30,18 +31,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import arrow_map, staged
+from merchant_signals.llm.common import arrow_map, release, staged
 from merchant_signals.llm.components import connected_components
 from merchant_signals.llm.repeats import cells_for, repeated, sketch
-from merchant_signals.llm.words import mix, windows, words_of
+from merchant_signals.llm.words import mix, texts_of, windows, words_of
 
 #: Least ratio of neighbouring bands' sizes.
 RATIO = 1.4
 #: Bits of the sketch that pairs are compared by, and of the bitmap of texts that pairs ask for.
-PARITY_BITS, ASKED_BITS = 2048, 1 << 24
+PARITY_BITS, ASKED_BITS = 512, 1 << 24
+PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
 
 
 @dataclass(frozen=True)
@@ -133,18 +136,16 @@ def _distinct_blocks(b: pa.RecordBatch, rule: Rule) -> Iterator[tuple[np.ndarray
 
 
 def _sets(b: pa.RecordBatch, rule: Rule) -> pa.RecordBatch:
-    """doc_id, n and 128-bit digest of each text's set."""
-    n, one, two = [], [], []
-    for _, h, first in shingle_sets(b.column(1), rule):
-        d = _digests(h, first)
-        n.append(np.diff(first)), one.append(d[0]), two.append(d[1])
-    join = lambda x, kind: pa.array(np.concatenate([np.zeros(0, kind), *x]).view(np.int64))
-    return pa.RecordBatch.from_arrays([b.column(0), join(n, np.int64), join(one, np.uint64), join(two, np.uint64)],
-                                      names=["doc_id", "n", "d1", "d2"])
+    """doc_id, size, 128-bit digest and parity sketch of each text's set."""
+    parts = [np.column_stack([np.diff(first).astype(np.uint64), *_digests(h, first), _parity(h, first)])
+             for _, h, first in shingle_sets(b.column(1), rule)]
+    cols = np.concatenate([np.zeros((0, 3 + len(PARITY)), np.uint64), *parts]).T
+    return pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in cols)],
+                                      names=["doc_id", "n", "d1", "d2", *PARITY])
 
 
 def _parity(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A sketch of PARITY_BITS bits for each set: words x sets."""
+    """A sketch of PARITY_BITS bits for each set, as 64-bit words."""
     out = np.zeros((len(first) - 1, PARITY_BITS // 64), np.uint64)
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     p = mix(h, 31) % np.uint64(PARITY_BITS)
@@ -161,52 +162,51 @@ def _asked(ids: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _near(rule: Rule) -> Column:
+    """Whether the sets of sizes na and nb with sketches pa and pb may link: linked sets differ by at most
+    (den - num) / (den + num) of both sizes together, and the distance of the sketches is no larger."""
+    distance = sum((F.bit_count(F.col(f"a{p}").bitwiseXOR(F.col(f"b{p}"))) for p in PARITY), F.lit(0))
+    return ((distance * (rule.den + rule.num) <= (F.col("na") + F.col("nb")) * (rule.den - rule.num))
+            & (F.least("na", "nb") * rule.den >= F.greatest("na", "nb") * rule.num))
+
+
+def _sketches(sets: DataFrame, x: str) -> DataFrame:
+    return sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), *[F.col(p).alias(f"{x}{p}") for p in PARITY])
+
+
+def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Of the pairs (a, b) of ids of docs (id, text), those that link."""
-    spark = docs.sparkSession
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    asked = spark.sparkContext.broadcast(_asked(ids))
+    ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
+    asked = docs.sparkSession.sparkContext.broadcast(_asked(ids))
     hashed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ASKED_BITS)).cast("int").alias("p"))
 
-    def wanted(b: pa.RecordBatch, parity: bool) -> pa.RecordBatch | None:
+    def wanted(b: pa.RecordBatch) -> pa.RecordBatch:
         p = b.column(2).to_numpy(zero_copy_only=False)
-        own = (asked.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1
-        b = b.filter(pa.array(own))
-        data, n = [], []
-        for _, h, first in shingle_sets(b.column(1), rule):
-            n += np.diff(first).tolist()
-            data += [x.tobytes() for x in (_parity(h, first) if parity else np.split(h, first[1:-1]))]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(data, pa.binary())],
-                                          names=["doc_id", "n", "data"])
-
-    schema = "doc_id bigint, n bigint, data binary"
-
-    def both(left: DataFrame, parity: bool) -> DataFrame:
-        own = arrow_map(hashed, lambda b: wanted(b, parity), schema)
-        if not parity:
-            own = staged(own, "asked-sets")
-        a, b = (own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("data").alias(f"d{x}")) for x in "ab")
-        return left.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "da", "db")
-
-    def close(b: pa.RecordBatch) -> pa.RecordBatch:
-        """Linked sets differ by at most (den - num) / (den + num) of both sizes together."""
-        na, nb = b.column(2).to_numpy(), b.column(3).to_numpy()
-        words = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
-        distance = np.bitwise_count(words(b.column(4)) ^ words(b.column(5))).sum(axis=1, dtype=np.int64)
-        fits = distance * (rule.den + rule.num) <= (na + nb) * (rule.den - rule.num)
-        fits &= np.minimum(na, nb) * rule.den >= np.maximum(na, nb) * rule.num
-        return b.select(["a", "b"]).filter(pa.array(fits))
+        b = b.filter(pa.array((asked.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1))
+        data, offset = texts_of(b.column(1))
+        pack = zstandard.ZstdCompressor(3).compress
+        z = [pack(data[offset[i]:offset[i + 1]].tobytes()) for i in range(b.num_rows)]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc_id", "data"])
+
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        texts = pa.array([unpack(x.as_py()) for x in column], pa.large_binary()).cast(pa.large_string())
+        return [x for _, h, first in shingle_sets(texts, rule) for x in np.split(h, first[1:-1])]
 
     def equal(b: pa.RecordBatch) -> pa.RecordBatch:
-        fits = []
-        for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            fits.append(common > 0 and rule.den * common >= rule.num * (len(x) + len(y) - common))
-        return b.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+        fits = np.zeros(b.num_rows, bool)
+        for i in range(0, b.num_rows, 256):
+            part = b.slice(i, 256)
+            for k, (x, y) in enumerate(zip(sets_of(part.column(2)), sets_of(part.column(3))), i):
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                fits[k] = common > 0 and rule.den * common >= rule.num * (len(x) + len(y) - common)
+        return b.select(["a", "b"]).filter(pa.array(fits))
 
-    near = staged(arrow_map(both(pairs, True), close, "a bigint, b bigint"), "near-pairs")
-    return arrow_map(both(near, False), equal, "a bigint, b bigint")
+    own = staged(arrow_map(hashed, wanted, "doc_id bigint, data binary"), "asked-texts")
+    a, b = (own.select(F.col("doc_id").alias(x), F.col("data").alias(f"d{x}")) for x in "ab")
+    links = staged(arrow_map(near.join(a, "a").join(b, "b").select("a", "b", "da", "db"), equal, "a bigint, b bigint"), "verified")
+    release(own)
+    return links
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,7 +214,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     spark = docs.sparkSession
     every = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     own = every.where(F.col("doc_id").isNotNull())
-    sets = staged(arrow_map(every, lambda b: _sets(b, rule), "doc_id bigint, n bigint, d1 bigint, d2 bigint"), "sets")
+    schema = ", ".join(f"{c} bigint" for c in ["doc_id", "n", "d1", "d2", *PARITY])
+    sets = staged(arrow_map(every, lambda b: _sets(b, rule), schema), "sets")
 
     # equal sets
     some = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -224,7 +225,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
 
     # blocks that several texts have
     bits = spark.sparkContext.broadcast(sketch(own, lambda b: (key for key, _ in _distinct_blocks(b, rule)),
-                                               cells_for(own, "text", 2.0)))
+                                               cells_for(own, "text", 1.5)))
 
     def live(b: pa.RecordBatch) -> pa.RecordBatch:
         keys, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -235,28 +236,32 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
                                           names=["block", "doc"])
 
     blocks = staged(arrow_map(own, live, "block bigint, doc bigint"), "blocks")
-    hubs = (blocks.groupBy("block").agg(F.min("doc").alias("hub"), F.max("doc").alias("last"))
+    hubs = (blocks.groupBy("block").agg(F.min("doc").alias("hub"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("texts"))
             .where(F.col("hub") < F.col("last")).drop("last"))
-    members = staged(blocks.join(hubs, "block").where(F.col("doc") != F.col("hub")), "members")
-    links = staged(verify(members.select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), own, rule)
-                   .unionByName(copies), "links")
-    found = connected_components(links)
-
-    # blocks whose texts are still apart
+    members = staged(blocks.join(hubs, "block"), "members")
+    release(blocks)
+    near = (members.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+            .join(_sketches(some, "a"), "a").join(_sketches(some, "b"), "b").where(_near(rule)).select("a", "b"))
+    near = staged(near, "near-pairs")
+    links = verify(near, own, rule)
+    found = connected_components(links.unionByName(copies))
+
+    # blocks of three texts and more that are still in several components; of two texts the hub's pair is all
     part = found.select(F.col("node").alias("doc"), F.col("component").alias("c"))
-    told = (members.join(part, "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-            .join(part.select(F.col("doc").alias("hub"), F.col("c").alias("ch")), "hub", "left")
-            .withColumn("ch", F.coalesce("ch", "hub")))
-    apart = (told.groupBy("block").agg(F.min(F.least("c", "ch")).alias("lo"), F.max(F.greatest("c", "ch")).alias("hi"),
-                                       F.min("doc").alias("d1"), F.max("doc").alias("d2"))
-             .where((F.col("lo") < F.col("hi")) & (F.col("d1") < F.col("d2"))).select("block"))
-    rest = staged(told.join(apart, "block", "left_semi").select("block", "doc", "c"), "apart")
-    left, right = (rest.select("block", F.col("doc").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
-    cross = (left.join(right, "block").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-             .select("a", "b").distinct())
-    more = staged(verify(staged(cross, "cross-pairs"), own, rule), "more-links")
+    told = staged(members.where(F.col("texts") > 2).select("block", "doc").join(part, "doc", "left")
+                  .select("block", "doc", F.coalesce("c", "doc").alias("c")), "told")
+    apart = told.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("block")
+    rest = staged(told.join(apart, "block", "left_semi"), "apart")
+    release(members, told, near)
+    left, right = (rest.select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"))
+                   .join(_sketches(some, x), x) for x in "ab")
+    cross = left.join(right, (F.col("blocka") == F.col("blockb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                      & _near(rule)).select("a", "b").distinct()
+    cross = staged(cross, "cross-pairs")
+    more = verify(cross, own, rule)
     if more.limit(1).count():
-        found = connected_components(links.unionByName(more))
+        found = connected_components(links.unionByName(more).unionByName(copies))
+    release(rest, cross, links, more)
 
     node = found.select(F.col("node").alias("doc_id"), "component")
     return sets.join(node, "doc_id", "left").select(

@@ -15,23 +15,25 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from merchant_signals.llm.common import ship_package
 from merchant_signals.llm.words import mix
 
 #: Bounds of the cells of a row, and blocks that a row is merged in.
 MIN_CELLS, MAX_CELLS, BLOCKS = 1 << 20, 1 << 28, 128
 ROWS = 2
 #: Hashes that a task keeps before it sends their cells.
-FLUSH = 3_000_000
+FLUSH = 2_000_000
 
 
 def cells_for(docs: DataFrame, text_col: str, per_word: float) -> int:
-    """Cells of a row: a power of two, at least ``per_word`` for each word of about six bytes."""
+    """Cells of a row: ``per_word`` for each word of about six bytes, in whole bytes of each block."""
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long")).alias("n")).first()["n"] or 0
-    return min(MAX_CELLS, max(MIN_CELLS, 1 << int(size * per_word / 6).bit_length()))
+    unit = 8 * BLOCKS
+    return -(-min(MAX_CELLS, max(MIN_CELLS, int(size * per_word / 6))) // unit) * unit
 
 
 def _cell(h: np.ndarray, row: int, cells: int) -> np.ndarray:
-    return (mix(h, 100 + row) & np.uint64(cells - 1)).astype(np.uint32)
+    return (((mix(h, 100 + row) >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.uint32)
 
 
 def _pack(sorted_cells: np.ndarray) -> bytes:
@@ -47,8 +49,8 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], cells: int) -> list[np.ndarray]:
     """Of each row, the packed bits of the cells that were met twice or more. hashes: those of a batch, in parts."""
-    blocks = min(BLOCKS, cells // 8)
-    span = cells // blocks
+    ship_package(df.sparkSession)
+    blocks, span = BLOCKS, cells // BLOCKS
 
     def send(kept: list[np.ndarray]) -> pa.RecordBatch:
         h = np.concatenate(kept)
