@@ -830,11 +830,12 @@ def q_increment_run(spark, sf_dir):
     store = TableStore(spark, temp_path(spark, "store"))
     raw = V.raw(spark, sf_dir)
     copies = 1 + driver.events(spark, sf_dir).agg(F.max("event_id").alias("m")).first()["m"]
+    several = max(QUERY_BATCH, raw.count() // 5)
     store.append("raw", raw.filter(F.col("raw_id") <= F.lit(copies)))
-    catch_up(spark, store, driver.NOW, batch_size=QUERY_BATCH)
+    catch_up(spark, store, driver.NOW, batch_size=several)
     recompute_buckets(store, *scheduled_window(driver.NOW), driver.now_lit())
     store.append("raw", raw.filter(F.col("raw_id") > F.lit(copies)))
-    catch_up(spark, store, driver.NOW, batch_size=QUERY_BATCH)
+    catch_up(spark, store, driver.NOW, batch_size=several)
     return store.read("snapshots").drop("computed_at_utc", "local_model_version")
 
 
