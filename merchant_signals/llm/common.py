@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -64,6 +65,16 @@ def release(*tables: DataFrame) -> None:
         delete_path(t.sparkSession, t._staged_path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Python workers outlive their tasks, and what they keep
+    for themselves adds up beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # other C libraries have no such call
+        pass
+
+
 def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str,
               done: Callable[[], None] | None = None) -> DataFrame:
     """``f`` on each Arrow batch of each partition, ``done`` after the last."""
@@ -77,5 +88,6 @@ def arrow_map(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None
                 yield out
         if done:
             done()
+        give_back()
 
     return df.mapInArrow(run, schema)

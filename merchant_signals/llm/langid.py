@@ -18,6 +18,7 @@ labelled texts, then by name; at most 64 languages.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +38,8 @@ MIN_RATE, MIN_RATIO = 0.01, 0.5
 #: Hash functions, and cells for each 4-gram of the largest language.
 HASHES, CELLS_PER_GRAM = 4, 16
 UNDETERMINED = "und"
+#: Bytes whose 4-grams are handled at once, and texts that are prepared at once.
+CHUNK, TEXTS = 1 << 18, 512
 
 _KEEP = np.array([b > 127 or 97 <= b <= 122 for b in range(256)])
 
@@ -50,7 +53,7 @@ def _prepared(column: pa.Array) -> pa.Array:
 def grams(column: pa.Array):
     """Chunk by chunk: number of the first text, number of texts, each 4-gram's value and its text's number."""
     data, offset = texts_of(_prepared(column))
-    for i, j in chunks(offset):
+    for i, j in chunks(offset, CHUNK):
         b, off = data[offset[i]:offset[j]], offset[i:j + 1] - offset[i]
         inside = _KEEP[LOWER[b]]
         kept = inside.copy()
@@ -67,44 +70,45 @@ def grams(column: pa.Array):
         yield i, j - i, v[same], row[:-3][same]
 
 
-def _cells(gram: np.ndarray, size: int) -> list[np.ndarray]:
+def _cells(gram: np.ndarray, size: int) -> Iterator[np.ndarray]:
     h = mix(gram.astype(np.uint64), 7)
     lo, hi = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
-    return [((lo + np.uint64(k) * hi) & np.uint64(size - 1)).astype(np.int64) for k in range(HASHES)]
+    return (((lo + np.uint64(k) * hi) & np.uint64(size - 1)).astype(np.int64) for k in range(HASHES))
 
 
 @dataclass
 class LanguageModel:
     languages: list[str]  # most labelled texts first
-    table: np.ndarray  # of 64-bit cells
+    table: np.ndarray  # of cells with a bit for each language
     id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @classmethod
     def build(cls, grams_of: dict[str, np.ndarray]) -> "LanguageModel":
         most = max([1, *(len(g) for g in grams_of.values())])
         size = 1 << int(np.ceil(np.log2(most * CELLS_PER_GRAM)))
-        table = np.zeros(size, np.uint64)
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(grams_of) <= 8 * np.dtype(k).itemsize)
+        table = np.zeros(size, kind)
         for bit, own in enumerate(grams_of.values()):
             for cell in _cells(own, size):
-                table[cell] |= np.uint64(1 << bit)
+                table[cell] |= kind(1 << bit)
         return cls(list(grams_of), table)
 
     def false_positive_rates(self) -> np.ndarray:
-        return np.array([float(((self.table >> np.uint64(k)) & np.uint64(1)).mean()) ** HASHES
+        return np.array([float(((self.table >> self.table.dtype.type(k)) & self.table.dtype.type(1)).mean()) ** HASHES
                          for k in range(len(self.languages))])
 
     def counts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Corrected popcounts (texts x languages) and numbers of 4-grams."""
         found, total = np.zeros((len(column), len(self.languages))), np.zeros(len(column))
         for i, n, v, row in grams(column):
-            cell = _cells(v, len(self.table))
-            mask = self.table[cell[0]]
-            for c in cell[1:]:
+            cells = _cells(v, len(self.table))
+            mask = self.table[next(cells)]
+            for c in cells:
                 mask &= self.table[c]
             at = np.searchsorted(row, np.arange(n + 1))
             total[i:i + n] = np.diff(at)
             for k in range(len(self.languages)):
-                hit = np.concatenate([[0], np.cumsum((mask >> np.uint64(k)) & np.uint64(1), dtype=np.int64)])
+                hit = np.concatenate([[0], np.cumsum((mask >> mask.dtype.type(k)) & mask.dtype.type(1), dtype=np.int64)])
                 found[i:i + n, k] = np.diff(hit[at])
         rate = self.false_positive_rates()
         return np.maximum(0.0, (found - total[:, None] * rate) / (1 - rate)), total
@@ -139,10 +143,11 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         name = b.column("lang").dictionary_encode()
         code, names = name.indices.to_numpy(zero_copy_only=False), name.dictionary.to_pylist()
         parts = []
-        for i, n, v, row in grams(b.column("text")):
-            key = np.unique((row.astype(np.uint64) << np.uint64(32)) | v)  # once for each text
-            parts.append((code[i + (key >> np.uint64(32)).astype(np.int64)].astype(np.uint64) << np.uint64(32))
-                         | (key & np.uint64(0xFFFFFFFF)))
+        for first in range(0, b.num_rows, TEXTS):
+            for i, n, v, row in grams(b.column("text").slice(first, TEXTS)):
+                key = np.unique((row.astype(np.uint64) << np.uint64(32)) | v)  # once for each text
+                parts.append((code[first + i + (key >> np.uint64(32)).astype(np.int64)].astype(np.uint64) << np.uint64(32))
+                             | (key & np.uint64(0xFFFFFFFF)))
         key, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()).take(pa.array((key >> np.uint64(32)).astype(np.int64))),
@@ -172,9 +177,11 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
                            T.StructField("score", T.DoubleType()), T.StructField("coverage", T.DoubleType())])
 
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        name, score, coverage = shared.value.predict(b.column(text_col))
-        return pa.RecordBatch.from_arrays([*b.columns, pa.array(name, pa.string()), pa.array(score), pa.array(coverage)],
-                                          names=[*b.schema.names, *added])
+        text = b.column(text_col)
+        parts = [shared.value.predict(text.slice(i, TEXTS)) for i in range(0, b.num_rows, TEXTS)]
+        name, score, coverage = ([x for p in parts for x in p[k]] for k in range(3))
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(name, pa.string()), pa.array(score, pa.float64()),
+                                           pa.array(coverage, pa.float64())], names=[*b.schema.names, *added])
 
     return arrow_map(df, run, schema)
 

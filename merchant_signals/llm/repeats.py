@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import ship_package
+from merchant_signals.llm.common import give_back, ship_package
 from merchant_signals.llm.words import mix
 
 #: Bounds of the cells of a row, and blocks that a row is merged in.
@@ -77,6 +77,8 @@ def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray
                     kept, n = [], 0
         if n:
             yield send(kept)
+        kept = []
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, met = None, np.zeros(span, np.uint8)
@@ -95,6 +97,7 @@ def sketch(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray
                 met[cell] = 2 if many else np.minimum(met[cell] + 1, 2)
         if at is not None:
             yield done()
+        give_back()
 
     merged = (df.mapInArrow(count, "part int, many boolean, data binary")
               .repartition("part").sortWithinPartitions("part").mapInArrow(merge, "part int, bits binary"))

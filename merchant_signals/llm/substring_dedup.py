@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import arrow_map
+from merchant_signals.llm.common import arrow_map, give_back
 from merchant_signals.llm.repeats import cells_for, repeated, sketch
 from merchant_signals.llm.words import mix, texts_of, windows, words_of
 
@@ -133,6 +133,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
                         ids.append(int(at)), gone.append(np.concatenate(hashes))
             if texts:
                 yield _cut_texts(ids, texts, gone, k)
+        give_back()
 
     return rows.mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
 

@@ -14,7 +14,7 @@ if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are written as little-endian 32-bit integers")
 
 #: Entries of a worker's cache; a full cache becomes the older half, whose entries come back when asked for.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 
 _encoders: dict[str, "PieceEncoder"] = {}
 

@@ -82,11 +82,11 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offset
 
 
-def chunks(offset: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about CHUNK_BYTES."""
+def chunks(offset: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes."""
     i, n = 0, len(offset) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offset, offset[i] + CHUNK_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offset, offset[i] + size, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
 
