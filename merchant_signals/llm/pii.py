@@ -1,11 +1,14 @@
 r"""Pseudonyms for personal data that keep the format: keyed Feistel permutations of validated numbers and dates.
 
-DataFrame functions only.  One pattern finds the candidates; what validates is replaced, the rest of the text stays
-byte for byte.  Equal values get equal pseudonyms under one key, in whichever document they stand, and different
+DataFrame functions only.  Mail addresses, secrets and IBANs are found first, the other formats in the text between
+them; what validates is replaced, the rest of the text stays byte for byte.  Equal values get equal pseudonyms under one key, in whichever document they stand, and different
 values of a format get different ones:
 
-* payment cards (13 to 19 digits, Luhn): all digits but the last are permuted, the check digit is computed anew;
-* IBANs (mod 97): the account's digits are permuted, letters stay, check digits are computed anew;
+* payment cards (13 to 19 digits, Luhn): all digits but the last are permuted, the check digit is computed anew; in a
+  longer run of digit groups (a card beside its expiry or other numbers) each span of whole groups is tried, cards'
+  usual groupings first, then longer spans;
+* IBANs (their country's length, or one unspaced word; mod 97): the account's digits are permuted, letters stay, check
+  digits are computed anew;
 * phones (``+`` and 8 to 15 digits, or the 3-3-4 form): digits after the country code;
 * social security numbers (3-2-4, no area 000, 666, 9xx, no zero group or serial): the 9 digits;
 * IPv4 addresses: the 32 bits;
@@ -33,14 +36,37 @@ KEY_SETTING, TEST_KEY = "spark.merchant_signals.pii.key", "test-key"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))[=:](?=\S*[0-9])\S{5,}[^\s.,;:!?)\]}\"'>]"
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: Lengths of the countries' IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "AO|CV|GW|LY|MZ|PT|ST", 26: "DZ|IR|IS|TR", 27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC",
+    32: "LC", 33: "RU"}
+
+
+def _ibans(stop: str) -> str:
+    """IBANs of their country's length, in groups of four; no group starts what ``stop`` matches."""
+    def form(n: int, countries: str) -> str:
+        last = f"(?: ?{stop}[A-Z0-9]{{{n % 4}}})" if n % 4 else ""
+        return f"(?:{countries})[0-9]{{2}}(?: ?{stop}[A-Z0-9]{{4}}){{{n // 4 - 1}}}{last}"
+
+    return rf"\b(?:{'|'.join(form(n, c) for n, c in IBAN_LENGTHS.items())})\b"
+
+
+IBAN = rf"(?:{_ibans(f'(?!{_ibans(str())})')}|\b[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{8,31}}\b)"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
          r"|(?<![0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9-])")
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-PATTERN = "|".join([EMAIL, ACCESS_KEY, SECRET, IBAN, IPV4, DATE, SSN, PHONE, CARD])
+#: Groups of digits, 13 or more in all, up to a group at which a value of another format starts.
+CARD = rf"(?<![0-9])[0-9](?:[0-9]|[ -](?!{IPV4}|{DATE}|{SSN}|{PHONE.replace(chr(92) + '1', chr(92) + 'k<sep>').replace('([ .-])', '(?<sep>[ .-])')})[0-9]){{12,}}+"
+#: What validates or is replaced in any case; what is looked for between such values.
+FIRST_PATTERN = "|".join([EMAIL, ACCESS_KEY, SECRET, IBAN])
+PATTERN = "|".join([IPV4, DATE, SSN, PHONE, CARD])
+#: Groupings that cards are written in.
+CARD_FORM = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})[ -]?$"
 
 #: Days of the permuted range, 272 x 272, and its first.
 DAY_SIDE, FIRST_DAY = 272, "1900-01-01"
@@ -102,13 +128,57 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _card(key: str, m: Column) -> Column:
-    def masked(d: Column) -> Column:
-        body = F.substring(d, F.lit(1), F.length(d) - 1)
-        new = _let(permuted_digits(key, "card", body), lambda b: F.concat(b, luhn_digit(b)))
-        return F.when(luhn_digit(body) == F.substring(d, F.length(d), F.lit(1)), _let(new, lambda x: _with_digits(m, x))).otherwise(m)
+def _counted(text: Column, n: Column) -> Column:
+    return F.struct(text.alias("t"), n.cast("long").alias("n"))
 
-    return _let(_digits(m), masked)
+
+def _card(key: str, m: Column) -> Column:
+    """The run of groups with its cards replaced, and their number."""
+    def masked(span: Column) -> Column:
+        def new(d: Column) -> Column:
+            body = _let(permuted_digits(key, "card", F.substring(d, F.lit(1), F.length(d) - 1)), lambda b: F.concat(b, luhn_digit(b)))
+            return _let(body, lambda x: _with_digits(span, x))
+
+        return _let(_digits(span), new)
+
+    def spans(group: Column, i: Column) -> Column:
+        """Of the spans that start with a group, those that are cards: last group and whether the grouping is usual."""
+        near = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(group) - i)), lambda n: F.struct(
+            n.alias("n"), F.array_join(F.slice(group, i + 1, n), "").alias("span")))
+        valid = F.filter(near, lambda x: _let(_digits(x["span"]), lambda d: F.when(
+            F.length(d).between(13, 19), luhn_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.substring(d, F.length(d), F.lit(1)))
+            .otherwise(False)))
+        return F.transform(valid, lambda x: F.struct(x["n"].alias("n"), x["span"].rlike(CARD_FORM).alias("usual")))
+
+    def chosen(found: Column) -> Column:
+        """First group and number of groups of each card: usual groupings before others, longer before shorter."""
+        usual = lambda x: x["usual"]
+
+        def best(own: Column, i: Column) -> Column:
+            free = F.filter(own, lambda x: ~F.exists(F.flatten(F.slice(found, i + 2, x["n"] - 1)), usual))
+            return F.coalesce(F.array_max(F.filter(own, usual))["n"], F.array_max(free)["n"], F.lit(0))
+
+        def step(s: Column, x: Column) -> Column:
+            take = (x["n"] > 0) & (x["i"] >= s["end"])
+            return F.struct(F.when(take, x["i"] + x["n"]).otherwise(s["end"]).alias("end"),
+                            F.when(take, F.concat(s["all"], F.array(x))).otherwise(s["all"]).alias("all"))
+
+        each = F.filter(F.transform(found, lambda own, i: F.struct(i.alias("i"), best(own, i).alias("n"))), lambda x: x["n"] > 0)
+        start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<i:int,n:int>>").alias("all"))
+        return F.aggregate(each, start, step, lambda s: s["all"])
+
+    def written(group: Column, cards: Column) -> Column:
+        end = lambda k: F.when(k > 0, F.get(cards, k - 1)["i"] + F.get(cards, k - 1)["n"]).otherwise(0)
+        between = lambda lo, n: F.array_join(F.slice(group, lo + 1, n), "")
+        parts = F.transform(cards, lambda c, k: F.concat(between(end(k), c["i"] - end(k)), masked(between(c["i"], c["n"]))))
+        last = end(F.size(cards))
+        return _counted(F.concat(F.array_join(parts, ""), between(last, F.size(group) - last)), F.size(cards))
+
+    def run(group: Column) -> Column:
+        found = F.transform(group, lambda g, i: spans(group, i))
+        return _let(_let(found, chosen), lambda cards: written(group, cards))
+
+    return _let(F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0)), run)
 
 
 def _mod97(s: Column) -> Column:
@@ -188,13 +258,33 @@ def _secret(key: str, m: Column) -> Column:
     return F.concat(name, F.substring(_digest(key, "secret", value), F.lit(1), F.least(F.length(value), F.lit(64))))
 
 
+def _whole(m: Column, pattern: str) -> Column:
+    return m.rlike(f"^(?:{pattern})$")
+
+
+def first_pseudonym(key: str, m: Column) -> Column:
+    """What stands for a match of FIRST_PATTERN: another value of its format, or null if it doesn't validate."""
+    iban = _let(_iban(key, m), lambda x: F.when(x != m, x))
+    return (F.when(m.contains("@") & _whole(m, EMAIL), _email(key, m)).when(_whole(m, ACCESS_KEY), _access_key(key, m))
+            .when(_whole(m, SECRET), _secret(key, m)).otherwise(iban))
+
+
 def pseudonym(key: str, m: Column) -> Column:
-    """What stands for a match of PATTERN: another value of its format, or the match if it doesn't validate."""
-    whole = lambda p: m.rlike(f"^(?:{p})$")
-    return (F.when(m.contains("@") & whole(EMAIL), _email(key, m)).when(whole(ACCESS_KEY), _access_key(key, m))
-            .when(whole(SECRET), _secret(key, m)).when(whole(IBAN), _iban(key, m)).when(whole(IPV4), _ipv4(key, m))
-            .when(whole(DATE), _date(key, m)).when(whole(SSN), _ssn(key, m)).when(whole(PHONE), _phone(key, m))
-            .otherwise(_card(key, m)))
+    """What stands for a match of PATTERN, and the number of values replaced: other values of the format, or the match
+    if nothing in it validates."""
+    other = (F.when(_whole(m, IPV4), _ipv4(key, m)).when(_whole(m, DATE), _date(key, m))
+             .when(_whole(m, SSN), _ssn(key, m)).when(_whole(m, PHONE), _phone(key, m)))
+    return _let(other, lambda x: F.when(x.isNull(), _card(key, m)).otherwise(_counted(x, (x != m).cast("int"))))
+
+
+def _scanned(key: str, text: Column) -> Column:
+    """A text's values of PATTERN replaced, and their number."""
+    def joined(new: Column) -> Column:
+        parts = F.zip_with(F.split(text, PATTERN, -1), new, lambda p, x: F.concat(p, F.coalesce(x["t"], F.lit(""))))
+        return _counted(F.array_join(parts, ""), F.aggregate(new, F.lit(0).cast("long"), lambda a, x: a + x["n"]))
+
+    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    return _let(F.transform(found, lambda m: pseudonym(key, m)), joined)
 
 
 def key_of(spark: SparkSession) -> str:
@@ -206,10 +296,19 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     kept = [c for c in docs.columns if c.lower() != "n_pii"]
     text = F.col(text_col).cast("string")
     none = F.array().cast("array<string>")
-    found = docs.select(*kept, F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
+    found = docs.select(*kept, F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(FIRST_PATTERN), F.lit(0)))
                         .otherwise(none).alias("__m"))
-    new = found.select(*kept, "__m", F.transform("__m", lambda m: pseudonym(key, m)).alias("__n"))
-    whole = F.array_join(F.zip_with(F.split(text, PATTERN, -1), F.col("__n"), lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("__m", "__n", lambda a, b: a != b), lambda x: x)).cast("long")
-    return new.select(*[F.when(F.size("__m") > 0, whole).otherwise(text).alias(c) if c == text_col else F.col(c) for c in kept],
-                      changed.alias("n_pii"))
+    new = found.select(*kept, "__m", F.transform("__m", lambda m: first_pseudonym(key, m)).alias("__n"))
+    # a match that doesn't validate is text like what stands around it
+    pieces = F.when(F.size("__m") > 0, F.flatten(F.zip_with(F.split(text, FIRST_PATTERN, -1), "__m", lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))))
+    done = F.filter(F.transform("__n", lambda x, k: F.struct((2 * k + 1).alias("k"), x.alias("x"))), lambda d: d["x"].isNotNull())
+    new = new.select(*kept, pieces.alias("__p"), done.alias("__d"))
+    low = lambda k: F.when(k > 0, F.get("__d", k - 1)["k"] + 1).otherwise(0)
+    between = F.transform(F.sequence(F.lit(0), F.size("__d")), lambda k: F.array_join(
+        F.slice("__p", low(k) + 1, F.coalesce(F.get("__d", k)["k"], F.size("__p")) - low(k)), ""))
+    plain = F.when(F.size("__d") > 0, between).otherwise(F.array(text))
+    scanned = F.when(text.rlike("[0-9@]"), F.transform(plain, lambda p: _scanned(key, p)))
+    new = new.select(*kept, "__d", scanned.alias("__s"))
+    whole = F.array_join(F.zip_with("__s", "__d", lambda p, d: F.concat(p["t"], F.coalesce(d["x"], F.lit("")))), "")
+    n = F.size("__d") + F.coalesce(F.aggregate("__s", F.lit(0).cast("long"), lambda a, x: a + x["n"]), F.lit(0))
+    return new.select(*[F.coalesce(whole, text).alias(c) if c == text_col else F.col(c) for c in kept], n.cast("long").alias("n_pii"))

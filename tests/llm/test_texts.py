@@ -66,6 +66,31 @@ def test_what_does_not_validate_stays(spark):
     assert [out[i] for i in range(len(texts))] == [(t, 0) for t in texts]
 
 
+def test_values_beside_short_tokens_are_found(spark):
+    rng = random.Random(4)
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005", "3782 822463 10005", _card(rng)]
+    ibans = ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "SE4550000000058398257466",
+             "PL61109010140000071219812874", "DE89 3704 0044 0532 0130 00", "FR1420041010050500013M02606"]
+    beside = [("", ""), ("", " 12/27"), ("", " 123"), ("", " 1234"), ("12 ", ""), ("12 34 ", " 123"), ("AT12 ", ""), ("BE12 ", ""), ("DE12 ", " 12"), ("", " 12 May"),
+              ("", " IN Wien"), ("", " BANK"), ("", " 12 BANK 4567 AB"), ("IBAN ", " BIC ABCDESMM")]
+    cases = [(v, a, b) for v in cards + ibans for a, b in beside]
+    out = _mask(spark, [a + v + b for v, a, b in cases])
+    same = {v: out[k][0] for k, (v, a, b) in enumerate(cases) if not a + b}
+    for k, (v, a, b) in enumerate(cases):
+        assert out[k] == (a + same[v] + b, 1) and same[v] != v, (a + v + b, out[k])
+
+
+def test_neighbours_are_all_replaced(spark):
+    values = ["4111 1111 1111 1111", "10.0.0.1", "4111 1111 1111 1111", "31.12.1999", "4111111111111111", "2024-02-29", "5500 0000 0000 0004", "123-45-6789",
+              "4111 1111 1111 1111", "212-555-0100", "4111 1111 1111 1111", "5500 0000 0000 0004", "ES91 2100 0418 4502 0005 1332",
+              "AT611904300234573201", "4111 1111 1111 1111", "ES9121000418450200051332"]
+    alone = _mask(spark, values)
+    out = _mask(spark, [" ".join(values), "12 212-555-0100 34", "7 " * 3 + "1 2 " * 20_000])
+    assert out[0] == (" ".join(alone[k][0] for k in range(len(values))), len(values))
+    assert out[1][1] == 1 and re.fullmatch("12 [0-9]{3}-[0-9]{3}-[0-9]{4} 34", out[1][0]) and "212-555-0100" not in out[1][0]
+    assert re.sub("[0-9]", "9", out[2][0]) == "9 " * 40_003
+
+
 def test_different_values_get_different_pseudonyms(spark):
     day = dt.date(1990, 1, 1)
     texts = [str(day + dt.timedelta(i)) for i in range(400)] + [f"10.0.{i // 256}.{i % 256}" for i in range(400)]
