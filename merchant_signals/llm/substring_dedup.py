@@ -10,6 +10,8 @@ document with a smaller id is removed; windows are judged on the input.
    size more windows pass the filter; the result stays the same.
 2. Only windows whose cells in both rows were met twice are grouped exactly, by 64-bit hash.  Inside a batch all but
    the smallest id of a window are settled at once, so that a passage of any number of documents sends one row a batch.
+   Smallest and later ids are written once, by one pass: they come from the same batches, however often rows are read
+   and in whichever order.
 3. The hashes to be removed meet their texts again by id.
 
 Cases: null and empty texts have no words; a text of fewer than ``k`` words keeps all; a null id counts as the largest
@@ -27,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import arrow_map, give_back
+from merchant_signals.llm.common import arrow_map, give_back, staged
 from merchant_signals.llm.repeats import cells_for, repeated, sketch
 from merchant_signals.llm.words import mix, texts_of, windows, words_of
 
@@ -63,20 +65,25 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
     shared = spark.sparkContext.broadcast(sketch(
         own.select("text"), lambda b: (windows(w, k)[0] for w in words_of(b.column(0))), cells_for(own, "text", 4.0)))
 
-    def smallest(b: pa.RecordBatch) -> pa.RecordBatch:
+    def settled(b: pa.RecordBatch) -> pa.RecordBatch:
+        """Of each id in a batch, the hashes that it is the smallest id of, and behind a 0 the others."""
         h, d, first = _pairs(b, shared.value, k)
-        return pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(d[first])], names=["h", "doc_id"])
+        order = np.lexsort((~first, d))
+        h, d, first = h[order], d[order], first[order]
+        cut = np.concatenate([np.flatnonzero(np.diff(d, prepend=d[0] - 1)), [len(d)]]) if len(d) else np.zeros(1, np.int64)
+        low, high = [], []
+        for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            mid = lo + int(first[lo:hi].sum())
+            low.append(h[lo:mid].tobytes() if mid > lo else None)
+            high.append(b"\0" + h[mid:hi].tobytes() if hi > mid else None)
+        return pa.RecordBatch.from_arrays([pa.array(d[cut[:-1]], pa.int64()), pa.array(low, pa.binary()), pa.array(high, pa.binary())],
+                                          names=["doc_id", "low", "z"])
 
-    def others(b: pa.RecordBatch) -> pa.RecordBatch:
-        """The later ids inside a batch, with their hashes as bytes behind a 0."""
-        h, d, first = _pairs(b, shared.value, k)
-        h, d = h[~first], d[~first]
-        order = np.argsort(d, kind="stable")
-        h, d = h[order], d[order]
-        cut = np.flatnonzero(np.diff(d, prepend=d[0] - 1)) if len(d) else np.zeros(0, np.int64)
-        parts = [b"\0" + x.tobytes() for x in np.split(h, cut[1:])] if len(d) else []
-        return pa.RecordBatch.from_arrays([pa.array(d[cut], pa.int64()), pa.array([None] * len(cut), pa.int64()),
-                                           pa.array(parts, pa.binary())], names=["doc_id", "h", "z"])
+    def smallest(b: pa.RecordBatch) -> pa.RecordBatch:
+        """A row for each hash."""
+        low = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+        d = np.repeat(b.column(0).to_numpy(), [len(x) for x in low])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *low])), pa.array(d)], names=["h", "doc_id"])
 
     def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows sorted by hash and id, those behind a smaller id of the same hash."""
@@ -104,9 +111,11 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, id_col: str = "doc_id", tex
                                           names=["doc_id", "h", "z"])
 
     schema = "doc_id bigint, h bigint, z binary"
-    removed = (arrow_map(own, smallest, "h bigint, doc_id bigint").repartition("h").sortWithinPartitions("h", "doc_id")
-               .mapInArrow(later, schema))
-    rows = removed.unionByName(arrow_map(own, others, schema)).unionByName(arrow_map(own, packed, schema))
+    once = staged(arrow_map(own, settled, "doc_id bigint, low binary, z binary"), "substring-windows")
+    removed = (arrow_map(once.where(F.col("low").isNotNull()).select("doc_id", "low"), smallest, "h bigint, doc_id bigint")
+               .repartition("h").sortWithinPartitions("h", "doc_id").mapInArrow(later, schema))
+    others = once.where(F.col("z").isNotNull()).select("doc_id", F.lit(None).cast("long").alias("h"), "z")
+    rows = removed.unionByName(others).unionByName(arrow_map(own, packed, schema))
     rows = rows.repartition("doc_id").sortWithinPartitions("doc_id", F.col("h").isNull(), F.substring("z", 1, 1))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -145,6 +145,26 @@ def test_substring_dedup_loses_nothing_when_the_sketch_is_full(spark, monkeypatc
     assert {r[0]: r[2] for r in got} == {d: x[1] for d, x in brute.without_repeats(docs).items()}
 
 
+def test_substring_dedup_with_other_batches_at_each_reading(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+
+    def docs(batches):
+        for _ in batches:
+            ids = list(range(40))
+            random.SystemRandom().shuffle(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([f"{passage} x{i}" for i in ids])], names=["doc_id", "text"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "2")
+    try:
+        df = spark.range(0, 1, 1, 1).mapInArrow(docs, "doc_id bigint, text string")
+        got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(df).collect()}
+    finally:
+        spark.conf.set(setting, before)
+    assert got == {i: 20 if i else 0 for i in range(40)}
+
+
 def test_substring_dedup_cases(spark):
     assert substring_dedup.remove_repeats(_frame(spark, [])).collect() == []
     t = " ".join(brute.vocabulary(13, 5))
