@@ -1,8 +1,11 @@
 """Language identification with bit-sliced Bloom filters over byte 4-grams.
 
-Fitting counts, for each language, in which share of its labelled texts each 4-gram occurs, on at most about
+Fitting counts, for each language, how often each 4-gram occurs and in how many labelled texts, on at most about
 ``SAMPLE_TEXTS`` texts of a language (chosen by a hash of id and text).  A 4-gram belongs to a language if it occurs in
-``MIN_RATE`` of its texts and at least ``MIN_RATIO`` times as often as in the language where it is most frequent.
+``MIN_RATE`` of its texts and its share of the language's 4-grams, whatever the texts' lengths, is at least
+``MIN_RATIO`` times that of each other language.  What other languages are taken to have is a cautious share: it is
+lessened by ``CAUTION`` deviations of the number n of texts that the 4-gram is in, 1 - ``CAUTION`` / sqrt(n), and
+a language of fewer than ``MIN_TEXTS`` texts takes nothing from others.
 One table of cells holds all languages' Bloom filters: bit ``l`` of a cell belongs to language ``l``, so that ANDing
 the ``HASHES`` cells of a 4-gram gives the mask of all languages that contain it.  A text's counts are the popcounts
 of each bit over all its 4-grams, less the false positives to be expected from that bit's share of set cells; the
@@ -28,18 +31,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchant_signals.llm.common import arrow_map
+from merchant_signals.llm.common import arrow_map, release, staged
 from merchant_signals.llm.words import LOWER, chunks, mix, texts_of
 
 #: Bound of the labelled texts of a language that are counted.
 SAMPLE_TEXTS = 4000
-#: Share of a language's texts that a 4-gram has to be in, and its least ratio to the largest share of any language.
+#: Share of a language's texts that a 4-gram has to be in, and the least ratio of its share of all 4-grams to the largest
+#: cautious share of any language.
 MIN_RATE, MIN_RATIO = 0.01, 0.5
+#: Texts that a language needs to lower others' 4-grams; deviations that its shares are lessened by.
+MIN_TEXTS, CAUTION = 10, 2.0
 #: Hash functions, and cells for each 4-gram of the largest language.
 HASHES, CELLS_PER_GRAM = 4, 16
 UNDETERMINED = "und"
 #: Bytes whose 4-grams are handled at once, and texts that are prepared at once.
 CHUNK, TEXTS = 1 << 18, 512
+#: Counts that are kept before equal keys are summed.
+PENDING = 1 << 20
 
 _KEEP = np.array([b > 127 or 97 <= b <= 122 for b in range(256)])
 
@@ -126,6 +134,15 @@ class LanguageModel:
         return name, top / np.maximum(count.sum(axis=1), 1e-9), top / np.maximum(total, 1)
 
 
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    """Keys, each once, with the sums of their counts."""
+    key, *counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key)
+    key = key[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return [(key[at], *(np.add.reduceat(c[order], at) if len(at) else c for c in counts))]
+
+
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_texts: int = SAMPLE_TEXTS) -> LanguageModel:
     own = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
@@ -142,27 +159,36 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     def count(b: pa.RecordBatch) -> pa.RecordBatch:
         name = b.column("lang").dictionary_encode()
         code, names = name.indices.to_numpy(zero_copy_only=False), name.dictionary.to_pylist()
-        parts = []
+        parts, pending = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
         for first in range(0, b.num_rows, TEXTS):
             for i, n, v, row in grams(b.column("text").slice(first, TEXTS)):
-                key = np.unique((row.astype(np.uint64) << np.uint64(32)) | v)  # once for each text
-                parts.append((code[first + i + (key >> np.uint64(32)).astype(np.int64)].astype(np.uint64) << np.uint64(32))
-                             | (key & np.uint64(0xFFFFFFFF)))
-        key, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]), return_counts=True)
+                key, often = np.unique((row.astype(np.uint64) << np.uint64(32)) | v, return_counts=True)  # once for each text
+                lang = code[first + i + (key >> np.uint64(32)).astype(np.int64)].astype(np.uint64)
+                parts.append(((lang << np.uint64(32)) | (key & np.uint64(0xFFFFFFFF)), np.ones(len(key), np.int64), often))
+                pending += len(key)
+                if pending > PENDING:
+                    parts, pending = _summed(parts), 0
+        key, n, often = _summed(parts)[0]
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()).take(pa.array((key >> np.uint64(32)).astype(np.int64))),
-             pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+             pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n), pa.array(often)], names=["lang", "gram", "n", "often"])
 
     texts = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
-    rate = F.lit(None).cast("double")
+    counts = staged(arrow_map(sample, count, "lang string, gram bigint, n bigint, often bigint").groupBy("lang", "gram")
+                    .agg(F.sum("n").alias("n"), F.sum("often").alias("often")), "language-grams")
+    total = {r["lang"]: r["often"] for r in counts.groupBy("lang").agg(F.sum("often").alias("often")).collect()}
+    rate, share, caution = (F.lit(None).cast("double") for _ in range(3))
     for lang, n in texts.items():
-        rate = F.when(F.col("lang") == lang, F.col("n") / F.lit(float(n))).otherwise(rate)
-    rates = (arrow_map(sample, count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-             .select("lang", "gram", rate.alias("rate")))
-    top = rates.groupBy("gram").agg(F.max("rate").alias("top"))
+        own = F.col("lang") == lang
+        rate = F.when(own, F.col("n") / F.lit(float(n))).otherwise(rate)
+        share = F.when(own, F.col("often") / F.lit(float(total.get(lang, 1)))).otherwise(share)
+        caution = F.when(own, F.greatest(F.lit(0.0), 1 - F.lit(CAUTION) / F.sqrt("n")) if n >= MIN_TEXTS else F.lit(0.0)).otherwise(caution)
+    shares = counts.select("lang", "gram", rate.alias("rate"), share.alias("share"), (share * caution).alias("sure"))
+    top = shares.groupBy("gram").agg(F.max("sure").alias("top"))
     # a text of average length has few thousand distinct 4-grams, so few hundred thousand reach MIN_RATE
-    kept = (rates.where(F.col("rate") >= MIN_RATE).join(top, "gram")
-            .where(F.col("rate") >= MIN_RATIO * F.col("top")).select("lang", "gram").toPandas())
+    kept = (shares.where(F.col("rate") >= MIN_RATE).join(top, "gram")
+            .where(F.col("share") >= MIN_RATIO * F.col("top")).select("lang", "gram").toPandas())
+    release(counts)
     return LanguageModel.build({r["lang"]: kept.loc[kept["lang"] == r["lang"], "gram"].to_numpy(np.uint64)
                                 for r in sizes if r["lang"] in texts})
 

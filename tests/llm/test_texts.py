@@ -174,6 +174,35 @@ def test_language_model_on_held_out_texts(spark):
     assert again.languages == model.languages and (again.table == model.table).all()
 
 
+def _told(spark, train, texts):
+    model = langid.fit(spark.createDataFrame(train, "doc_id bigint, text string, lang string"))
+    return model.predict(pa.array(texts))[0]
+
+
+def test_a_label_of_one_text_takes_nothing_from_a_language(spark):
+    rows = [r for r in _lang_docs(300, 11) if r[2] != "cc"]
+    rng = random.Random(11)
+    words = sorted({w for _, t, lang in rows if lang == "aa" for w in t.split()})
+    wrong = [(1000, " ".join(rng.choice(words) for _ in range(2000)), "zz")]
+    assert _told(spark, rows + wrong, [t for _, t, _ in rows]) == [lang for *_, lang in rows]
+    few = [(1000 + i, " ".join(rng.choice(words) for _ in range(30)), "zz") for i in range(4)]
+    assert _told(spark, rows + few, [t for _, t, _ in rows]) == [lang for *_, lang in rows]
+    own = " ".join(["wxyzv", "yxvwz", "zzyxw", "vvwyx"] * 10)
+    assert _told(spark, rows + [(1001, own, "rare")], [own]) == ["rare"]
+
+
+def test_long_texts_take_nothing_from_short_ones(spark):
+    rng = random.Random(13)
+    word = lambda a: "".join(rng.choice(a) for _ in range(rng.randint(4, 7)))
+    both, short, long = ([word(a) for _ in range(60)] for a in ("abcdefgh", "ijklmnop", "qrstuvwx"))
+
+    def text(own, n):
+        return " ".join(rng.choice(both) if k % 5 < 3 else rng.choice(own) for k in range(n))
+
+    rows = [(i, text(short, 5), "short") for i in range(200)] + [(200 + i, text(long, 1500), "long") for i in range(200)]
+    assert _told(spark, rows, [t for _, t, _ in rows]) == [lang for *_, lang in rows]
+
+
 def test_counts_equal_those_of_plain_sets():
     """Popcounts through the Bloom filters, corrected, are near the counts of exact sets."""
     rows = _lang_docs(60, 6)
