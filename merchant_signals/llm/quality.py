@@ -23,9 +23,10 @@ from merchant_signals.llm.common import staged
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 #: Texts that a group's own sketch needs; accuracy parameter of the sketches.
 MIN_GROUP, SKETCH_K = 100, 400
-#: Quartile distances beyond the quartiles, and the least margin of each ratio.
+#: Quartile distances beyond the quartiles, and the least margin of each ratio: what a text of few words or lines reaches by
+#: chance (a repeated line among five).  That of repeat_ratio is below the base rule, which else decides alone.
 SPREAD = 3.0
-MARGINS = {"word_length": 1.0, "symbol_ratio": 0.1, "dup_line_ratio": 0.35, "repeat_ratio": 0.2}
+MARGINS = {"word_length": 1.0, "symbol_ratio": 0.05, "dup_line_ratio": 0.2, "repeat_ratio": 0.1}
 #: Added to the margin of the mean word length, divided by the root of the number of words.
 WORD_LENGTH_SCATTER = 8.0
 

@@ -140,6 +140,34 @@ def test_thresholds_follow_their_group(spark):
     assert "Python" not in quality.judge(df)._jdf.queryExecution().toString()
 
 
+def test_repeats_symbols_and_lines_follow_their_group(spark):
+    rng = random.Random(6)
+    fresh = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+
+    def text(repeat=0, symbols=0, lines=0):
+        """150 words, of which twice ``repeat`` are a passage that stands twice; ten lines, the last ones alike."""
+        if lines:
+            same = " ".join(fresh(3))
+            return "\n".join([" ".join(fresh(15)) for _ in range(9 - lines)] + [same] * (lines + 1))
+        w = fresh(150 - repeat)
+        w = w[:repeat] + w
+        return " ".join(x + ("#" if k < symbols else "") for k, x in enumerate(w))
+
+    rows = [(i, text(), "en", "plain") for i in range(150)]
+    for i in range(150):
+        rows += [(200 + i, text(5 + i % 8), "en", "repeats"), (400 + i, text(0, i % 15), "en", "symbols"), (600 + i, text(0, 0, i % 4), "en", "lines")]
+    probes = [text(13), text(14), text(0, 12), text(0, 0, 3)]
+    rows += [(1000 + k, t, "en", "plain") for k, t in enumerate(probes)] + [(2000 + k, t, "en", own) for k, (t, own) in
+                                                                              enumerate(zip(probes, ["repeats", "repeats", "symbols", "lines"]))]
+    rows += [(3000, text(6), "en", "plain"), (3001, text(0, 4), "en", "plain")]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert all(got[i]["kept"] for i in range(150)) and got[3000]["kept"] and got[3001]["kept"]
+    assert not any(got[i]["base_failed"] for i in (1000, 1001, 1002, 1003, 2000, 2001, 2002, 2003))
+    assert 0.15 < got[1000]["repeat_ratio"] < 0.2 and got[1002]["symbol_ratio"] < 0.1 and got[1003]["dup_line_ratio"] < 0.35
+    assert [got[1000 + k]["kept"] for k in range(4)] == [False] * 4
+    assert [got[2000 + k]["kept"] for k in range(4)] == [True] * 4
+
+
 def test_quality_cases(spark):
     ddl = "doc_id bigint, text string, lang string, source string, n_words string, kept string"
     assert quality.judge(spark.createDataFrame([], ddl)).collect() == []
