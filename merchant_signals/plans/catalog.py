@@ -816,6 +816,13 @@ def _arrival_chunks(raw, n: int = 4):
     return out
 
 
+def several_batches(rows: int) -> int:
+    """Batch size that loads a small table in five batches; beyond 100,000 rows the number of batches grows with the table."""
+    from merchant_signals.operators.facts import BATCH_SIZE
+
+    return min(BATCH_SIZE, max(QUERY_BATCH, rows // 5))
+
+
 @query("increment_run")
 def q_increment_run(spark, sf_dir):
     """OP-47: the originals are loaded in several batches and the buckets of the
@@ -830,7 +837,7 @@ def q_increment_run(spark, sf_dir):
     store = TableStore(spark, temp_path(spark, "store"))
     raw = V.raw(spark, sf_dir)
     copies = 1 + driver.events(spark, sf_dir).agg(F.max("event_id").alias("m")).first()["m"]
-    several = max(QUERY_BATCH, raw.count() // 5)
+    several = several_batches(raw.count())
     store.append("raw", raw.filter(F.col("raw_id") <= F.lit(copies)))
     catch_up(spark, store, driver.NOW, batch_size=several)
     recompute_buckets(store, *scheduled_window(driver.NOW), driver.now_lit())

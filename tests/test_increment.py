@@ -172,3 +172,9 @@ def test_one_file_for_a_small_day(spark, tmp_dir):
     store.append("facts", _hist(spark, dt.datetime(2024, 3, 1), days=4).repartition(8))
     for day in glob.glob(tmp_dir + "/store/facts/event_date=*"):
         assert len(glob.glob(day + "/*.parquet")) == 1
+
+
+def test_increment_run_loads_more_batches_of_a_larger_table():
+    from merchant_signals.plans.catalog import several_batches
+
+    assert [several_batches(n) for n in (0, 5_000, 50_000, 100_000, 600_000, 10 ** 9)] == [2_000, 2_000, 10_000, 20_000, 20_000, 20_000]
