@@ -62,5 +62,44 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'res
 FROM d
 """
 
+
+
+def _op13(leaf_levels: int = 8, group_levels: int = 4) -> str:
+    """The trees level by level, up to 16 ** levels nodes; every level keeps a path entry for each leaf below."""
+    fields = "doc_id source lang n_chars".split()
+    plain = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in fields]
+    low = f"translate(text, '{_A}', lower('{_A}'))"
+    leaf = lambda t: f"sha256({' || '.join(plain)} || CASE WHEN {t} IS NULL THEN '-' ELSE strlen({t}) || ':' || {t} END)"
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+           "lambda a, x: list_reduce(list_prepend(xor(a, x), range(8)), lambda b, i: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295)")
+    parts = [f"""l AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(low)} AS other, {crc} % 5 = 0 AS hit FROM documents),
+n0 AS (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+              leaf AS d FROM l),
+who AS (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+               doc_id, leaf, CASE WHEN hit THEN other ELSE leaf END AS start FROM l)"""]
+    up = """{b} AS (SELECT {s}, r // 16 AS r, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY r)) END AS d
+        FROM (SELECT *, count(*) OVER (PARTITION BY {s}) AS n FROM {a}) GROUP BY {s}, r // 16)"""
+    for i in range(leaf_levels):
+        parts.append(up.format(a=f"n{i}", b=f"n{i + 1}", s="s"))
+    parts.append(f"m0 AS (SELECT 0 AS s, s AS r, d FROM n{leaf_levels})")
+    for i in range(group_levels):
+        parts.append(up.format(a=f"m{i}", b=f"m{i + 1}", s="s"))
+    side = """{b} AS (SELECT s, r, coalesce(string_agg(d, '' ORDER BY r) OVER (PARTITION BY s, r // 16 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS x,
+        coalesce(string_agg(d, '' ORDER BY r) OVER (PARTITION BY s, r // 16 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS y, count(*) OVER (PARTITION BY s) > 1 AS real FROM {a})"""
+    step = """{b} AS (SELECT w.* REPLACE (CASE WHEN real THEN proof || x || y ELSE proof END AS proof, CASE WHEN real THEN sha256(x || h || y) ELSE h END AS h)
+        FROM {a} w JOIN {n} t ON {on})"""
+    parts.append("f0 AS (SELECT *, '' AS proof, start AS h FROM who)")
+    k = 0
+    for i in range(leaf_levels):
+        parts += [side.format(a=f"n{i}", b=f"ns{i}"), step.format(a=f"f{k}", b=f"f{k + 1}", n=f"ns{i}", on=f"t.s = w.s AND t.r = w.r >> {4 * i}")]
+        k += 1
+    for i in range(group_levels):
+        parts += [side.format(a=f"m{i}", b=f"ms{i}"), step.format(a=f"f{k}", b=f"f{k + 1}", n=f"ms{i}", on=f"t.r = w.s >> {4 * i}")]
+        k += 1
+    return f"""WITH {', '.join(parts)}
+SELECT doc_id, leaf, n.d AS subroot, m.d AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = m.d AS verified
+FROM f{k} f JOIN n{leaf_levels} n ON n.s = f.s CROSS JOIN m{group_levels} m"""
+
+
 ORACLES = {"op1_decontaminate": OP1, "op2_ngram_jaccard_join": OP2,
-           "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9}
+           "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9, "op13_merkle_manifest": _op13(5, 3)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import decontaminate, langid, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
+from merchant_signals.llm import decontaminate, langid, manifest, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
 from merchant_signals.llm.common import fresh_path, table
 from merchant_signals.llm.tokens import word_bpe_path
 
@@ -71,5 +71,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = manifest.verify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_jaccard_join, op3_substring_dedup, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
-                                  op8_best_fit_packing, op9_url_filter, op10_language_id)}
+                                  op8_best_fit_packing, op9_url_filter, op10_language_id, op13_merkle_manifest)}

