@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import decontaminate, langid, manifest, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
+from merchant_signals.llm import alignment, decontaminate, langid, manifest, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
 from merchant_signals.llm.common import fresh_path, table
-from merchant_signals.llm.tokens import word_bpe_path
+from merchant_signals.llm.tokens import tokenizer_paths, word_bpe_path
 
 #: Host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -71,6 +71,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), *tokenizer_paths())
+    sha = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", sha).drop("groups")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = manifest.verify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
@@ -78,4 +84,4 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_jaccard_join, op3_substring_dedup, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
-                                  op8_best_fit_packing, op9_url_filter, op10_language_id, op13_merkle_manifest)}
+                                  op8_best_fit_packing, op9_url_filter, op10_language_id, op12_cross_tokenizer_alignment, op13_merkle_manifest)}

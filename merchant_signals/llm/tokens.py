@@ -99,3 +99,10 @@ def word_bpe_path() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
+
+
+def tokenizer_paths() -> tuple[str, str]:
+    """The byte-level vocabulary and the sentence pieces that are aligned."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")

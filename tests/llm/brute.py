@@ -171,3 +171,52 @@ def merkle(rows):
                 h = _digest(*a, h, *b)
             out.append((r["doc_id"], trees[s][0][i], trees[s][-1][0], top[-1][0], _digest(*[x for a, b in path for x in a + b]), h))
     return out
+
+
+def aligned(docs, a_path, b_path, a_bytes, b_bytes):
+    """doc -> n_a, n_b, n_groups, n_links, n_best, count_sum, groups; whole texts, token by token."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(a_path)
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=b_path)
+
+    def spans(parts):
+        at = 0
+        for x in parts:
+            yield at, at + len(x)
+            at += len(x)
+
+    found, count = {}, Counter()
+    for doc, text in docs:
+        a = first.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = second.encode(text) if text else []
+        pa, pb = [a_bytes[i] for i in a], [b_bytes[i] for i in b]
+        if not text or not b"".join(pa) == b"".join(pb) == (" " + text).encode():
+            found[doc] = None
+            continue
+        sa, sb = list(spans(pa)), list(spans(pb))
+        links, low = [], 0
+        for (x, y), i in zip(sa, a):
+            while sb[low][1] <= x:
+                low += 1
+            k = low
+            while k < len(sb) and sb[k][0] < y:
+                links.append((i, b[k]))
+                k += 1
+        ends = {y for _, y in sa} & {y for _, y in sb}
+        groups, own = [], ([], [])
+        todo = sorted([(y, 0, i) for (_, y), i in zip(sa, a)] + [(y, 1, i) for (_, y), i in zip(sb, b)], key=lambda t: t[0])
+        for k, (y, which, i) in enumerate(todo):
+            own[which].append(i)
+            if y in ends and (k + 1 == len(todo) or todo[k + 1][0] > y):
+                groups.append("|".join(",".join(map(str, x)) for x in own))
+                own = ([], [])
+        found[doc] = (len(a), len(b), len(groups), links, ";".join(groups))
+        count.update(set(links))
+    best = Counter()
+    for (i, _), n in count.items():
+        best[i] = max(best[i], n)
+    return {doc: (0, 0, 0, 0, 0, 0, "") if f is None else
+            (*f[:3], len(f[3]), sum(count[x] == best[x[0]] for x in f[3]), sum(count[x] for x in f[3]), f[4]) for doc, f in found.items()}
