@@ -23,16 +23,19 @@ empty table has an empty manifest; further columns don't count, whatever they ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import fresh_path, release, staged
+from merchant_signals.llm.common import release, staged
 from merchant_signals.operators.row_ids import dense_row_id
 
 #: Children of a node: a base-16 digit a level.
 BITS = 4
 FAN = 1 << BITS
 
+#: Groups whose ranks are broadcast (some 30 MB); more are joined, hot ones split by adaptive execution.
+MAX_GROUPS = 200_000
+
 #: The leaf's fields, in order.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -47,34 +50,35 @@ def leaf_digest(*values: Column) -> Column:
 
 
 def _ranked(leaves: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """leaves (grp, id, leaf, ...) -> with s (rank of the group) and r (rank in it), both from 0; the tables it reads."""
+    """leaves (grp, id, leaf, ...) -> with s (rank of the group), r (rank in it), both from 0, and n (the group's leaves);
+    and the tables that it reads."""
     order = leaves.withColumn("_some", F.col("grp").isNotNull()).withColumn("_g", F.coalesce("grp", F.lit("")))
     sorted_ = staged(dense_row_id(order, ["_some", "_g", "id", "leaf"], "_row", start=0), "manifest-rows")
-    groups = sorted_.groupBy("_some", "_g").agg(F.min("_row").alias("_start"))
+    groups = sorted_.groupBy("_some", "_g").agg(F.min("_row").alias("_start"), F.count(F.lit(1)).alias("n"))
     groups = staged(dense_row_id(groups, ["_some", "_g"], "s", start=0), "manifest-groups")
-    out = sorted_.join(groups, ["_some", "_g"]).withColumn("r", F.col("_row") - F.col("_start"))
+    few = groups.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS
+    out = sorted_.join(F.broadcast(groups) if few else groups, ["_some", "_g"]).withColumn("r", F.col("_row") - F.col("_start"))
     return out.drop("_some", "_g", "_start", "_row"), [sorted_, groups]
 
 
-def _parents(level: DataFrame) -> DataFrame:
-    """level (s, r, digest) of groups with several nodes -> s, r, digest, children of the nodes above."""
-    runs = level.groupBy("s", F.shiftright("r", BITS).alias("r")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("r").alias("at"), "digest"))), lambda x: x["digest"]).alias("children"))
-    return runs.withColumn("digest", F.sha2(F.array_join("children", ""), 256))
+def _height(n: Column) -> Column:
+    """Levels above ``n`` leaves."""
+    return sum([(n > F.lit(FAN ** k)).cast("int") for k in range(1, 63 // BITS)], (n > 1).cast("int"))
 
 
 def _tree(level: DataFrame, name: str) -> tuple[DataFrame, list[DataFrame]]:
-    """level (s, r, digest) of many trees, all their leaves -> s, digest, height of their tops; the written levels."""
-    tops, levels, height = [], [], 0
+    """level (s, r, n, digest): the leaves of many trees, n of them in a tree -> s, digest of their tops; the written levels."""
+    tops, levels = [], []
     while True:
-        many = level.where(F.col("r") == 1).select("s")  # one row a tree that has more than one node
-        single = level.join(many, "s", "left_anti").select("s", "digest", F.lit(height).alias("height"))
-        tops.append(single)
-        if not many.limit(1).count():
+        tops.append(level.where(F.col("n") == 1).select("s", "digest"))
+        more = level.where(F.col("n") > 1)
+        if not more.limit(1).count():
             break
-        level = staged(_parents(level.join(many, "s", "left_semi")), f"{name}-level")
+        runs = more.groupBy("s", F.shiftright("r", BITS).alias("r")).agg(
+            F.ceil(F.max("n") / FAN).alias("n"),
+            F.transform(F.array_sort(F.collect_list(F.struct(F.col("r").alias("at"), "digest"))), lambda x: x["digest"]).alias("children"))
+        level = staged(runs.withColumn("digest", F.sha2(F.array_join("children", ""), 256)), f"{name}-level")
         levels.append(level)
-        height += 1
     out = tops[0]
     for t in tops[1:]:
         out = out.unionByName(t)
@@ -82,42 +86,42 @@ def _tree(level: DataFrame, name: str) -> tuple[DataFrame, list[DataFrame]]:
 
 
 class Manifest:
-    """The DAG of a table: ``leaves`` (s, run, entries of r and the rows' columns), ``tops`` (s, digest, height),
-    ``nodes`` (digest, children), the root and the height of the tree over the groups."""
+    """The DAG of a table: ``leaves`` (s, r, n, leaf and the rows' columns), ``nodes`` (digest, children), the root, and the number of
+    groups."""
 
-    def __init__(self, leaves: DataFrame, nodes: DataFrame, tops: DataFrame, root: str | None, height: int) -> None:
-        self.leaves, self.nodes, self.tops, self.root, self.height = leaves, nodes, tops, root, height
+    def __init__(self, leaves: DataFrame, nodes: DataFrame, root: str | None, groups: int) -> None:
+        self.leaves, self.nodes, self.root, self.groups = leaves, nodes, root, groups
 
     def descend(self, requests: DataFrame) -> DataFrame:
-        """requests (s, run): runs of leaves asked for -> s, run, children (the run's digests, null for a group of one
-        leaf), path (structs of left and right from the run's parent up to the root)."""
+        """requests (s, run, n: the group's leaves): runs of leaves asked for -> s, run, subroot, digest, children (the run's
+        digests, null for a group of one leaf), path (structs of left and right from the run's parent up to the root)."""
         spark = requests.sparkSession
         none = F.array().cast("array<struct<left:string,right:string>>")
-        asked = staged(requests.distinct().join(self.tops, "s").select("s", "run", "height", F.col("digest").alias("subroot")),
-                       "manifest-requests")
-        # over the groups: a row for each prefix of the digits of s
+        asked = staged(requests.distinct().withColumn("height", _height(F.col("n"))), "manifest-requests")
+        # over the groups: a row for each prefix of the digits of s that is asked for
         at = spark.createDataFrame([(0, self.root)], "prefix bigint, digest string").withColumn("path", none)
-        for step in range(self.height - 1, -1, -1):
+        up = 0
+        while FAN ** up < self.groups:
+            up += 1
+        for step in range(up - 1, -1, -1):
             at = self._step(at, asked.select(F.shiftright("s", BITS * step).alias("prefix")).distinct(), [])
-        at = at.select(F.col("prefix").alias("s"), F.lit(0).cast("long").alias("prefix"), "digest", "path")
-        # inside the groups: a row for each group and prefix of the digits of the run, runs being one step above leaves
-        heights = asked.select("s", "height").distinct()
-        todo = staged(at.join(heights, "s"), "manifest-step")
-        done = todo.where(F.col("height") <= 1)
-        parts = [done]
-        most = heights.agg(F.max("height").alias("h")).first()["h"] or 0
-        for step in range(most - 2, -1, -1):
-            # a group takes part from its own height on
-            going = todo.where(F.col("height") >= step + 2)
-            want = asked.where(F.col("height") >= step + 2).select("s", F.shiftright("run", BITS * step).alias("prefix")).distinct()
-            moved = staged(self._step(going, want, ["s", "height"]), "manifest-step")
-            parts.append(moved) if step == 0 else None
-            todo = moved.unionByName(todo.where((F.col("height") < step + 2) & (F.col("height") >= 2))) if step else moved
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        found = out.join(self.nodes.withColumnRenamed("digest", "_d"), (F.col("digest") == F.col("_d")) & (F.col("height") > 0), "left")
-        return found.select("s", F.col("prefix").alias("run"), F.col("digest"), "children", "path")
+        at = at.select(F.col("prefix").alias("s"), F.lit(0).cast("long").alias("prefix"), F.col("digest").alias("subroot"), "digest", "path")
+        # inside the groups: a row for each group and prefix of the digits of the run; runs are one step above leaves
+        todo = staged(at.join(asked.select("s", "height").distinct(), "s"), "manifest-step")
+        parts = [todo.where(F.col("height") <= 1)]
+        for step in range((todo.agg(F.max("height").alias("h")).first()["h"] or 0) - 2, -1, -1):
+            deep = F.col("height") >= step + 2  # a tree takes part from its own height on
+            want = asked.where(deep).select("s", F.shiftright("run", BITS * step).alias("prefix")).distinct()
+            moved = staged(self._step(todo.where(deep), want, ["s", "height", "subroot"]), "manifest-step")
+            if step == 0:
+                parts.append(moved)
+            else:
+                todo = moved.unionByName(todo.where((F.col("height") < step + 2) & (F.col("height") >= 2)))
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        records = self.nodes.select(F.col("digest").alias("_d"), "children")
+        runs = out.where(F.col("height") > 0).join(records, F.col("digest") == F.col("_d")).drop("_d")
+        alone = out.where(F.col("height") == 0).withColumn("children", F.lit(None).cast("array<string>"))
+        return runs.unionByName(alone).select("s", F.col("prefix").alias("run"), "subroot", "digest", "children", "path")
 
     def _step(self, at: DataFrame, want: DataFrame, keys: list[str]) -> DataFrame:
         """One digit further down: the children asked for, each with the others as left and right of a new path entry."""
@@ -125,48 +129,44 @@ class Manifest:
             *keys, (F.col("prefix") * FAN).alias("_first"), "path", "children", F.posexplode("children").alias("_digit", "_child"))
         on = [k for k in keys if k == "s"]
         opened = opened.withColumn("prefix", F.col("_first") + F.col("_digit")).join(want, [*on, "prefix"], "left_semi")
-        entry = F.struct(F.array_join(F.slice("children", F.lit(1), F.col("_digit")), "").alias("left"),
-                         F.array_join(F.slice("children", F.col("_digit") + 2, F.lit(FAN)), "").alias("right"))
-        return opened.select(*keys, "prefix", F.col("_child").alias("digest"), F.concat(F.array(entry), "path").alias("path"))
+        return opened.select(*keys, "prefix", F.col("_child").alias("digest"),
+                             F.concat(F.array(_others(F.col("_digit"))), "path").alias("path"))
+
+
+def _others(digit: Column) -> Column:
+    """The children before and after one of them."""
+    return F.struct(F.array_join(F.slice("children", F.lit(1), digit), "").alias("left"),
+                    F.array_join(F.slice("children", digit + 2, F.lit(FAN)), "").alias("right"))
 
 
 def build(rows: DataFrame, keep: list[str]) -> Manifest:
     """rows (grp, id, leaf and the columns ``keep``) -> manifest."""
     spark = rows.sparkSession
-    order, read = _ranked(rows.select("grp", "id", "leaf", *[c for c in keep if c not in ("grp", "id", "leaf")]))
-    ranked = staged(order, "manifest-leaves")
+    ranked, read = _ranked(rows.select("grp", "id", "leaf", *[c for c in keep if c not in ("grp", "id", "leaf")]))
+    leaves = staged(ranked, "manifest-leaves")
     release(*read)
-    tops, levels = _tree(ranked.select("s", "r", F.col("leaf").alias("digest")), "manifest")
+    tops, levels = _tree(leaves.select("s", "r", "n", F.col("leaf").alias("digest")), "manifest")
     tops = staged(tops, "manifest-tops")
-    over, upper = _tree(tops.select(F.lit(0).cast("long").alias("s"), F.col("s").alias("r"), "digest"), "manifest-over")
+    groups = tops.count()
+    over, upper = _tree(tops.select(F.lit(0).cast("long").alias("s"), F.col("s").alias("r"), F.lit(groups).cast("long").alias("n"), "digest"), "manifest-over")
     top = over.first()  # one row, or none
-    nodes = None
-    for level in [*levels, *upper]:
-        own = level.select("digest", "children")
-        nodes = own if nodes is None else nodes.unionByName(own)
-    if nodes is None:
-        nodes = spark.createDataFrame([], "digest string, children array<string>")
-    path = fresh_path(spark, "manifest-nodes")
-    nodes.dropDuplicates(["digest"]).write.parquet(path)
-    nodes = spark.read.schema("digest string, children array<string>").parquet(path)
+    nodes = spark.createDataFrame([], "digest string, children array<string>")
     for level in [*levels, *upper]:
-        release(level)
-    return Manifest(ranked, nodes, tops, top["digest"] if top else None, top["height"] if top else 0)
+        nodes = nodes.unionByName(level.select("digest", "children"))
+    nodes = staged(nodes.dropDuplicates(["digest"]), "manifest-nodes")
+    release(*levels, *upper, tops)
+    return Manifest(leaves, nodes, top["digest"] if top else None, groups)
 
 
 def proofs(manifest: Manifest, keep: list[str], alternative: str) -> DataFrame:
     """Every leaf's way to the root: ``keep``, leaf, subroot, root, proof (the siblings' digests from the run up to the
     root, joined) and folded (the root computed from ``alternative``, or the leaf where that is null, and the proof)."""
-    cols = [c for c in dict.fromkeys([*keep, "leaf", alternative])]
-    runs = manifest.leaves.groupBy("s", F.shiftright("r", BITS).alias("run")).agg(
-        F.array_sort(F.collect_list(F.struct("r", *cols))).alias("entries"))
-    found = manifest.descend(manifest.leaves.select("s", F.shiftright("r", BITS).alias("run")))
-    whole = (runs.join(found, ["s", "run"]).join(manifest.tops.select("s", F.col("digest").alias("subroot")), "s")
-             .select("subroot", "children", "path", F.explode("entries").alias("e")))
-    digit = F.col("e.r").bitwiseAND(FAN - 1).cast("int")
-    own = F.when(F.col("children").isNull(), F.struct(F.lit("").alias("left"), F.lit("").alias("right"))).otherwise(
-        F.struct(F.array_join(F.slice("children", F.lit(1), digit), "").alias("left"),
-                 F.array_join(F.slice("children", digit + 2, F.lit(FAN)), "").alias("right")))
+    cols = [*dict.fromkeys([*keep, "leaf", alternative])]
+    run = F.shiftright("r", BITS).alias("run")
+    runs = manifest.leaves.groupBy("s", run).agg(F.array_sort(F.collect_list(F.struct("r", *cols))).alias("entries"))
+    found = manifest.descend(manifest.leaves.where(F.col("r").bitwiseAND(FAN - 1) == 0).select("s", run, "n"))
+    whole = runs.join(found, ["s", "run"]).select("subroot", "children", "path", F.explode("entries").alias("e"))
+    own = _others(F.col("e.r").bitwiseAND(FAN - 1).cast("int"))
     # a group of one leaf has no run: its leaf is the subroot, and nothing is hashed below that
     steps = F.when(F.col("children").isNull(), F.col("path")).otherwise(F.concat(F.array(own), F.col("path")))
     start = F.coalesce(F.col(f"e.{alternative}"), F.col("e.leaf"))
