@@ -64,6 +64,18 @@ FROM d
 
 
 
+#: The given pages' articles are marked as such: what is inside, block by block.
+OP11 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS x FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(regexp_replace(regexp_replace(x, '</?b>', '', 'g'), '<br>', ' ', 'g'), '</?(?:p|h1)>'),
+        lambda t: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'),
+          '&amp;?', '&', 'g'), '[ \t\n\r\f\v]+', ' ', 'g'))) AS t FROM a)
+SELECT page_id, url, array_to_string(list_filter(t, lambda y: y <> ''), chr(10) || chr(10)) AS text,
+       length(array_to_string(list_filter(t, lambda y: y <> ''), chr(10) || chr(10)))::BIGINT AS n_chars
+FROM b
+"""
+
+
 def _op13(leaf_levels: int = 8, group_levels: int = 4) -> str:
     """The trees level by level, up to 16 ** levels nodes; every level keeps a path entry for each leaf below."""
     fields = "doc_id source lang n_chars".split()
@@ -102,4 +114,4 @@ FROM f{k} f JOIN n{leaf_levels} n ON n.s = f.s CROSS JOIN m{group_levels} m"""
 
 
 ORACLES = {"op1_decontaminate": OP1, "op2_ngram_jaccard_join": OP2,
-           "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9, "op13_merkle_manifest": _op13(5, 3)}
+           "op3_substring_dedup": OP3, "op6_warc_archive": OP6, "op9_url_filter": OP9, "op11_html_extraction": OP11, "op13_merkle_manifest": _op13(5, 3)}

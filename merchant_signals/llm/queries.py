@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm import alignment, decontaminate, langid, manifest, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
+from merchant_signals.llm import alignment, decontaminate, html_extract, labelled_pages, langid, manifest, near_dups, packing, pii, quality, substring_dedup, token_rollup, url_filter, warc
 from merchant_signals.llm.common import fresh_path, table
 from merchant_signals.llm.tokens import tokenizer_paths, word_bpe_path
 
@@ -71,6 +71,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "coverage"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = html_extract.fit(labelled_pages.labelled_pages(table(spark, sf_dir, "documents")))
+    found = html_extract.extract(table(spark, sf_dir, "pages"), model)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(table(spark, sf_dir, "documents"), *tokenizer_paths())
     sha = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
@@ -84,4 +90,4 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_ngram_jaccard_join, op3_substring_dedup, op4_pii, op5_quality_rules, op6_warc_archive, op7_token_counts,
-                                  op8_best_fit_packing, op9_url_filter, op10_language_id, op12_cross_tokenizer_alignment, op13_merkle_manifest)}
+                                  op8_best_fit_packing, op9_url_filter, op10_language_id, op11_html_extraction, op12_cross_tokenizer_alignment, op13_merkle_manifest)}
