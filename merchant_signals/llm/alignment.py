@@ -4,8 +4,8 @@ A text is encoded by A (byte-level BPE) and by B (sentence pieces).  Where a tok
 a *group* ends; a *link* is a pair of occurrences whose byte ranges overlap.  The ends of both tokenizers cut a text into
 segments, and every link is one segment: the tokens that cover it.
 
-Texts are encoded whole and aligned in numpy, about a megabyte at a time: the ends of all tokens are marked on one line of
-bytes, on which a text's end is an end of both tokenizers.
+Texts are encoded whole, once; their ids are written.  Both passes align them in numpy, a few hundred thousand tokens at a time:
+the ends of all tokens are marked on one line of bytes, on which a text's end is an end of both tokenizers.
 
 *Counts.* The first pass aligns every document and writes, for each task, the pairs of ids that it met and in how many
 documents.  A minimal perfect hash of the distinct pairs (``mph``) numbers them; tasks add their counts up in dense
@@ -77,6 +77,7 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        self.kind = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")  # of written ids
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         n = max(len(self.a_bytes), len(self.b_bytes))
@@ -94,7 +95,7 @@ class Tokenizers:
         if not text:
             return [], []
         a, b, whole = self.encode_a(" " + text), self.b.encode(text), b" " + text.encode()
-        spells = b"".join([self.a_bytes[k] for k in a]) == whole == b"".join([self.b_bytes[k] for k in b])
+        spells = b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
         return (a, b) if spells else ([], [])
 
 
@@ -122,12 +123,8 @@ class Aligned:
     link_first: np.ndarray
 
 
-def align_texts(t: Tokenizers, texts: list[str | None]) -> Aligned:
-    found = [t.encode(x) for x in texts]
-    count = np.array([(len(x), len(y)) for x, y in found], np.int64).reshape(-1, 2)
-    first = np.zeros((len(texts) + 1, 2), np.int64)
-    np.cumsum(count, 0, out=first[1:])
-    a, b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n)) for ids, n in zip(zip(*found), first[-1]))
+def align_tokens(t: Tokenizers, a: np.ndarray, b: np.ndarray, first: np.ndarray) -> Aligned:
+    """Texts' ids one after another; first: of each text its first token of A and of B, and the numbers of all."""
     a_end, b_end = np.cumsum(t.a_size[a]), np.cumsum(t.b_size[b])
     mark = np.zeros(int(a_end[-1]) + 1 if len(a) else 1, np.uint8)
     mark[a_end] = 1
@@ -164,14 +161,39 @@ def group_texts(t: Tokenizers, x: Aligned) -> list[str]:
     return [data[i:j - 1].decode() if j > i else "" for i, j in zip(edge, edge[1:])]
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of texts of about a megabyte, and where they start: what a worker aligns at once; a longer text is alone."""
-    for i, j in chunks(texts_of(column)[1]):
-        yield i, column.slice(i, j - i)
+def _encoded(a_path: str, b_path: str, names: list[str]):
+    """Batches of text and other columns -> the other columns and the text's ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizers(a_path, b_path)
+        for batch in batches:
+            for i, j in chunks(texts_of(batch.column(0))[1]):
+                found = [t.encode(x) for x in batch.column(0).slice(i, j - i).to_pylist()]
+                ids = [pa.array([np.array(x, t.kind).tobytes() for x in own], pa.binary()) for own in zip(*found)]
+                yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(1, batch.num_columns)] + ids, names=names)
+        give_back()
+
+    return run
+
+
+def _aligned(t: Tokenizers, batch: pa.RecordBatch) -> Iterator[tuple[int, int, Aligned]]:
+    """Ranges of a batch of ids (a, b, ...), aligned; what a worker aligns at once is about a megabyte of ids, a longer text is alone."""
+
+    def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        wide = column.cast(pa.large_binary())
+        offset = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset:wide.offset + len(wide) + 1]
+        data = np.frombuffer(wide.buffers()[2] or b"", np.uint8)
+        return data, offset
+
+    (data_a, at_a), (data_b, at_b) = flat(batch.column(0)), flat(batch.column(1))
+    for i, j in chunks(at_a):
+        a, b = (d[x[i]:x[j]].copy().view(t.kind).astype(np.int64) for d, x in ((data_a, at_a), (data_b, at_b)))
+        first = np.stack([(x[i:j + 1] - x[i]) // t.kind.itemsize for x in (at_a, at_b)], 1)
+        yield i, j, align_tokens(t, a, b, first)
 
 
 def _tally(a_path: str, b_path: str):
-    """Batches of texts -> pair, docs: in how many of the task's documents a pair is linked."""
+    """Batches of ids -> pair, docs: in how many of the task's documents a pair is linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(a_path, b_path)
@@ -189,9 +211,8 @@ def _tally(a_path: str, b_path: str):
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(docs)], names=["pair", "docs"])
 
         for batch in batches:
-            for _, part in _slices(batch.column(0)):
-                x = align_texts(t, part.to_pylist())
-                row = np.repeat(np.arange(len(part)), np.diff(x.link_first))
+            for i, j, x in _aligned(t, batch):
+                row = np.repeat(np.arange(j - i), np.diff(x.link_first))
                 own = np.sort((row << 2 * SHIFT) | x.link)
                 waiting.append(own[np.diff(own, prepend=-1) != 0] & ((1 << 2 * SHIFT) - 1))
                 n += len(waiting[-1])
@@ -282,22 +303,21 @@ class Counts:
 
 
 def _measured(a_path: str, b_path: str, counts, named: bool):
-    """Batches of texts -> the other columns, n_a, n_b, n_groups, n_links, n_best, count_sum, groups; or, without counts,
+    """Batches of ids -> the other columns, n_a, n_b, n_groups, n_links, n_best, count_sum, groups; or, without counts,
     the pairs of a document and their links as two lists in place of n_best and count_sum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(a_path, b_path)
         per_text = lambda values, x: np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[x.link_first])
         for batch in batches:
-            for start, part in _slices(batch.column(0)):
-                x = align_texts(t, part.to_pylist())
-                columns = [batch.column(k).slice(start, len(part)) for k in range(1, batch.num_columns)]
+            for i, j, x in _aligned(t, batch):
+                columns = [batch.column(k).slice(i, j - i) for k in range(2, batch.num_columns)]
                 columns += [pa.array(np.diff(f)) for f in (x.a_first, x.b_first, x.group_first, x.link_first)]
                 if counts:
                     n, best = counts.value.of(x.link)
                     columns += [pa.array(per_text(best, x)), pa.array(per_text(n, x))]
                 else:
-                    own = [np.unique(x.link[i:j], return_counts=True) for i, j in zip(x.link_first, x.link_first[1:])]
+                    own = [np.unique(x.link[y:z], return_counts=True) for y, z in zip(x.link_first, x.link_first[1:])]
                     columns += [pa.array([p[k] for p in own], pa.list_(pa.int64())) for k in (0, 1)]
                 columns.append(pa.array(group_texts(t, x), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=named)
@@ -306,10 +326,18 @@ def _measured(a_path: str, b_path: str, counts, named: bool):
     return run
 
 
-def tally(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
-    """pair, docs, several rows a pair: the first pass, written."""
+def encode_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, a, b: the ids of every document, written."""
     ship_package(docs.sparkSession)
-    return staged(docs.select(F.col(text_col).cast("string")).mapInArrow(_tally(a_path, b_path), "pair bigint, docs bigint"), "align-pairs")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.mapInArrow(_encoded(a_path, b_path, ["doc_id", "a", "b"]), f"doc_id {kind}, a binary, b binary")
+    return staged(found, "align-ids", compression="zstd")
+
+
+def tally(ids: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """pair, docs, several rows a pair: the first pass, written."""
+    return staged(ids.select("a", "b").mapInArrow(_tally(a_path, b_path), "pair bigint, docs bigint"), "align-pairs")
 
 
 def count_pairs(found: DataFrame, max_pairs: int = MAX_PAIRS) -> Counts | None:
@@ -335,19 +363,20 @@ def count_pairs(found: DataFrame, max_pairs: int = MAX_PAIRS) -> Counts | None:
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", max_pairs: int = MAX_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (as text) of every document."""
     spark = docs.sparkSession
-    found = tally(docs, a_path, b_path, text_col)
+    ids = encode_documents(docs, a_path, b_path, id_col, text_col)
+    found = tally(ids, a_path, b_path)
     counts = count_pairs(found, max_pairs)
-    texts = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"))
-    kind = texts.schema["doc_id"].dataType.simpleString()
+    ids = ids.select("a", "b", "doc_id")
+    kind = ids.schema["doc_id"].dataType.simpleString()
     plain = ["n_a", "n_b", "n_groups", "n_links"]
     if counts is not None:
         release(found)
         names = ["doc_id", *plain, "n_best", "count_sum", "groups"]
         schema = f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in names[1:-1]) + ", groups string"
-        return texts.mapInArrow(_measured(a_path, b_path, spark.sparkContext.broadcast(counts), names), schema)
+        return ids.mapInArrow(_measured(a_path, b_path, spark.sparkContext.broadcast(counts), names), schema)
     names = ["doc_id", *plain, "pairs", "times", "groups"]
     schema = f"doc_id {kind}, " + ", ".join(f"{c} bigint" for c in plain) + ", pairs array<bigint>, times array<bigint>, groups string"
-    own = staged(texts.mapInArrow(_measured(a_path, b_path, None, names), schema).withColumn("_row", F.monotonically_increasing_id()), "align-documents")
+    own = staged(ids.mapInArrow(_measured(a_path, b_path, None, names), schema).withColumn("_row", F.monotonically_increasing_id()), "align-documents")
     totals = found.groupBy("pair").agg(F.sum("docs").alias("docs")).withColumn("a", F.shiftright("pair", SHIFT))
     totals = staged(totals, "align-totals")
     totals = totals.join(totals.groupBy("a").agg(F.max("docs").alias("best")), "a").select("pair", "docs", (F.col("docs") == F.col("best")).alias("top"))

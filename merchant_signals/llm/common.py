@@ -49,11 +49,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: what follows starts from the files, so
     a lost executor costs no more than its own tasks, and two readers don't compute ``df`` twice."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
