@@ -162,10 +162,14 @@ def lay_out(number: int, text: str, other: str) -> tuple[str, list[str]]:
 
 
 def labelled_pages(docs: DataFrame, max_pages: int = MAX_PAGES, text_col: str = "text") -> DataFrame:
-    """docs -> html, blocks (the article's, in order) of at most ``max_pages`` pages: those of the texts with the smallest digests."""
+    """docs -> html, blocks (the article's, in order) of about ``max_pages`` pages (never over twice as many): those of the distinct
+    texts whose digests are the smallest of all, told by a bound that the number of distinct texts gives."""
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where(F.length(F.trim("text")) > 0)
-    order = F.xxhash64("text")
-    taken = texts.select(order.alias("key"), F.substring("text", 1, 12 * MAX_WORDS).alias("text")).orderBy("key", "text").limit(max_pages)
+    keyed = texts.withColumn("key", F.xxhash64("text"))
+    n = keyed.agg(F.approx_count_distinct("key").alias("n")).first()["n"]
+    bound = (1 << 63) - 1 if n <= max_pages else int((max_pages / n) * (1 << 64)) - (1 << 63)
+    taken = (keyed.where(F.col("key") <= F.lit(bound)).groupBy("key").agg(F.min(F.substring("text", 1, 12 * MAX_WORDS)).alias("text"))
+             .limit(2 * max_pages))
 
     def run(batches: pa.RecordBatch) -> pa.RecordBatch:
         own = batches.column("text").to_pylist()

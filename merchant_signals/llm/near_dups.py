@@ -16,7 +16,9 @@ hub, found by a partial aggregation, and every other text of the block is paired
 ``PARITY_BITS`` bits of both texts then drops pairs whose Hamming distance exceeds what their sizes allow, and the
 sets decide the rest.  Where the verified links leave a block's texts in several components, the pairs of that block
 between different components are checked as well, inside a join whose condition is the Hamming distance: no link
-between components is lost, and none inside is spent on.
+between components is lost, and none inside is spent on.  Each text carries the first of its blocks there: a pair that has
+met in one of them isn't given out again.  Before texts are fetched, pairs pass sketches as wide as their sets are large:
+sketches of one width for all saturate, and let unlinked texts of a thousand shingles through.
 Texts with equal sets are linked by a grouping of the sets' 128-bit digests and appear once a batch in the join.
 
 Cases: null and empty texts have no set, link with nothing and are their own component; rows with a null id get no
@@ -44,6 +46,8 @@ from merchant_signals.llm.words import mix, texts_of, windows, words_of
 RATIO = 1.4
 #: Bits of the sketch that pairs are compared by, and of the bitmap of texts that pairs ask for.
 PARITY_BITS, ASKED_BITS = 512, 1 << 24
+#: A text's first blocks that say whether a pair has met before.
+FIRST_BLOCKS = 4
 PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
 
 
@@ -153,6 +157,18 @@ def _parity(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _wide(h: np.ndarray) -> bytes:
+    """A set's parity sketch of at least four bits a shingle."""
+    bits = max(PARITY_BITS, 1 << int(4 * len(h) - 1).bit_length())
+    return np.packbits(np.bincount((mix(h, 32) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def _distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two sketches; the wider one is folded to the width of the other."""
+    x, y = (np.frombuffer(v, np.uint8) for v in sorted((x, y), key=len))
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), 0)).sum())
+
+
 def _asked(ids: DataFrame) -> np.ndarray:
     """A bitmap of hashed ids, ASKED_BITS / 8 bytes however many there are."""
     p = ids.select(F.pmod(F.xxhash64("id"), F.lit(ASKED_BITS)).cast("int").alias("p"))
@@ -186,7 +202,15 @@ def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
         data, offset = texts_of(b.column(1))
         pack = zstandard.ZstdCompressor(3).compress
         z = [pack(data[offset[i]:offset[i + 1]].tobytes()) for i in range(b.num_rows)]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc_id", "data"])
+        sets = [x for _, h, first in shingle_sets(b.column(1), rule) for x in np.split(h, first[1:-1])]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_wide(x) for x in sets], pa.binary()),
+                                           pa.array(z, pa.binary())], names=["doc_id", "n", "wide", "data"])
+
+    def close(b: pa.RecordBatch) -> pa.RecordBatch:
+        """Pairs whose wide sketches are no further apart than their sizes allow."""
+        na, nb, wa, wb = (b.column(k).to_pylist() for k in range(2, 6))
+        fits = [_distance(x, y) * (rule.den + rule.num) <= (m + n) * (rule.den - rule.num) for m, n, x, y in zip(na, nb, wa, wb)]
+        return b.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     def sets_of(column: pa.Array) -> list[np.ndarray]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -202,10 +226,12 @@ def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 fits[k] = common > 0 and rule.den * common >= rule.num * (len(x) + len(y) - common)
         return b.select(["a", "b"]).filter(pa.array(fits))
 
-    own = staged(arrow_map(hashed, wanted, "doc_id bigint, data binary"), "asked-texts")
+    own = staged(arrow_map(hashed, wanted, "doc_id bigint, n bigint, wide binary, data binary"), "asked-texts")
+    a, b = (own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab")
+    few = staged(arrow_map(near.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "wa", "wb"), close, "a bigint, b bigint"), "close-pairs")
     a, b = (own.select(F.col("doc_id").alias(x), F.col("data").alias(f"d{x}")) for x in "ab")
-    links = staged(arrow_map(near.join(a, "a").join(b, "b").select("a", "b", "da", "db"), equal, "a bigint, b bigint"), "verified")
-    release(own)
+    links = staged(arrow_map(few.join(a, "a").join(b, "b").select("a", "b", "da", "db"), equal, "a bigint, b bigint"), "verified")
+    release(own, few)
     return links
 
 
@@ -253,10 +279,12 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     apart = told.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("block")
     rest = staged(told.join(apart, "block", "left_semi"), "apart")
     release(members, told, near)
-    left, right = (rest.select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"))
+    lows = rest.groupBy("doc").agg(F.array_sort(F.collect_set("block")).alias("k")).select("doc", F.slice("k", 1, FIRST_BLOCKS).alias("k"))
+    left, right = (rest.join(lows, "doc").select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"), F.col("k").alias(f"k{x}"))
                    .join(_sketches(some, x), x) for x in "ab")
+    met = F.exists(F.array_intersect("ka", "kb"), lambda k: k < F.col("blocka"))  # in a block before this one
     cross = left.join(right, (F.col("blocka") == F.col("blockb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                      & _near(rule)).select("a", "b").distinct()
+                      & _near(rule) & ~met).select("a", "b").distinct()
     cross = staged(cross, "cross-pairs")
     more = verify(cross, own, rule)
     if more.limit(1).count():
