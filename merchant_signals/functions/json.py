@@ -25,12 +25,20 @@ def has_key(payload: Column | str, key: str) -> Column:
 
 
 def json_merge(payload: Column | str, overrides: Column) -> Column:
-    """Shallow merge: keys of ``overrides`` (a map<string,string>) replace the
-    payload's.  Values come back as JSON strings, which is what the fact
-    projection reads anyway (it parses text).  Needs
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by the session helper)."""
-    base = F.from_json(_c(payload), "map<string,string>")
-    return F.to_json(F.map_concat(base, overrides))
+    """Shallow merge: keys of ``overrides`` (a map of strings, numbers, booleans or variants) replace the
+    payload's; all other values keep their JSON type, whatever they hold.  NULL for a payload that is no object.
+    Needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by the session helper)."""
+    base = F.try_variant_get(F.try_parse_json(_c(payload)), "$", "map<string,variant>")
+    return F.to_json(F.map_concat(base, F.transform_values(overrides, lambda _, v: v.cast("variant"))))
+
+
+def json_reject(payload: Column | str) -> Column:
+    """Why a payload can't be an event: 'null', 'not JSON' or 'not an object'; NULL for one that can."""
+    text = _c(payload)
+    opens = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    closes = F.rtrim(text, F.lit(" \t\r\n")).endswith("}")  # nothing after the object
+    broken = F.try_parse_json(text).isNull() | (opens & ~closes)
+    return F.when(text.isNull(), F.lit("null")).when(broken, F.lit("not JSON")).when(~opens, F.lit("not an object"))
 
 
 def checked_json(c: Column | str) -> Column:

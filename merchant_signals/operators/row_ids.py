@@ -40,6 +40,8 @@ def dense_row_id(df: DataFrame, order_by: list[str], id_col: str = "row_id", sta
         .alias("_off"),
     ).fillna({"_off": 0})
     # one row per shuffle partition
-    return (ordered.join(F.broadcast(offsets), "_pid")
-            .withColumn(id_col, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
-            .drop("_pid", "_pos", "_off"))
+    out = (ordered.join(F.broadcast(offsets), "_pid")
+           .withColumn(id_col, (F.col("_off") + F.col("_pos") + F.lit(start)).cast("long"))
+           .drop("_pid", "_pos", "_off"))
+    out._temp_path = ordered._temp_path  # session.release_temp(spark, out) once what reads it is written
+    return out

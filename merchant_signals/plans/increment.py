@@ -58,16 +58,24 @@ def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BA
     """OP-15..17, 22, 23, 33, 35: one ``process_raw_events`` call."""
     last = loaded_to(store, source)
     batch = facts_op.incremental_batch(store.read("raw"), source, last, batch_size)
+    # the raw rows are read once; counts are observed in the writes
+    seen, added = Observation("batch"), Observation("inserted")
+    batch = store.stage(batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("raw_id").alias("last")))
     # written, so that its size is known: the keys of a small batch are broadcast against the fact table
     typed = store.stage(facts_op.dedup_first_wins(facts_op.facts_from_raw(batch)))
-    inserted = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id").select(*facts_op.FACT_COLUMNS))
-    stats = facts_op.batch_stats(batch, inserted, last).first().asDict()
+    inserted = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id").select(*facts_op.FACT_COLUMNS)
+                           .observe(added, F.count(F.lit(1)).alias("rows")))
+    n = observed(seen)
+    stats = {"processed_rows": n, "inserted_fact": observed(added), "updated_watermark": int(seen.get["last"]) if n else last}
     if stats["inserted_fact"]:
         store.append("facts", inserted)
     new_dim = facts_op.new_merchants(batch, store.read("dim_merchant"), F.current_timestamp())
     if new_dim.limit(1).count():
         store.append("dim_merchant", new_dim)
-    store.unstage(typed, inserted)
+    bad = facts_op.rejects(batch).join(store.read("rejects").filter(F.col("raw_id") > F.lit(last)).select("raw_id"), "raw_id", "left_anti")
+    if bad.limit(1).count():  # a load that broke off after this point doesn't keep them twice
+        store.append("rejects", bad)
+    store.unstage(batch, typed, inserted)
     set_position(store, "load_position", source, stats["updated_watermark"])
     return stats
 

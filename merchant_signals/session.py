@@ -27,6 +27,8 @@ _SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # OP-71: a later key overrides an earlier one in map_concat.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # a key repeated inside one JSON object is valid, the last one counts (as JSONB keeps it)
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -119,11 +121,21 @@ def temp_table(df: DataFrame, name: str) -> DataFrame:
     once, lineage cut, nothing persisted.  ``release_temp`` removes the files."""
     path = temp_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release_temp(spark: SparkSession) -> None:
-    """Delete all temp folders; results that still read them must be written first."""
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._temp_path = path
+    return out
+
+
+def release_temp(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete the folders of these temp tables (of all, if none is named); results that still read them must be
+    written first."""
+    if tables:
+        for t in tables:
+            path = t._temp_path
+            delete_path(spark, path)
+            if path in _TEMP:
+                _TEMP.remove(path)
+        return
     while _TEMP:
         delete_path(spark, _TEMP.pop())
 

@@ -98,8 +98,8 @@ def raw_rows(payloads: DataFrame, received_at: Column | None = None,
 def replay_lines(lines: DataFrame, source: str = REPLAY_SOURCE,
                  received_at: Column | None = None) -> DataFrame:
     """OP-02: each non-blank line of a JSONL file is one payload tagged with
-    ``source``; a line that isn't JSON fails the replay.  Works on a batch and
-    on a stream (which throttles with ``maxFilesPerTrigger``)."""
+    ``source``; a line that isn't JSON fails the replay, and the landing refuses one
+    that is no object.  Works on a batch and on a stream (which throttles with ``maxFilesPerTrigger``)."""
     text = F.trim(F.col("value"))
     return lines.filter(text != "").select(
         F.lit(source).alias("source"), checked_json(text).alias("payload"),

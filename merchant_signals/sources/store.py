@@ -1,6 +1,9 @@
 """Parquet tables of the data product, kept under one root folder.
 
-* ``raw``        append-only, partitioned by ``source``; raw ids assigned here
+* ``raw``        append-only, partitioned by ``landing`` and ``source``; raw ids assigned here.  A landing is
+                 one append: a micro-batch's folder is named after its stream and batch, so that a replay finds it
+* ``refused``    payloads that are no JSON object, with the reason; partitioned like ``raw``
+* ``landings``   the raw-id range of each keyed landing, one folder a key
 * ``facts``      append-only (insert-ignore upstream), partitioned by ``event_date``
 * ``snapshots``  partitioned by ``snapshot_date``; an upsert rewrites only the
                  dates it touches
@@ -18,6 +21,7 @@ does the same swap again from the copy.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from merchant_signals import schemas as S
-from merchant_signals.session import delete_path, list_names, path_exists
+from merchant_signals.session import delete_path, list_names, path_exists, release_temp, temp_table
 
 
 def _schema(fields: list[tuple[str, object]]) -> StructType:
@@ -42,13 +46,19 @@ SNAPSHOT_SCHEMA = _schema([
     ("local_model_band", T.StringType()), ("local_model_version", T.StringType()),
     ("local_model_scored_at_utc", T.TimestampType())])
 SEQUENCE_SCHEMA = _schema([("last_raw_id", T.LongType())])
+LANDING_SCHEMA = _schema([("first_raw_id", T.LongType()), ("last_raw_id", T.LongType())])
+REFUSED_SCHEMA = _schema([("source", T.StringType()), ("payload", T.StringType()), ("received_at", T.TimestampType()),
+                          ("reason", T.StringType())])
 PENDING_SCHEMA = _schema([("table", T.StringType()), ("staged", T.StringType())])
 
+REJECT_SCHEMA = _schema([("raw_id", T.LongType()), ("source", T.StringType()), ("received_at", T.TimestampType()),
+                         ("reason", T.StringType()), ("payload", T.StringType())])
+
 SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA, "dim_merchant": S.DIM,
            "watermark": S.WATERMARK, "load_position": S.WATERMARK, "raw_sequence": SEQUENCE_SCHEMA,
-           "pending": PENDING_SCHEMA}
+           "refused": REFUSED_SCHEMA, "rejects": REJECT_SCHEMA, "pending": PENDING_SCHEMA}
 VERSIONED = {"dim_merchant", "watermark", "load_position", "raw_sequence", "pending"}
-PARTITIONS = {"raw": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
+PARTITIONS = {"raw": ["landing", "source"], "refused": ["landing", "source"], "rejects": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
 DATE_OF = {"facts": "event_time_utc", "snapshots": "snapshot_time_utc"}
 
 
@@ -79,7 +89,7 @@ class TableStore:
         that also work on a folder holding no data file yet."""
         schema = SCHEMAS[name]
         part = PARTITIONS.get(name, [])
-        extra = [T.StructField(p, T.StringType() if p == "source" else T.DateType()) for p in part
+        extra = [T.StructField(p, T.DateType() if p.endswith("_date") else T.StringType()) for p in part
                  if p not in schema.fieldNames()]
         return T.StructType([f for f in schema.fields if f.name not in part] + extra)
 
@@ -108,6 +118,8 @@ class TableStore:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def _with_partition_cols(self, name: str, df: DataFrame) -> DataFrame:
+        if "landing" in PARTITIONS.get(name, []):
+            df = df.withColumn("landing", F.lit(uuid.uuid4().hex))
         if name in DATE_OF:
             df = df.withColumn(PARTITIONS[name][0], F.to_date(DATE_OF[name]))
         return df
@@ -115,7 +127,7 @@ class TableStore:
     def _clustered(self, name: str, df: DataFrame) -> DataFrame:
         """Rows of a partition together, so that a small date is one file; adaptive
         execution splits large dates and merges small ones."""
-        return df.hint("rebalance", *PARTITIONS[name]) if name in PARTITIONS else df
+        return df.hint("rebalance", PARTITIONS[name][-1]) if name in PARTITIONS else df
 
     def append(self, name: str, df: DataFrame) -> None:
         schema = SCHEMAS[name]
@@ -178,24 +190,62 @@ class TableStore:
              .partitionBy(*part).parquet(self.path(name)))
 
     # ---- raw landing (OP-01 / OP-02 / OP-04) ----------------------------------------
-    def append_raw(self, rows: DataFrame, order_by: list[str] | None = None) -> int:
-        """Assign dense raw ids after the last assigned one, in ``order_by``
-        order (default: received_at, payload), and append.  The last id lives
-        in a one-row ``raw_sequence`` table (single writer, like a serial), so
-        landing never scans the raw table; it is initialised from the raw ids
-        once.  Returns the new last id."""
-        from merchant_signals.functions.json import checked_json
-        from merchant_signals.operators.row_ids import dense_row_id
-
+    def _landed(self, key: str) -> tuple[int, int] | None:
+        """The raw-id range noted for a landing."""
+        path = f"{self.path('landings')}/{key}"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        r = self.spark.read.schema(LANDING_SCHEMA).parquet(path).first()
+        return int(r["first_raw_id"]), int(r["last_raw_id"])
+
+    def _take_ids(self, last: int) -> None:
+        self.replace("raw_sequence", self.spark.createDataFrame([(int(last),)], SEQUENCE_SCHEMA))
+
+    def last_raw_id(self) -> int:
+        """The last id that was given out (initialised from the raw ids once)."""
         seq = self.read("raw_sequence").first()
         if seq is None:
             seq = self.read("raw").agg(F.coalesce(F.max("raw_id"), F.lit(0)).alias("last_raw_id")).first()
-        start = int(seq["last_raw_id"])
-        checked = rows.select("source", checked_json("payload").alias("payload"), "received_at")
-        numbered = dense_row_id(checked, order_by or ["received_at", "payload"], "raw_id", start=start + 1)
+        return int(seq["last_raw_id"])
+
+    def append_raw(self, rows: DataFrame, order_by: list[str] | None = None, key: str | None = None) -> int:
+        """Assign dense raw ids after the last assigned one, in ``order_by`` order (default: received_at, payload), and
+        append; payloads that are no JSON object go to ``refused`` with the reason.  Returns the new last id.
+
+        The last id lives in a one-row ``raw_sequence`` table (single writer, like a serial), so landing never scans
+        the raw table.  key: a name for these rows (stream and batch): landing them again does nothing if all of it is
+        there, and else writes the same folder with the same ids.  Ids are taken, then noted under the key, then the
+        refused rows and the rows are written, each at once (a folder with ``_SUCCESS``): a crash before the note
+        leaves a gap in the ids, one after it is repaired by the replay."""
+        from merchant_signals.functions.json import json_reject
+        from merchant_signals.operators.row_ids import dense_row_id
+
+        landing = key or uuid.uuid4().hex
+        if not re.fullmatch(r"[\w.-]+", landing):
+            raise ValueError(f"a landing's key names a folder: {landing!r}")
+        target = f"{self.path('raw')}/landing={landing}"
+        noted = self._landed(landing) if key else None
+        if noted and path_exists(self.spark, f"{target}/_SUCCESS"):
+            return noted[1]
+        start = noted[0] - 1 if noted else self.last_raw_id()
+        told = temp_table(rows.select("source", "payload", "received_at", json_reject("payload").alias("reason")), "landing")
+        good = told.filter(F.col("reason").isNull()).drop("reason")
+        numbered = dense_row_id(good, order_by or ["received_at", "payload"], "raw_id", start=start + 1)
         last = numbered.agg(F.max("raw_id").alias("m")).first()["m"]
-        if last is not None:
-            # the ids are taken first: a crash in between leaves a gap, never a second use
-            self.replace("raw_sequence", self.spark.createDataFrame([(int(last),)], SEQUENCE_SCHEMA))
-            self.append("raw", numbered)
-        return start if last is None else int(last)
+        last = start if last is None else int(last)
+        if noted and last != noted[1]:
+            raise RuntimeError(f"landing {landing} had ids {noted[0]} to {noted[1]}, its replay has {last - start} rows")
+        if not noted:
+            if last > start:
+                self._take_ids(last)
+            if key:
+                self.spark.createDataFrame([(start + 1, last)], LANDING_SCHEMA).write.mode("overwrite").parquet(
+                    f"{self.path('landings')}/{landing}")
+        refused = told.filter(F.col("reason").isNotNull())
+        if refused.limit(1).count():
+            refused.write.mode("overwrite").partitionBy("source").parquet(f"{self.path('refused')}/landing={landing}")
+        if last > start or key:
+            out = numbered.select(*[F.col(f.name).cast(f.dataType) for f in S.RAW.fields])
+            out.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(target)
+        release_temp(self.spark, told, numbered)
+        return last

@@ -22,6 +22,7 @@ cadence, or with ``processingTime`` for continuous upkeep.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from merchant_signals.operators.features import merchant_features
 from merchant_signals.operators.mutate import upsert_snapshots
 from merchant_signals.operators.scoring import risk_score_v1
 from merchant_signals.session import observed
-from merchant_signals.sources.files import raw_rows
+from merchant_signals.sources.files import REPLAY_SOURCE, raw_rows, replay_lines
 from merchant_signals.sources.store import TableStore
 
 RAW_JSON_SCHEMA = "source string, payload string"
@@ -79,12 +80,17 @@ def process_facts(store: TableStore, typed: DataFrame) -> dict:
 def process_batch(store: TableStore, batch: DataFrame, source: str | None = None) -> dict:
     """Load one micro-batch of raw rows, refresh the touched buckets, move the watermark."""
     b = batch.select(*[f.name for f in S.RAW.fields])
-    if source:
-        b = b.filter(F.col("source") == source)
+    # OP-18: one known source, as the increment loads it; all known ones if none is named
+    known = [facts_op.resolve_source(source)] if source else list(facts_op.KNOWN_SOURCES)
+    b = store.stage(b.filter(F.col("source").isin(known)))
     out = process_facts(store, facts_op.dedup_first_wins(facts_op.facts_from_raw(b)))
+    new_dim = facts_op.new_merchants(b, store.read("dim_merchant"), F.current_timestamp())  # OP-33
+    if new_dim.limit(1).count():
+        store.append("dim_merchant", new_dim)
     hi_ids = b.groupBy("source").agg(F.max("raw_id").alias("last_raw_id"))
     store.replace("watermark", store.read("watermark").unionByName(hi_ids)
                   .groupBy("source").agg(F.max("last_raw_id").alias("last_raw_id")))
+    store.unstage(b)
     return out
 
 
@@ -99,21 +105,48 @@ def start_feature_stream(spark: SparkSession, store: TableStore, checkpoint_loca
     return q.start()
 
 
-def start_raw_landing(spark: SparkSession, store: TableStore, json_dir: str, checkpoint_location: str,
-                      available_now: bool = True):
-    """OP-01: ``{source, payload}`` JSON objects from a folder appended to the
-    raw table (default source 'HTTP', received_at = arrival time, dense ids)."""
-    # a line that isn't JSON stops the stream; it isn't landed as NULLs
-    stream = spark.readStream.schema(RAW_JSON_SCHEMA).option("mode", "FAILFAST").json(json_dir)
+def _landing(store: TableStore, stream: DataFrame, checkpoint_location: str, available_now: bool, every: str):
+    """Each micro-batch is a landing named after the stream (the id in its checkpoint) and the batch: replayed, it lands once."""
+    named: list[str] = []
 
-    def land(df: DataFrame, _batch_id: int) -> None:
-        store.append_raw(raw_rows(df))
+    def land(df: DataFrame, batch_id: int) -> None:
+        if not named:
+            noted = store.spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()["value"]
+            named.append(json.loads(noted)["id"])
+        store.append_raw(df, key=f"{named[0]}.{batch_id}")
 
     q = stream.writeStream.option("checkpointLocation", checkpoint_location).foreachBatch(land)
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
+    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime=every)
     return q.start()
 
 
+def start_raw_landing(spark: SparkSession, store: TableStore, json_dir: str, checkpoint_location: str,
+                      available_now: bool = True):
+    """OP-01: ``{source, payload}`` JSON objects from a folder appended to the
+    raw table (default source 'HTTP', received_at = arrival time, dense ids).  A line that is no such object is
+    refused as a whole, with itself as the payload; a payload that is no object is refused with its source."""
+    lines = spark.readStream.text(json_dir).filter(F.trim("value") != "")
+    line = F.from_json("value", RAW_JSON_SCHEMA + ", _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    whole = F.when(F.ltrim("value").startswith("{"), line)
+    told = lines.select("value", whole.alias("o")).select(
+        F.col("o.source").alias("source"), F.when(F.col("o").isNull() | F.col("o._broken").isNotNull(), F.col("value"))
+        .otherwise(F.col("o.payload")).alias("payload"))
+    return _landing(store, raw_rows(told), checkpoint_location, available_now, "1 minute")
+
+
+def start_replay(spark: SparkSession, store: TableStore, jsonl_dir: str, checkpoint_location: str, source: str = REPLAY_SOURCE,
+                 max_files: int | None = None, max_bytes: str | None = None, available_now: bool = True,
+                 every: str = "1 minute"):
+    """OP-02 as a throttled stream: a trigger lands at most ``max_files`` files (or about ``max_bytes``) of payload lines; it goes on
+    from the checkpoint's offsets."""
+    r = spark.readStream
+    if max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
+    return _landing(store, replay_lines(r.text(jsonl_dir), source), checkpoint_location, available_now, every)
+
+
 def start_fact_stream(facts_stream: DataFrame, store: TableStore, checkpoint_location: str,
                       available_now: bool = True):
     """OP-50 from typed facts: each micro-batch is inserted and its touched
