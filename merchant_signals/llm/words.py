@@ -16,11 +16,8 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_rng.integers(1, 2**62)) * 8 + 3
 _STEP = np.uint64(int(_rng.integers(1, 2**62)) * 8 + 5)
 _MASK = 2**64 - 1
-_powers: list[np.ndarray] = []
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -30,17 +27,6 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 of the base and of its inverse, modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        _powers[:] = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(max(n, CHUNK_BYTES), base & _MASK, dtype=np.uint64)
-            p[0] = 1
-            _powers.append(np.multiply.accumulate(p))
-    return _powers[0], _powers[1]
-
-
 def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     """Spread 64-bit values; another seed gives an independent hash."""
     h = h + np.uint64((0x9E3779B97F4A7C15 * (2 * seed + 1)) & _MASK)
@@ -49,6 +35,25 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word ``b[start:end]``: its blocks of eight bytes, each mixed with its place in the word, added up
+    and mixed with the length.  (A polynomial modulo 2**64 would be equal for fixed pairs of long words, such as a
+    Thue-Morse word and its complement, whatever its base.)"""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    length = end - start
+    blocks = (length + 7) // 8
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    at = np.repeat(start, blocks) + 8 * place
+    padded = np.concatenate([b, np.zeros(8, np.uint8)])
+    block = np.ndarray(len(b) + 1, "<u8", padded, strides=(1,))[at]
+    beyond = np.maximum(0, at + 8 - np.repeat(end, blocks)).astype(np.uint64) * np.uint64(8)
+    block &= np.uint64(_MASK) >> beyond
+    mixed = mix(mix(block, 3) ^ mix(place.astype(np.uint64), 5), 7)
+    return mix(np.add.reduceat(mixed, first) ^ mix(length.astype(np.uint64), 9))
+
+
 @dataclass
 class Words:
     """Words of the texts ``row0 .. row0 + len(first) - 2`` of a batch."""
@@ -94,7 +99,6 @@ def chunks(offset: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
 def words_of(column: pa.Array, lower: bool = False, separator: np.ndarray = SPACE) -> Iterator[Words]:
     """The words of a column of texts, chunk by chunk."""
     data, offset = texts_of(column)
-    value = _BYTE[LOWER] if lower else _BYTE
     for i, j in chunks(offset):
         off = offset[i:j + 1] - offset[i]
         b = data[offset[i]:offset[j]]
@@ -107,12 +111,7 @@ def words_of(column: pa.Array, lower: bool = False, separator: np.ndarray = SPAC
         opens[edge] = inside[edge]
         closes[edge - 1] = inside[edge - 1]
         start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        power, inverse = _power(len(b) + 1)
-        total = np.empty(len(b) + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(value[b] * power[:len(b)], out=total[1:])
-        h = mix((total[end] - total[start]) * inverse[start])
-        yield Words(i, b, off, start, end, np.searchsorted(start, off), h)
+        yield Words(i, b, off, start, end, np.searchsorted(start, off), word_hashes(LOWER[b] if lower else b, start, end))
 
 
 def windows(w: Words, k: int, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -174,3 +174,26 @@ def test_substring_dedup_cases(spark):
                           (3, 0, 0, ""), (4, 0, 0, ""), (5, 14, 13, "z")], key=str)
     # the same document, twice: nothing stands in an earlier one
     assert {r[2] for r in substring_dedup.remove_repeats(_frame(spark, [(9, t), (9, t)])).collect()} == {0}
+
+
+def _thue_morse(n, flip=0):
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_long_words_that_polynomial_hashes_take_for_equal(spark):
+    words = [_thue_morse(1024), _thue_morse(1024, 1), _thue_morse(4096), _thue_morse(4096, 1)]
+    hashes = [int(h) for w in words_of(pa.array(words)) for h in w.hash]
+    assert len(set(hashes)) == 4
+    docs = [(1, " ".join([words[0]] * 13)), (2, " ".join([words[1]] * 13)), (3, " ".join([words[0]] * 13))]
+    cut = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(_frame(spark, docs)).collect()}
+    assert cut == {1: 0, 2: 0, 3: 13}
+    near = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(_frame(spark, docs)).collect()}
+    assert near == {1: 1, 2: 2, 3: 1}
+
+
+def test_words_differ_by_length_place_and_trailing_zero_bytes():
+    words = ["a", "a\0", "a\0\0", "\0a", "abcdefgh" + "ijklmnop", "ijklmnop" + "abcdefgh", "abcdefgh", "abcdefgh\0", "é", "e"]
+    column = pa.array([" ".join(words), "xyz " + " ".join(words)])
+    (w,) = words_of(column)
+    assert len(set(w.hash[:len(words)].tolist())) == len(words)
+    assert w.hash[:len(words)].tolist() == w.hash[len(words) + 1:].tolist()
