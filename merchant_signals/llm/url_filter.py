@@ -1,7 +1,8 @@
 """URL filters: host-suffix / path-prefix expressions, hash-prefix equi-join, full-digest confirmation.
 
-DataFrame functions only.  Each distinct URL is expanded into its expressions: every suffix of the host at a label
-boundary, times every prefix of the path that ends with ``/`` (and the empty one).  A rule has one expression: its
+DataFrame functions only.  Each distinct URL is expanded into its expressions: the suffixes of the host at a label
+boundary, times the prefixes of the path that end with ``/`` (and the empty one), of as many labels and slashes as some
+rule has: others can't meet one, and a URL of thousands of slashes costs its length.  A rule has one expression: its
 host and its path up to the last ``/``.  Expressions meet on the first ``PREFIX_HEX`` hex digits of their SHA-256;
 the whole digest and the rest of the rule's path are compared afterwards, then the longest rule wins.
 
@@ -20,11 +21,14 @@ from pyspark.sql import functions as F
 PREFIX_HEX = 8
 
 
+def lower_ascii(c: Column) -> Column:
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def host_of(url: Column) -> Column:
     at = F.instr(url, "://")
     rest = F.regexp_extract(F.substring(url, at + F.lit(3), F.length(url)), r"^[^/?#]*", 0)
-    lower = F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.when(at > 0, lower).otherwise(F.lit(""))
+    return F.when(at > 0, lower_ascii(rest)).otherwise(F.lit(""))
 
 
 def path_of(url: Column) -> Column:
@@ -33,18 +37,20 @@ def path_of(url: Column) -> Column:
     return F.when(at > 0, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)).otherwise(F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """``a.b.c`` -> [a.b.c, b.c, c]"""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def _numbers(values: set[int]) -> Column:
+    return F.array(*[F.lit(v) for v in sorted(values)]).cast("array<int>")
+
+
+def host_suffixes(labels: Column, counts: set[int]) -> Column:
+    """[a, b, c], {1, 3} -> [c, a.b.c]"""
+    fit = F.filter(_numbers(counts), lambda n: n <= F.size(labels))
+    return F.transform(fit, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
 
 
-def path_prefixes(path: Column) -> Column:
-    """``/a/b`` -> ['', '/', '/a/']"""
-    parts = F.split(path, "/")
-    return F.transform(F.sequence(F.lit(0), F.size(parts) - 1),
-                       lambda i: F.when(i > 0, F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")))
+def path_prefixes(parts: Column, counts: set[int]) -> Column:
+    """['', a, b] of ``/a/b``, {0, 2} -> ['', '/a/']"""
+    fit = F.filter(_numbers(counts), lambda n: n < F.size(parts))
+    return F.transform(fit, lambda n: F.when(n > 0, F.concat(F.array_join(F.slice(parts, 1, n), "/"), F.lit("/")))
                        .otherwise(F.lit("")))
 
 
@@ -54,17 +60,21 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     rules: host, path, verdict.  A rule fits its host and all subdomains if the URL's path starts with its path.
     """
     own = rules.where(F.col("host").isNotNull()).select(
-        F.lower("host").alias("r_host"), F.coalesce("path", F.lit("")).alias("r_path"),
+        lower_ascii(F.col("host")).alias("r_host"), F.coalesce("path", F.lit("")).alias("r_path"),
         F.col("verdict").alias("r_verdict")).distinct()
     own = own.withColumn("r_expr", F.concat_ws("\n", "r_host", F.regexp_extract("r_path", r"^(.*/)?", 0)))
     own = own.withColumn("r_digest", F.sha2("r_expr", 256)).drop("r_expr")
     own = own.withColumn("r_key", F.substring("r_digest", 1, PREFIX_HEX))
 
+    # one control row: the numbers of labels and of slashes that rules have
+    depths = own.agg(F.collect_set(F.size(F.split("r_host", r"\."))).alias("labels"),
+                     F.collect_set(F.size(F.split("r_path", "/")) - 1).alias("slashes")).first()
     urls = pages.select(F.coalesce(F.col(url_col), F.lit("")).alias("u")).distinct()
     split = urls.select("u", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
     found = (split.where(F.col("host") != "")
-             .select("u", "path", F.explode(host_suffixes(F.col("host"))).alias("suffix"))
-             .select("u", "path", "suffix", F.explode(path_prefixes(F.col("path"))).alias("prefix"))
+             .select("u", "path", F.split("path", "/").alias("parts"),
+                     F.explode(host_suffixes(F.split("host", r"\."), set(depths["labels"]))).alias("suffix"))
+             .select("u", "path", "suffix", F.explode(path_prefixes(F.col("parts"), set(depths["slashes"]))).alias("prefix"))
              .select("u", "path", F.sha2(F.concat_ws("\n", "suffix", "prefix"), 256).alias("digest"))
              .withColumn("key", F.substring("digest", 1, PREFIX_HEX))
              .join(own, (F.col("key") == F.col("r_key")), "inner")
