@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchant_signals.llm.common import arrow_map
+from merchant_signals.llm.common import arrow_map, release, staged
 from merchant_signals.llm.tokens import encoder, forget
 from merchant_signals.llm.words import texts_of, words_of
 
@@ -96,7 +96,8 @@ class TokenRollup:
         key = ["doc_id", "tokenizer_version"]
         columns = [*key, "source", "lang", "n_tokens"]
         new = upserts if upserts is not None else self.spark.createDataFrame([], LEDGER)
-        new = new.groupBy(key).agg(F.max(F.struct("source", "lang", "n_tokens")).alias("v")).select(*key, "v.*")
+        # written, so that what it replaces is looked up without counting the tokens again
+        new = staged(new.groupBy(key).agg(F.max(F.struct("source", "lang", "n_tokens")).alias("v")).select(*key, "v.*"), "rollup-batch")
         gone = new.select(key)
         if deletes is not None:
             gone = gone.unionByName(deletes.select(key)).distinct()
@@ -109,6 +110,7 @@ class TokenRollup:
                              & (F.col("sign") > 0), "left_anti")
         rows.select("doc_id", "tokenizer_version", "source", "lang", "n_tokens", "sign").write.mode("overwrite").parquet(
             f"{self.path}/ledger/{name}")
+        release(new)
         delta = (self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/{name}").groupBy(GROUP)
                  .agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens")))
         (self.totals().unionByName(delta).groupBy(GROUP)

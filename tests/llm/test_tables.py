@@ -246,3 +246,30 @@ def test_url_cases(spark):
     assert {r["verdict"] for r in url_filter.filter_urls(pages, rules.limit(0)).collect()} == {"allow"}
     assert url_filter.filter_urls(pages.limit(0), rules).collect() == []
     assert "Python" not in url_filter.filter_urls(pages, rules)._jdf.queryExecution().toString()
+
+
+def test_urls_expand_to_the_depths_of_rules_only(spark):
+    rules = [("net", "/" * 3, "block"), ("a.b.net", "/x/", "allow"), ("É.net", "/", "block")]
+    urls = ["http://a.b.net/x/" + "y/" * 50000, "http://" + "z." * 20000 + "net///", "http://É.net/", "http://é.net/", "http://net//"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"])
+           for r in url_filter.filter_urls(df, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    assert got == {i: _verdict(u, rules) for i, u in enumerate(urls)}
+    assert [got[i][2] for i in range(5)] == ["a.b.net/x/", "net///", "É.net/", None, None]
+
+
+def test_token_query_equals_a_recount(spark, tmp_dir):
+    from merchant_signals.llm.queries import op7_token_counts
+
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["alpha", "βeta", "7", "x-y"]) for _ in range(rng.randrange(30))), f"s{rng.randrange(3)}", rng.choice(["en", None]))
+            for i in range(200)] + [(500, None, "s0", "en"), (None, "no id", None, "de")]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {(r["source"], r["lang"], r["tokenizer_version"]): (r["n_docs"], r["n_tokens"]) for r in op7_token_counts(spark, tmp_dir).collect()}
+    want = {}
+    enc = tokens.encoder(tokens.word_bpe_path())
+    for _, text, source, lang in rows:
+        for version, n in (("words", len((text or "").split())), ("word_bpe_49k", len(enc.encode((text or "").encode())) // 4)):
+            d, t = want.get((source, lang, version), (0, 0))
+            want[source, lang, version] = (d + 1, t + n)
+    assert got == want
