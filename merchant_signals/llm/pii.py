@@ -26,14 +26,16 @@ further columns stay; a column ``n_pii`` of the input is replaced.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-#: Session setting that names the key; the fallback is for tests.
-KEY_SETTING, TEST_KEY = "spark.merchant_signals.pii.key", "test-key"
+#: Session setting that names the key.
+KEY_SETTING = "spark.merchant_signals.pii.key"
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))[=:](?=\S*[0-9])\S{5,}[^\s.,;:!?)\]}\"'>]"
 #: Lengths of the countries' IBANs.
@@ -288,7 +290,11 @@ def _scanned(key: str, text: Column) -> Column:
 
 
 def key_of(spark: SparkSession) -> str:
-    return spark.conf.get(KEY_SETTING, None) or TEST_KEY
+    """The session's key.  Where none is set, a random one, kept in the setting: values stay linked in this application
+    and nobody can undo the permutations later."""
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark.conf.get(KEY_SETTING)
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:

@@ -270,3 +270,24 @@ def test_language_cases(spark):
 def test_letters(spark, text, letter):
     model = langid.LanguageModel.build({"aa": __import__("numpy").array([1], "uint64")})
     assert (model.predict(pa.array([text]))[0] == ["aa"]) is letter
+
+
+def test_addresses_are_taken_whole_in_any_script(spark):
+    texts = ["write to jörg@example.com now", "user@münchen.de, x", "пиши: иван@почта.рф."]
+    out = _mask(spark, texts)
+    for i, secret in enumerate(["jörg", "münchen", "почта"]):
+        assert secret not in out[i][0] and out[i][1] == 1 and "u" in out[i][0]
+    assert out[0][0].startswith("write to u") and out[0][0].endswith(".example now")
+
+
+def test_without_a_key_a_random_one_is_made_and_kept(spark):
+    spark.conf.unset(pii.KEY_SETTING)
+    try:
+        made = pii.key_of(spark)
+        assert len(made) == 64 and pii.key_of(spark) == made
+        spark.conf.unset(pii.KEY_SETTING)
+        assert pii.key_of(spark) != made
+        spark.conf.set(pii.KEY_SETTING, "mine")
+        assert pii.key_of(spark) == "mine"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
