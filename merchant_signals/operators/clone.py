@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchant_signals.functions.json import json_merge
+from merchant_signals.functions.json import has_key, json_merge
 from merchant_signals.functions.time import iso_utc
 
 # The id fields a clone renews, with their prefixes.
@@ -26,6 +26,46 @@ CLONE_ID_FIELDS = [
 ]
 
 
+#: Keys that a payload needs to serve as a template.
+TEMPLATE_KEYS = ("event_id", "event_type", "merchant_id")
+#: Raw ids that the search for templates looks at first; each further range is twice as long.
+FIRST_RANGE = 4096
+
+
+def newest_templates(raw: DataFrame, first_range: int = FIRST_RANGE) -> DataFrame:
+    """OP-46: each source's newest raw row whose payload has all TEMPLATE_KEYS.
+
+    Searched from the newest end: ranges of raw ids, each twice as long as the one before, with literal bounds and only
+    the sources that still lack a template, so that older files aren't read and no payload is parsed twice.  A source
+    without any template is searched to its end.  The driver holds one raw id a source.  No rows for an empty table."""
+    ends = raw.groupBy("source").agg(F.min("raw_id").alias("lo"), F.max("raw_id").alias("hi")).collect()
+    found, open_, span = [], {r["source"]: (r["lo"], r["hi"]) for r in ends}, first_range
+    hi = max((r["hi"] for r in ends), default=0)
+    ok = F.lit(True)
+    for key in TEMPLATE_KEYS:
+        ok = ok & has_key("payload", key)
+    while open_:
+        lo = hi - span
+        got = (raw.filter((F.col("raw_id") > F.lit(lo)) & (F.col("raw_id") <= F.lit(hi)) & _is_in("source", open_)).filter(ok)
+               .groupBy("source").agg(F.max("raw_id").alias("raw_id")).collect())
+        found += [(r["source"], r["raw_id"]) for r in got]
+        done = {r["source"] for r in got}
+        open_ = {s: b for s, b in open_.items() if s not in done and b[0] <= lo}
+        hi = min(lo, max((b[1] for b in open_.values()), default=lo))
+        span *= 2
+    ids = [i for _, i in found]
+    rows = raw.filter(F.col("raw_id").isin(ids) if ids else F.lit(False))
+    pair = F.lit(False)
+    for source, i in found:
+        pair = pair | (F.col("source").eqNullSafe(F.lit(source)) & (F.col("raw_id") == F.lit(i)))
+    return rows.filter(pair)
+
+
+def _is_in(name: str, values) -> Column:
+    named = F.col(name).isin([v for v in values if v is not None])
+    return (named | F.col(name).isNull()) if None in values else named
+
+
 def new_id(prefix: str, seed: Column) -> Column:
     return F.concat(F.lit(prefix), F.substring(F.md5(F.concat(F.lit(prefix), seed.cast("string"))), 1, 32))
 

@@ -141,6 +141,15 @@ def latest_per_merchant(snapshots: DataFrame, order_col: str = "snapshot_time_ut
     return snapshots.join(newest, ["merchant_id", order_col], "left_semi")
 
 
+def merge_latest(latest: DataFrame, changed: DataFrame, order_col: str = "snapshot_time_utc") -> DataFrame:
+    """OP-44 kept up: a table of one row per merchant after snapshots changed.  Of a merchant's rows in both the newest
+    stays, and the changed one if both have that time; one aggregation over a row per merchant and the changed rows."""
+    rest = [c for c in latest.columns if c != "merchant_id"]
+    both = latest.withColumn("_new", F.lit(0)).unionByName(changed.select(*latest.columns).withColumn("_new", F.lit(1)))
+    best = both.groupBy("merchant_id").agg(F.max_by(F.struct(*rest), F.struct(order_col, "_new")).alias("_r"))
+    return best.select("merchant_id", "_r.*").select(*latest.columns)
+
+
 def newest_buckets(snapshots: DataFrame, n: int = 5, time_col: str = "snapshot_time_utc") -> DataFrame:
     """OP-41: rows per bucket for the ``n`` newest buckets that have any.  Looks at
     the last day first and doubles the span until it holds ``n`` buckets or all
@@ -162,5 +171,5 @@ def newest_buckets(snapshots: DataFrame, n: int = 5, time_col: str = "snapshot_t
 __all__ = [
     "merchant_features", "late_excluded", "horizon_bounds", "recompute_horizon",
     "bucket_series", "backfill_buckets", "snapshot_backfill", "features_at_times",
-    "latest_per_merchant", "newest_buckets", "ceil15",
+    "latest_per_merchant", "merge_latest", "newest_buckets", "ceil15",
 ]

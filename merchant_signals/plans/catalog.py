@@ -87,10 +87,26 @@ def q_backfill_rows(spark, sf_dir):
 
 @query("latest_features")
 def q_latest_features(spark, sf_dir):
-    """OP-44: newest snapshot per merchant."""
-    from merchant_signals.operators.features import latest_per_merchant
+    """OP-44: newest snapshot per merchant, from the stored latest state."""
+    return V.live_latest(spark, sf_dir)
 
-    return latest_per_merchant(V.live_snapshots(spark, sf_dir))
+
+@query("latest_kept")
+def q_latest_kept(spark, sf_dir):
+    """OP-44 as the store keeps it up: snapshots arrive in three waves, the newest days second; the
+    one-row-a-merchant table after them equals a scan of all snapshots."""
+    import datetime as dt
+    from merchant_signals.session import temp_path
+    from merchant_signals.sources import driver
+    from merchant_signals.sources.store import TableStore
+
+    snaps = V.live_snapshots(spark, sf_dir)
+    store = TableStore(spark, temp_path(spark, "latest_store"))
+    t = F.col("snapshot_time_utc")
+    old, new = (F.lit(driver.NOW - dt.timedelta(days=d)).cast("timestamp") for d in (20, 4))
+    for wave in ((t >= old) & (t < new), t >= new, t < old):
+        store.replace_partitions("snapshots", V.with_model_columns(snaps.filter(wave)))
+    return store.latest_snapshots().select(*snaps.columns)
 
 
 # ---- labels, training set, model, backtest ---------------------------------
@@ -695,14 +711,10 @@ def q_merchant_lookup(spark, sf_dir):
 @query("newest_raw")
 def q_newest_raw(spark, sf_dir):
     """OP-46: newest raw row per source that can serve as a clone template."""
-    from merchant_signals.functions.json import has_key, json_text
+    from merchant_signals.functions.json import json_text
+    from merchant_signals.operators.clone import newest_templates
 
-    r = V.raw(spark, sf_dir)
-    ok = has_key("payload", "event_id") & has_key("payload", "event_type") & has_key("payload", "merchant_id")
-    return (r.filter(ok).groupBy("source")
-            .agg(F.max_by(F.struct("raw_id", "payload"), "raw_id").alias("_r"))
-            .select("source", F.col("_r.raw_id").alias("raw_id"),
-                    json_text("_r.payload", "event_id").alias("event_id")))
+    return newest_templates(V.raw(spark, sf_dir)).select("source", "raw_id", json_text("payload", "event_id").alias("event_id"))
 
 
 # ---- late data, horizons, arbitrary times, reruns ------------------------------------
@@ -978,8 +990,8 @@ def q_stream_window_features(spark, sf_dir):
 @query("fact_csv_load")
 def q_fact_csv_load(spark, sf_dir):
     """OP-06 + OP-22: the 14-column fact file, with every 7th event a second time
-    under a later time, loaded into the live fact table with insert-ignore on
-    event_id (all-or-nothing checks first)."""
+    further down under an earlier time, loaded into the live fact table with insert-ignore on
+    event_id (all-or-nothing checks first; the first in the file stays)."""
     from merchant_signals.session import temp_path
     from merchant_signals.sources import driver
     from merchant_signals.sources.files import load_fact_csv, write_csv
@@ -987,7 +999,7 @@ def q_fact_csv_load(spark, sf_dir):
     path = temp_path(spark, "fact_csv")
     stage = driver.fact_stage14(V.ensure_session(spark), sf_dir)
     again = stage.filter(F.substring("event_id", 5, 20).cast("long") % 7 == 0).withColumn(
-        "event_time_utc", F.col("event_time_utc") + F.expr("INTERVAL 1 DAY"))
+        "event_time_utc", F.col("event_time_utc") - F.expr("INTERVAL 1 DAY"))
     write_csv(stage.unionByName(again), path)
     new, counts = load_fact_csv(spark, path, V.live_facts(spark, sf_dir))
     # label_bad_outcome is NULL on some staged rows; a nullable integer column

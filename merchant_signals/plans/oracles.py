@@ -182,6 +182,8 @@ def _():
               "QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY snapshot_time_utc DESC) = 1")
 
 
+ORACLES["latest_kept"] = ORACLES["latest_features"]
+
 # The stored snapshots of the historical seed: buckets up to next15(max) only (OP-53).
 HIST_SNAPS = features_cte("hist_facts", "hfall") + f""",
 hfeat AS (SELECT * FROM hfall WHERE snapshot_time_utc <= (SELECT {next15('max(event_time_utc)')} FROM hist_facts))""" + (

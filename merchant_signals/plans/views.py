@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, FloatType, TimestampType
 
 from merchant_signals.operators import facts as facts_op
-from merchant_signals.operators.features import merchant_features, snapshot_backfill
+from merchant_signals.operators.features import latest_per_merchant, merchant_features, snapshot_backfill
 from merchant_signals.operators.scoring import risk_score_v1
 from merchant_signals.session import ensure_session, fingerprint, path_exists, scratch_path
 from merchant_signals.sources import driver
@@ -56,7 +56,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build, day_of: str | Non
 
 def stored_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored table (built on first use)."""
-    live = {"raw": raw, "live_facts": live_facts, "live_snapshots": live_snapshots, "hist_snapshots": hist_snapshots,
+    live = {"raw": raw, "live_facts": live_facts, "live_snapshots": live_snapshots, "live_latest": live_latest, "hist_snapshots": hist_snapshots,
             "training_set": training_set}
     live[name](spark, sf_dir)
     return _STORED[(*_input_key(spark, sf_dir), name)]
@@ -87,6 +87,11 @@ def live_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "live_snapshots", lambda: scored_features(live_facts(spark, sf_dir)), "snapshot_time_utc")
 
 
+def live_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each merchant's newest snapshot, stored (a store keeps it up itself, see ``TableStore.latest_snapshots``)."""
+    return stored(spark, sf_dir, "live_latest", lambda: latest_per_merchant(live_snapshots(spark, sf_dir)))
+
+
 def hist_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_session(spark)
     return driver.historical_facts(spark, sf_dir)

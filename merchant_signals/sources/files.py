@@ -8,11 +8,12 @@ written and read with microseconds and an offset.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals.functions.json import checked_json
 from merchant_signals.schemas import DIM_CSV22, FACT, FACT_COLUMNS, FACT_CSV14, TRAINING_COLUMNS
+from merchant_signals.session import observed, release_temp, temp_table
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 DEFAULT_RAW_SOURCE = "HTTP"
@@ -45,6 +46,13 @@ def read_fact_csv14(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, FACT_CSV14)
 
 
+def file_order(rows: DataFrame) -> DataFrame:
+    """Rows read from files, with ``_at``: their place by file name, split and place in the split.  To be used on the
+    read itself: a split is read by one task, in its order."""
+    return rows.select("*", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                                     F.monotonically_increasing_id().alias("i")).alias("_at"))
+
+
 def read_dim_csv22(spark: SparkSession, path: str) -> DataFrame:
     """OP-05 input: the 22 positional merchant columns."""
     return read_csv(spark, path, DIM_CSV22)
@@ -134,24 +142,25 @@ def load_dim_csv(spark: SparkSession, path: str, target: DataFrame) -> tuple[Dat
 def load_fact_csv(spark: SparkSession, path: str, existing: DataFrame) -> tuple[DataFrame, dict]:
     """OP-06 + OP-22: stage the 14-column file, keep one row per event_id, insert-
     ignore on event_id.  An empty file, or a row without event_id or event_type,
-    fails the whole load (one aggregate).  Of repeated ids the reference keeps the
-    first in file order, which Spark does not preserve: here the smallest
-    (event time, then the other columns in order) stays, NULLs first.
+    fails the whole load.  Of repeated ids the first in file order stays, over any number
+    of files (by name) and splits of a file; a quoted field over several lines fails the load.
+    The file is read once: the first rows are written, and the counts observed in that write; what
+    is to be appended is a temp table too, that ``release_temp`` removes once it is appended.
     Returns (rows to append, {"staged_rows", "fact_total_rows"})."""
     from merchant_signals.operators.facts import insert_ignore
 
-    staged = read_fact_csv14(spark, path)
-    chk = staged.agg(F.count(F.lit(1)).alias("n"),
-                     F.count_if(F.col("event_id").isNull() | F.col("event_type").isNull()).alias("bad")).first()
-    if chk["n"] == 0:
-        raise ValueError("the fact file has no rows")
-    if chk["bad"]:
-        raise ValueError(f"{chk['bad']} rows of the fact file have no event_id or no event_type")
-    rest = ["event_time_utc", *[f.name for f in FACT_CSV14.fields if f.name not in ("event_id", "event_time_utc")]]
-    one = staged.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_r")).select("event_id", "_r.*")
+    obs, added = Observation("fact_csv"), Observation("fact_csv_new")
+    first = file_order(read_fact_csv14(spark, path)).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("event_id").isNull() | F.col("event_type").isNull()).alias("bad"))
+    rest = [f.name for f in FACT_CSV14.fields if f.name != "event_id"]
+    one = temp_table(first.groupBy("event_id").agg(F.min_by(F.struct(*rest), "_at").alias("_r")).select("event_id", "_r.*"), "fact-csv")
+    n = observed(obs)
+    if n == 0 or observed(obs, "bad"):
+        release_temp(spark, one)
+        raise ValueError(f"{observed(obs, 'bad')} rows of the fact file have no event_id or no event_type" if n else "the fact file has no rows")
     new = one.select(*[
         F.col("source_system").alias("source") if c == "source" else F.col("ingested_at_utc").alias(c) if c == "received_at"
         else F.col(c) if c in one.columns else F.lit(None).cast(FACT[c].dataType).alias(c) for c in FACT_COLUMNS])
-    rows = insert_ignore(new, existing, "event_id")
-    total = existing.count() + rows.count()
-    return rows, {"staged_rows": int(chk["n"]), "fact_total_rows": int(total)}
+    rows = temp_table(insert_ignore(new, existing, "event_id").observe(added, F.count(F.lit(1)).alias("rows")), "fact-csv-new")
+    release_temp(spark, one)
+    return rows, {"staged_rows": n, "fact_total_rows": int(existing.count()) + observed(added)}

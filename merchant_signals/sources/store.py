@@ -7,6 +7,7 @@
 * ``facts``      append-only (insert-ignore upstream), partitioned by ``event_date``
 * ``snapshots``  partitioned by ``snapshot_date``; an upsert rewrites only the
                  dates it touches
+* ``latest``     each merchant's newest snapshot, kept up by every change of ``snapshots`` (``latest_snapshots``)
 * ``dim_merchant``  append-only (new merchants) or replaced whole (file load)
 * ``watermark``, ``load_position``, ``raw_sequence``, ``pending``  small state
 
@@ -54,10 +55,10 @@ PENDING_SCHEMA = _schema([("table", T.StringType()), ("staged", T.StringType())]
 REJECT_SCHEMA = _schema([("raw_id", T.LongType()), ("source", T.StringType()), ("received_at", T.TimestampType()),
                          ("reason", T.StringType()), ("payload", T.StringType())])
 
-SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA, "dim_merchant": S.DIM,
+SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA, "latest": SNAPSHOT_SCHEMA, "dim_merchant": S.DIM,
            "watermark": S.WATERMARK, "load_position": S.WATERMARK, "raw_sequence": SEQUENCE_SCHEMA,
            "refused": REFUSED_SCHEMA, "rejects": REJECT_SCHEMA, "pending": PENDING_SCHEMA}
-VERSIONED = {"dim_merchant", "watermark", "load_position", "raw_sequence", "pending"}
+VERSIONED = {"latest", "dim_merchant", "watermark", "load_position", "raw_sequence", "pending"}
 PARTITIONS = {"raw": ["landing", "source"], "refused": ["landing", "source"], "rejects": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
 DATE_OF = {"facts": "event_time_utc", "snapshots": "snapshot_time_utc"}
 
@@ -188,6 +189,28 @@ class TableStore:
         if not staged.isEmpty():  # else no partition to replace
             (self._clustered(name, staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*part).parquet(self.path(name)))
+            if name == "snapshots":
+                self._keep_latest(staged)
+
+    def _keep_latest(self, changed: DataFrame) -> None:
+        from merchant_signals.operators.features import merge_latest
+
+        if self._versions("latest"):
+            self.replace("latest", merge_latest(self.read("latest"), changed))
+        else:
+            self.rebuild_latest()
+
+    def rebuild_latest(self) -> None:
+        """``latest`` from all snapshots (a table from before it was kept)."""
+        from merchant_signals.operators.features import latest_per_merchant
+
+        self.replace("latest", latest_per_merchant(self.read("snapshots")))
+
+    def latest_snapshots(self) -> DataFrame:
+        """OP-44: each merchant's newest snapshot, a read of one row per merchant."""
+        if not self._versions("latest") and path_exists(self.spark, self.path("snapshots")):
+            self.rebuild_latest()
+        return self.read("latest")
 
     # ---- raw landing (OP-01 / OP-02 / OP-04) ----------------------------------------
     def _landed(self, key: str) -> tuple[int, int] | None:

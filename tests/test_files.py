@@ -97,7 +97,7 @@ def test_fact_csv_keeps_one_row_per_id_and_all_columns(spark, tmp_dir):
     assert n == {"staged_rows": 3, "fact_total_rows": 2}
     store.append("facts", new)
     got = {r.event_id: r for r in store.read("facts").collect()}
-    assert got["e1"].order_id == "o2" and set(got) == {"e1", "e2"}
+    assert got["e1"].order_id == "o3" and set(got) == {"e1", "e2"}
     assert (got["e1"].payer_id_hash, got["e1"].merchant_country, got["e1"].merchant_mcc, got["e1"].drift_regime_id) == ("hash", "US", "5411", 7)
     with open(p, "w") as fh:
         fh.write("h\n" + line.format(e="", d=3))
@@ -121,3 +121,33 @@ def test_dimension_keeps_all_file_columns(spark, tmp_dir):
     got = {r.merchant_id: r for r in store.read("dim_merchant").collect()}
     assert n == 1 and got["m1"].merchant_name == "Shop" and got["m1"].state == "NY" and got["m2"].merchant_name == "kept"
     assert set(DIM_COLUMNS) < set(store.read("dim_merchant").columns)
+
+
+def test_fact_csv_keeps_the_first_in_file_order_over_files_and_splits(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from merchant_signals.sources.files import load_fact_csv
+
+    os.makedirs(tmp_dir + "/in")
+    line = "e{e},payment,2024-01-0{d}T00:00:00.000000Z,m1,{o},captured,1.00,,,,,2024-01-09T00:00:00.000000Z,1,7\n"
+    first = {}
+    for f in ("b", "a", "c"):
+        with open(f"{tmp_dir}/in/{f}.csv", "w") as fh:
+            fh.write("h\n" + "".join(line.format(e=i * 7 % 50, d=1 + (i + ord(f)) % 9, o=f"{f}{i}") for i in range(400)))
+    for f in ("a", "b", "c"):
+        for i in range(400):
+            first.setdefault(f"e{i * 7 % 50}", f"{f}{i}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        new, n = load_fact_csv(spark, tmp_dir + "/in", spark.createDataFrame([], "event_id string"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert n == {"staged_rows": 1200, "fact_total_rows": 50}
+    assert {r.event_id: r.order_id for r in new.collect()} == first
+    with open(tmp_dir + "/lines.csv", "w") as fh:
+        fh.write("h\n" + line.format(e=1, d=1, o='"two\nlines"'))
+    with pytest.raises(Exception):
+        load_fact_csv(spark, tmp_dir + "/lines.csv", spark.createDataFrame([], "event_id string"))
