@@ -62,6 +62,16 @@ def merchant_features(facts: DataFrame, t_min=None, t_max=None,
     return w.groupBy("merchant_id", "snapshot_time_utc").agg(*_aggs(F.col("snapshot_time_utc")))
 
 
+def windowed_features(facts: DataFrame, delay: str) -> DataFrame:
+    """OP-31 + OP-49 as a stateful streaming aggregation (OP-50): the same sums, with a watermark of ``delay`` behind the
+    newest event time, after which a bucket's state is given up and further rows of it are dropped.  The grouping is on
+    the window itself, which carries the watermark."""
+    f = facts.select("merchant_id", "event_time_utc", "ingested_at_utc", "amount_usd").withWatermark("event_time_utc", delay)
+    w = f.select("*", F.window("event_time_utc", "1 hour", "15 minutes").alias("_w")).filter(F.col("ingested_at_utc") < F.col("_w.end"))
+    out = w.groupBy("merchant_id", "_w").agg(*_aggs(F.col("_w.end")))
+    return out.select("merchant_id", F.col("_w.end").alias("snapshot_time_utc"), "txn_count_15m", "gmv_usd_15m", "txn_count_1h", "gmv_usd_1h")
+
+
 def late_excluded(facts: DataFrame) -> DataFrame:
     """OP-49 audit: per (merchant, T) the facts inside [T-1h, T) by event time
     that the ingest guard keeps out (ingested at or after T)."""

@@ -987,6 +987,29 @@ def q_stream_window_features(spark, sf_dir):
                                           "txn_count_1h", "gmv_usd_1h")
 
 
+@query("stream_state_features")
+def q_stream_state_features(spark, sf_dir):
+    """OP-50 with state: the newest week's facts are loaded and streamed before the older ones, so that most later rows
+    are behind the watermark; those are kept aside and repaired, and the final table equals the batch features."""
+    import datetime as dt
+    from merchant_signals.session import temp_path
+    from merchant_signals.sources import driver
+    from merchant_signals.sources.store import TableStore
+    from merchant_signals.streaming.stream import append_facts, run_window_stream
+
+    base = temp_path(spark, "state_stream")
+    facts = V.live_facts(spark, sf_dir)
+    store = TableStore(spark, base + "/store")
+    t, hi = F.col("event_time_utc"), None
+    for k in range(3):
+        lo = None if k == 2 else F.lit(driver.NOW - dt.timedelta(days=10 * (k + 1))).cast("timestamp")
+        append_facts(store, facts.filter((F.lit(True) if hi is None else t < hi) & (F.lit(True) if lo is None else t >= lo)))
+        run_window_stream(spark, store, base + "/ckpt")
+        hi = lo
+    return store.read("snapshots").select("merchant_id", "snapshot_time_utc", "txn_count_15m", "gmv_usd_15m",
+                                          "txn_count_1h", "gmv_usd_1h")
+
+
 @query("fact_csv_load")
 def q_fact_csv_load(spark, sf_dir):
     """OP-06 + OP-22: the 14-column fact file, with every 7th event a second time

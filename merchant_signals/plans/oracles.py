@@ -992,6 +992,7 @@ FROM raw_rows"""
 
 
 ORACLES["stream_window_features"] = ORACLES["merchant_features"]
+ORACLES["stream_state_features"] = ORACLES["merchant_features"]
 
 
 @oracle("fact_csv_load")

@@ -8,8 +8,9 @@
 * ``snapshots``  partitioned by ``snapshot_date``; an upsert rewrites only the
                  dates it touches
 * ``latest``     each merchant's newest snapshot, kept up by every change of ``snapshots`` (``latest_snapshots``)
+* ``late``       (merchant, event time) of facts behind the clock of the stateful stream, partitioned by ``load``
 * ``dim_merchant``  append-only (new merchants) or replaced whole (file load)
-* ``watermark``, ``load_position``, ``raw_sequence``, ``pending``  small state
+* ``watermark``, ``load_position``, ``raw_sequence``, ``fact_clock``, ``pending``  small state
 
 Tables that are replaced whole are versioned: a new state goes to the next
 ``v=<n>`` folder, readers take the newest complete one, older ones are removed
@@ -55,11 +56,14 @@ PENDING_SCHEMA = _schema([("table", T.StringType()), ("staged", T.StringType())]
 REJECT_SCHEMA = _schema([("raw_id", T.LongType()), ("source", T.StringType()), ("received_at", T.TimestampType()),
                          ("reason", T.StringType()), ("payload", T.StringType())])
 
+LATE_SCHEMA = _schema([("load", T.StringType()), ("merchant_id", T.StringType()), ("event_time_utc", T.TimestampType())])
+CLOCK_SCHEMA = _schema([("newest", T.TimestampType())])
+
 SCHEMAS = {"raw": S.RAW, "facts": S.FACT, "snapshots": SNAPSHOT_SCHEMA, "latest": SNAPSHOT_SCHEMA, "dim_merchant": S.DIM,
            "watermark": S.WATERMARK, "load_position": S.WATERMARK, "raw_sequence": SEQUENCE_SCHEMA,
-           "refused": REFUSED_SCHEMA, "rejects": REJECT_SCHEMA, "pending": PENDING_SCHEMA}
-VERSIONED = {"latest", "dim_merchant", "watermark", "load_position", "raw_sequence", "pending"}
-PARTITIONS = {"raw": ["landing", "source"], "refused": ["landing", "source"], "rejects": ["source"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
+           "refused": REFUSED_SCHEMA, "rejects": REJECT_SCHEMA, "late": LATE_SCHEMA, "fact_clock": CLOCK_SCHEMA, "pending": PENDING_SCHEMA}
+VERSIONED = {"latest", "dim_merchant", "watermark", "load_position", "raw_sequence", "fact_clock", "pending"}
+PARTITIONS = {"raw": ["landing", "source"], "refused": ["landing", "source"], "rejects": ["source"], "late": ["load"], "facts": ["event_date"], "snapshots": ["snapshot_date"]}
 DATE_OF = {"facts": "event_time_utc", "snapshots": "snapshot_time_utc"}
 
 

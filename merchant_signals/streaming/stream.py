@@ -17,22 +17,29 @@ the watermark variant would drop the reference's "forever" key.
 
 Run it as ``trigger(availableNow=True)`` on the scheduler's 15-minute
 cadence, or with ``processingTime`` for continuous upkeep.
+
+``run_window_stream`` is the form with state: sliding windows under a watermark over
+the fact table, in update mode, so that a batch costs its own rows and not the history of
+its keys.  The engine drops rows behind its watermark without a word; ``append_facts``
+therefore keeps the keys of all that it may drop (``late``), and each run ends by
+recomputing those from the fact table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals import schemas as S
 from merchant_signals.operators import facts as facts_op
-from merchant_signals.operators.features import merchant_features
+from merchant_signals.operators.features import merchant_features, windowed_features
 from merchant_signals.operators.mutate import upsert_snapshots
 from merchant_signals.operators.scoring import risk_score_v1
-from merchant_signals.session import observed
+from merchant_signals.session import delete_path, list_names, observed
 from merchant_signals.sources.files import REPLAY_SOURCE, raw_rows, replay_lines
 from merchant_signals.sources.store import TableStore
 
@@ -61,20 +68,34 @@ def process_facts(store: TableStore, typed: DataFrame) -> dict:
     n = inserted.count()
     if n:
         store.append("facts", inserted)
-    keys = store.stage(touched_keys(typed))
-    # one value per day of the batch's time span
-    days = {r["d"] for r in keys.select(F.to_date("snapshot_time_utc").alias("d")).distinct().collect()}
-    out = {"inserted_fact": n, "rows_upserted": 0}
+    out = {"inserted_fact": n, "rows_upserted": recompute_keys(store, touched_keys(typed))}
+    store.unstage(typed, inserted)
+    return out
+
+
+def _days(rows: DataFrame) -> set[_dt.date]:
+    """One value per day of the rows' time span."""
+    return {r["d"] for r in rows.select(F.to_date("snapshot_time_utc").alias("d")).distinct().collect()}
+
+
+def _upsert(store: TableStore, features: DataFrame, days: set[_dt.date]) -> int:
+    obs = Observation("touched")
+    src = (risk_score_v1(features).withColumn("computed_at_utc", F.current_timestamp())
+           .observe(obs, F.count(F.lit(1)).alias("rows")))
+    store.replace_partitions("snapshots", upsert_snapshots(store.read_days("snapshots", days), src))
+    return observed(obs)
+
+
+def recompute_keys(store: TableStore, keys: DataFrame) -> int:
+    """Features of (merchant_id, snapshot_time_utc) keys from the fact table; reads and rewrites only their days."""
+    keys = store.stage(keys)
+    days, n = _days(keys), 0
     if days:
         near = store.read_days("facts", days | {d - _dt.timedelta(days=1) for d in days})
         near = near.join(keys.select("merchant_id").distinct(), "merchant_id", "left_semi")
-        obs = Observation("touched")
-        src = (risk_score_v1(merchant_features(near).join(keys, ["merchant_id", "snapshot_time_utc"], "left_semi"))
-               .withColumn("computed_at_utc", F.current_timestamp()).observe(obs, F.count(F.lit(1)).alias("rows")))
-        store.replace_partitions("snapshots", upsert_snapshots(store.read_days("snapshots", days), src))
-        out["rows_upserted"] = observed(obs)
-    store.unstage(typed, inserted, keys)
-    return out
+        n = _upsert(store, merchant_features(near).join(keys, ["merchant_id", "snapshot_time_utc"], "left_semi"), days)
+    store.unstage(keys)
+    return n
 
 
 def process_batch(store: TableStore, batch: DataFrame, source: str | None = None) -> dict:
@@ -156,3 +177,71 @@ def start_fact_stream(facts_stream: DataFrame, store: TableStore, checkpoint_loc
          .foreachBatch(lambda df, _batch_id: process_facts(store, facts_op.dedup_first_wins(df))))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="15 minutes")
     return q.start()
+
+
+# ---- the stateful form (OP-50) -------------------------------------------------------
+
+#: How long a bucket's state is kept behind the newest event time.
+WATERMARK_MINUTES = 60
+
+
+def append_facts(store: TableStore, rows: DataFrame, minutes: int = WATERMARK_MINUTES) -> dict:
+    """Insert facts, and keep under ``late`` the keys of those that the stateful stream may drop.
+
+    The clock is the newest event time of this load and all before.  The file source reads older files first, so no
+    file of this load meets a watermark above ``clock - minutes``: a row whose last window ends after that is never
+    dropped, and all others are kept (a few more than the engine drops).  The clock moves first, late keys are written
+    next, facts last: a load that broke off and runs again keeps its keys twice, which changes nothing."""
+    store.recover()
+    typed = store.stage(facts_op.dedup_first_wins(rows.select(*S.FACT_COLUMNS)))
+    new = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id").select(*S.FACT_COLUMNS))
+    clock = store.read("fact_clock").select("newest").unionByName(new.select(F.col("event_time_utc").alias("newest")))
+    newest = clock.agg(F.max("newest").alias("m")).first()["m"]  # a one-row control value
+    out = {"inserted_fact": 0, "late_facts": 0}
+    if newest is not None:
+        store.replace("fact_clock", store.spark.createDataFrame([(newest,)], "newest timestamp"))
+        bound = F.lit(newest - _dt.timedelta(minutes=minutes)).cast("timestamp")
+        seen, behind = Observation("facts"), Observation("late")
+        # the first of the four windows ends at most an hour before the last: any of them may be behind
+        first_end = F.window("event_time_utc", "15 minutes").getField("end")
+        late = new.withColumn("_end", first_end).filter(F.col("_end") <= bound)
+        store.append("late", late.select(F.lit(uuid.uuid4().hex).alias("load"), "merchant_id", "event_time_utc")
+                     .observe(behind, F.count(F.lit(1)).alias("rows")))
+        store.append("facts", new.observe(seen, F.count(F.lit(1)).alias("rows")))
+        out = {"inserted_fact": observed(seen), "late_facts": observed(behind)}
+    store.unstage(typed, new)
+    return out
+
+
+def run_window_stream(spark: SparkSession, store: TableStore, checkpoint_location: str, minutes: int = WATERMARK_MINUTES,
+                      max_files_per_trigger: int | None = None) -> dict:
+    """OP-50 with state: all facts that have come since the last run, then the late keys that stood there before it.
+
+    A batch upserts the buckets that it changed, which a replay repeats.  A late key is recomputed only after the
+    stream has passed its rows: state of that bucket, if there was any, was given up before one of them was dropped, so
+    nothing overwrites the recomputed row with a partial one.  ``minutes`` must not be less than that of the loads."""
+    store.recover()
+    loads = [n for n in list_names(spark, store.path("late")) if n.startswith("load=")]
+    r = spark.readStream.schema(store._full_schema("facts"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    upserted = []
+
+    def upsert(df: DataFrame, _batch_id: int) -> None:
+        store.recover()
+        changed = store.stage(df)
+        if days := _days(changed):
+            upserted.append(_upsert(store, changed, days))
+        store.unstage(changed)
+
+    q = (windowed_features(r.parquet(store.path("facts")), f"{minutes} minutes").writeStream.outputMode("update")
+         .option("checkpointLocation", checkpoint_location).foreachBatch(upsert).trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum(int(o["numRowsDroppedByWatermark"]) for p in q.recentProgress for o in p["stateOperators"])
+    repaired = 0
+    if loads:
+        late = spark.read.schema("merchant_id string, event_time_utc timestamp").parquet(*[f"{store.path('late')}/{n}" for n in loads])
+        repaired = recompute_keys(store, touched_keys(late))
+        for n in loads:
+            delete_path(spark, f"{store.path('late')}/{n}")
+    return {"rows_upserted": sum(upserted), "dropped": dropped, "rows_repaired": repaired}
