@@ -18,7 +18,8 @@ sets decide the rest.  Where the verified links leave a block's texts in several
 between different components are checked as well, inside a join whose condition is the Hamming distance: no link
 between components is lost, and none inside is spent on.  Each text carries the first of its blocks there: a pair that has
 met in one of them isn't given out again.  Before texts are fetched, pairs pass sketches as wide as their sets are large:
-sketches of one width for all saturate, and let unlinked texts of a thousand shingles through.
+sketches of one width for all saturate, and let unlinked texts of a thousand shingles through.  Only texts of pairs that
+pass are packed and sent.  Both sides of every join grow with the corpus, so all are sorted joins at every size.
 Texts with equal sets are linked by a grouping of the sets' 128-bit digests and appear once a batch in the join.
 
 Cases: null and empty texts have no set, link with nothing and are their own component; rows with a null id get no
@@ -28,7 +29,7 @@ columns aren't carried.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -190,21 +191,40 @@ def _sketches(sets: DataFrame, x: str) -> DataFrame:
     return sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), *[F.col(p).alias(f"{x}{p}") for p in PARITY])
 
 
-def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Of the pairs (a, b) of ids of docs (id, text), those that link."""
-    ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-    asked = docs.sparkSession.sparkContext.broadcast(_asked(ids))
+def _meet(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """A sorted join: neither side has a bound, so neither is broadcast, however small it is here."""
+    return left.join(right.hint("merge"), on, how)
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+
+
+def _asked_texts(pairs: DataFrame, docs: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, name: str) -> DataFrame:
+    """``f`` of the texts (doc_id, text) that the pairs ask for."""
+    asked = docs.sparkSession.sparkContext.broadcast(_asked(_ids(pairs)))
     hashed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(ASKED_BITS)).cast("int").alias("p"))
 
     def wanted(b: pa.RecordBatch) -> pa.RecordBatch:
         p = b.column(2).to_numpy(zero_copy_only=False)
-        b = b.filter(pa.array((asked.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1))
+        return f(b.filter(pa.array((asked.value[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1 == 1)))
+
+    return staged(arrow_map(hashed, wanted, schema), name)
+
+
+def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+    """Of the pairs (a, b) of ids of docs (id, text), those that link."""
+
+    def sketched(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [x for _, h, first in shingle_sets(b.column(1), rule) for x in np.split(h, first[1:-1])]
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_wide(x) for x in sets], pa.binary())],
+                                          names=["doc_id", "n", "wide"])
+
+    def packed(b: pa.RecordBatch) -> pa.RecordBatch:
         data, offset = texts_of(b.column(1))
         pack = zstandard.ZstdCompressor(3).compress
         z = [pack(data[offset[i]:offset[i + 1]].tobytes()) for i in range(b.num_rows)]
-        sets = [x for _, h, first in shingle_sets(b.column(1), rule) for x in np.split(h, first[1:-1])]
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_wide(x) for x in sets], pa.binary()),
-                                           pa.array(z, pa.binary())], names=["doc_id", "n", "wide", "data"])
+        return pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc_id", "data"])
 
     def close(b: pa.RecordBatch) -> pa.RecordBatch:
         """Pairs whose wide sketches are no further apart than their sizes allow."""
@@ -226,12 +246,13 @@ def verify(near: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 fits[k] = common > 0 and rule.den * common >= rule.num * (len(x) + len(y) - common)
         return b.select(["a", "b"]).filter(pa.array(fits))
 
-    own = staged(arrow_map(hashed, wanted, "doc_id bigint, n bigint, wide binary, data binary"), "asked-texts")
-    a, b = (own.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab")
-    few = staged(arrow_map(near.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "wa", "wb"), close, "a bigint, b bigint"), "close-pairs")
-    a, b = (own.select(F.col("doc_id").alias(x), F.col("data").alias(f"d{x}")) for x in "ab")
-    links = staged(arrow_map(few.join(a, "a").join(b, "b").select("a", "b", "da", "db"), equal, "a bigint, b bigint"), "verified")
-    release(own, few)
+    wide = _asked_texts(near, docs, sketched, "doc_id bigint, n bigint, wide binary", "asked-sketches")
+    a, b = (wide.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab")
+    few = staged(arrow_map(_meet(_meet(near, a, "a"), b, "b").select("a", "b", "na", "nb", "wa", "wb"), close, "a bigint, b bigint"), "close-pairs")
+    texts = _asked_texts(few, docs, packed, "doc_id bigint, data binary", "asked-texts")
+    a, b = (texts.select(F.col("doc_id").alias(x), F.col("data").alias(f"d{x}")) for x in "ab")
+    links = staged(arrow_map(_meet(_meet(few, a, "a"), b, "b").select("a", "b", "da", "db"), equal, "a bigint, b bigint"), "verified")
+    release(wide, few, texts)
     return links
 
 
@@ -246,7 +267,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     # equal sets
     some = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     first = some.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("first"))
-    copies = some.join(first, ["n", "d1", "d2"]).where(F.col("doc_id") != F.col("first")).select(
+    copies = _meet(some, first, ["n", "d1", "d2"]).where(F.col("doc_id") != F.col("first")).select(
         F.col("doc_id").alias("a"), F.col("first").alias("b"))
 
     # blocks that several texts have
@@ -264,27 +285,27 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     blocks = staged(arrow_map(own, live, "block bigint, doc bigint"), "blocks")
     hubs = (blocks.groupBy("block").agg(F.min("doc").alias("hub"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("texts"))
             .where(F.col("hub") < F.col("last")).drop("last"))
-    members = staged(blocks.join(hubs, "block"), "members")
+    members = staged(_meet(blocks, hubs, "block"), "members")
     release(blocks)
-    near = (members.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-            .join(_sketches(some, "a"), "a").join(_sketches(some, "b"), "b").where(_near(rule)).select("a", "b"))
+    near = members.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
+    near = _meet(_meet(near, _sketches(some, "a"), "a"), _sketches(some, "b"), "b").where(_near(rule)).select("a", "b")
     near = staged(near, "near-pairs")
     links = verify(near, own, rule)
     found = connected_components(links.unionByName(copies))
 
     # blocks of three texts and more that are still in several components; of two texts the hub's pair is all
     part = found.select(F.col("node").alias("doc"), F.col("component").alias("c"))
-    told = staged(members.where(F.col("texts") > 2).select("block", "doc").join(part, "doc", "left")
+    told = staged(_meet(members.where(F.col("texts") > 2).select("block", "doc"), part, "doc", "left")
                   .select("block", "doc", F.coalesce("c", "doc").alias("c")), "told")
     apart = told.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("block")
-    rest = staged(told.join(apart, "block", "left_semi"), "apart")
+    rest = staged(_meet(told, apart, "block", "left_semi"), "apart")
     release(members, told, near)
     lows = rest.groupBy("doc").agg(F.array_sort(F.collect_set("block")).alias("k")).select("doc", F.slice("k", 1, FIRST_BLOCKS).alias("k"))
-    left, right = (rest.join(lows, "doc").select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"), F.col("k").alias(f"k{x}"))
-                   .join(_sketches(some, x), x) for x in "ab")
+    left, right = (_meet(_meet(rest, lows, "doc").select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"),
+                                                         F.col("k").alias(f"k{x}")), _sketches(some, x), x) for x in "ab")
     met = F.exists(F.array_intersect("ka", "kb"), lambda k: k < F.col("blocka"))  # in a block before this one
-    cross = left.join(right, (F.col("blocka") == F.col("blockb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                      & _near(rule) & ~met).select("a", "b").distinct()
+    cross = _meet(left, right, (F.col("blocka") == F.col("blockb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                  & _near(rule) & ~met).select("a", "b").distinct()
     cross = staged(cross, "cross-pairs")
     more = verify(cross, own, rule)
     if more.limit(1).count():
@@ -292,5 +313,5 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     release(rest, cross, links, more)
 
     node = found.select(F.col("node").alias("doc_id"), "component")
-    return sets.join(node, "doc_id", "left").select(
+    return _meet(sets, node, "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
