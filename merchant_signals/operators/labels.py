@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from merchant_signals.functions.time import floor15, interval, next15
 from merchant_signals.schemas import SNAPSHOT_KEY, TRAINING_COLUMNS
+from merchant_signals.session import spread
 
 LABELS = ["label_bad_outcome", "label_anomaly", "label_dispute_lost"]
 
@@ -48,16 +49,16 @@ def next_24h_labels(snapshots: DataFrame, facts: DataFrame) -> DataFrame:
     )).alias("_x")).select("merchant_id", "_x.*", *none)
     bins = label_bins(facts).select("merchant_id", "_day", F.col("_bin").alias("_at"), F.lit(None).cast("int").alias("_next"),
                                     *[F.col(l).cast("int").alias(l) for l in LABELS])
-    rows = bins.unionByName(marks).withColumn("_us", F.unix_micros("_at"))
+    rows = spread(bins.unionByName(marks).withColumn("_us", F.unix_micros("_at")), "merchant_id", "_day")
     key = Window.partitionBy("merchant_id", "_day")
     later = key.orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     before = key.orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
     seen = rows.select("merchant_id", "_at", "_next", *[
         F.when(F.col("_next") == 0, F.max(l).over(later)).otherwise(F.max(l).over(before)).alias(l) for l in LABELS])
     own = F.when(F.col("_next") == 0, F.col("_at")).otherwise(F.col("_at") - interval("24 HOURS"))
-    found = (seen.filter(F.col("_next").isNotNull()).groupBy("merchant_id", own.alias("snapshot_time_utc"))
-             .agg(*[F.coalesce(F.max(l), F.lit(0)).cast("int").alias(f"{l}_24h") for l in LABELS]))
-    return snapshots.join(found, SNAPSHOT_KEY, "left").select(
+    found = (spread(seen.filter(F.col("_next").isNotNull()).select("merchant_id", own.alias("snapshot_time_utc"), *LABELS), *SNAPSHOT_KEY)
+             .groupBy(*SNAPSHOT_KEY).agg(*[F.coalesce(F.max(l), F.lit(0)).cast("int").alias(f"{l}_24h") for l in LABELS]))
+    return spread(snapshots, *SNAPSHOT_KEY).join(found, SNAPSHOT_KEY, "left").select(
         *snapshots.columns, *[F.coalesce(f"{l}_24h", F.lit(0)).alias(f"{l}_24h") for l in LABELS])
 
 

@@ -17,7 +17,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -107,6 +107,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Rows dealt by their keys over all ``spark.sql.shuffle.partitions`` tasks.  Adaptive execution merges partitions up to
+    a size of compressed bytes, and rows of near-equal keys and times compress so well that a merged one takes gigabytes
+    to sort; a number that is asked for is kept."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 _TEMP: list[str] = []
 
 

@@ -25,3 +25,22 @@ def test_labels_match_brute_force(spark):
         hit = [f for f in facts if f[1] == m and T <= f[2] < T + dt.timedelta(hours=24)]
         exp[(m, T)] = tuple(max([f[k] or 0 for f in hit], default=0) for k in (3, 4, 5))
     assert got == exp
+
+
+def test_a_tasks_share_of_the_history_is_not_merged(spark):
+    """Adaptive execution merges partitions by compressed bytes; those of the backfill and the labels are kept."""
+    import re
+
+    from merchant_signals.operators.features import snapshot_backfill
+    from merchant_signals.operators.labels import next_24h_labels
+    from merchant_signals.plans import views as V
+
+    def dealt(df):
+        return re.findall(r"hashpartitioning\((.*), (\d+)\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())
+
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    facts = V.hist_facts(spark, "/root/testdata/sf0.001")
+    snaps = snapshot_backfill(facts)
+    assert [(k.startswith("merchant_id"), p) for k, p in dealt(snaps)] == [(True, n)]
+    keys = [k for k, p in dealt(next_24h_labels(snaps, facts)) if p == n]
+    assert any("_day" in k for k in keys) and sum("snapshot_time_utc" in k for k in keys) >= 2
