@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_signals.operators import facts as facts_op
@@ -28,9 +28,10 @@ from merchant_signals.operators import model as model_op
 from merchant_signals.operators.features import horizon_bounds, merchant_features
 from merchant_signals.operators.labels import scheduled_window, training_dataset
 from merchant_signals.operators.mutate import update_columns, upsert_snapshots
+from merchant_signals.operators.row_ids import dense_row_id
 from merchant_signals.operators.scoring import MODEL_VERSION, persist_scores, risk_score_v1
 from merchant_signals.schemas import MODEL_COLUMNS, SNAPSHOT_KEY
-from merchant_signals.session import observed, path_exists
+from merchant_signals.session import observed, path_exists, release_temp
 from merchant_signals.sources.files import export_training_csv, read_csv
 from merchant_signals.sources.store import TableStore
 
@@ -57,7 +58,32 @@ def loaded_to(store: TableStore, source: str) -> int:
 def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BATCH_SIZE) -> dict:
     """OP-15..17, 22, 23, 33, 35: one ``process_raw_events`` call."""
     last = loaded_to(store, source)
-    batch = facts_op.incremental_batch(store.read("raw"), source, last, batch_size)
+    return _load(store, source, facts_op.incremental_batch(store.read("raw"), source, last, batch_size), last)[0]
+
+
+def load_pending(store: TableStore, source: str, batch_size: int = facts_op.BATCH_SIZE) -> list[dict]:
+    """All pending batches, in passes of 1, 2, 4, ... batches, each a load against the fact table that the one before left:
+    the passes grow with the logarithm of the pending rows, and first-wins is by raw id either way.  Returns what
+    ``load_raw_batch`` says of each batch; the driver holds a row a batch."""
+    last = loaded_to(store, source)
+    raw = store.read("raw")
+    numbered = dense_row_id(raw.filter((F.col("source") == source) & (F.col("raw_id") > F.lit(last))).select("raw_id"), ["raw_id"], "rn")
+    batch_of = store.stage(numbered.groupBy("raw_id").agg(F.min("rn").alias("rn"), F.count(F.lit(1)).alias("rows"))
+                           .select("raw_id", "rows", F.floor((F.col("rn") - 1) / batch_size).alias("batch_no")))
+    release_temp(store.spark, numbered)
+    plan = batch_of.groupBy("batch_no").agg(F.sum("rows").alias("rows"), F.max("raw_id").alias("last")).orderBy("batch_no").collect()
+    out, at, width = [], 0, 1
+    while at < len(plan):
+        part = plan[at:at + width]
+        within = (F.col("raw_id") > F.lit(last)) & (F.col("raw_id") <= F.lit(part[-1]["last"]))
+        out += _load(store, source, raw.filter((F.col("source") == source) & within), last, part, batch_of.filter(within))
+        last, at, width = part[-1]["last"], at + width, width * 2
+    store.unstage(batch_of)
+    return out
+
+
+def _load(store: TableStore, source: str, batch: DataFrame, last: int, plan: list | None = None, batch_of: DataFrame | None = None) -> list[dict]:
+    """Load the raw rows of one pass; ``plan`` and ``batch_of`` say how they fall into batches if they are several."""
     # the raw rows are read once; counts are observed in the writes
     seen, added = Observation("batch"), Observation("inserted")
     batch = store.stage(batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("raw_id").alias("last")))
@@ -75,9 +101,13 @@ def load_raw_batch(store: TableStore, source: str, batch_size: int = facts_op.BA
     bad = facts_op.rejects(batch).join(store.read("rejects").filter(F.col("raw_id") > F.lit(last)).select("raw_id"), "raw_id", "left_anti")
     if bad.limit(1).count():  # a load that broke off after this point doesn't keep them twice
         store.append("rejects", bad)
+    each = [stats]
+    if plan and len(plan) > 1:
+        facts_in = dict(inserted.select("raw_id").join(batch_of, "raw_id").groupBy("batch_no").count().collect())
+        each = [{"processed_rows": r["rows"], "inserted_fact": facts_in.get(r["batch_no"], 0), "updated_watermark": r["last"]} for r in plan]
     store.unstage(batch, typed, inserted)
     set_position(store, "load_position", source, stats["updated_watermark"])
-    return stats
+    return each
 
 
 def recompute_buckets(store: TableStore, lo: _dt.datetime, hi: _dt.datetime, computed_at) -> int:
@@ -171,7 +201,7 @@ def catch_up(spark: SparkSession, store: TableStore, interval_end: _dt.datetime,
     store.recover()
     batches = []
     while _pending(store, src):
-        batches.append(load_raw_batch(store, src, batch_size))
+        batches += load_pending(store, src, batch_size)
     if not batches and not _unfinished(store, src):
         return {"ran": False, "batches": []}
     done = finish_increment(spark, store, interval_end, src, now or interval_end, export_path, model_path)

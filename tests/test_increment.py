@@ -178,3 +178,19 @@ def test_increment_run_loads_more_batches_of_a_larger_table():
     from merchant_signals.plans.catalog import several_batches
 
     assert [several_batches(n) for n in (0, 5_000, 50_000, 100_000, 600_000, 10 ** 9)] == [2_000, 2_000, 10_000, 20_000, 20_000, 20_000]
+
+
+def test_catch_up_loads_many_batches_in_few_passes(spark, tmp_dir, monkeypatch):
+    from merchant_signals.plans import increment as I
+
+    end = dt.datetime(2024, 3, 11)
+    one, many = (_seeded(spark, f"{tmp_dir}/{x}", end) for x in "ab")
+    want = []
+    while I._pending(one, "SYNTH_LIVE"):
+        want.append(I.load_raw_batch(one, "SYNTH_LIVE", 1))
+    loads, move = [], I.set_position
+    monkeypatch.setattr(I, "set_position", lambda *a: (loads.append(a[1]), move(*a)))
+    assert I.catch_up(spark, many, end, batch_size=1)["batches"] == want and len(want) == 12
+    assert loads == ["load_position"] * 4 + ["watermark"]
+    cols = ["event_id", "raw_id", "merchant_id"]
+    assert sorted(many.read("facts").select(*cols).collect()) == sorted(one.read("facts").select(*cols).collect())
