@@ -935,15 +935,16 @@ def q_clone_events(spark, sf_dir):
     facts they load (a duplicate must add nothing)."""
     from merchant_signals.operators.clone import clone_payloads, via_base64
     from merchant_signals.operators.facts import dedup_first_wins, facts_from_raw
+    from merchant_signals.session import temp_table
 
     r = V.raw(spark, sf_dir)
     at = F.col("received_at") + F.expr("INTERVAL 1 DAY")
-    clones = clone_payloads(r, at)
+    clones = temp_table(clone_payloads(r, at), "clones")  # sent twice and counted: each payload is merged once
     dup = clones.select("template_raw_id", "source", via_base64(F.col("payload")).alias("payload"), "received_at")
     rows = (clones.withColumn("raw_id", F.col("template_raw_id") * 2)
             .unionByName(dup.withColumn("raw_id", F.col("template_raw_id") * 2 + 1))
             .drop("template_raw_id"))
-    facts = dedup_first_wins(facts_from_raw(rows))
+    facts = dedup_first_wins(temp_table(facts_from_raw(rows), "clone-facts"))  # parsed once, read twice
     per_clone = facts.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("facts"))
     sent = (clones.select(F.get_json_object("payload", "$.merchant_id").alias("merchant_id"))
             .filter(F.col("merchant_id") != "").groupBy("merchant_id").agg(F.count(F.lit(1)).alias("clones")))

@@ -98,3 +98,10 @@ def test_time_lists_are_joined_by_slot(spark):
     times = facts.select((F.col("event_time_utc") + F.expr("INTERVAL 7 MINUTES")).alias("snapshot_time_utc"))
     p = _plan(features_at_times(facts, times))
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p and "_slot" in p
+
+
+def test_clones_are_merged_once(spark):
+    import __spark_entry__ as E
+
+    p = _plan(E.queries()["clone_events"](spark, SF))
+    assert "map_concat" not in p and "from_json" not in p
