@@ -35,15 +35,17 @@ def _aggs(t: Column) -> list[Column]:
         F.count_if(in15).cast("int").alias("txn_count_15m"),
         F.coalesce(F.sum(F.when(in15, F.col("amount_usd"))), F.lit(0))
         .cast("decimal(18,2)").alias("gmv_usd_15m"),
-        F.count(F.lit(1)).cast("int").alias("txn_count_1h"),
+        F.count("event_time_utc").cast("int").alias("txn_count_1h"),
         F.coalesce(F.sum("amount_usd"), F.lit(0)).cast("decimal(18,2)").alias("gmv_usd_1h"),
     ]
 
 
 def merchant_features(facts: DataFrame, t_min=None, t_max=None,
-                      late_guard: bool = True) -> DataFrame:
+                      late_guard: bool = True, keys: DataFrame | None = None) -> DataFrame:
     """OP-31 (+ OP-49 guard) for every aligned bucket time, optionally only
     for ``t_min <= T <= t_max`` (literals; they also prune the fact scan).
+    keys: only these (merchant_id, snapshot_time_utc), which may repeat; they are marked in the same
+    aggregation, so that neither they nor the features are sorted or moved for a join.
 
     Output: merchant_id, snapshot_time_utc, txn_count_15m, gmv_usd_15m,
     txn_count_1h, gmv_usd_1h."""
@@ -60,7 +62,16 @@ def merchant_features(facts: DataFrame, t_min=None, t_max=None,
         w = w.filter(F.col("snapshot_time_utc") <= F.lit(t_max).cast("timestamp"))
     if late_guard:
         w = w.filter(F.col("ingested_at_utc") < F.col("snapshot_time_utc"))
-    return w.groupBy("merchant_id", "snapshot_time_utc").agg(*_aggs(F.col("snapshot_time_utc")))
+    if keys is None:
+        return w.groupBy("merchant_id", "snapshot_time_utc").agg(*_aggs(F.col("snapshot_time_utc")))
+    # a key is a row without an event, which counts and adds nothing
+    cols = ["merchant_id", "snapshot_time_utc", "event_time_utc", "amount_usd"]
+    asked = keys.filter(F.col("merchant_id").isNotNull()).select(
+        *cols[:2], *[F.lit(None).cast(w.schema[c].dataType).alias(c) for c in cols[2:]], F.lit(True).alias("_asked"))
+    both = w.select(*cols, F.lit(False).alias("_asked")).unionByName(asked)
+    marked = both.groupBy("merchant_id", "snapshot_time_utc").agg(
+        *_aggs(F.col("snapshot_time_utc")), F.max("_asked").alias("_asked"))
+    return marked.filter(F.col("_asked") & (F.col("txn_count_1h") > 0)).drop("_asked")
 
 
 def windowed_features(facts: DataFrame, delay: str) -> DataFrame:
@@ -156,7 +167,10 @@ def latest_per_merchant(snapshots: DataFrame, order_col: str = "snapshot_time_ut
 
 def merge_latest(latest: DataFrame, changed: DataFrame, order_col: str = "snapshot_time_utc") -> DataFrame:
     """OP-44 kept up: a table of one row per merchant after snapshots changed.  Of a merchant's rows in both the newest
-    stays, and the changed one if both have that time; one aggregation over a row per merchant and the changed rows."""
+    stays, and the changed one if both have that time.  The changed rows are first cut to each merchant's newest by a
+    fixed-width max: rows as values of an aggregate are sorted, so only a row per merchant and table goes there."""
+    newest = changed.groupBy("merchant_id").agg(F.max(order_col).alias("_newest")).withColumnRenamed("merchant_id", "_m")
+    changed = changed.join(newest, F.col("merchant_id").eqNullSafe(F.col("_m")) & F.col(order_col).eqNullSafe(F.col("_newest")), "left_semi")
     rest = [c for c in latest.columns if c != "merchant_id"]
     both = latest.withColumn("_new", F.lit(0)).unionByName(changed.select(*latest.columns).withColumn("_new", F.lit(1)))
     best = both.groupBy("merchant_id").agg(F.max_by(F.struct(*rest), F.struct(order_col, "_new")).alias("_r"))

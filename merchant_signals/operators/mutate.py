@@ -57,10 +57,11 @@ def upsert_snapshots(target: DataFrame, src: DataFrame,
     """OP-25: recomputed snapshot rows replace features and heuristic, the
     model columns of an existing row are carried over (now stale), rows not
     recomputed stay as they are (no delete)."""
-    old = target.select(*SNAPSHOT_KEY, *carried)
-    new = src.drop(*[c for c in carried if c in src.columns]).join(old, SNAPSHOT_KEY, "left")
-    kept = target.join(src.select(*SNAPSHOT_KEY), SNAPSHOT_KEY, "left_anti")
-    return kept.unionByName(new.select(*target.columns))
+    new = src.select(F.lit(True).alias("_new"), *[F.col(c).alias(f"_{c}") for c in src.columns if c not in carried])
+    on = [F.col(c) == F.col(f"_{c}") for c in SNAPSHOT_KEY]
+    both = target.join(new, on, "full")  # src is computed once, each side moves once
+    return both.select(*[F.col(c) if c in carried else F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+                         for c in target.columns])
 
 
 def update_columns(target: DataFrame, updates: DataFrame, key: list[str],

@@ -191,7 +191,8 @@ class TableStore:
         part = PARTITIONS[name]
         staged = self.spark.read.schema(self._full_schema(name)).parquet(path)
         if not staged.isEmpty():  # else no partition to replace
-            (self._clustered(name, staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            # the copy's rows lie together already: they are sorted by partition, not moved again
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*part).parquet(self.path(name)))
             if name == "snapshots":
                 self._keep_latest(staged)
@@ -273,6 +274,7 @@ class TableStore:
             refused.write.mode("overwrite").partitionBy("source").parquet(f"{self.path('refused')}/landing={landing}")
         if last > start or key:
             out = numbered.select(*[F.col(f.name).cast(f.dataType) for f in S.RAW.fields])
-            out.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(target)
+            # ranges of ids stay together: a task sorts its rows by source, nothing is moved again
+            out.write.mode("overwrite").partitionBy("source").parquet(target)
         release_temp(self.spark, told, numbered)
         return last

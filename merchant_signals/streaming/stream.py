@@ -54,9 +54,9 @@ def raw_table_stream(spark: SparkSession, store: TableStore, max_files_per_trigg
 
 
 def touched_keys(facts: DataFrame) -> DataFrame:
-    """(merchant_id, snapshot_time_utc) of the four buckets whose hour each fact lies in."""
+    """(merchant_id, snapshot_time_utc) of the four buckets whose hour each fact lies in; facts of a bucket repeat it."""
     return (facts.select("merchant_id", F.window("event_time_utc", "1 hour", "15 minutes").alias("_w"))
-            .select("merchant_id", F.col("_w.end").alias("snapshot_time_utc")).distinct())
+            .select("merchant_id", F.col("_w.end").alias("snapshot_time_utc")))
 
 
 def process_facts(store: TableStore, typed: DataFrame) -> dict:
@@ -64,12 +64,13 @@ def process_facts(store: TableStore, typed: DataFrame) -> dict:
     days that hold touched buckets are read and rewritten."""
     store.recover()
     typed = store.stage(typed.select(*S.FACT_COLUMNS))
-    inserted = store.stage(facts_op.insert_ignore(typed, store.read("facts"), "event_id"))
-    n = inserted.count()
-    if n:
-        store.append("facts", inserted)
-    out = {"inserted_fact": n, "rows_upserted": recompute_keys(store, touched_keys(typed))}
-    store.unstage(typed, inserted)
+    # the keys that are there already, written: if they are few, their known size lets the batch stay where it is
+    there = store.stage(store.read("facts").select("event_id").join(typed.select("event_id"), "event_id", "left_semi"))
+    added = Observation("inserted")
+    new = facts_op.insert_ignore(typed, there, "event_id")
+    store.append("facts", new.observe(added, F.count(F.lit(1)).alias("rows")))
+    out = {"inserted_fact": observed(added), "rows_upserted": recompute_keys(store, touched_keys(typed))}
+    store.unstage(typed, there)
     return out
 
 
@@ -87,15 +88,14 @@ def _upsert(store: TableStore, features: DataFrame, days: set[_dt.date]) -> int:
 
 
 def recompute_keys(store: TableStore, keys: DataFrame) -> int:
-    """Features of (merchant_id, snapshot_time_utc) keys from the fact table; reads and rewrites only their days."""
-    keys = store.stage(keys)
-    days, n = _days(keys), 0
-    if days:
-        near = store.read_days("facts", days | {d - _dt.timedelta(days=1) for d in days})
-        near = near.join(keys.select("merchant_id").distinct(), "merchant_id", "left_semi")
-        n = _upsert(store, merchant_features(near).join(keys, ["merchant_id", "snapshot_time_utc"], "left_semi"), days)
-    store.unstage(keys)
-    return n
+    """Features of (merchant_id, snapshot_time_utc) keys, which come from a written table and may repeat, from the fact
+    table; reads and rewrites only their days."""
+    days = _days(keys)
+    if not days:
+        return 0
+    near = store.read_days("facts", days | {d - _dt.timedelta(days=1) for d in days})
+    near = near.join(keys.select("merchant_id").distinct(), "merchant_id", "left_semi")
+    return _upsert(store, merchant_features(near, keys=keys), days)
 
 
 def process_batch(store: TableStore, batch: DataFrame, source: str | None = None) -> dict:
@@ -103,7 +103,7 @@ def process_batch(store: TableStore, batch: DataFrame, source: str | None = None
     b = batch.select(*[f.name for f in S.RAW.fields])
     # OP-18: one known source, as the increment loads it; all known ones if none is named
     known = [facts_op.resolve_source(source)] if source else list(facts_op.KNOWN_SOURCES)
-    b = store.stage(b.filter(F.col("source").isin(known)))
+    b = store.stage(facts_op.parsed(b.filter(F.col("source").isin(known))))
     out = process_facts(store, facts_op.dedup_first_wins(facts_op.facts_from_raw(b)))
     new_dim = facts_op.new_merchants(b, store.read("dim_merchant"), F.current_timestamp())  # OP-33
     if new_dim.limit(1).count():

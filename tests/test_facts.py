@@ -177,3 +177,15 @@ def test_large_ids_stay_apart(spark, tmp_dir):
     assert raw.select("raw_id").distinct().count() == raw.count() == 7
     merchants = {r.merchant_id for r in V.hist_facts(spark, tmp_dir).collect()}
     assert merchants == {"m_000007", "m_100000", "m_1000000", "m_1000009"}
+
+
+def test_upsert_moves_each_side_once(spark):
+    """Repeated and null keys, on either side, as by a left join and an anti join."""
+    cols = "merchant_id string, snapshot_time_utc int, txn int, local int"
+    target = spark.createDataFrame([("a", 1, 10, 7), ("a", 2, 20, 8), ("b", 1, 30, 9), ("b", 1, 31, 10), (None, 1, 40, 11)], cols)
+    src = spark.createDataFrame([("a", 1, None), ("b", 1, 50), ("c", 1, 60), ("c", 1, 61), (None, 1, 70)], "merchant_id string, snapshot_time_utc int, txn int")
+    out = upsert_snapshots(target, src, ["local"])
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [
+        ("a", 1, None, 7), ("a", 2, 20, 8), ("b", 1, 50, 9), ("b", 1, 50, 10), (None, 1, 40, 11),
+        ("c", 1, 60, None), ("c", 1, 61, None), (None, 1, 70, None)]))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

@@ -80,3 +80,27 @@ def test_latest_and_backfill(spark):
     assert latest.snapshot_time_utc == ts("2024-01-01 11:15")
     # backfill stops at next15(max event) = 10:30, although the 1h window reaches 11:15
     assert max(r[0] for r in snapshot_backfill(f).select("snapshot_time_utc").collect()) == ts("2024-01-01 10:30")
+
+
+def test_features_of_asked_keys_are_marked_without_a_join(spark):
+    """Keys may repeat, name no fact or no merchant; the features are those of a semi join with them."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from merchant_signals.operators.features import merchant_features
+    from merchant_signals.streaming.stream import touched_keys
+
+    t0 = dt.datetime(2024, 1, 5, 10, 1)
+    rows = [(m, t0 + dt.timedelta(minutes=7 * i), t0 + dt.timedelta(minutes=7 * i + 20 * (i % 2)), None if i % 5 == 0 else i)
+            for i in range(12) for m in ("a", "b", None)]
+    facts = spark.createDataFrame(rows, "merchant_id string, event_time_utc timestamp, ingested_at_utc timestamp, amount_usd int")
+    facts = facts.withColumn("amount_usd", F.col("amount_usd").cast("decimal(18,2)"))
+    batch = facts.filter((F.col("event_time_utc") < F.lit(t0 + dt.timedelta(minutes=20))) & F.coalesce("merchant_id", F.lit("")).isin("a", ""))
+    keys = touched_keys(batch).unionByName(touched_keys(batch)).unionByName(
+        spark.createDataFrame([("c", t0), ("a", dt.datetime(2024, 1, 9))], "merchant_id string, snapshot_time_utc timestamp"))
+    got = merchant_features(facts, keys=keys)
+    want = merchant_features(facts).join(keys, ["merchant_id", "snapshot_time_utc"], "left_semi")
+    assert got.schema == want.schema
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() >= 5
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
