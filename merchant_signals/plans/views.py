@@ -74,7 +74,7 @@ def build_live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw rows loaded as one batch: validity filter, JSON projection,
     first-wins dedup (same result as the reference's 20,000-row increments,
     because first-wins is by raw_id either way)."""
-    return facts_op.dedup_first_wins(facts_op.facts_from_raw(raw(spark, sf_dir)))
+    return facts_op.first_facts(raw(spark, sf_dir))
 
 
 def live_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

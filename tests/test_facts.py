@@ -189,3 +189,18 @@ def test_upsert_moves_each_side_once(spark):
         ("a", 1, None, 7), ("a", 2, 20, 8), ("b", 1, 50, 9), ("b", 1, 50, 10), (None, 1, 40, 11),
         ("c", 1, 60, None), ("c", 1, 61, None), (None, 1, 70, None)]))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_first_facts_move_raw_rows_only(spark):
+    """As the dedup of typed rows; raw ids may repeat, rows without a merchant go first."""
+    def p(e, m, a):
+        return f'{{"event_id": "{e}", "merchant_id": "{m}", "amount_usd": "{a}"}}'
+    rows = [(1, p("e1", "", 1)), (2, p("e1", "m", 2)), (3, p("e1", "m", 3)), (2, p("e2", "m", 4)), (2, p("e3", "", 5)), (None, p("e4", "m", 6)),
+            (7, p("", "m", 7)), (8, "[1]")]
+    raw = spark.createDataFrame([(i, "S", t, dt.datetime(2024, 1, 1)) for i, t in rows], "raw_id long, source string, payload string, received_at timestamp")
+    got = FO.first_facts(raw)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, FO.dedup_first_wins(FO.facts_from_raw(raw)).collect()))
+    assert {r.event_id for r in got.collect()} == {"e1", "e2", "raw_7"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    left = plan[plan.index("LeftSemi"):plan.index("Aggregate")]
+    assert "AS _p" not in left and "AS event_type" not in left
