@@ -21,6 +21,8 @@ from merchant_signals.llm.tokens import word_bpe_path
 MIN_COVERAGE = 0.2
 #: Near duplicates: shingles of five words, similarity 0.8 or more.
 NEAR = near_dups.Rule(k=5, num=80, den=100)
+#: Bits of the bitmap of ids of rows that may go.
+ID_BITS = 1 << 24
 
 
 #: The columns that operators read.
@@ -45,17 +47,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _named(kept.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
 
 
+def _apart(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of docs that have none of the ids (doc_id), and the few that may have one.
+
+    A bitmap of hashed ids tells them: it is broadcast, at most ID_BITS / 64 rows of 64 bits however many ids there are,
+    and the texts of all other rows stay where they are."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(ID_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    words = ids.groupBy(F.shiftright(place, 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    marked = (docs.withColumn("__word", F.shiftright(place, 6)).join(F.broadcast(words), "__word", "left")
+              .withColumn("__hit", F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))))
+    return marked.where(~F.col("__hit")).select(docs.columns), marked.where("__hit").select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id."""
     found = staged(near_dups.near_duplicates(docs, NEAR), "pipeline-groups")
     gone = found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    plain, rest = _apart(docs, staged(gone.unionByName(again), "pipeline-ids"))
+    # both sides grow with the corpus: a sorted join at every size
+    kept = rest.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     if again.limit(1).count():
         rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *docs.columns))
         one = kept.join(again, "doc_id", "left_semi").withColumn("__rank", rank).where("__rank = 1")
         kept = kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
-    return kept
+    return plain.unionByName(kept)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

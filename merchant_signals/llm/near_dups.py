@@ -12,7 +12,7 @@ its size allows.  A set with at most ``spare`` empty blocks leaves those out: on
 block's bits are kept as the XOR of a 64-bit code of each of them.
 
 *Join.* A count-min sketch drops the blocks that no other text has (``repeats``).  The smallest id of a block is its
-hub, found by a partial aggregation, and every other text of the block is paired with the hub only.  A sketch of
+hub, found by a window over the block, and every other text of the block is paired with the hub only.  A sketch of
 ``PARITY_BITS`` bits of both texts then drops pairs whose Hamming distance exceeds what their sizes allow, and the
 sets decide the rest.  Where the verified links leave a block's texts in several components, the pairs of that block
 between different components are checked as well, inside a join whose condition is the Hamming distance: no link
@@ -35,7 +35,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_signals.llm.common import arrow_map, release, staged
@@ -159,8 +159,8 @@ def _parity(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _wide(h: np.ndarray) -> bytes:
-    """A set's parity sketch of at least four bits a shingle."""
-    bits = max(PARITY_BITS, 1 << int(4 * len(h) - 1).bit_length())
+    """A set's parity sketch of at least a bit a shingle."""
+    bits = max(PARITY_BITS, 1 << int(len(h) - 1).bit_length())
     return np.packbits(np.bincount((mix(h, 32) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
@@ -283,9 +283,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
                                           names=["block", "doc"])
 
     blocks = staged(arrow_map(own, live, "block bigint, doc bigint"), "blocks")
-    hubs = (blocks.groupBy("block").agg(F.min("doc").alias("hub"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("texts"))
-            .where(F.col("hub") < F.col("last")).drop("last"))
-    members = staged(_meet(blocks, hubs, "block"), "members")
+    of_block = Window.partitionBy("block")  # each row is sent once
+    members = staged(blocks.select("block", "doc", F.min("doc").over(of_block).alias("hub"), F.max("doc").over(of_block).alias("last"),
+                                   F.count(F.lit(1)).over(of_block).alias("texts"))
+                     .where(F.col("hub") < F.col("last")).drop("last"), "members")
     release(blocks)
     near = members.where(F.col("doc") != F.col("hub")).select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
     near = _meet(_meet(near, _sketches(some, "a"), "a"), _sketches(some, "b"), "b").where(_near(rule)).select("a", "b")
@@ -297,8 +298,8 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id"
     part = found.select(F.col("node").alias("doc"), F.col("component").alias("c"))
     told = staged(_meet(members.where(F.col("texts") > 2).select("block", "doc"), part, "doc", "left")
                   .select("block", "doc", F.coalesce("c", "doc").alias("c")), "told")
-    apart = told.groupBy("block").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") < F.col("hi")).select("block")
-    rest = staged(_meet(told, apart, "block", "left_semi"), "apart")
+    rest = staged(told.select("block", "doc", "c", F.min("c").over(of_block).alias("lo"), F.max("c").over(of_block).alias("hi"))
+                  .where(F.col("lo") < F.col("hi")).select("block", "doc", "c"), "apart")
     release(members, told, near)
     lows = rest.groupBy("doc").agg(F.array_sort(F.collect_set("block")).alias("k")).select("doc", F.slice("k", 1, FIRST_BLOCKS).alias("k"))
     left, right = (_meet(_meet(rest, lows, "doc").select(F.col("block").alias(f"block{x}"), F.col("doc").alias(x), F.col("c").alias(f"c{x}"),

@@ -84,6 +84,28 @@ def test_near_duplicates_match_brute_force(spark, seed, rule):
     assert len({c for _, c in want.values()}) < len(docs) - 10
 
 
+def test_rows_of_blocks_are_sent_once(spark, monkeypatch):
+    plans, write = {}, near_dups.staged
+
+    def seen(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, **options)
+
+    monkeypatch.setattr(near_dups, "staged", seen)
+    near_dups.near_duplicates(_frame(spark, brute.corpus(20, 1))).collect()
+    for name in ("members", "apart"):
+        assert plans[name].count("Exchange hashpartitioning(block") == 1, name
+
+
+def test_wide_sketches_have_a_bounded_size_and_distance():
+    rng = np.random.default_rng(7)
+    for n in (1, 600, 5000):
+        union = rng.integers(1, 2**63, n + n // 2, dtype=np.uint64)
+        a, b = union[:n], union[n // 2:]
+        x, y = near_dups._wide(a), near_dups._wide(b)
+        assert near_dups._distance(x, y) <= len(np.setxor1d(a, b)) and 8 * len(x) <= max(near_dups.PARITY_BITS, 2 * n)
+
+
 def test_blocks_of_linked_sets_meet():
     """Sets at the very bound of similarity share a block, whatever their sizes."""
     rng, rule = np.random.default_rng(5), near_dups.Rule()

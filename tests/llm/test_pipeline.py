@@ -85,3 +85,37 @@ def test_all_queries_are_registered():
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
     assert set(queries.QUERIES) <= set(names)
     assert len(P.STAGES) == 5
+
+
+def _moved(plan):
+    """Bytes that the shuffles of a finished plan have sent."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return _moved(plan.executedPlan())
+    if plan.nodeName() == "Exchange":
+        return plan.metrics().apply("dataSize").value()
+    if plan.nodeName().endswith("QueryStage"):
+        return _moved(plan.plan())
+    below = plan.children()
+    return sum(_moved(below.apply(i)) for i in range(below.size()))
+
+
+def test_texts_of_rows_that_stay_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(200)), "aa", "s", 0) for i in range(200)]
+    rows += [(1000 + i, rows[i][1], "aa", "s", 0) for i in range(5)] + [(100, rows[100][1], "aa", "s", 1), (None, rows[0][1], "aa", "s", 2)]
+    docs = staged(spark.createDataFrame(rows, DDL).repartition(4), "test")
+    monkeypatch.setattr(P, "ID_BITS", 1 << 20)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at size
+    try:
+        kept = P.near_duplicates(spark, docs, "")
+        got = kept.collect()
+        moved = _moved(kept._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    want = sorted([*range(200), -1])
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in got) == want
+    assert 0 < moved < sum(len(t) for _, t, *_ in rows) / 4
+    monkeypatch.setattr(P, "ID_BITS", 64)  # nearly all hashes are taken: the same rows, moved or not
+    again = P.near_duplicates(spark, docs, "").collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
